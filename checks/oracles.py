@@ -1,0 +1,534 @@
+"""The same queries as SQL, for the engine that checks the results."""
+
+from __future__ import annotations
+
+from checks.bindings import END, START
+from checks.registry import (
+    CITIES,
+    DELTA,
+    KEYWORDS,
+    MIN_SUPPORT,
+    RETENTION_DAY,
+    RUN_TS,
+    SUPPLIERS,
+    WATERMARK,
+)
+from checks.sql_bindings import with_tables
+from martlet.operators.quality import STAR_RULES, Rule
+from martlet.plans.basket import RECOMMENDATIONS
+from martlet.schemas import SHIPMENT_STATES_DOCUMENTED
+
+PERIOD = f"transaction_date BETWEEN TIMESTAMP '{START}' AND TIMESTAMP '{END}'"
+REVENUE = "CAST(SUM(quantity * unit_price) AS DOUBLE)"
+MEAN_LINE = "CAST(SUM(quantity * unit_price) AS DOUBLE) / COUNT(*)"
+SALE = (
+    "transaction_id, customer_id, product_id, quantity, "
+    "CAST(unit_price AS DOUBLE) AS unit_price, store_id, transaction_date"
+)
+EVENT = (
+    'session_id, customer_id, event_type, "timestamp", device_type, referrer, product_id, '
+    "duration_seconds, promo_code, quantity, transaction_id, total_value"
+)
+EVENT_TEXT = EVENT.replace("product_id", "CAST(product_id AS VARCHAR) AS product_id")
+RETAIL = (
+    "invoice_no, stock_code, description, quantity, invoice_date, "
+    "CAST(unit_price AS DOUBLE) AS unit_price, customer_id, country, line_no"
+)
+
+# What the tables of the star schema are called here.
+STAR = {
+    "dim_customers": "customers",
+    "dim_products": "products",
+    "dim_stores": "stores",
+    "fact_sales": "sales",
+    "fact_inventory": "inventory",
+    "fact_shipments": "shipments",
+    "fact_web_events": "web_events",
+}
+RAW_VIEW_SOURCES = {
+    "raw_customers": "customers",
+    "raw_products": "products",
+    "raw_stores": "stores",
+    "raw_sales": "sales",
+    "raw_inventory": "inventory",
+    "raw_web_events": "web_events",
+}
+GOLD_VIEW_SOURCES = {
+    "secure_customers": "customers",
+    "analytics_sales_performance": "sales",
+    "analytics_web_engagement": "web_events",
+}
+
+
+def _counts(sources: dict[str, str], more: str = "") -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS table_name, COUNT(*) AS row_count{more} FROM {table}"
+        for name, table in sources.items()
+    )
+
+
+def _cases(pairs: list[tuple[str, str]], test: str, default: str) -> str:
+    whens = " ".join(f"WHEN {test.format(k)} THEN '{v}'" for k, v in pairs)
+    return f"CASE {whens} ELSE {default} END"
+
+
+def _violations(table: str, source: str, rule: Rule) -> str:
+    """One row per rule, written as the plain count of the rows that break it."""
+    column = rule.columns[0]
+    keys = ", ".join(rule.columns)
+    known = " AND ".join(f"{c} IS NOT NULL" for c in rule.columns)
+    extra = f"""(SELECT COALESCE(SUM(n - 1), 0) FROM
+                 (SELECT COUNT(*) AS n FROM {source} WHERE {known} GROUP BY {keys}) g)"""
+    count = {
+        "not_null": lambda: f"(SELECT COUNT(*) FROM {source} WHERE {column} IS NULL)",
+        "check": lambda: f"(SELECT COUNT(*) FROM {source} WHERE NOT ({column} {rule.detail}))",
+        "max_length": lambda: f"""(SELECT COUNT(*) FROM {source}
+                                  WHERE length(CAST({column} AS VARCHAR)) > {rule.detail})""",
+        "unique": lambda: extra,
+        "key": lambda: f"{extra} + (SELECT COUNT(*) FROM {source} WHERE NOT ({known}))",
+        "reference": lambda: f"""(SELECT COUNT(*) FROM {source} f WHERE f.{column} IS NOT NULL
+            AND NOT EXISTS (SELECT 1 FROM {CONSTRAINED[rule.detail]} d WHERE d.{column} = f.{column}))""",
+    }[rule.kind]()
+    return (
+        f"SELECT '{table}' AS table_name, '{rule.name}' AS rule, "
+        f"CAST({count} AS BIGINT) AS violations"
+    )
+
+
+CONSTRAINED = {**STAR, "fact_sales": "raw_sales", "dim_customers": "raw_customers"}
+
+
+def _constraint_sql() -> str:
+    return "\nUNION ALL\n".join(
+        _violations(table, CONSTRAINED[table], rule)
+        for table, rules in STAR_RULES.items()
+        for rule in rules
+    )
+
+
+def _quality_sql() -> str:
+    kept = "(SELECT * FROM raw_web_events WHERE customer_id IS NOT NULL) k"
+    optional = " OR ".join(
+        f"{c} IS NULL"
+        for c in ("product_id", "duration_seconds", "promo_code", "quantity", "transaction_id")
+    )
+    rows = [
+        ("dim_customers", "duplicate customer_id", "flag history", "customers WHERE NOT is_current"),
+        ("fact_sales", "quantity <= 0", "drop row", "raw_sales WHERE quantity <= 0"),
+        ("fact_sales", "unit_price <= 0", "drop row", "raw_sales WHERE unit_price <= 0"),
+        (
+            "fact_sales",
+            "all rules",
+            "drop row",
+            "raw_sales WHERE NOT (quantity > 0 AND unit_price > 0)",
+        ),
+        ("fact_inventory", "stock_on_hand < 0", "floor to 0", "raw_inventory WHERE stock_on_hand < 0"),
+        (
+            "fact_web_events",
+            "customer_id is null",
+            "drop row",
+            "raw_web_events WHERE customer_id IS NULL",
+        ),
+        (
+            "fact_web_events",
+            "duplicate event",
+            "keep first",
+            f"""(SELECT row_number() OVER (PARTITION BY session_id, event_type, "timestamp") AS rn
+                 FROM {kept}) d WHERE rn > 1""",
+        ),
+        ("fact_web_events", "invalid timestamp", "quarantine", f'{kept} WHERE "timestamp" IS NULL'),
+        ("fact_web_events", "missing optional field", "set to null", f"{kept} WHERE {optional}"),
+        (
+            "fact_web_events",
+            "JSON parse error",
+            "skip line",
+            "raw_web_events WHERE seq = 0 AND event_id % 100 IN (1, 2, 4)",
+        ),
+    ]
+    return "\nUNION ALL\n".join(
+        f"SELECT '{source}' AS source, '{check}' AS \"check\", '{action}' AS action, "
+        f"COUNT(*) AS affected FROM {rest}"
+        for source, check, action, rest in rows
+    )
+
+
+def _city(current: str) -> str:
+    return f"""
+        SELECT c.city, CAST(SUM(s.quantity * s.unit_price) AS DOUBLE) AS revenue
+        FROM sales s JOIN customers c ON s.customer_id = c.customer_id
+        WHERE s.{PERIOD} {current}
+        GROUP BY 1 ORDER BY SUM(s.quantity * s.unit_price) DESC, 1 LIMIT 10"""
+
+
+def _top(order: str, n: int) -> str:
+    return f"""
+        SELECT p.description AS product_name, CAST(SUM(s.quantity) AS BIGINT) AS units_sold,
+               CAST(SUM(s.quantity * s.unit_price) AS DOUBLE) AS revenue
+        FROM sales s JOIN products p ON s.product_id = p.product_id
+        WHERE s.{PERIOD} AND s.quantity > 0
+        GROUP BY 1 ORDER BY {order} DESC, 1 LIMIT {n}"""
+
+
+def _clv(current: str) -> str:
+    return f"""
+        SELECT c.name, m.aov * m.frequency * 1.5 AS clv_score
+        FROM (SELECT customer_id, {MEAN_LINE} AS aov, COUNT(DISTINCT transaction_id) AS frequency
+              FROM sales WHERE {PERIOD} GROUP BY 1) m
+        JOIN customers c ON m.customer_id = c.customer_id {current}
+        ORDER BY 2 DESC, 1 LIMIT 8"""
+
+
+def _secure(email: str) -> str:
+    return f"""
+        SELECT customer_id, name, city, update_timestamp, is_current, {email} AS email,
+               'MASKED' AS privacy_status
+        FROM customers"""
+
+
+MASK = r"regexp_replace(email, '(^.{3})(.*)(@.*$)', '\1****\3')"
+
+
+
+def _sets_of(size: int) -> str:
+    """Frequent sets of one size by self-joins of the lines of a basket."""
+    names = [f"l{k}" for k in range(size)]
+    joins = "".join(
+        f" JOIN lines {b} ON {a}.t = {b}.t AND {a}.i < {b}.i"
+        for a, b in zip(names, names[1:], strict=False)
+    )
+    items = ", ".join(f"{name}.i" for name in names)
+    return f"""
+        SELECT [{items}] AS items, COUNT(*) AS freq FROM lines l0{joins} GROUP BY {items}
+        HAVING COUNT(*) / (SELECT n FROM total) >= {MIN_SUPPORT}"""
+
+
+# Market basket. The given tables have no frequent set of more than four brands.
+BASKET = {
+    "lines": """
+        SELECT DISTINCT s.transaction_id AS t, p.description AS i
+        FROM sales s JOIN brands p ON s.product_id = p.product_id WHERE s.quantity > 0""",
+    "total": "SELECT CAST(COUNT(DISTINCT t) AS DOUBLE) AS n FROM lines",
+    "sets": "\nUNION ALL".join(_sets_of(size) for size in range(1, 6)),
+    "rules": """
+        SELECT array_to_string(a.items, ', ') AS antecedents,
+               array_to_string(c.items, ', ') AS consequents,
+               w.freq / n AS support, w.freq / CAST(a.freq AS DOUBLE) AS confidence,
+               w.freq / CAST(a.freq AS DOUBLE) / (c.freq / n) AS lift,
+               w.freq * n >= CAST(a.freq AS DOUBLE) * c.freq AS lifted
+        FROM sets w JOIN sets a ON list_has_all(w.items, a.items) AND len(a.items) < len(w.items)
+        JOIN sets c ON list_has_all(w.items, c.items) AND len(c.items) = len(w.items) - len(a.items)
+         AND NOT list_has_any(a.items, c.items)
+        JOIN total ON true""",
+    "business": """
+        SELECT *, round_even(support * 100, 1) AS buy_frequency,
+               round_even(confidence * 100, 0) AS purchase_likelihood,
+               round_even(lift, 1) AS strength_score,
+               row_number() OVER (ORDER BY lift DESC, antecedents, consequents) AS rank
+        FROM rules WHERE lifted
+        QUALIFY rank <= 15""",
+}
+RULE_COLUMNS = """antecedents, consequents, ROUND(support, 9) AS support,
+                  ROUND(confidence, 9) AS confidence, ROUND(lift, 9) AS lift"""
+PERCENT = "CAST(CAST(purchase_likelihood AS INT) AS VARCHAR) || '%'"
+STRENGTH = "CAST(strength_score AS VARCHAR) || 'x'"
+
+
+def _recommendation_sql() -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT {position} AS position, '{title}' AS title, "
+        f"printf('{template}', antecedents, consequents) AS text FROM business WHERE rank = {rank}"
+        for position, rank, title, template in RECOMMENDATIONS
+    )
+
+
+TITLE = """(SELECT string_agg(upper(w[1]) || lower(w[2:]), ' ')
+            FROM (SELECT unnest(string_split(trim(description), ' ')) AS w) words)"""
+FIRST_LINES = """
+    SELECT stock_code AS product_id, first(description ORDER BY invoice_date, invoice_no, line_no) AS description,
+           CAST(first(unit_price ORDER BY invoice_date, invoice_no, line_no) AS DOUBLE) AS base_price
+    FROM raw_retail GROUP BY stock_code"""
+
+PLAIN: dict[str, str] = {
+    "web_events_parse": f"SELECT {EVENT_TEXT} FROM raw_web_events".replace(
+        '"timestamp",', "replace(CAST(\"timestamp\" AS VARCHAR), ' ', 'T') AS \"timestamp\","
+    ),
+    "web_bad_lines": """
+        SELECT CASE event_id % 100 WHEN 1 THEN 'bad{' WHEN 2 THEN '' ELSE '5' END AS value,
+               COUNT(*) AS bad_lines
+        FROM raw_web_events WHERE seq = 0 AND event_id % 100 IN (1, 2, 4) GROUP BY 1""",
+    "web_events_schema": """
+        SELECT event_id, seq, promo_code,
+               CASE WHEN event_id % 40 = 7 THEN 'spring' END AS campaign,
+               CASE WHEN event_id % 90 = 11 THEN 'variant_b' END AS ab_test
+        FROM raw_web_events""",
+    "web_new_fields": """
+        SELECT DISTINCT 'campaign' AS field FROM events WHERE event_id % 40 = 7
+        UNION ALL SELECT DISTINCT 'ab_test' FROM events WHERE event_id % 90 = 11""",
+    "raw_views_count": _counts(RAW_VIEW_SOURCES),
+    "quality_report": _quality_sql(),
+    "retail_drop_null_customer": f"SELECT {RETAIL} FROM raw_retail WHERE customer_id IS NOT NULL",
+    "derive_dim_products": FIRST_LINES,
+    "derive_dim_customers": "SELECT DISTINCT customer_id FROM raw_retail WHERE customer_id IS NOT NULL",
+    "derive_fact_sales": """
+        SELECT invoice_no AS transaction_id, customer_id, stock_code AS product_id, quantity,
+               CAST(unit_price AS DOUBLE) AS unit_price
+        FROM raw_retail WHERE customer_id IS NOT NULL""",
+    "derive_shipment_keys": """
+        SELECT DISTINCT 'SHP_' || CASE WHEN transaction_id < 10000000
+               THEN lpad(CAST(transaction_id AS VARCHAR), 7, '0')
+               ELSE CAST(transaction_id AS VARCHAR) END AS shipment_id, transaction_id
+        FROM raw_sales""",
+    "line_transaction_id": """
+        SELECT 'TXN' || invoice_no || '-' || CAST(line_in_invoice AS VARCHAR) AS transaction_id,
+               'CUST' || CAST(customer_id AS VARCHAR) AS customer_id,
+               'PROD' || stock_code AS product_id, quantity,
+               CAST(unit_price AS DOUBLE) AS unit_price, invoice_no, line_in_invoice
+        FROM (SELECT *, row_number() OVER (PARTITION BY invoice_no
+                                           ORDER BY line_no, stock_code, quantity) AS line_in_invoice
+              FROM raw_retail) x""",
+    "retail_clean": f"""
+        SELECT {RETAIL} FROM raw_retail
+        WHERE NOT starts_with(invoice_no, 'C') AND quantity > 0 AND customer_id IS NOT NULL
+          AND unit_price > 0""",
+    "standardize_description": f"""
+        SELECT product_id, {TITLE} AS description, base_price
+        FROM ({FIRST_LINES}) p WHERE trim(description) <> ''""",
+    "categorize_products": f"""
+        SELECT product_id, description, CAST(base_price AS DOUBLE) AS base_price, category,
+               {_cases(list(SUPPLIERS.items()), "category = '{}'", "NULL")} AS supplier_id
+        FROM (SELECT product_id, description, base_price,
+                     {_cases(KEYWORDS, "contains(lower(description), '{}')", "'Other'")} AS category
+              FROM products) p""",
+    "customer_enrich": f"""
+        SELECT customer_id, replace(name, '#', ' ') AS name,
+               lower(replace(replace(name, '#', ' '), ' ', '.')) || '@email.com' AS email,
+               {_cases(list(CITIES.items()), "city = '{}'", "city")} AS city,
+               TIMESTAMP '{RUN_TS}' AS update_timestamp
+        FROM first_customers""",
+    "dedup_pk": f"""
+        SELECT {SALE} FROM (
+            SELECT *, row_number() OVER (PARTITION BY transaction_id, product_id
+                ORDER BY quantity, store_id, customer_id, unit_price, transaction_date) AS rn
+            FROM raw_sales) x
+        WHERE rn = 1""",
+    "customer_sample": f"""
+        SELECT * FROM raw_customers
+        WHERE substr(md5(CAST(customer_id AS VARCHAR)), 1, 8) < '{int(0.05 * 0x100000000):08x}'""",
+    "scd2_customers": "SELECT * FROM customers",
+    "scd2_history_count": "SELECT COUNT(*) AS historical_records FROM customers WHERE NOT is_current",
+    "scd2_current": "SELECT * FROM customers WHERE is_current",
+    "scd2_history": "SELECT * FROM customers ORDER BY customer_id, update_timestamp DESC",
+    "scd2_versions": """
+        SELECT customer_id, COUNT(*) AS versions FROM raw_customers
+        GROUP BY customer_id HAVING COUNT(*) > 1""",
+    "scd2_check": """
+        SELECT COUNT(*) FILTER (is_current) AS current_rows, COUNT(DISTINCT customer_id) AS customers,
+               COUNT(*) FILTER (is_current) = COUNT(DISTINCT customer_id) AS ok
+        FROM customers""",
+    "scd2_merge": """
+        SELECT *, update_timestamp AS valid_from,
+               lead(update_timestamp) OVER w AS valid_to, lead(update_timestamp) OVER w IS NULL AS is_current
+        FROM (SELECT * FROM first_customers UNION ALL SELECT f.* FROM customer_feed f
+              WHERE NOT EXISTS (SELECT 1 FROM first_customers c WHERE c.customer_id = f.customer_id
+                AND c.name = f.name AND c.email = f.email AND c.city = f.city)) v
+        WINDOW w AS (PARTITION BY customer_id ORDER BY update_timestamp)""",
+    "sales_clean": f"SELECT {SALE} FROM sales",
+    "sales_dropped": """
+        SELECT COUNT(*) AS initial_rows, COUNT(*) FILTER (quantity > 0 AND unit_price > 0) AS kept_rows,
+               COUNT(*) FILTER (NOT (quantity > 0 AND unit_price > 0)) AS dropped_rows
+        FROM raw_sales""",
+    "sales_partition_keys": f"""
+        SELECT {SALE}, CAST(year(transaction_date) AS INT) AS year,
+               CAST(month(transaction_date) AS INT) AS month
+        FROM sales""",
+    "inventory_clean": "SELECT * FROM inventory",
+    "web_null_customer": f"SELECT {EVENT} FROM raw_web_events WHERE customer_id IS NOT NULL",
+    "web_dedup": f"""
+        SELECT {EVENT} FROM (
+            SELECT *, row_number() OVER (PARTITION BY session_id, event_type, "timestamp"
+                                         ORDER BY seq, event_id) AS rn
+            FROM raw_web_events) x
+        WHERE rn = 1""",
+    "web_dedup_second": f"""
+        SELECT {EVENT} FROM (
+            SELECT *, row_number() OVER (PARTITION BY session_id, event_type, date_trunc('second', "timestamp")
+                                         ORDER BY seq, event_id) AS rn
+            FROM raw_web_events) x
+        WHERE rn = 1""",
+    "web_event_date": """
+        SELECT event_id, seq, session_id, "timestamp", CAST("timestamp" AS DATE) AS event_date
+        FROM raw_web_events""",
+    "fact_web_events": f"SELECT {EVENT_TEXT}, event_date FROM web_events",
+    "incremental_sales": f"""
+        SELECT {SALE} FROM sales WHERE transaction_date > TIMESTAMP '{WATERMARK}'""",
+    "web_retention": f"""
+        SELECT {EVENT}, event_date FROM web_events
+        WHERE NOT event_date < CAST(DATE '{RETENTION_DAY}' - INTERVAL 90 DAYS AS DATE)""",
+    "forget_customers": f"""
+        SELECT {SALE} FROM sales WHERE customer_id NOT IN (
+            SELECT customer_id FROM raw_customers GROUP BY customer_id HAVING COUNT(*) > 1)""",
+    "kpi_summary": f"""
+        SELECT {REVENUE} AS total_rev, COUNT(DISTINCT transaction_id) AS total_orders,
+               ROUND({MEAN_LINE}, 6) AS avg_order_val
+        FROM sales WHERE {PERIOD}""",
+    "kpi_summary_whole_days": f"""
+        SELECT {REVENUE} AS total_rev, COUNT(DISTINCT transaction_id) AS total_orders,
+               ROUND({MEAN_LINE}, 6) AS avg_order_val
+        FROM sales
+        WHERE CAST(transaction_date AS DATE) BETWEEN DATE '{START}' AND DATE '{END}'""",
+    "kpi_delta": f"""
+        SELECT ROUND((a.r - b.r) / b.r * 100, 6) AS total_rev_pct,
+               ROUND((CAST(a.o AS DOUBLE) - b.o) / b.o * 100, 6) AS total_orders_pct,
+               ROUND((a.m - b.m) / b.m * 100, 6) AS avg_order_val_pct
+        FROM (SELECT {REVENUE} AS r, COUNT(DISTINCT transaction_id) AS o, {MEAN_LINE} AS m FROM sales
+              WHERE CAST(transaction_date AS DATE) BETWEEN DATE '{DELTA[0]}' AND DATE '{DELTA[1]}') a,
+             (SELECT {REVENUE} AS r, COUNT(DISTINCT transaction_id) AS o, {MEAN_LINE} AS m FROM sales
+              WHERE CAST(transaction_date AS DATE) BETWEEN DATE '{DELTA[0]}' - 365 AND DATE '{DELTA[0]}' - 1) b""",
+    "kpi_cards": f"""
+        SELECT 'Total Revenue' AS label, format('₹{{:,.2f}}', {REVENUE}) AS value FROM sales WHERE {PERIOD}
+        UNION ALL SELECT 'Order Volume', format('{{:,}}', COUNT(DISTINCT transaction_id)) FROM sales WHERE {PERIOD}
+        UNION ALL SELECT 'Avg. Order Value', format('₹{{:,.2f}}', {MEAN_LINE}) FROM sales WHERE {PERIOD}
+        UNION ALL SELECT 'Avg. Delivery Time', format('{{:.1f}} Days', AVG(delivery_time_days)) FROM shipments""",
+    "avg_delivery_days": "SELECT ROUND(AVG(delivery_time_days), 6) AS avg_days FROM shipments",
+    "daily_revenue": f"""
+        SELECT CAST(transaction_date AS DATE) AS sale_date, {REVENUE} AS daily_revenue
+        FROM sales WHERE {PERIOD} GROUP BY 1 ORDER BY 1""",
+    "monthly_revenue": f"""
+        SELECT strftime(transaction_date, '%Y-%m') AS sale_month, {REVENUE} AS monthly_revenue,
+               COUNT(DISTINCT transaction_id) AS monthly_orders
+        FROM sales WHERE {PERIOD} GROUP BY 1 ORDER BY 1""",
+    "seasonal_demand": f"""
+        SELECT monthname(transaction_date) AS month, CAST(month(transaction_date) AS INT) AS month_num,
+               CAST(SUM(quantity) AS BIGINT) AS units_sold, {REVENUE} AS revenue
+        FROM sales WHERE {PERIOD} GROUP BY 1, 2 ORDER BY 2""",
+    "city_sales": _city(""),
+    "city_sales_current": _city("AND c.is_current"),
+    "shopper_type": f"""
+        SELECT CASE WHEN t_count = 1 THEN 'New' ELSE 'Returning' END AS shopper_type, COUNT(*) AS user_count
+        FROM (SELECT customer_id, COUNT(DISTINCT transaction_id) AS t_count
+              FROM sales WHERE {PERIOD} GROUP BY 1) c
+        GROUP BY 1""",
+    "top_products_revenue": _top("SUM(s.quantity * s.unit_price)", 10),
+    "top_products_units": _top("SUM(s.quantity)", 25),
+    "top_products_table": f"""
+        SELECT substr(product_name, 1, 40) AS "Product", units_sold AS "Units Sold",
+               format('₹{{:,.2f}}', revenue) AS "Revenue"
+        FROM ({_top("SUM(s.quantity * s.unit_price)", 10)}) t""",
+    "customer_clv": f"SELECT name, ROUND(clv_score, 4) AS clv_score FROM ({_clv('')}) t",
+    "customer_clv_current": f"""
+        SELECT name, ROUND(clv_score, 4) AS clv_score FROM ({_clv('AND c.is_current')}) t""",
+    "clv_leaderboard": f"""
+        SELECT rank, CASE rank WHEN 1 THEN '🥇' WHEN 2 THEN '🥈' WHEN 3 THEN '🥉'
+                     ELSE '#' || CAST(rank AS VARCHAR) END AS medal,
+               name, ROUND(clv_score, 4) AS clv_score, format('₹{{:,.0f}}', clv_score) AS expected_value
+        FROM (SELECT *, CAST(row_number() OVER (ORDER BY clv_score DESC, name) AS INT) AS rank
+              FROM ({_clv('')}) t) r""",
+    "analytics_sales_performance": """
+        SELECT s.transaction_id, s.transaction_date, p.description AS product_name, p.category,
+               st.store_name, st.city AS store_city, s.quantity,
+               CAST(s.unit_price AS DOUBLE) AS unit_price,
+               CAST(s.quantity * s.unit_price AS DOUBLE) AS total_revenue
+        FROM sales s LEFT JOIN products p ON s.product_id = p.product_id
+        LEFT JOIN stores st ON s.store_id = st.store_id""",
+    "analytics_web_engagement": """
+        SELECT we.session_id, we.customer_id, we.event_type, we.event_date, we.device_type, we.referrer,
+               p.category AS product_category, we.promo_code
+        FROM web_events we LEFT JOIN products p ON we.product_id = p.product_id""",
+    "revenue_validation": f"""
+        SELECT COUNT(*) AS total_transactions, {REVENUE} AS total_revenue,
+               ROUND({MEAN_LINE}, 6) AS avg_transaction_value,
+               MIN(transaction_date) AS earliest_sale, MAX(transaction_date) AS latest_sale
+        FROM sales""",
+    "inventory_turnover": f"""
+        SELECT ROUND(CAST(SUM(quantity) AS DOUBLE)
+                     / NULLIF((SELECT AVG(stock_on_hand) FROM inventory), 0), 6) AS turnover_ratio
+        FROM sales WHERE {PERIOD}""",
+    "category_distribution": """
+        SELECT category, COUNT(DISTINCT product_id) AS product_count,
+               ROUND(CAST(SUM(base_price) AS DOUBLE) / COUNT(*), 6) AS avg_price
+        FROM products GROUP BY category ORDER BY 2 DESC, 1""",
+    "inventory_by_store": """
+        SELECT store_id, COUNT(DISTINCT product_id) AS products_stocked,
+               CAST(SUM(stock_on_hand) AS BIGINT) AS total_inventory,
+               ROUND(AVG(stock_on_hand), 6) AS avg_stock_per_product
+        FROM inventory GROUP BY store_id""",
+    "table_counts": _counts(STAR),
+    "profile_sales": "\nUNION ALL\n".join(
+        f"""SELECT '{c}' AS column_name, COUNT({c}) AS count, COUNT(*) - COUNT({c}) AS null_count,
+            ROUND(AVG(CAST({c} AS DOUBLE)), 6) AS mean, ROUND(stddev_samp(CAST({c} AS DOUBLE)), 6) AS stddev,
+            CAST(MIN({c}) AS DOUBLE) AS min, CAST(MAX({c}) AS DOUBLE) AS max FROM raw_sales"""
+        for c in ("quantity", "unit_price")
+    ),
+    "orphan_report": """
+        SELECT 'Orphaned Customers' AS check_type, COUNT(*) AS count
+        FROM raw_sales f LEFT JOIN (SELECT customer_id FROM raw_customers GROUP BY 1 HAVING COUNT(*) > 1) d
+          ON f.customer_id = d.customer_id WHERE d.customer_id IS NULL
+        UNION ALL SELECT 'Orphaned Products', COUNT(*)
+        FROM raw_sales f LEFT JOIN products d ON f.product_id = d.product_id WHERE d.product_id IS NULL
+        UNION ALL SELECT 'Orphaned Stores', COUNT(*)
+        FROM raw_sales f LEFT JOIN stores d ON f.store_id = d.store_id WHERE d.store_id IS NULL""",
+    "sales_quality": """
+        SELECT COUNT(*) AS total_sales, COUNT(CASE WHEN quantity <= 0 THEN 1 END) AS invalid_qty,
+               COUNT(CASE WHEN unit_price <= 0 THEN 1 END) AS invalid_price
+        FROM raw_sales""",
+    "sales_date_range": """
+        SELECT MIN(transaction_date) AS earliest_sale, MAX(transaction_date) AS latest_sale FROM sales""",
+    "constraint_report": _constraint_sql(),
+    "web_optional_counts": """
+        SELECT COUNT(*) AS total_events, COUNT(promo_code) AS events_with_promo,
+               COUNT(product_id) AS events_with_product
+        FROM web_events""",
+    "shipment_status_check": f"""
+        SELECT status, COUNT(*) AS shipments FROM shipments
+        WHERE status NOT IN ({", ".join(f"'{s}'" for s in SHIPMENT_STATES_DOCUMENTED)}) GROUP BY status""",
+    "secure_customers": _secure(MASK),
+    "secure_customers_strict": _secure(
+        f"CASE WHEN {MASK} = email THEN regexp_replace(email, '^[^@]*', '****') ELSE {MASK} END"
+    ),
+    "secure_customers_extended": rf"""
+        SELECT customer_id, regexp_replace(name, '(\w)\w+(\w)', '\1***\2') AS name, city, {MASK} AS email
+        FROM customers""",
+    "role_views": _counts(GOLD_VIEW_SOURCES, ", 'analyst' AS role")
+    + "\nUNION ALL\n"
+    + _counts({**RAW_VIEW_SOURCES, **GOLD_VIEW_SOURCES}, ", 'admin' AS role"),
+    "live_latest": """
+        SELECT *, CAST(row_number() OVER (ORDER BY tick_ts DESC, store_id, sales, inventory) AS INT) AS recency
+        FROM live_ticks QUALIFY recency <= 15""",
+    "live_panel": """
+        SELECT tick_ts, sales, inventory, store_id,
+               CASE WHEN r = 1 THEN '₹' || CAST(sales AS VARCHAR) END AS current_sales, r <= 5 AS in_log
+        FROM (SELECT *, row_number() OVER (ORDER BY tick_ts DESC, store_id, sales, inventory) AS r
+              FROM live_ticks) x
+        WHERE r <= 15""",
+    "basket_pairs": """
+        SELECT s.transaction_id, p.description AS product_name
+        FROM sales s JOIN products p ON s.product_id = p.product_id WHERE s.quantity > 0""",
+    "baskets": """
+        SELECT transaction_id, string_agg(product_name, ', ' ORDER BY product_name) AS items
+        FROM (SELECT DISTINCT s.transaction_id, p.description AS product_name
+              FROM sales s JOIN products p ON s.product_id = p.product_id WHERE s.quantity > 0) x
+        GROUP BY transaction_id""",
+    "frequent_itemsets": """
+        SELECT array_to_string(items, ', ') AS items, freq, CAST(n AS BIGINT) AS n_baskets,
+               ROUND(freq / n, 9) AS support
+        FROM sets JOIN total ON true""",
+    "association_rules": f"SELECT {RULE_COLUMNS} FROM rules WHERE lifted",
+    "association_rules_confidence": f"SELECT {RULE_COLUMNS} FROM rules WHERE confidence >= 0.1",
+    "business_rules": f"""
+        SELECT {RULE_COLUMNS}, buy_frequency, purchase_likelihood, strength_score FROM business""",
+    "rule_insights": f"""
+        SELECT CAST(rank AS INT) AS rank, 'Customers who buy: ' || antecedents AS headline,
+               'Also tend to buy: ' || consequents AS detail,
+               {PERCENT} || ' of customers who bought the first item also bought the second' AS likelihood,
+               {STRENGTH} AS strength
+        FROM business WHERE rank <= 5""",
+    "rule_recommendations": _recommendation_sql(),
+    "pairing_list": f"""
+        SELECT antecedents AS "Customers Buy This", consequents AS "They Also Buy This",
+               {PERCENT} AS "Likelihood (%)", {STRENGTH} AS "Strength"
+        FROM business""",
+}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {name: with_tables(query, BASKET) for name, query in PLAIN.items()}
