@@ -7,7 +7,7 @@ plan whose tasks stay small. Nothing is dropped: a key that is missed is only sl
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
@@ -147,20 +147,24 @@ def with_next_value(
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The row with the smallest ``order`` for each key; other columns break ties.
 
-    ``min_by`` merges on the map side, so a key with any number of copies sends one row per
-    task through the shuffle, where ``row_number`` would send and sort them all.
+    The minimum of a struct that carries the row merges on the map side, so a key with any
+    number of copies sends one row per task through the shuffle, where ``row_number`` would
+    send and sort them all.
     """
-    others = [c for c in df.columns if c not in keys]
+    others = [c for c in order if c not in keys]
+    others += [c for c in df.columns if c not in keys and c not in others]
     if not others:
         return df.distinct()
-    ties = [
-        field.name
-        for field in df.schema
-        if field.name in others and field.name not in order and not isinstance(field.dataType, MapType)
-    ]
-    rank = F.struct(*order, *ties)
-    return (
-        df.groupBy(*keys)
-        .agg(F.min_by(F.struct(*others), rank).alias("_row"))
-        .select(*[F.col(c) if c in keys else F.col(f"_row.{c}") for c in df.columns])
-    )
+    maps = {f.name for f in df.schema if isinstance(f.dataType, MapType)}
+
+    def packed(column: str) -> Column:
+        # A map has no order; its sorted entries do.
+        entries = F.array_sort(F.map_entries(column)).alias(column)
+        return entries if column in maps else F.col(column)
+
+    def unpacked(column: str) -> Column:
+        value = F.col(f"_row.{column}")
+        return F.map_from_entries(value).alias(column) if column in maps else value
+
+    first = df.groupBy(*keys).agg(F.min(F.struct(*[packed(c) for c in others])).alias("_row"))
+    return first.select(*[F.col(c) if c in keys else unpacked(c) for c in df.columns])

@@ -10,48 +10,49 @@ from martlet.operators.skew import first_per_key
 from martlet.schemas import WEB_EVENT, WEB_EVENT_KEY, WEB_EVENT_KNOWN_FIELDS
 
 
-def _keys() -> Column:
-    """Keys of a line that is one JSON object; null for anything else."""
+def _fields() -> Column:
+    """Fields of a line that is one JSON object, as text by name; null for anything else."""
     text = F.trim("value")
-    return F.when(text.endswith("}"), F.json_object_keys(text))
+    return F.when(text.endswith("}"), F.from_json(text, "map<string,string>"))
 
 
-def _unknown_keys(known: list[str]) -> Column:
-    return F.array_except(_keys(), F.array(*[F.lit(k) for k in known]))
+def _unknown(names: Column, known: list[str]) -> Column:
+    return F.array_except(names, F.array(*[F.lit(k) for k in known]))
 
 
 def parse_events(lines: DataFrame, known: list[str] = WEB_EVENT_KNOWN_FIELDS) -> DataFrame:
     """Lines (``value`` and any bookkeeping columns) → events.
 
-    Every known field becomes a column, null where a line lacks it; any other key is kept as
-    text in the map ``extra``, which is only parsed for lines that have such keys. ``{}`` and
-    lines that are not JSON objects give no event.
+    Every known field becomes a column, null where a line lacks it or its value does not fit;
+    all other fields are kept as text in the map ``extra``. ``{}`` and lines that are not JSON
+    objects give no event. A line is parsed once: the generator drops what is no event, where
+    a filter would be pushed below the parse and repeat it.
     """
     others = [c for c in lines.columns if c != "value"]
-    event = F.from_json("value", WEB_EVENT)
-    rest = F.map_filter(
-        F.from_json("value", "map<string,string>"),
-        lambda k, v: ~k.isin(known),
-    )
-    return (
-        lines.where(F.size(_keys()) > 0)
-        .select(
-            *others,
-            event.alias("_event"),
-            F.when(F.size(_unknown_keys(known)) > 0, rest).alias("extra"),
-        )
-        .select(*others, "_event.*", "extra")
-    )
+    fields, names = F.col("_fields"), F.map_keys("_fields")
+    typed = [
+        F.try_element_at(fields, F.lit(f.name)).try_cast(f.dataType).alias(f.name)
+        for f in WEB_EVENT
+    ]
+    rest = F.map_filter(fields, lambda k, v: ~k.isin(known))
+    extra = F.when(F.size(_unknown(names, known)) > 0, rest).alias("extra")
+    event = F.when(F.size(fields) > 0, F.array(F.struct(*typed, extra)))
+    return lines.select(*others, _fields().alias("_fields")).select(*others, F.inline(event))
+
+
+# JSON texts that say nothing; like ``{}`` they give neither event nor fault.
+_NOTHING = ["null", "false", "0", "0.0", '""', "[]"]
 
 
 def bad_lines(lines: DataFrame) -> DataFrame:
     """Lines that are not a JSON object, the empty line included."""
-    return lines.where(_keys().isNull())
+    return lines.where(_fields().isNull() & ~F.trim("value").isin(_NOTHING))
 
 
 def new_fields(lines: DataFrame, known: list[str] = WEB_EVENT_KNOWN_FIELDS) -> DataFrame:
-    """Names of the fields nobody declared; known keys are removed before anything is grouped."""
-    return lines.select(F.explode(_unknown_keys(known)).alias("field")).distinct()
+    """Names of the fields nobody declared; known names are removed before anything is grouped."""
+    names = F.map_keys(_fields())
+    return lines.select(F.explode(_unknown(names, known)).alias("field")).distinct()
 
 
 def drop_null_customers(events: DataFrame) -> DataFrame:
