@@ -27,7 +27,9 @@ def mask_name(name: Column) -> Column:
 
 def padded_id(prefix: str, number: Column, width: int) -> Column:
     """Zero-padded id that never cuts a number longer than ``width``, as ``lpad`` would."""
-    return F.concat(F.lit(prefix), F.format_string(f"%0{width}d", number.cast("bigint")))
+    whole = number.cast("bigint")
+    padded = F.concat(F.lit(prefix), F.format_string(f"%0{width}d", whole))
+    return F.when(whole.isNotNull(), padded)
 
 
 def title_text(text: Column) -> Column:
