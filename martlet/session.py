@@ -26,24 +26,23 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor reaches, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local master may fall back on a temporary folder: on a cluster the other
-    machines would not see it.
+    Where it is unset, one that was set on the context is used. Only a local master may fall
+    back on a temporary folder: on a cluster the other machines would not see it.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="martlet-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="martlet-"))
+    return context.getCheckpointDir()
 
 
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and go on from the files."""
-    spark = df.sparkSession
-    folder = shared_folder(spark)
-    context = spark.sparkContext
+    folder = shared_folder(df.sparkSession)
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)

@@ -75,7 +75,9 @@ def read_raw_retail(spark: SparkSession, path: str | list[str]) -> tuple[DataFra
         F.col("Country").alias("country"),
         *_ARRIVAL,
     )
-    damaged = lines.where(F.col(_CORRUPT).isNotNull())
+    # Spark only sees damage in columns it parses, so the filter reads them all.
+    every_column = F.concat_ws(",", *[F.col(f.name).cast("string") for f in schemas.RAW_RETAIL])
+    damaged = lines.where(F.col(_CORRUPT).isNotNull() & (F.length(every_column) >= 0))
     return rows, damaged
 
 

@@ -28,7 +28,12 @@ def dedup_stream(events: DataFrame, delay: str = "10 minutes") -> DataFrame:
     For streams that only feed live views. Which copy stays is not fixed, and events later
     than ``delay`` are not kept; the hub is fed by ``stream_web_events``, which keeps them.
     """
-    return events.withWatermark("timestamp", delay).dropDuplicates(WEB_EVENT_KEY)
+    timed = events.withColumn("_event_time", F.col("timestamp").cast("timestamp"))
+    return (
+        timed.withWatermark("_event_time", delay)
+        .dropDuplicates([*WEB_EVENT_KEY, "_event_time"])
+        .drop("_event_time")
+    )
 
 
 def read_stream_events(spark: SparkSession, out_dir: str) -> DataFrame:

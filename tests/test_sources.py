@@ -1,0 +1,313 @@
+"""Files in, files out: readers, sinks, the hub, views and the whole batch run."""
+
+from __future__ import annotations
+
+import json
+from datetime import date, datetime
+from decimal import Decimal
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from martlet import schemas, session
+from martlet.operators import privacy
+from martlet.plans.etl import run_etl
+from martlet.sources import hub, sinks, tables
+from martlet.sources.web import read_web_events, read_web_lines
+
+
+def write(path: Path, *lines: str) -> str:
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text("\n".join(lines) + "\n")
+    return str(path)
+
+
+@pytest.fixture
+def raw_dir(tmp_path):
+    root = tmp_path / "raw"
+    write(root / "dim_stores.csv", "store_id,store_name,city", "ST_001,Hub,Pune", "ST_002,Hub,Goa")
+    write(
+        root / "dim_products.csv",
+        "product_id,description,base_price,category,supplier_id",
+        "85123A,LAMP,2.55,Home,SUP_1",
+        "71053,CUP,3.39,Home,SUP_2",
+    )
+    write(
+        root / "dim_customers.csv",
+        "customer_id,name,email,city,update_timestamp",
+        "1,Asha Rao,asha@x.com,Pune,2024-01-01T00:00:00.5",
+        "1,Asha Rao,asha@x.com,Goa,2024-06-01T00:00:00",
+        "2,Ravi,ab@x.com,Agra,2024-01-01T00:00:00",
+    )
+    write(
+        root / "fact_sales.csv",
+        "transaction_id,customer_id,product_id,quantity,unit_price,store_id,transaction_date",
+        "536365,1,85123A,6,2.55,ST_001,2024-01-05T10:00:00",
+        "536365,1,71053,1,3.39,ST_001,2024-01-05T10:00:00",
+        "C536379,1,71053,-1,3.39,ST_001,2024-01-06T10:00:00",
+        "536366,2,71053,2,0,ST_002,2024-02-05T10:00:00",
+        "536367,2,71053,many,3.39,ST_002,2024-02-05T10:00:00",
+        "536368,2,85123A,2,2.55,ST_002,12/1/10 8:26",
+        "536369,9,85123A,2,2.55,ST_002,tomorrow",
+    )
+    write(
+        root / "fact_inventory.csv",
+        "store_id,product_id,stock_on_hand,last_restock_date",
+        "ST_001,85123A,-5,2024-01-01T00:00:00",
+        "ST_002,85123A,7,2024-01-02",
+    )
+    write(
+        root / "fact_shipments.csv",
+        "shipment_id,transaction_id,status,delivery_time_days,shipment_date",
+        "SHP_0000001,536365,Delivered,3,2024-01-08T00:00:00",
+    )
+
+    def event(**fields):
+        base = {"session_id": "s1", "customer_id": 1, "event_type": "search", "timestamp": "2024-01-01T10:00:00"}
+        return json.dumps({**base, **fields})
+
+    write(root / "stream" / "web_events_1.json", event(), event(referrer="copy"), "bad{", "", "{}")
+    write(
+        root / "stream" / "web_events_2.json",
+        event(customer_id=None),
+        event(event_type="page_view", product_id="71053", timestamp="2024-01-02T00:00:00.25"),
+        event(event_type="checkout_start", timestamp="?"),
+        event(event_type="add_to_cart", quantity=2, campaign="spring"),
+        event(referrer="late copy"),
+    )
+    return str(root)
+
+
+@pytest.fixture
+def built(spark, raw_dir, tmp_path):
+    home = str(tmp_path / "hub")
+    report = run_etl(spark, raw_dir, home, str(tmp_path / "logs"), "2024-09-01 12:00:00")
+    return home, str(tmp_path / "logs"), report
+
+
+def test_etl_tables(spark, built, rows):
+    home, _, _ = built
+    t = hub.hub_tables(spark, home)
+    assert rows(t["fact_sales"], "transaction_id", "year", "month") == [
+        ("536365", 2024, 1),
+        ("536365", 2024, 1),
+        ("536368", 2010, 12),
+    ]
+    assert rows(t["dim_customers"], "customer_id", "city", "is_current") == [
+        (1, "Goa", True),
+        (1, "Pune", False),
+        (2, "Agra", True),
+    ]
+    assert rows(t["fact_inventory"]) == [
+        ("ST_001", "85123A", 0, date(2024, 1, 1)),
+        ("ST_002", "85123A", 7, date(2024, 1, 2)),
+    ]
+    assert rows(t["fact_shipments"], "shipment_date") == [(date(2024, 1, 8),)]
+    events = rows(t["fact_web_events"], "event_type", "referrer", "event_date", "extra")
+    assert events == [
+        ("add_to_cart", None, date(2024, 1, 1), {"campaign": "spring"}),
+        ("page_view", None, date(2024, 1, 2), None),
+        ("search", None, date(2024, 1, 1), None),
+    ]
+    for name, schema in schemas.HUB_TABLES.items():
+        assert sorted(t[name].dtypes) == sorted((f.name, f.dataType.simpleString()) for f in schema)
+
+
+def test_etl_layout_and_quarantine(spark, built, rows):
+    home, _, _ = built
+    folders = {p.name for p in Path(home, "fact_sales").iterdir() if p.is_dir()}
+    assert folders == {"year=2024", "year=2010"}
+    assert rows(spark.read.parquet(f"{home}/quarantine_sales"), "transaction_id") == [("536369",)]
+    assert rows(spark.read.parquet(f"{home}/quarantine_web_lines"), "value") == [("",), ("bad{",)]
+    assert rows(spark.read.parquet(f"{home}/quarantine_web_events"), "event_type") == [("checkout_start",)]
+
+
+def test_etl_report(spark, built):
+    _, logs, report = built
+    counts = {(r.source, r.check): r.affected for r in report.collect()}
+    assert counts["dim_customers", "duplicate customer_id"] == 1
+    assert counts["fact_sales", "all rules"] == 3
+    assert counts["fact_inventory", "stock_on_hand < 0"] == 1
+    assert counts["fact_web_events", "customer_id is null"] == 1
+    assert counts["fact_web_events", "duplicate event"] == 2
+    assert counts["fact_web_events", "invalid timestamp"] == 1
+    assert counts["fact_web_events", "JSON parse error"] == 2
+    assert ("fact_web_events", "unexpected field campaign") in counts
+    lines = [r.value for r in spark.read.text(f"{logs}/quality_report_text").collect()]
+    assert "[2024-09-01 12:00:00] fact_sales: all rules -> drop row (3 rows)" in lines
+
+
+def test_etl_again_replaces(spark, built, raw_dir, tmp_path, rows):
+    home, logs, _ = built
+    before = rows(spark.read.parquet(f"{home}/fact_sales"))
+    run_etl(spark, raw_dir, home, logs, "2024-09-02 12:00:00")
+    assert rows(spark.read.parquet(f"{home}/fact_sales")) == before
+    stamps = spark.read.parquet(f"{logs}/quality_report").select("run_ts").distinct().collect()
+    assert [r.run_ts for r in stamps] == [datetime(2024, 9, 2, 12)]
+
+
+def test_no_web_logs(spark, raw_dir, tmp_path):
+    events, bad = read_web_events(spark, f"{tmp_path}/none/*.json")
+    assert (events.count(), bad.count()) == (0, 0)
+    assert "extra" in events.columns
+
+
+def test_arrival_orders_lines_of_a_file(spark, raw_dir):
+    lines = read_web_lines(spark, f"{raw_dir}/stream/*.json").orderBy("_file", "_block", "_position")
+    values = [r.value for r in lines.collect()]
+    assert values[2:5] == ["bad{", "", "{}"] and len(values) == 10
+
+
+def test_load_star_reports_orphans(spark, raw_dir):
+    loaded, report = tables.load_star(spark, raw_dir)
+    assert list(loaded)[:3] == ["dim_customers", "dim_products", "dim_stores"]
+    assert {r.check_type: r["count"] for r in report.collect()} == {
+        "Orphaned Customers": 1,
+        "Orphaned Products": 0,
+        "Orphaned Stores": 0,
+    }
+
+
+def test_raw_retail_survives_bad_lines(spark, tmp_path, rows):
+    path = write(
+        tmp_path / "retail.csv",
+        "InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country",
+        "536365,85123A,LAMP,6,12/1/10 8:26,2.55,17850,United Kingdom",
+        "536366,71053,CUP,six,12/1/10 8:28,3.39,17850,United Kingdom",
+        "536367,71053,CUP",
+        "536368,71053,CUP,1,12/1/10 8:34,1.00,13047,France,extra,columns",
+        "C536379,D,Discount,-1,12/1/10 9:41,27.50,,United Kingdom",
+    )
+    lines, damaged = tables.read_raw_retail(spark, path)
+    got = rows(lines, "invoice_no", "quantity", "country", "invoice_date")
+    assert got == [
+        ("536365", 6, "United Kingdom", datetime(2010, 12, 1, 8, 26)),
+        ("536366", None, "United Kingdom", datetime(2010, 12, 1, 8, 28)),
+        ("536367", None, None, None),
+        ("536368", 1, "France", datetime(2010, 12, 1, 8, 34)),
+        ("C536379", -1, "United Kingdom", datetime(2010, 12, 1, 9, 41)),
+    ]
+    assert rows(damaged, "InvoiceNo") == [("536366",), ("536367",), ("536368",)]
+
+
+def test_ticks_skip_the_header(spark, tmp_path, rows):
+    path = write(tmp_path / "t.csv", "timestamp,sales,inventory_level,store_id", "01:13:37,689,34,ST_004")
+    assert rows(tables.read_ticks(spark, path)) == [(datetime(1970, 1, 1, 1, 13, 37), 689, 34, "ST_004")]
+    sinks.append_ticks(spark.read.schema(schemas.RAW_TICKS).csv(path), str(tmp_path / "out"))
+    sinks.append_ticks(spark.read.schema(schemas.RAW_TICKS).csv(path), str(tmp_path / "out"))
+    assert tables.read_ticks(spark, str(tmp_path / "out")).count() == 2
+
+
+def test_missing_tables_are_empty_with_columns(spark, tmp_path):
+    views = hub.register_hub(spark, str(tmp_path / "nowhere"))
+    assert set(views) == set(schemas.HUB_TABLES)
+    assert spark.sql("SELECT sum(quantity * unit_price) FROM fact_sales").first()[0] is None
+    names = {r.tableName for r in hub.list_tables(spark).collect()}
+    assert set(schemas.HUB_TABLES) <= names
+
+
+def test_raw_views(spark, built):
+    home, _, _ = built
+    hub.register_raw_views(spark, home)
+    assert spark.table("raw_sales").count() == 3
+    assert spark.table("raw_customers").count() == 3
+
+
+def test_roles_see_their_views(spark, built):
+    home, _, _ = built
+    analyst = hub.views_for(spark, "analyst", home)
+    names = {r.tableName for r in analyst.sql("SHOW TABLES").collect()}
+    assert names == {"secure_customers", "analytics_sales_performance", "analytics_web_engagement"}
+    emails = {r.email for r in analyst.table("secure_customers").collect()}
+    assert emails == {"ash****@x.com", "ab@x.com"}
+    admin = hub.views_for(spark, "admin", home)
+    assert len(admin.sql("SHOW TABLES").collect()) == 9
+    with pytest.raises(ValueError):
+        hub.views_for(spark, "guest", home)
+
+
+def test_secure_customers_columns(spark, built):
+    customers = hub.hub_tables(spark, built[0])["dim_customers"]
+    secure = privacy.secure_customers(customers)
+    assert secure.columns == [
+        "customer_id",
+        "name",
+        "city",
+        "update_timestamp",
+        "is_current",
+        "email",
+        "privacy_status",
+    ]
+    raw = {r.email for r in customers.collect() if len(r.email.split("@")[0]) >= 4}
+    assert not raw & {r.email for r in secure.collect()}
+    extended = privacy.secure_customers_extended(customers)
+    assert {r.name for r in extended.collect()} == {"A***a Rao", "R***i"}
+
+
+def test_json_and_csv_sinks(spark, frame, tmp_path, rows):
+    df = frame("a INT, b STRING", (1, "x"), (2, None))
+    sinks.write_table(df, str(tmp_path / "j"), "json")
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "j")).collect()) == ['{"a":1,"b":"x"}', '{"a":2}']
+    sinks.write_table(df, str(tmp_path / "c"), "csv")
+    assert rows(tables.read_table(spark, str(tmp_path / "c"), df.schema)) == [(1, "x"), (2, None)]
+
+
+def test_partitioned_sink_replaces_only_its_partitions(spark, frame, tmp_path, rows):
+    path = str(tmp_path / "p")
+    sinks.write_partitioned(frame("k INT, v INT", (1, 1), (2, 2)), path, ["k"])
+    sinks.write_partitioned(frame("k INT, v INT", (2, 9)), path, ["k"])
+    assert rows(spark.read.parquet(path), "k", "v") == [(1, 1), (2, 9)]
+
+
+def test_large_partition_is_written_by_many_tasks(spark, tmp_path):
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(name, "64KB")
+    try:
+        df = spark.range(0, 200_000, 1, 8).select(F.lit(1).alias("k"), "id", F.md5(F.col("id").cast("string").cast("binary")))
+        sinks.write_partitioned(df, str(tmp_path / "big"), ["k"])
+    finally:
+        spark.conf.unset(name)
+    assert len(list((tmp_path / "big" / "k=1").glob("*.parquet"))) > 4
+
+
+def test_audit(spark, tmp_path, rows):
+    path = str(tmp_path / "audit")
+    for user in ("a", "b"):
+        sinks.append_audit(spark, path, "2024-01-01 00:00:00", user, "SELECT 1", "secure_customers")
+    assert rows(spark.read.parquet(path), "user_id", "view_accessed") == [
+        ("a", "secure_customers"),
+        ("b", "secure_customers"),
+    ]
+
+
+class FakeSession:
+    """Stands in for sessions whose settings cannot be changed while Spark runs."""
+
+    def __init__(self, master, configured=None, on_context=None):
+        self.conf = {"spark.checkpoint.dir": configured}
+        self.sparkContext = self
+        self.master = master
+        self._folder = on_context
+
+    def getCheckpointDir(self):
+        return self._folder
+
+    def setCheckpointDir(self, folder):
+        self._folder = f"{folder}/id"
+
+
+def test_shared_folder_comes_from_the_session():
+    cluster = "spark://host:7077"
+    assert session.shared_folder(FakeSession(cluster, "/shared")) == "/shared"
+    assert session.shared_folder(FakeSession(cluster, None, "/on/context")) == "/on/context"
+    with pytest.raises(ValueError):
+        session.shared_folder(FakeSession(cluster))
+    assert "martlet-" in session.shared_folder(FakeSession("local[2]"))
+
+
+def test_sums_stay_exact(spark, frame):
+    df = frame("quantity INT, unit_price DECIMAL(10,2)", *[(1, Decimal("0.10"))] * 30)
+    from martlet.operators.sales import revenue
+
+    assert df.agg(F.sum(revenue())).first()[0] == Decimal("3.00")
