@@ -33,36 +33,38 @@ class Tables:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def _lines(self) -> DataFrame:
+        """Order lines with their order and part; prices and dates are made on the small sides."""
+        unpriced = F.col("p_partkey") % 50 == 0
+        price = F.when(unpriced, F.lit(0.0)).otherwise(F.col("p_retailprice"))
+        hour = F.make_dt_interval(hours=(F.col("o_orderkey") % 24).cast("int"))
+        parts = self.given("part").select(
+            "p_partkey", "p_name", price.cast("decimal(10,2)").alias("unit_price")
+        )
+        orders = self.given("orders").select(
+            "o_orderkey",
+            F.col("o_custkey").alias("customer_id"),
+            F.col("o_orderdate").cast("timestamp_ntz").alias("invoice_date"),
+            (F.col("o_orderdate").cast("timestamp_ntz") + hour).alias("transaction_date"),
+        )
+        returned = F.col("l_returnflag") == "R"
+        quantity = F.when(returned, -F.col("l_quantity")).otherwise(F.col("l_quantity"))
         return (
             self.given("lineitem")
-            .join(self.given("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(self.given("part"), F.col("l_partkey") == F.col("p_partkey"))
+            .withColumn("quantity", quantity.cast("int"))
+            .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+            .join(parts, F.col("l_partkey") == F.col("p_partkey"))
         )
 
-    @staticmethod
-    def _quantity() -> Column:
-        returned = F.col("l_returnflag") == "R"
-        return F.when(returned, -F.col("l_quantity")).otherwise(F.col("l_quantity")).cast("int")
-
-    @staticmethod
-    def _price() -> Column:
-        unpriced = F.col("l_partkey") % 50 == 0
-        price = F.when(unpriced, F.lit(0.0)).otherwise(F.col("p_retailprice"))
-        return price.cast("decimal(10,2)")
-
     @property
     def raw_sales(self) -> DataFrame:
-        hour = (F.col("o_orderkey") % 24).cast("int")
         return self._lines().select(
             F.col("l_orderkey").alias("transaction_id"),
-            F.col("o_custkey").alias("customer_id"),
+            "customer_id",
             F.col("l_partkey").alias("product_id"),
-            self._quantity().alias("quantity"),
-            self._price().alias("unit_price"),
+            "quantity",
+            "unit_price",
             F.col("l_suppkey").alias("store_id"),
-            (
-                F.col("o_orderdate").cast("timestamp_ntz") + F.make_dt_interval(hours=hour)
-            ).alias("transaction_date"),
+            "transaction_date",
         )
 
     @property
@@ -271,22 +273,20 @@ class Tables:
         returned = F.col("l_returnflag") == "R"
         located = (
             self._lines()
-            .join(self.given("customer"), F.col("o_custkey") == F.col("c_custkey"))
+            .join(self.given("customer"), F.col("customer_id") == F.col("c_custkey"))
             .join(self.given("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         )
+        shouted = F.concat(F.lit("  "), F.upper("p_name"), F.lit(" "))
         return located.select(
             F.concat(
                 F.when(returned, "C").otherwise(""), F.col("l_orderkey").cast("string")
             ).alias("invoice_no"),
             F.col("l_partkey").cast("string").alias("stock_code"),
-            F.when(
-                F.col("l_partkey") % 40 != 0,
-                F.concat(F.lit("  "), F.upper("p_name"), F.lit(" ")),
-            ).alias("description"),
-            self._quantity().alias("quantity"),
-            F.col("o_orderdate").cast("timestamp_ntz").alias("invoice_date"),
-            self._price().alias("unit_price"),
-            F.when(F.col("o_orderkey") % 4 != 0, F.col("o_custkey")).alias("customer_id"),
+            F.when(F.col("l_partkey") % 40 != 0, shouted).alias("description"),
+            "quantity",
+            "invoice_date",
+            "unit_price",
+            F.when(F.col("o_orderkey") % 4 != 0, F.col("customer_id")).alias("customer_id"),
             F.col("n_name").alias("country"),
             F.col("l_linenumber").alias("line_no"),
         )
