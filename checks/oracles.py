@@ -488,6 +488,9 @@ PLAIN: dict[str, str] = {
     "secure_customers_extended": rf"""
         SELECT customer_id, regexp_replace(name, '(\w)\w+(\w)', '\1***\2') AS name, city, {MASK} AS email
         FROM customers""",
+    "secure_preview": f"""
+        SELECT customer_id, name, {MASK} AS email FROM customers
+        ORDER BY customer_id, name, email LIMIT 3""",
     "role_views": _counts(GOLD_VIEW_SOURCES, ", 'analyst' AS role")
     + "\nUNION ALL\n"
     + _counts({**RAW_VIEW_SOURCES, **GOLD_VIEW_SOURCES}, ", 'admin' AS role"),

@@ -103,7 +103,8 @@ def _full_web(t: Tables) -> DataFrame:
 
 
 def _names(t: Tables) -> DataFrame:
-    return t.first_customers.select("customer_id", F.replace("name", F.lit("#"), F.lit(" ")).alias("name"), F.col("city").alias("country"))
+    name = F.replace("name", F.lit("#"), F.lit(" ")).alias("name")
+    return t.first_customers.select("customer_id", name, F.col("city").alias("country"))
 
 
 Query = Callable[[Tables], DataFrame]
@@ -255,6 +256,7 @@ QUERIES: dict[str, Query] = {
     "secure_customers": lambda t: privacy.secure_customers(t.customers),
     "secure_customers_strict": lambda t: privacy.secure_customers(t.customers, strict=True),
     "secure_customers_extended": lambda t: privacy.secure_customers_extended(t.customers),
+    "secure_preview": lambda t: privacy.preview(privacy.secure_customers(t.customers)),
     "role_views": _role_views,
     # Live ticks
     "live_latest": lambda t: live_latest(t.ticks),

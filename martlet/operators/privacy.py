@@ -35,6 +35,11 @@ def secure_customers_extended(customers: DataFrame) -> DataFrame:
     )
 
 
+def preview(view: DataFrame, n: int = 3) -> DataFrame:
+    """A look at who is in a customer view, as the role that reads it sees them."""
+    return view.select("customer_id", "name", "email").orderBy("customer_id", "name", "email").limit(n)
+
+
 def visible_views(role: str, views: dict[str, DataFrame]) -> dict[str, DataFrame]:
     if role not in ROLE_PREFIXES:
         raise ValueError(f"unknown role: {role}")

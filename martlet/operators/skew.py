@@ -18,7 +18,7 @@ _SAMPLES_PER_HOT_KEY = 64
 _CHUNK = 10_000
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS, most: int = 1000) -> list:
+def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS, most: int = 10_000) -> list:
     """Values of ``key`` that hold about ``min_rows`` rows or more, largest first.
 
     Counts a thin sample, so the shuffle is tiny; the list that reaches the driver has at
@@ -49,7 +49,7 @@ def with_group_max(
     if not hot:
         return df.withColumn(name, top)
     rest, large = split_by_key(df, key, hot)
-    # One row per hot key, at most a thousand: small enough to send to every task.
+    # One row per hot key, at most ten thousand: small enough to send to every task.
     peaks = large.groupBy(F.col(key).alias("_key")).agg(F.max(value).alias(name))
     flagged = large.join(F.broadcast(peaks), F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
     return rest.withColumn(name, top).unionByName(flagged)

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from martlet.functions import parse_timestamp
 from martlet.operators import customers, quality, sales, web
+from martlet.schemas import HUB_TABLES
 from martlet.sources.sinks import write_partitioned, write_quality_log, write_table
-from martlet.sources.tables import arrival_columns, load_star
+from martlet.sources.tables import arrival_columns, load_star, table_or_empty
 from martlet.sources.web import read_web_lines
 
 
@@ -80,11 +81,40 @@ def run_etl(
         inventory=raw["fact_inventory"],
         events=events,
         bad_lines=web.bad_lines(lines),
-    ).unionByName(new_field_rows(lines))
+    )
+    report = report.unionByName(new_field_rows(lines)).unionByName(web_run_rows(lines, events, hub))
     write_quality_log(report, log_dir, run_ts)
     return spark.read.parquet(f"{log_dir}/quality_report")
 
 
+def web_run_rows(lines: DataFrame, events: DataFrame, hub: str) -> DataFrame:
+    """What became of the web logs: the events saved, or why there are none."""
+    seen = (
+        lines.select(F.lit(1).alias("_line"))
+        .unionByName(events.select(F.lit(1).alias("_event")), allowMissingColumns=True)
+        .agg(F.count("_line").alias("_lines"), F.count("_event").alias("_events"))
+    )
+    saved = table_or_empty(
+        lines.sparkSession, f"{hub}/fact_web_events", HUB_TABLES["fact_web_events"], "parquet"
+    ).agg(F.count(F.lit(1)).alias("affected"))
+
+    def row(counted: DataFrame, check, action) -> DataFrame:
+        return counted.select(
+            F.lit("fact_web_events").alias("source"),
+            check.alias("check"),
+            action.alias("action"),
+            "affected",
+        )
+
+    reason = F.when(F.col("_lines") == 0, "no web log files found").when(
+        F.col("_events") == 0, "no valid web events"
+    )
+    nothing = seen.where(reason.isNotNull()).withColumn("affected", F.lit(0).cast("bigint"))
+    return row(saved, F.lit("events in hub"), F.lit("save")).unionByName(
+        row(nothing, reason, F.lit("skip step"))
+    )
+
+
 def new_field_rows(lines: DataFrame) -> DataFrame:
     """One report row per undeclared field."""
     return web.new_fields(lines).select(

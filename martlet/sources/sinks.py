@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martlet.operators.sales import next_watermark, since
+from martlet.schemas import table
+from martlet.sources.tables import table_or_empty
+
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Replace a table. CSV gets a header; JSON lines leave out null fields."""
@@ -37,25 +41,59 @@ def append_ticks(df: DataFrame, path: str) -> None:
 def write_quality_log(report: DataFrame, path: str, run_ts: str) -> None:
     """Replace the log of the last run: a Parquet table and readable text lines."""
     stamped = report.withColumn("run_ts", F.lit(run_ts).cast("timestamp_ntz"))
+    folder = f"{path}/quality_report"
     stamped.select("run_ts", "source", "check", "action", "affected").write.mode(
         "overwrite"
-    ).parquet(f"{path}/quality_report")
-    quality_lines(report, run_ts).write.mode("overwrite").text(f"{path}/quality_report_text")
+    ).parquet(folder)
+    # The text comes from the table, so the checks run once; it has one line per check.
+    lines = quality_lines(report.sparkSession.read.parquet(folder), run_ts)
+    lines.coalesce(1).sortWithinPartitions("position").select("value").write.mode(
+        "overwrite"
+    ).text(f"{path}/quality_report_text")
 
 
 def quality_lines(report: DataFrame, run_ts: str) -> DataFrame:
-    """``[time] source: check -> action (n rows)``."""
-    return report.select(
+    """``[time] source: check -> action (n rows)`` between a first and a last line."""
+    stamp = F.lit(f"[{run_ts}] ")
+    checks = report.select(
+        F.lit(1).alias("position"),
         F.concat(
-            F.lit(f"[{run_ts}] "),
+            stamp,
             F.col("source"),
             F.lit(": "),
             F.col("check"),
             F.lit(" -> "),
             F.col("action"),
             F.format_string(" (%d rows)", "affected"),
-        ).alias("value")
+        ).alias("value"),
+    )
+    ends = F.array(
+        F.struct(F.lit(0).alias("position"), F.concat(stamp, F.lit("Run started.")).alias("value")),
+        F.struct(F.lit(2).alias("position"), F.concat(stamp, F.lit("Run completed.")).alias("value")),
     )
+    return checks.unionByName(report.sparkSession.range(1).select(F.inline(ends)))
+
+
+def read_watermark(spark: SparkSession, path: str):
+    """The largest value loaded so far; null before the first load."""
+    stored = table_or_empty(spark, path, table("watermark TIMESTAMP"), "parquet")
+    return stored.agg(F.max("watermark")).first()[0]
+
+
+def append_since(df: DataFrame, path: str, column: str, keys: list[str], watermark_path: str) -> None:
+    """Load what came after the last load: add it to the table, then move the watermark.
+
+    The new rows go to a folder named by the watermark they start from, so a load that broke
+    off is replaced by its repetition and not added twice.
+    """
+    spark = df.sparkSession
+    mark = read_watermark(spark, watermark_path)
+    new = df if mark is None else since(df, column, mark)
+    load = "first" if mark is None else mark.strftime("%Y%m%dT%H%M%S%f")
+    labelled = new.withColumn("load", F.lit(load))
+    write_partitioned(labelled, path, [*keys, "load"])
+    written = spark.read.schema(labelled.schema).parquet(path).where(F.col("load") == load)
+    next_watermark(written, column).coalesce(1).write.mode("append").parquet(watermark_path)
 
 
 def append_audit(

@@ -11,8 +11,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from martlet import schemas, session
-from martlet.operators import privacy
-from martlet.plans.etl import run_etl
+from martlet.operators import privacy, web
+from martlet.plans.etl import run_etl, web_run_rows
 from martlet.sources import hub, sinks, tables
 from martlet.sources.web import read_web_events, read_web_lines
 
@@ -138,6 +138,8 @@ def test_etl_report(spark, built):
     assert ("fact_web_events", "unexpected field campaign") in counts
     lines = [r.value for r in spark.read.text(f"{logs}/quality_report_text").collect()]
     assert "[2024-09-01 12:00:00] fact_sales: all rules -> drop row (3 rows)" in lines
+    assert lines[0].endswith("Run started.") and lines[-1].endswith("Run completed.")
+    assert counts["fact_web_events", "events in hub"] == 3
 
 
 def test_etl_log_is_of_the_last_run(spark, built):
@@ -151,6 +153,28 @@ def test_no_web_logs(spark, raw_dir, tmp_path):
     assert "extra" in events.columns
 
 
+def test_reasons_for_no_events(spark, tmp_path, rows):
+    lines = read_web_lines(spark, f"{tmp_path}/none/*.json")
+    report = web_run_rows(lines, web.parse_events(lines), str(tmp_path))
+    assert rows(report, "check", "affected") == [("events in hub", 0), ("no web log files found", 0)]
+    write(tmp_path / "a.json", "bad{", "{}")
+    lines = read_web_lines(spark, f"{tmp_path}/*.json")
+    report = web_run_rows(lines, web.parse_events(lines), str(tmp_path))
+    assert ("no valid web events",) in rows(report, "check")
+
+
+def test_incremental_load(spark, frame, tmp_path, rows):
+    schema = "id INT, at TIMESTAMP_NTZ, year INT"
+    path, mark = str(tmp_path / "t"), str(tmp_path / "mark")
+    first = [(1, datetime(2024, 1, 1), 2024), (2, datetime(2024, 1, 2), 2024)]
+    sinks.append_since(frame(schema, *first), path, "at", ["year"], mark)
+    later = [*first, (3, datetime(2024, 1, 3), 2024), (4, datetime(2025, 1, 1), 2025)]
+    for _ in range(2):
+        sinks.append_since(frame(schema, *later), path, "at", ["year"], mark)
+    assert rows(spark.read.parquet(path), "id") == [(1,), (2,), (3,), (4,)]
+    assert sinks.read_watermark(spark, mark) == datetime(2025, 1, 1)
+
+
 def test_arrival_orders_lines_of_a_file(spark, raw_dir):
     lines = read_web_lines(spark, f"{raw_dir}/stream/*.json").orderBy("_file", "_block", "_position")
     values = [r.value for r in lines.collect()]
