@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from checks.bindings import END, START
-from checks.registry import (
+from martlet.checks.bindings import END, START
+from martlet.checks.registry import (
     CITIES,
     DELTA,
     KEYWORDS,
@@ -13,7 +13,7 @@ from checks.registry import (
     SUPPLIERS,
     WATERMARK,
 )
-from checks.sql_bindings import with_tables
+from martlet.checks.sql_bindings import with_tables
 from martlet.operators.quality import STAR_RULES, Rule
 from martlet.plans.basket import RECOMMENDATIONS
 from martlet.schemas import SHIPMENT_STATES_DOCUMENTED

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from checks.bindings import ARRIVAL, END, START, Tables
+from martlet.checks.bindings import ARRIVAL, END, START, Tables
 from martlet.operators import customers as cust
 from martlet.operators import privacy, quality, retail, sales, web
 from martlet.plans import basket, metrics

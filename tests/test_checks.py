@@ -16,7 +16,7 @@ pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test data"
 @pytest.fixture(scope="module")
 def con():
     pytest.importorskip("duckdb")
-    from checks.compare import connect
+    from martlet.checks.compare import connect
 
     return connect(FOLDER)
 
@@ -27,7 +27,7 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", list(spark_entry.queries()))
 def test_query_equals_sql(spark, con, name):
-    from checks.compare import differences
+    from martlet.checks.compare import differences
 
     df = spark_entry.queries()[name](spark, FOLDER)
     assert differences(df, con, spark_entry.oracle_sql()[name]) == []
