@@ -16,43 +16,71 @@ def _fields() -> Column:
     return F.when(text.endswith("}"), F.from_json(text, "map<string,string>"))
 
 
-def _unknown(names: Column, known: list[str]) -> Column:
-    return F.array_except(names, F.array(*[F.lit(k) for k in known]))
+# JSON texts that say nothing; like ``{}`` they give neither event nor fault.
+_NOTHING = ["null", "false", "0", "0.0", '""', "[]"]
 
 
-def parse_events(lines: DataFrame, known: list[str] = WEB_EVENT_KNOWN_FIELDS) -> DataFrame:
-    """Lines (``value`` and any bookkeeping columns) → events.
+def split_lines(lines: DataFrame) -> DataFrame:
+    """Read each line (``value``) once: ``fields`` of an object, or ``bad`` text of what is none.
 
-    Every known field becomes a column, null where a line lacks it or its value does not fit;
-    all other fields are kept as text in the map ``extra``. ``{}`` and lines that are not JSON
-    objects give no event. A line is parsed once: the generator drops what is no event, where
-    a filter would be pushed below the parse and repeat it.
+    The functions below start from this form, so a run that needs events, bad lines and new
+    fields can write it once and read it as columns.
     """
     others = [c for c in lines.columns if c != "value"]
-    fields, names = F.col("_fields"), F.map_keys("_fields")
+    broken = F.col("fields").isNull() & ~F.trim("value").isin(_NOTHING)
+    return lines.select(*others, "value", _fields().alias("fields")).select(
+        *others, "fields", F.when(broken, F.col("value")).alias("bad")
+    )
+
+
+def events_of(split: DataFrame, known: list[str] = WEB_EVENT_KNOWN_FIELDS) -> DataFrame:
+    """Typed events of split lines.
+
+    Every known field becomes a column, null where a line lacks it or its value does not fit;
+    all other fields are kept as text in the map ``extra``. The generator drops what is no
+    event: a filter would be pushed below the parse and repeat it.
+    """
+    others = [c for c in split.columns if c not in ("fields", "bad")]
+    fields = F.col("fields")
     typed = [
         F.try_element_at(fields, F.lit(f.name)).try_cast(f.dataType).alias(f.name)
         for f in WEB_EVENT
     ]
     rest = F.map_filter(fields, lambda k, v: ~k.isin(known))
-    extra = F.when(F.size(_unknown(names, known)) > 0, rest).alias("extra")
+    extra = F.when(F.size(_unknown(known)) > 0, rest).alias("extra")
     event = F.when(F.size(fields) > 0, F.array(F.struct(*typed, extra)))
-    return lines.select(*others, _fields().alias("_fields")).select(*others, F.inline(event))
+    return split.select(*others, F.inline(event))
 
 
-# JSON texts that say nothing; like ``{}`` they give neither event nor fault.
-_NOTHING = ["null", "false", "0", "0.0", '""', "[]"]
+def bad_of(split: DataFrame) -> DataFrame:
+    return split.where(F.col("bad").isNotNull()).drop("fields").withColumnRenamed("bad", "value")
+
+
+def new_fields_of(split: DataFrame, known: list[str] = WEB_EVENT_KNOWN_FIELDS) -> DataFrame:
+    return split.select(F.explode(_unknown(known)).alias("field")).distinct()
+
+
+def _unknown(known: list[str]) -> Column:
+    """Undeclared field names; known ones are removed before anything is grouped."""
+    return F.array_except(F.map_keys("fields"), F.array(*[F.lit(k) for k in known]))
+
+
+def parse_events(lines: DataFrame, known: list[str] = WEB_EVENT_KNOWN_FIELDS) -> DataFrame:
+    """Lines (``value`` and any bookkeeping columns) → events; see ``events_of``.
+
+    ``{}`` and lines that are not JSON objects give no event.
+    """
+    return events_of(split_lines(lines), known)
 
 
 def bad_lines(lines: DataFrame) -> DataFrame:
     """Lines that are not a JSON object, the empty line included."""
-    return lines.where(_fields().isNull() & ~F.trim("value").isin(_NOTHING))
+    return bad_of(split_lines(lines))
 
 
 def new_fields(lines: DataFrame, known: list[str] = WEB_EVENT_KNOWN_FIELDS) -> DataFrame:
-    """Names of the fields nobody declared; known names are removed before anything is grouped."""
-    names = F.map_keys(_fields())
-    return lines.select(F.explode(_unknown(names, known)).alias("field")).distinct()
+    """Names of the fields nobody declared."""
+    return new_fields_of(split_lines(lines), known)
 
 
 def drop_null_customers(events: DataFrame) -> DataFrame:

@@ -8,19 +8,21 @@ from pyspark.sql import functions as F
 from martlet.functions import parse_timestamp
 from martlet.operators import customers, quality, sales, web
 from martlet.schemas import HUB_TABLES
+from martlet.session import materialise
 from martlet.sources.sinks import write_partitioned, write_quality_log, write_table
 from martlet.sources.tables import arrival_columns, load_star, table_or_empty
 from martlet.sources.web import read_web_lines
 
+_READ_AGAIN = ["dim_customers", "fact_sales", "fact_inventory"]
 
-def process_dimensions(raw: dict[str, DataFrame], hub: str) -> DataFrame:
+
+def process_dimensions(raw: dict[str, DataFrame], hub: str) -> None:
     """Stores and products as they are; customers with their history flags."""
     write_table(raw["dim_stores"], f"{hub}/dim_stores")
     write_table(raw["dim_products"], f"{hub}/dim_products")
     flagged = customers.scd2_flag(customers.parse_updates(raw["dim_customers"]))
     ordered = flagged.orderBy("customer_id", F.desc("update_timestamp"))
     write_table(ordered, f"{hub}/dim_customers")
-    return flagged
 
 
 def process_facts(raw: dict[str, DataFrame], hub: str) -> None:
@@ -51,38 +53,44 @@ def process_facts(raw: dict[str, DataFrame], hub: str) -> None:
     )
 
 
-def process_web_logs(lines: DataFrame, hub: str, dedup: str = "exact") -> DataFrame:
-    """Events by day; unreadable timestamps and bad lines go to quarantine. Returns raw events."""
-    events = web.parse_events(lines)
+def process_web_logs(split: DataFrame, hub: str, dedup: str = "exact") -> None:
+    """Events by day; unreadable timestamps and bad lines go to quarantine."""
+    events = web.events_of(split)
     cleaned = web.clean_web_events(events, arrival_columns(), dedup)
     write_partitioned(web.dated_events(cleaned), f"{hub}/fact_web_events", ["event_date"])
+    undated = web.undated_events(web.parse_event_time(web.drop_null_customers(events)))
     write_table(
-        web.undated_events(web.parse_event_time(web.drop_null_customers(events))).select(
-            "session_id", "customer_id", "event_type", "_file"
-        ),
+        undated.select("session_id", "customer_id", "event_type", "_file"),
         f"{hub}/quarantine_web_events",
     )
-    write_table(web.bad_lines(lines).select("value", "_file"), f"{hub}/quarantine_web_lines")
-    return events
+    write_table(web.bad_of(split).select("value", "_file"), f"{hub}/quarantine_web_lines")
 
 
 def run_etl(
     spark: SparkSession, raw_dir: str, hub: str, log_dir: str, run_ts: str
 ) -> DataFrame:
-    """The whole run; returns the quality report, which is also written to ``log_dir``."""
+    """The whole run; returns the quality report, which is also written to ``log_dir``.
+
+    Text files that several steps read are parsed once and go on as Parquet.
+    """
     raw, _ = load_star(spark, raw_dir)
-    flagged = process_dimensions(raw, hub)
+    raw |= {name: materialise(raw[name]) for name in _READ_AGAIN}
+    process_dimensions(raw, hub)
     process_facts(raw, hub)
-    lines = read_web_lines(spark, f"{raw_dir}/stream/*.json")
-    events = process_web_logs(lines, hub)
-    report = quality.quality_report(
-        customers=flagged,
-        sales=raw["fact_sales"],
-        inventory=raw["fact_inventory"],
-        events=events,
-        bad_lines=web.bad_lines(lines),
+    split = materialise(web.split_lines(read_web_lines(spark, f"{raw_dir}/stream/*.json")))
+    process_web_logs(split, hub)
+    events = web.events_of(split)
+    report = (
+        quality.quality_report(
+            customers=spark.read.parquet(f"{hub}/dim_customers"),
+            sales=raw["fact_sales"],
+            inventory=raw["fact_inventory"],
+            events=events,
+            bad_lines=web.bad_of(split),
+        )
+        .unionByName(new_field_rows(split))
+        .unionByName(web_run_rows(split, events, hub))
     )
-    report = report.unionByName(new_field_rows(lines)).unionByName(web_run_rows(lines, events, hub))
     write_quality_log(report, log_dir, run_ts)
     return spark.read.parquet(f"{log_dir}/quality_report")
 
@@ -115,9 +123,9 @@ def web_run_rows(lines: DataFrame, events: DataFrame, hub: str) -> DataFrame:
     )
 
 
-def new_field_rows(lines: DataFrame) -> DataFrame:
+def new_field_rows(split: DataFrame) -> DataFrame:
     """One report row per undeclared field."""
-    return web.new_fields(lines).select(
+    return web.new_fields_of(split).select(
         F.lit("fact_web_events").alias("source"),
         F.concat(F.lit("unexpected field "), F.col("field")).alias("check"),
         F.lit("keep in extra").alias("action"),

@@ -61,8 +61,9 @@ def _write_batch(lines: DataFrame, batch_id: int, out_dir: str, dedup: str) -> N
     and nothing else.
     """
     spark = lines.sparkSession
-    lines = lines.withColumn("_position", F.monotonically_increasing_id()).persist()
-    events = web.parse_events(lines).withColumn("timestamp_text", F.col("timestamp"))
+    placed = lines.withColumn("_position", F.monotonically_increasing_id())
+    split = web.split_lines(placed).persist()
+    events = web.events_of(split).withColumn("timestamp_text", F.col("timestamp"))
     cleaned = web.dated_events(web.clean_web_events(events, arrival_columns(), dedup))
 
     # Only the days of this batch are compared, so the scan of the hub skips all others.
@@ -80,17 +81,17 @@ def _write_batch(lines: DataFrame, batch_id: int, out_dir: str, dedup: str) -> N
         .parquet(f"{out_dir}/fact_web_events")
     )
     (
-        _batch_quality(lines, events, batch_id)
+        _batch_quality(split, events, batch_id)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("batch_id")
         .parquet(f"{out_dir}/quality_report")
     )
-    lines.unpersist()
+    split.unpersist()
 
 
-def _batch_quality(lines: DataFrame, events: DataFrame, batch_id: int) -> DataFrame:
-    bad = web.bad_lines(lines).agg(F.count(F.lit(1)).alias("affected"))
+def _batch_quality(split: DataFrame, events: DataFrame, batch_id: int) -> DataFrame:
+    bad = web.bad_of(split).agg(F.count(F.lit(1)).alias("affected"))
     lost = events.where(F.col("customer_id").isNull()).agg(F.count(F.lit(1)).alias("affected"))
 
     def row(counted: DataFrame, check: str, action: str) -> DataFrame:
