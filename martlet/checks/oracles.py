@@ -360,7 +360,9 @@ PLAIN: dict[str, str] = {
         FROM raw_web_events""",
     "fact_web_events": f"SELECT {EVENT_TEXT}, event_date FROM web_events",
     "incremental_sales": f"""
-        SELECT {SALE} FROM sales WHERE transaction_date > TIMESTAMP '{WATERMARK}'""",
+        SELECT {SALE}, CAST(year(transaction_date) AS INT) AS year,
+               CAST(month(transaction_date) AS INT) AS month
+        FROM sales WHERE transaction_date > TIMESTAMP '{WATERMARK}'""",
     "web_retention": f"""
         SELECT {EVENT}, event_date FROM web_events
         WHERE NOT event_date < CAST(DATE '{RETENTION_DAY}' - INTERVAL 90 DAYS AS DATE)""",

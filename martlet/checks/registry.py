@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +22,7 @@ KEYWORDS = [("ring", "Jewellery"), ("bolt", "Hardware"), ("gear", "Hardware"), (
 SUPPLIERS = {"Jewellery": "SUP001", "Hardware": "SUP002", "Toys": "SUP003", "Other": "SUP004"}
 CITIES = {"NATION_0": "Mumbai", "NATION_1": "Delhi", "NATION_2": "Ahmedabad", "NATION_3": "Pune"}
 RUN_TS = "2024-09-01 00:00:00"
-WATERMARK = "1998-01-01 00:00:00"
+WATERMARK = datetime(1998, 1, 1)
 RETENTION_DAY = date(2024, 4, 15)
 DELTA = (date(1998, 1, 1), date(1998, 12, 31))
 MIN_SUPPORT = 0.002
@@ -171,7 +171,7 @@ QUERIES: dict[str, Query] = {
     "web_event_date": _parsed_event_times,
     "fact_web_events": _full_web,
     "incremental_sales": lambda t: exact(
-        sales.since(t.sales, "transaction_date", F.lit(WATERMARK).cast("timestamp_ntz"))
+        sales.since(sales.with_partition_keys(t.sales), "transaction_date", WATERMARK)
     ),
     "web_retention": lambda t: sales.purge(t.web_events, "event_date", RETENTION_DAY),
     "forget_customers": lambda t: exact(

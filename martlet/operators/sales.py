@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,9 +67,12 @@ def in_period(
     return sales.where(inside)
 
 
-def since(df: DataFrame, column: str, watermark) -> DataFrame:
-    """Rows that came after the last load."""
-    return df.where(F.col(column) > F.lit(watermark))
+def since(df: DataFrame, column: str, watermark: datetime) -> DataFrame:
+    """Rows that came after the last load; on a table by year and month, of those folders only."""
+    new = F.col(column) > F.lit(watermark.isoformat()).cast("timestamp_ntz")
+    if column == "transaction_date" and {"year", "month"} <= set(df.columns):
+        new = new & (F.col("year") * 12 + F.col("month") >= watermark.year * 12 + watermark.month)
+    return df.where(new)
 
 
 def next_watermark(df: DataFrame, column: str) -> DataFrame:

@@ -184,10 +184,11 @@ def business_rules(table: DataFrame, top: int = 15) -> DataFrame:
     )
 
 
-def _ranked(business: DataFrame) -> DataFrame:
-    """Number the few rules ``business_rules`` returns."""
-    order = Window.orderBy(F.desc("lift"), "antecedents", "consequents")
-    return business.withColumn("rank", F.row_number().over(order))
+def _ranked(business: DataFrame, n: int) -> DataFrame:
+    """The ``n`` strongest rules, numbered; the limit comes first, so one task sees ``n`` rows."""
+    order = [F.desc("lift"), "antecedents", "consequents"]
+    strongest = business.orderBy(*order).limit(n)
+    return strongest.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
 
 
 def _strength(score: Column) -> Column:
@@ -196,7 +197,7 @@ def _strength(score: Column) -> Column:
 
 def rule_insights(business: DataFrame, top: int = 5) -> DataFrame:
     """Sentences for the strongest rules."""
-    return _ranked(business).where(F.col("rank") <= top).select(
+    return _ranked(business, top).select(
         "rank",
         F.concat(F.lit("Customers who buy: "), F.col("antecedents")).alias("headline"),
         F.concat(F.lit("Also tend to buy: "), F.col("consequents")).alias("detail"),
@@ -239,8 +240,7 @@ def recommendations(business: DataFrame) -> DataFrame:
         for position, rank, title, template in RECOMMENDATIONS
     ]
     return (
-        _ranked(business)
-        .where("rank <= 3")
+        _ranked(business, 3)
         .select("rank", F.inline(F.array(*texts)))
         .where("rank = _rank")
         .select("position", "title", "text")
@@ -250,7 +250,8 @@ def recommendations(business: DataFrame) -> DataFrame:
 
 def pairing_list(business: DataFrame) -> DataFrame:
     """Display form of the strongest rules."""
-    return _ranked(business).orderBy("rank").select(
+    strongest_first = business.orderBy(F.desc("lift"), "antecedents", "consequents")
+    return strongest_first.select(
         F.col("antecedents").alias("Customers Buy This"),
         F.col("consequents").alias("They Also Buy This"),
         percent(F.col("purchase_likelihood")).alias("Likelihood (%)"),

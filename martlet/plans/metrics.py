@@ -240,9 +240,9 @@ def customer_clv(
     )
 
 
-def clv_leaderboard(clv: DataFrame) -> DataFrame:
-    """Rank, medal and display text of the few rows ``customer_clv`` returns."""
-    order = Window.orderBy(F.col("clv_score").desc_nulls_last(), "name")
+def clv_leaderboard(clv: DataFrame, n: int = 8) -> DataFrame:
+    """Rank, medal and display text of the top ``n``; the limit comes before the numbering."""
+    order = [F.col("clv_score").desc_nulls_last(), "name"]
     place = F.col("rank")
     medal = (
         F.when(place == 1, "🥇")
@@ -250,7 +250,8 @@ def clv_leaderboard(clv: DataFrame) -> DataFrame:
         .when(place == 3, "🥉")
         .otherwise(F.concat(F.lit("#"), place.cast("string")))
     )
-    return clv.withColumn("rank", F.row_number().over(order)).select(
+    top = clv.orderBy(*order).limit(n)
+    return top.withColumn("rank", F.row_number().over(Window.orderBy(*order))).select(
         "rank",
         medal.alias("medal"),
         "name",

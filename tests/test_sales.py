@@ -72,3 +72,16 @@ def test_forget(frame, rows):
     df = frame("customer_id INT, v INT", (1, 1), (1, 2), (2, 3), (None, 4))
     ids = frame("customer_id INT", (1,), (1,), (None,))
     assert rows(sales.forget(df, ids)) == [(None, 4), (2, 3)]
+
+
+def test_incremental_load_skips_folders(spark, raw, tmp_path, rows):
+    from martlet.sources.sinks import write_partitioned
+
+    dated = sales.with_partition_keys(raw).where("year is not null")
+    write_partitioned(dated, str(tmp_path / "s"), ["year", "month"])
+    new = sales.since(
+        spark.read.parquet(str(tmp_path / "s")), "transaction_date", datetime(2024, 1, 31)
+    )
+    assert rows(new, "transaction_id") == [("g",)]
+    scan = new._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in scan
