@@ -6,8 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlet.llm import exact_dedup
-from martlet.llm.common import UPPER, table
+from martlet.llm import exact_dedup, langid
+from martlet.llm.common import UPPER, in_fold, table
+
+
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.identify_language(
+        table(spark, folder, "documents"), held_out=in_fold("doc_id", 4, 2)
+    )
 
 
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -15,6 +21,7 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_language_id": op4_language_id,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
