@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -30,6 +30,21 @@ def learnable(key: str, folds: int, fold: int) -> Column:
     return F.col(key).isNotNull() & ~in_fold(key, folds, fold)
 
 
-def sampling_order(*columns: str) -> Column:
-    """A fixed pseudo-random order for bounded samples: the same rows on every run."""
-    return F.xxhash64(F.lit(20_240), *[F.col(name) for name in columns])
+def bounded_sample(rows: DataFrame, label: str, key: str, most: int) -> DataFrame:
+    """At most ``most`` rows of each label, the same ones on every run over the same table.
+
+    Rows are drawn by a hash of the key at a rate that suits the label's count, so no task meets
+    more than about the rows that are wanted, whatever the table's size. The number of labels
+    is taken to be small: their counts reach the driver.
+    """
+    counts = rows.groupBy(label).count().collect()
+    turn = F.xxhash64(F.lit(20_240), F.col(key))
+    share = F.lit(1.0)
+    for value, count in counts:
+        own = F.lit(min(1.0, 1.25 * most / count))
+        share = F.when(F.col(label).eqNullSafe(F.lit(value)), own).otherwise(share)
+    drawn = rows.where(F.pmod(turn, F.lit(1 << 30)) < share * (1 << 30))
+    rest = [F.col(c) for c in rows.columns if c not in (label, key)]
+    order = Window.partitionBy(label).orderBy(turn, key, *rest)
+    place = drawn.withColumn("_place", F.row_number().over(order))
+    return place.where(F.col("_place") <= most).orderBy(label, "_place").drop("_place")

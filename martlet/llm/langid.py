@@ -22,10 +22,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martlet.llm.common import sampling_order
+from martlet.llm.common import bounded_sample
 
 UNKNOWN = "und"
 WINDOW = 256
@@ -228,8 +228,7 @@ def train_language_model(
 ) -> ByteCnn:
     """Fit on at most ``per_document`` windows of ``per_language`` labelled rows per language.
 
-    The rows are those that come first in a fixed pseudo-random order of (id, text), so the
-    sample, and the model, are the same on every run over the same table.
+    The sample, and so the model, is the same on every run over the same table.
     """
     length = F.char_length(text_col)
     starts = [
@@ -240,18 +239,12 @@ def train_language_model(
     rows = docs.where(F.col(lang_col).isNotNull() & (length > 0))
     if eligible is not None:
         rows = rows.where(eligible)
-    order = Window.partitionBy("label").orderBy("turn", "crops")
-    sample = (
-        rows.select(
-            F.col(lang_col).cast("string").alias("label"),
-            sampling_order(id_col).alias("turn"),
-            F.array_distinct(F.array(*crops)).alias("crops"),
-        )
-        .withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= per_language)
-        .orderBy("label", "place")
-        .collect()
+    labelled = rows.select(
+        F.col(lang_col).cast("string").alias("label"),
+        F.col(id_col).alias("key"),
+        F.array_distinct(F.array(*crops)).alias("crops"),
     )
+    sample = bounded_sample(labelled, "label", "key", per_language).collect()
     pairs = [(crop, row["label"]) for row in sample for crop in row["crops"]]
     return fit_network([crop for crop, _ in pairs], [label for _, label in pairs])
 

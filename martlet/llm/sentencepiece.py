@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 SPACE = "▁"
 _CACHED_LENGTH = 64
-_CACHED_UNITS = 1 << 19
+_CACHED_UNITS = 3 << 18
 _NEVER = float("-inf")
 _START = (0.0, 0, -1)
 
@@ -54,6 +54,7 @@ class PieceModel:
     kind: str
     dummy_prefix: bool = True
     _merged: dict[str, tuple[int, ...]] = field(default_factory=dict, repr=False, compare=False)
+    _grown: dict[tuple[int, int], list] = field(default_factory=dict, repr=False, compare=False)
     _apart: dict[tuple[int, int], bool] = field(default_factory=dict, repr=False, compare=False)
 
     @cached_property
@@ -81,6 +82,11 @@ class PieceModel:
     def longest(self) -> int:
         return max(map(len, self.ids), default=1)
 
+    @property
+    def window(self) -> int:
+        """Characters after which the search looks for a boundary to settle."""
+        return 4 * self.longest
+
     def spelled(self, char: str) -> list[int]:
         """Ids of a character that has no piece."""
         return [self.byte_ids[b] for b in char.encode()] if self.byte_ids else [self.unknown]
@@ -90,12 +96,10 @@ class PieceModel:
         if (known := self._merged.get(text)) is None:
             parts = list(text)
             while len(parts) > 1:
-                joint = [self.ids.get(a + b) for a, b in zip(parts, parts[1:], strict=False)]
-                ranks = [_NEVER if i is None else self.scores[i] for i in joint]
-                best = max(range(len(ranks)), key=ranks.__getitem__)
-                if joint[best] is None:
+                at, joint = self._next_merge(parts)
+                if joint is None:
                     break
-                parts[best : best + 2] = [parts[best] + parts[best + 1]]
+                parts[at : at + 2] = [self.pieces[joint]]
             known = self._merged[text] = tuple(self.ids.get(part, -1) for part in parts)
         return known
 
@@ -106,10 +110,52 @@ class PieceModel:
     def apart(self, left: int, right: int) -> bool:
         """Whether the merge procedure keeps two neighbouring pieces as they are."""
         if (known := self._apart.get((left, right))) is None:
-            pair = (left, right)
-            known = self._apart[pair] = self.merge(self.pieces[left] + self.pieces[right]) == pair
+            if SPACE * 2 in self.pieces[left] + self.pieces[right]:  # runs have equal ranks
+                joint = self.merge(self.pieces[left] + self.pieces[right])
+                known = joint == (left, right)
+            else:
+                known = not self._crosses(self._growth(left, -1), self._growth(right, 0))
+            self._apart[left, right] = known
+        return known
+
+    def _crosses(self, left: list[tuple[float, str]], right: list[tuple[float, str]]) -> bool:
+        """Whether the parts at a seam merge before both have grown into their whole pieces."""
+        ids, scores = self.ids, self.scores
+        i = j = 0
+        while True:
+            joint = ids.get(left[i][1] + right[j][1])
+            across = _NEVER if joint is None else scores[joint]
+            on_left = left[i + 1][0] if i + 1 < len(left) else _NEVER
+            on_right = right[j + 1][0] if j + 1 < len(right) else _NEVER
+            if across > on_left and across >= on_right:  # of equal ranks, the leftmost is first
+                return True
+            if on_left == on_right == _NEVER:
+                return False
+            if on_left >= on_right:
+                i += 1
+            else:
+                j += 1
+
+    def _growth(self, token: int, end: int) -> list[tuple[float, str]]:
+        """How the part at one end of a piece grows: (score of the merge, part), first to last."""
+        if (known := self._grown.get((token, end))) is None:
+            parts, known = list(self.pieces[token]), []
+            known.append((0.0, parts[end]))
+            while len(parts) > 1:
+                at, joint = self._next_merge(parts)
+                parts[at : at + 2] = [self.pieces[joint]]
+                if parts[end] != known[-1][1]:
+                    known.append((self.scores[joint], parts[end]))
+            self._grown[token, end] = known
         return known
 
+    def _next_merge(self, parts: list[str]) -> tuple[int, int | None]:
+        """(place, piece) of the merge with the best score, the leftmost of equals."""
+        joint = [self.ids.get(a + b) for a, b in zip(parts, parts[1:], strict=False)]
+        ranks = [_NEVER if i is None else self.scores[i] for i in joint]
+        at = max(range(len(ranks)), key=ranks.__getitem__)
+        return at, joint[at]
+
 
 def load_model(path: str | Path, kind: str = "bpe", dummy_prefix: bool = True) -> PieceModel:
     """Read pieces and scores of a model file; ``kind`` is ``bpe`` or ``unigram``."""
@@ -142,29 +188,31 @@ class StreamingViterbi:
 
     def feed(self, part: str) -> list[int]:
         """Take more characters; the ids that no later character can change."""
-        ids, longest, ending = self.model.ids, self.model.longest, self.model.endings.get
-        nodes, settled, window = self.nodes, [], 4 * longest
-        for char in part:
-            self.text = text = self.text + char
-            end = len(text)
+        ending, longest, window = self.model.endings.get, self.model.longest, self.model.window
+        settled, nodes = [], self.nodes
+        text, end = self.text + part, len(self.text)
+        while end < len(text):
+            end += 1
             found = []
             for start in range(end - 1, max(-1, end - 1 - longest), -1):
-                token = ending(text[start:])
+                token = ending(text[start:end])
                 if token is None:
                     break
                 if token >= 0 and nodes[start] is not None:
                     found.append((start, token))
             best = self._best(found) if found else None
-            nodes.append(best)
-            if best is None and char not in ids:
+            if best is None and text[end - 1] not in self.model.ids:
                 # No piece holds this character, so every path passes both of its sides.
-                nodes.pop()
-                self.text = text[:-1]
-                settled += self.finish() + self.model.spelled(char)
-                nodes = self.nodes
-            elif end >= window:
-                settled += self._commit()
-                nodes = self.nodes
+                settled += self._path(end - 1) + self.model.spelled(text[end - 1])
+                text, end, nodes = text[end:], 0, [_START]
+                self.nodes = nodes
+                continue
+            nodes.append(best)
+            if end >= window and (meeting := self._meeting(end)):
+                settled += self._path(meeting)
+                text, end = text[meeting:], end - meeting
+                nodes = self._from(meeting)
+        self.text = text
         return settled
 
     def _best(self, found: list[tuple[int, int]]) -> tuple | None:
@@ -191,22 +239,21 @@ class StreamingViterbi:
             ids.append(token)
         return ids[::-1]
 
-    def _commit(self) -> list[int]:
-        """Commit up to the last boundary that all paths within a piece's reach go through."""
-        end = len(self.text)
+    def _meeting(self, end: int) -> int:
+        """The last boundary that all paths within a piece's reach of the end go through."""
         alive = {at for at in range(end - self.model.longest + 1, end + 1) if self.nodes[at]}
         while len(alive) > 1:
             latest = max(alive)
             alive.discard(latest)
             alive.add(self.nodes[latest][1])
-        meeting = alive.pop()
-        ids = self._path(meeting)
-        if ids:
-            score, _, token = self.nodes[meeting]
-            self.text = self.text[meeting:]
-            later = [n and (n[0], n[1] - meeting, n[2]) for n in self.nodes[meeting + 1 :]]
-            self.nodes = [(score, 0, token), *later]
-        return ids
+        return alive.pop()
+
+    def _from(self, meeting: int) -> list[tuple | None]:
+        """Forget what lies before a boundary, but for the score and piece that lead to it."""
+        score, _, token = self.nodes[meeting]
+        later = [n and (n[0], n[1] - meeting, n[2]) for n in self.nodes[meeting + 1 :]]
+        self.nodes = [(score, 0, token), *later]
+        return self.nodes
 
 
 class Encoder:
