@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlet.llm import chat, exact_dedup, langid, sentencepiece, simhash, urls
+from martlet.llm import ann, chat, exact_dedup, langid, sentencepiece, simhash, urls
 from martlet.llm.common import UPPER, in_fold, table
 
 
@@ -21,6 +21,11 @@ def op1_sentencepiece(
     return sentencepiece.tokenize(table(spark, folder, "documents"), model)
 
 
+def op2_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return ann.nearest_neighbours(vectors, F.pmod(F.col("vec_id"), F.lit(50)) == 0, k=5)
+
+
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"), shingle=3, max_bits=3)
 
@@ -64,6 +69,7 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_nearest": op2_nearest,
     "op3_simhash": op3_simhash,
     "op4_language_id": op4_language_id,
     "op5_chat_format": op5_chat_format,
