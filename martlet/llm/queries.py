@@ -12,6 +12,7 @@ from martlet.llm import (
     chat,
     exact_dedup,
     langid,
+    mixing,
     quality,
     sentencepiece,
     simhash,
@@ -76,6 +77,15 @@ def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+#: Shares of the tokens by domain. Texts do not tell the tables' ``source`` apart, but ``lang``.
+MIXING_TARGETS = {"en": 0.4, "de": 0.2, "es": 0.2, "fr": 0.2}
+
+
+def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return mixing.mixing_rates(docs, docs, MIXING_TARGETS, least=1.0)
+
+
 URL_RULES = [
     urls.Rule("allow", "com/"),
     urls.Rule("block", "example.com/en/"),
@@ -100,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language_id": op4_language_id,
     "op5_chat_format": op5_chat_format,
     "op6_quality": op6_quality,
+    "op7_mixing": op7_mixing,
     "op8_url_filter": op8_url_filter,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_toxicity": op10_toxicity,
