@@ -48,3 +48,20 @@ def bounded_sample(rows: DataFrame, label: str, key: str, most: int) -> DataFram
     order = Window.partitionBy(label).orderBy(turn, key, *rest)
     place = drawn.withColumn("_place", F.row_number().over(order))
     return place.where(F.col("_place") <= most).orderBy(label, "_place").drop("_place")
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, changed where ``df`` has a column of that name already."""
+    taken = {column.lower() for column in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
+def own_columns(df: DataFrame) -> list[Column]:
+    """All columns of ``df`` by name, whatever characters the names hold."""
+    return [F.col("`" + name.replace("`", "``") + "`") for name in df.columns]

@@ -19,7 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martlet.llm.common import lower_ascii
+from martlet.llm.common import fresh, lower_ascii, own_columns
 from martlet.session import materialise
 
 SALTS = 16
@@ -105,14 +105,14 @@ def drop_exact_duplicates(
     rows = _contents(docs, id_col, text_col, digest)
     groups, key = _winners(rows, salts)
     content = lower_ascii(F.coalesce(F.col(text_col), F.lit("")))
-    kept = groups.select(
-        *[F.col(name).alias(f"_kept_{name}") for name in key], F.col("keep_id").alias("_kept_id")
-    )
-    own = {"_own_digest": digest(content)} | ({"_own_content": content} if len(key) > 1 else {})
-    keyed = docs.withColumns(own)
-    same = F.col(id_col).eqNullSafe(F.col("_kept_id"))
-    for name in key:
-        same = same & (F.col(f"_own_{name}") == F.col(f"_kept_{name}"))
+    own = fresh(docs, *[f"_own_{name}" for name in key])
+    theirs = fresh(docs, *[f"_kept_{name}" for name in key], "_kept_id")
+    kept = groups.select(*[F.col(a).alias(b) for a, b in zip([*key, "keep_id"], theirs, strict=True)])
+    made = {"digest": digest(content), "content": content}
+    keyed = docs.withColumns({name: made[k] for name, k in zip(own, key, strict=True)})
+    same = F.col(id_col).eqNullSafe(F.col(theirs[-1]))
+    for mine, other in zip(own, theirs, strict=False):
+        same = same & (F.col(mine) == F.col(other))
     stay = keyed.join(kept, same, "left_semi")
     # Only rows that repeat the winner's id and text are left to drop.
-    return stay.dropDuplicates([id_col, *own]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return stay.dropDuplicates([id_col, *own]).select(*own_columns(docs))

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martlet.llm.common import bounded_sample
+from martlet.llm.common import bounded_sample, fresh, own_columns
 
 UNKNOWN = "und"
 WINDOW = 256
@@ -290,6 +290,7 @@ def keep_identified(
     docs: DataFrame, model: ByteCnn, *, least: float = 0.5, text_col: str = "text"
 ) -> DataFrame:
     """The rows whose language is recognised with at least the given score."""
-    judged = docs.withColumn("_language", predict_language(F.col(text_col), model))
-    sure = (F.col("_language.lang_pred") != UNKNOWN) & (F.col("_language.score") >= least)
-    return judged.where(sure).drop("_language")
+    (found,) = fresh(docs, "_language")
+    judged = docs.withColumn(found, predict_language(F.col(text_col), model))
+    sure = (F.col(f"{found}.lang_pred") != UNKNOWN) & (F.col(f"{found}.score") >= least)
+    return judged.where(sure).select(*own_columns(docs))

@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martlet.llm.common import bounded_sample
+from martlet.llm.common import bounded_sample, fresh, own_columns
 from martlet.session import materialise
 
 BUCKETS = 1024
@@ -68,6 +68,8 @@ class DomainModel:
     bias: np.ndarray
 
     def posteriors(self, rows: np.ndarray) -> np.ndarray:
+        if not self.domains:
+            return np.zeros((len(rows), 0))
         logits = rows @ self.weights + self.bias
         e = np.exp(logits - logits.max(axis=1, keepdims=True))
         return e / e.sum(axis=1, keepdims=True)
@@ -273,9 +275,10 @@ def mix(
         docs, labelled, per_domain=per_domain, id_col=id_col, text_col=text_col, label_col=label_col
     )
     plan = fit_rates(members, model.domains, targets, least=least, budget=budget)
-    judged = docs.withColumn("_member", memberships(F.col(text_col), model))
-    rate = plan.column(F.col("_member.n_tokens"), F.col("_member.posterior"))
-    times = copies(rate, F.col(id_col), F.xxhash64(text_col)).cast("int")
-    used = judged.withColumn("_times", times).where("_times > 0")
-    each = used.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-    return each.select(*[F.col(f"`{c}`") for c in docs.columns])
+    member, times, copy = fresh(docs, "_member", "_times", "_copy")
+    judged = docs.withColumn(member, memberships(F.col(text_col), model))
+    rate = plan.column(F.col(f"{member}.n_tokens"), F.col(f"{member}.posterior"))
+    often = copies(rate, F.col(id_col), F.xxhash64(text_col)).cast("int")
+    used = judged.withColumn(times, often).where(F.col(times) > 0)
+    each = used.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times))))
+    return each.select(*own_columns(docs))

@@ -25,7 +25,8 @@ byte pieces. Texts of any length are read whole; repeated rows give equal ids.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
 from pathlib import Path
@@ -39,6 +40,8 @@ from pyspark.sql import functions as F
 SPACE = "▁"
 _CACHED_LENGTH = 64
 _CACHED_UNITS = 3 << 18
+_CACHED_PAIRS = 1 << 20
+_SLICE = 1 << 20
 _NEVER = float("-inf")
 _START = (0.0, 0, -1)
 
@@ -53,9 +56,10 @@ class PieceModel:
     unknown: int
     kind: str
     dummy_prefix: bool = True
+    fingerprint: str = ""
     _merged: dict[str, tuple[int, ...]] = field(default_factory=dict, repr=False, compare=False)
     _grown: dict[tuple[int, int], list] = field(default_factory=dict, repr=False, compare=False)
-    _apart: dict[tuple[int, int], bool] = field(default_factory=dict, repr=False, compare=False)
+    _apart: dict[int, bool] = field(default_factory=dict, repr=False, compare=False)
 
     @cached_property
     def ids(self) -> dict[str, int]:
@@ -109,13 +113,16 @@ class PieceModel:
 
     def apart(self, left: int, right: int) -> bool:
         """Whether the merge procedure keeps two neighbouring pieces as they are."""
-        if (known := self._apart.get((left, right))) is None:
+        key = left << 32 | right
+        if (known := self._apart.get(key)) is None:
+            if len(self._apart) >= _CACHED_PAIRS:
+                self._apart.clear()
             if SPACE * 2 in self.pieces[left] + self.pieces[right]:  # runs have equal ranks
                 joint = self.merge(self.pieces[left] + self.pieces[right])
                 known = joint == (left, right)
             else:
                 known = not self._crosses(self._growth(left, -1), self._growth(right, 0))
-            self._apart[left, right] = known
+            self._apart[key] = known
         return known
 
     def _crosses(self, left: list[tuple[float, str]], right: list[tuple[float, str]]) -> bool:
@@ -167,6 +174,7 @@ def load_model(path: str | Path, kind: str = "bpe", dummy_prefix: bool = True) -
     size = source.get_piece_size()
     closed = [source.is_control(i) or source.is_unused(i) for i in range(size)]
     found = {int(source.id_to_piece(i)[1:-1], 16): i for i in range(size) if source.is_byte(i)}
+    content = hashlib.sha256(source.serialized_model_proto()).hexdigest()
     return PieceModel(
         [source.id_to_piece(i) for i in range(size)],
         [None if closed[i] else source.get_score(i) for i in range(size)],
@@ -174,6 +182,7 @@ def load_model(path: str | Path, kind: str = "bpe", dummy_prefix: bool = True) -
         source.unk_id(),
         kind,
         dummy_prefix,
+        f"{content} {kind} {dummy_prefix}",
     )
 
 
@@ -226,11 +235,14 @@ class StreamingViterbi:
                 return (0.0, at, token)
         return None
 
-    def finish(self) -> list[int]:
-        """The rest of the ids; the next character begins a new stretch."""
-        rest = self._path(len(self.text))
-        self.text, self.nodes = "", [_START]
-        return rest
+    def rest(self) -> list[int]:
+        """The ids of the characters behind the settled boundary, if the stretch ends here."""
+        return self._path(len(self.text))
+
+    def rewind(self, length: int) -> None:
+        """Forget all but the first characters behind the settled boundary."""
+        self.text = self.text[:length]
+        del self.nodes[length + 1 :]
 
     def _path(self, end: int) -> list[int]:
         ids = []
@@ -259,6 +271,8 @@ class StreamingViterbi:
 class Encoder:
     """Encodes and decodes texts; words that come again are looked up."""
 
+    _of_model: dict[str, Encoder] = {}
+
     def __init__(self, model: PieceModel) -> None:
         self.model = model
         self.units = _Units(model)
@@ -267,17 +281,48 @@ class Encoder:
             pieces[i] = bytes([value])
         self.spelled = pieces
 
+    @classmethod
+    def of(cls, model: PieceModel) -> Encoder:
+        """The encoder of this process; tasks that follow each other share what it has seen."""
+        if model.fingerprint not in cls._of_model:
+            cls._of_model.clear()
+            cls._of_model[model.fingerprint] = cls(model)
+        return cls._of_model[model.fingerprint]
+
     def encode(self, text: str) -> np.ndarray:
         """Ids of a text as int32."""
+        units = self._cut(text)
+        return np.frombuffer(b"".join(map(self.units.__getitem__, units)), np.int32)
+
+    def encode_all(self, texts: Iterable[str | None]) -> Iterator[np.ndarray | None]:
+        """Ids of each text; the new words of a slice of texts are searched together."""
+        held, size = [], 0
+        for text in texts:
+            held.append(None if text is None else self._cut(text))
+            size += len(text or "")
+            if size > _SLICE:
+                yield from self._encode(held)
+                held, size = [], 0
+        yield from self._encode(held)
+
+    def _encode(self, held: list[list[str] | None]) -> Iterator[np.ndarray | None]:
+        self.units.learn({u for units in held if units for u in units if u not in self.units})
+        for units in held:
+            if units is None:
+                yield None
+            else:
+                yield np.frombuffer(b"".join(map(self.units.__getitem__, units)), np.int32)
+
+    def _cut(self, text: str) -> list[str]:
+        """Stretches of a text that no piece reaches across."""
         if not text:
-            return np.zeros(0, np.int32)
+            return []
         if SPACE in text or "  " in text or text[0] == " ":
-            units = _units(text, self.model.dummy_prefix)
-        else:
-            units = text.replace(" ", f" {SPACE}").split(" ")
-            if self.model.dummy_prefix:
-                units[0] = SPACE + units[0]
-        return np.frombuffer(b"".join(map(self.units.__getitem__, units)), np.int32)
+            return list(_units(text, self.model.dummy_prefix))
+        units = text.replace(" ", f" {SPACE}").split(" ")
+        if self.model.dummy_prefix:
+            units[0] = SPACE + units[0]
+        return units
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids."""
@@ -308,28 +353,68 @@ class _Units(dict):
     def __init__(self, model: PieceModel) -> None:
         self.model = model
 
+    def learn(self, units: set[str]) -> None:
+        """Search new units in order, so that each goes on from the start it shares with the last."""
+        if len(self) + len(units) >= _CACHED_UNITS:
+            self.clear()
+        parts: set[str] = set()
+        cut = {unit: self._parts(unit) for unit in units if unit != _LITERAL}
+        for some in cut.values():
+            parts.update(some)
+        search = None
+        for part in sorted(parts.difference(self)):
+            if search is None:
+                search, shared = StreamingViterbi(self.model), 0
+            else:
+                shared = _shared(search.text, part)
+                search.rewind(shared)
+            settled = search.feed(part[shared:])
+            if len(part) <= _CACHED_LENGTH:
+                self[part] = np.array(settled + search.rest(), np.int32).tobytes()
+            if settled:
+                search = None
+        for unit, some in cut.items():
+            if len(some) > 1 and len(unit) <= _CACHED_LENGTH:
+                self[unit] = b"".join(map(self.__getitem__, some))
+
+    def _parts(self, unit: str) -> list[str]:
+        """Cut where no piece holds the two neighbouring characters."""
+        joined, parts, start = self.model.joined, [], 0
+        for at in range(1, len(unit)):
+            if unit[at - 1 : at + 1] not in joined:
+                parts.append(unit[start:at])
+                start = at
+        parts.append(unit[start:])
+        return parts
+
     def __missing__(self, unit: str) -> bytes:
         if unit == _LITERAL:
             ids = self.model.spelled(SPACE)
         else:
             search = StreamingViterbi(self.model)
-            ids = search.feed(unit) + search.finish()
+            ids = search.feed(unit) + search.rest()
         data = np.array(ids, np.int32).tobytes()
         if len(unit) <= _CACHED_LENGTH:
-            if len(self) >= _CACHED_UNITS:
-                self.clear()
             self[unit] = data
         return data
 
 
+def _shared(a: str, b: str) -> int:
+    """Length of the common beginning."""
+    for i, (x, y) in enumerate(zip(a, b)):
+        if x != y:
+            return i
+    return min(len(a), len(b))
+
+
 def encode_texts(text: Column, model: PieceModel) -> Column:
     """``array<int>`` of ids."""
 
     @F.pandas_udf("array<int>")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = Encoder(model)
+        encoder = Encoder.of(model)
         for batch in batches:
-            yield pd.Series([None if t is None else encoder.encode(t) for t in batch], dtype=object)
+            yield pd.Series(list(encoder.encode_all(batch)), dtype=object)
 
     return encode.asNondeterministic()(text)
 
@@ -339,7 +424,7 @@ def decode_ids(ids: Column, model: PieceModel) -> Column:
 
     @F.pandas_udf("string")
     def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = Encoder(model)
+        encoder = Encoder.of(model)
         for batch in batches:
             yield pd.Series([None if i is None else encoder.decode(i) for i in batch], dtype=object)
 
@@ -356,9 +441,9 @@ def tokenize(
 
     @F.pandas_udf("ids array<int>, exact boolean")
     def both_ways(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(model)
+        encoder = Encoder.of(model)
         for batch in batches:
-            ids = [None if t is None else encoder.encode(t) for t in batch]
+            ids = list(encoder.encode_all(batch))
             exact = [None if t is None else encoder.decode(i) == t for t, i in zip(batch, ids)]
             yield pd.DataFrame(
                 {"ids": pd.Series(ids, dtype=object), "exact": pd.Series(exact, dtype=object)}

@@ -31,6 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martlet.llm.common import fresh, own_columns
 from martlet.llm.components import connected_components
 from martlet.session import materialise
 
@@ -212,7 +213,8 @@ def drop_near_duplicates(
     labels = _grouped(prints, max_bits).withColumnRenamed("node", "fp")
     known = first.join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     stay = known.groupBy("label").agg(F.min("first").alias("stay"))
-    stay = stay.select(F.col("stay.id").alias("_stay_id"), F.col("stay.text_hash").alias("_stay_hash"))
-    same = F.col(id_col).eqNullSafe(F.col("_stay_id")) & (F.col("_own_hash") == F.col("_stay_hash"))
-    kept = docs.withColumn("_own_hash", text_hash).join(stay, same, "left_semi")
-    return kept.dropDuplicates([id_col, "_own_hash"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    own, stay_id, stay_hash = fresh(docs, "_own_hash", "_stay_id", "_stay_hash")
+    stay = stay.select(F.col("stay.id").alias(stay_id), F.col("stay.text_hash").alias(stay_hash))
+    same = F.col(id_col).eqNullSafe(F.col(stay_id)) & (F.col(own) == F.col(stay_hash))
+    kept = docs.withColumn(own, text_hash).join(stay, same, "left_semi")
+    return kept.dropDuplicates([id_col, own]).select(*own_columns(docs))
