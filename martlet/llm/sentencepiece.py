@@ -15,17 +15,18 @@ What "best" means depends on the model, whose pieces and scores are read from it
   infinity. Each boundary then has one surviving path, and the ids equal the merge procedure's.
 
 Text is cut before each space that follows another character, since no piece continues across
-one; equal words are looked up in a bounded cache.
+one; equal words are looked up in a bounded cache that the tasks of a process share.
 
 Defined results: null text gives null ids, empty text no ids. Characters without a piece become
-byte pieces, or the unknown id if the model has none. The character U+2581, which pieces use for
-the space, is written in bytes too, so decoding returns every text exactly where the model has
+byte pieces, or the unknown id if the model has none. Pieces write the space as U+2581; that
+character itself is written in bytes, so decoding returns every text exactly where the model has
 byte pieces. Texts of any length are read whole; repeated rows give equal ids.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
@@ -33,22 +34,25 @@ from pathlib import Path
 
 import numpy as np
 import pandas as pd
-import regex
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StructType
 
-SPACE = "▁"
+SPACE = " "
+_SPACE_IN_PIECES = "▁"
 _CACHED_LENGTH = 64
-_CACHED_UNITS = 3 << 18
-_CACHED_PAIRS = 1 << 20
+_CACHED_UNITS = 5 << 17
+_CACHED_PAIRS = 1 << 19
 _SLICE = 1 << 20
+_ROWS = 256
 _NEVER = float("-inf")
 _START = (0.0, 0, -1)
 
 
 @dataclass
 class PieceModel:
-    """Pieces of a SentencePiece model as plain data; small enough to send to every task."""
+    """Pieces of a SentencePiece model as plain data, their spaces written as spaces."""
 
     pieces: list[str]
     scores: list[float]
@@ -176,7 +180,7 @@ def load_model(path: str | Path, kind: str = "bpe", dummy_prefix: bool = True) -
     found = {int(source.id_to_piece(i)[1:-1], 16): i for i in range(size) if source.is_byte(i)}
     content = hashlib.sha256(source.serialized_model_proto()).hexdigest()
     return PieceModel(
-        [source.id_to_piece(i) for i in range(size)],
+        [source.id_to_piece(i).replace(_SPACE_IN_PIECES, SPACE) for i in range(size)],
         [None if closed[i] else source.get_score(i) for i in range(size)],
         [found[b] for b in range(256)] if len(found) == 256 else [],
         source.unk_id(),
@@ -276,7 +280,7 @@ class Encoder:
     def __init__(self, model: PieceModel) -> None:
         self.model = model
         self.units = _Units(model)
-        pieces = [piece.replace(SPACE, " ").encode() for piece in model.pieces]
+        pieces = [piece.encode() for piece in model.pieces]
         for value, i in enumerate(model.byte_ids):
             pieces[i] = bytes([value])
         self.spelled = pieces
@@ -314,15 +318,14 @@ class Encoder:
                 yield np.frombuffer(b"".join(map(self.units.__getitem__, units)), np.int32)
 
     def _cut(self, text: str) -> list[str]:
-        """Stretches of a text that no piece reaches across."""
+        """Stretches of a text that no piece reaches across: spaces, then what is none."""
         if not text:
             return []
-        if SPACE in text or "  " in text or text[0] == " ":
-            return list(_units(text, self.model.dummy_prefix))
-        units = text.replace(" ", f" {SPACE}").split(" ")
         if self.model.dummy_prefix:
-            units[0] = SPACE + units[0]
-        return units
+            text = SPACE + text
+        if "  " in text or "\0" in text or text[0] != " ":
+            return _RUNS.findall(text)
+        return text.replace(" ", "\0 ").split("\0")[1:]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids."""
@@ -332,19 +335,7 @@ class Encoder:
         return data.decode("utf-8", "replace")
 
 
-#: A literal U+2581 stands alone, so that it cannot be taken for a space.
-_LITERAL = "\0literal"
-_RUNS = regex.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
-
-
-def _units(text: str, dummy_prefix: bool) -> Iterator[str]:
-    """Stretches that no piece reaches across: spaces, then what is not a space."""
-    for number, part in enumerate(text.split(SPACE)):
-        if number:
-            yield _LITERAL
-        prefix = SPACE if dummy_prefix and not number else ""
-        for match in _RUNS.finditer(prefix + part.replace(" ", SPACE)):
-            yield match[0]
+_RUNS = re.compile(r" +[^ ]*|[^ ]+")
 
 
 class _Units(dict):
@@ -358,7 +349,7 @@ class _Units(dict):
         if len(self) + len(units) >= _CACHED_UNITS:
             self.clear()
         parts: set[str] = set()
-        cut = {unit: self._parts(unit) for unit in units if unit != _LITERAL}
+        cut = {unit: self._parts(unit) for unit in units}
         for some in cut.values():
             parts.update(some)
         search = None
@@ -388,12 +379,8 @@ class _Units(dict):
         return parts
 
     def __missing__(self, unit: str) -> bytes:
-        if unit == _LITERAL:
-            ids = self.model.spelled(SPACE)
-        else:
-            search = StreamingViterbi(self.model)
-            ids = search.feed(unit) + search.rest()
-        data = np.array(ids, np.int32).tobytes()
+        search = StreamingViterbi(self.model)
+        data = np.array(search.feed(unit) + search.rest(), np.int32).tobytes()
         if len(unit) <= _CACHED_LENGTH:
             self[unit] = data
         return data
@@ -439,18 +426,29 @@ def tokenize(
     ``exact`` tells whether decoding the ids gives the text again, and is null for a null text.
     """
 
-    @F.pandas_udf("ids array<int>, exact boolean")
-    def both_ways(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+
+    def both_ways(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(model)
         for batch in batches:
-            ids = list(encoder.encode_all(batch))
-            exact = [None if t is None else encoder.decode(i) == t for t, i in zip(batch, ids)]
-            yield pd.DataFrame(
-                {"ids": pd.Series(ids, dtype=object), "exact": pd.Series(exact, dtype=object)}
-            )
-
-    done = docs.select(F.col(id_col), both_ways.asNondeterministic()(F.col(text_col)).alias("_t"))
-    ids = F.col("_t.ids")
-    return done.select(
-        id_col, F.size(ids).cast("long").alias("n_tokens"), ids.alias("ids"), F.col("_t.exact").alias("exact")
-    )
+            for start in range(0, batch.num_rows, _ROWS):  # so that ids of few rows are held
+                some = batch.slice(start, _ROWS)
+                texts = some.column(1).to_pylist()
+                ids = list(encoder.encode_all(texts))
+                exact = [t is not None and encoder.decode(i) == t for t, i in zip(texts, ids)]
+                none = [t is None for t in texts]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        some.column(0),
+                        pa.array([None if i is None else len(i) for i in ids], pa.int64()),
+                        pa.array(ids, pa.list_(pa.int32())),
+                        pa.array(exact, pa.bool_(), mask=np.array(none, bool)),
+                    ],
+                    names,
+                )
+
+    names = [id_col, "n_tokens", "ids", "exact"]
+    kinds = [LongType(), ArrayType(IntegerType()), BooleanType()]
+    schema = StructType([docs.schema[id_col]])
+    for name, kind in zip(names[1:], kinds, strict=True):
+        schema.add(name, kind)
+    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(both_ways, schema)

@@ -39,7 +39,7 @@ def test_random_texts(model, library):
     rng, encoder = random.Random(2), sp.Encoder(model)
     for _ in range(500):
         text = "".join(rng.choice("theinganor sx é.\n日 ▁") for _ in range(rng.randrange(80)))
-        if sp.SPACE not in text:
+        if "▁" not in text:
             assert encoder.encode(text).tolist() == library.encode(text)
         assert encoder.decode(encoder.encode(text)) == text
 
