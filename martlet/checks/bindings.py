@@ -67,6 +67,19 @@ class Tables:
             "transaction_date",
         )
 
+    @property
+    def invoice_texts(self) -> DataFrame:
+        """Sales whose ids are texts; some name the same number in two ways, some none."""
+        number = F.col("transaction_id")
+        plain = number.cast("string")
+        other = (
+            F.when(F.col("quantity") % 3 == 0, F.concat(F.lit("0"), plain))
+            .when(F.col("quantity") % 3 == 1, F.concat(F.lit("C"), plain))
+            .otherwise(plain)
+        )
+        text = F.when(number % 5 == 0, other).otherwise(plain)
+        return self.raw_sales.withColumn("transaction_id", text)
+
     @property
     def sales(self) -> DataFrame:
         return clean_sales(self.raw_sales)
@@ -128,13 +141,22 @@ class Tables:
 
     @property
     def moved_customers(self) -> DataFrame:
-        moved = self.given("customer").where("c_custkey % 20 = 0")
+        moved = self.given("customer").where("c_custkey % 3 = 0")
         city = F.concat(F.lit("NATION_"), ((F.col("c_nationkey") + 7) % 25).cast("string"))
         return self._versions(moved, city, "2024-07-01", 10)
 
+    @property
+    def odd_customers(self) -> DataFrame:
+        """Versions that tie with the first one, and versions without a time."""
+        odd = self.first_customers.where("customer_id % 30 in (4, 5)")
+        undated = F.when(F.col("customer_id") % 30 == 4, F.col("update_timestamp"))
+        return odd.withColumns({"city": F.lit("ODDTOWN"), "update_timestamp": undated})
+
     @property
     def raw_customers(self) -> DataFrame:
-        return self.first_customers.unionByName(self.moved_customers)
+        return self.first_customers.unionByName(self.moved_customers).unionByName(
+            self.odd_customers
+        )
 
     @property
     def customers(self) -> DataFrame:
@@ -142,11 +164,21 @@ class Tables:
 
     @property
     def customer_feed(self) -> DataFrame:
-        """Change records: the moves, and records that repeat what is known."""
-        same = self.first_customers.where("customer_id % 20 = 1").withColumn(
-            "update_timestamp", F.lit("2024-08-01").cast("timestamp_ntz")
+        """Change records: moves, a repeated move, a move back, late ones, and what is known."""
+
+        def at(rows: DataFrame, when: str) -> DataFrame:
+            return rows.withColumn("update_timestamp", F.lit(when).cast("timestamp_ntz"))
+
+        first, moved = self.first_customers, self.moved_customers
+        return (
+            moved.unionByName(at(moved.where("customer_id % 6 = 0"), "2024-08-15"))
+            .unionByName(at(first.where("customer_id % 9 = 0"), "2024-09-01"))
+            .unionByName(at(first.where("customer_id % 20 = 1"), "2024-08-01"))
+            .unionByName(
+                at(first.where("customer_id % 20 = 2"), "2023-06-01").withColumn("city", F.lit("LATE"))
+            )
+            .unionByName(self.odd_customers)
         )
-        return self.moved_customers.unionByName(same)
 
     @property
     def raw_inventory(self) -> DataFrame:
@@ -187,8 +219,15 @@ class Tables:
     @property
     def raw_web_events(self) -> DataFrame:
         events = self.given("events")
-        arrived = events.withColumn("seq", F.lit(0)).unionByName(
-            events.where("event_id % 60 = 0").withColumn("seq", F.lit(1))
+        later = F.make_dt_interval(secs=F.lit(0.25))
+        arrived = (
+            events.withColumn("seq", F.lit(0))
+            .unionByName(events.where("event_id % 60 = 0").withColumn("seq", F.lit(1)))
+            .unionByName(
+                events.where("event_id % 70 = 5")
+                .withColumn("seq", F.lit(3))
+                .withColumn("ts", F.col("ts") + later)
+            )
         )
         number, kind = F.col("event_id"), F.col("event_type")
         renamed = (
@@ -232,15 +271,26 @@ class Tables:
     def web_lines(self) -> DataFrame:
         """The events as JSON lines with undeclared fields, and the lines that are no events."""
         number = F.col("event_id")
+        at = F.replace(F.col("timestamp").cast("string"), F.lit(" "), F.lit("T"))
+        at = (
+            F.when(number % 97 == 13, "yesterday")
+            .when(number % 97 == 14, F.concat(at, F.lit("Z")))
+            .when(number % 97 == 15, "2024")
+            .when(number % 97 == 16, F.substring(at, 1, 10))
+            .otherwise(at)
+        )
+        # Numbers with a fraction: of zero, which fits, and of a half, which does not.
+        customer = F.col("customer_id").cast("decimal(20,1)")
+        duration = F.col("duration_seconds") + F.when(number % 41 == 2, 0.5).otherwise(0.0)
         event = F.struct(
             "session_id",
-            "customer_id",
+            customer.alias("customer_id"),
             "event_type",
-            F.replace(F.col("timestamp").cast("string"), F.lit(" "), F.lit("T")).alias("timestamp"),
+            at.alias("timestamp"),
             "device_type",
             "referrer",
             "product_id",
-            "duration_seconds",
+            duration.cast("decimal(20,1)").alias("duration_seconds"),
             "promo_code",
             "quantity",
             "transaction_id",
@@ -253,9 +303,11 @@ class Tables:
             .when(number % 100 == 2, "")
             .when(number % 100 == 3, "{}")
             .when(number % 100 == 4, "5")
+            .when(number % 100 == 5, '{"customer_id":1}{"customer_id":2}')
+            .when(number % 100 == 6, '{"customer_id":1} junk}')
         )
         lines = self.raw_web_events.select("seq", "event_id", F.to_json(event).alias("value"))
-        noise = lines.where("event_id % 100 between 1 and 4 and seq = 0").withColumn("value", junk)
+        noise = lines.where("event_id % 100 between 1 and 6 and seq = 0").withColumn("value", junk)
         return lines.unionByName(noise.withColumn("seq", F.lit(2)))
 
     @property

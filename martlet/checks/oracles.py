@@ -107,7 +107,8 @@ def _constraint_sql() -> str:
 
 
 def _quality_sql() -> str:
-    kept = "(SELECT * FROM raw_web_events WHERE customer_id IS NOT NULL) k"
+    kept = "(SELECT * FROM web_texts WHERE customer_id IS NOT NULL) k"
+    first = f"(SELECT DISTINCT session_id, event_type, time_text, read_at FROM {kept}) f"
     optional = " OR ".join(
         f"{c} IS NULL"
         for c in ("product_id", "duration_seconds", "promo_code", "quantity", "transaction_id")
@@ -133,17 +134,18 @@ def _quality_sql() -> str:
             "fact_web_events",
             "duplicate event",
             "keep first",
-            f"""(SELECT row_number() OVER (PARTITION BY session_id, event_type, "timestamp") AS rn
+            f"""(SELECT row_number() OVER (PARTITION BY session_id, event_type, time_text) AS rn
                  FROM {kept}) d WHERE rn > 1""",
         ),
-        ("fact_web_events", "invalid timestamp", "quarantine", f'{kept} WHERE "timestamp" IS NULL'),
+        ("fact_web_events", "invalid timestamp", "quarantine", f"{first} WHERE read_at IS NULL"),
         ("fact_web_events", "missing optional field", "set to null", f"{kept} WHERE {optional}"),
         (
             "fact_web_events",
             "JSON parse error",
             "skip line",
-            "raw_web_events WHERE seq = 0 AND event_id % 100 IN (1, 2, 4)",
+            "raw_web_events WHERE seq = 0 AND event_id % 100 IN (1, 2, 4, 5, 6)",
         ),
+        ("fact_web_events", "value does not fit", "set to null", "web_texts WHERE unfit"),
     ]
     return "\nUNION ALL\n".join(
         f"SELECT '{source}' AS source, '{check}' AS \"check\", '{action}' AS action, "
@@ -203,6 +205,22 @@ def _sets_of(size: int) -> str:
 
 
 # Market basket. The given tables have no frequent set of more than four brands.
+MERGED = {
+    "merge_records": """
+        SELECT customer_id, name, email, city, update_timestamp, MIN(source) AS source
+        FROM (SELECT *, 0 AS source FROM first_customers UNION ALL SELECT *, 1 FROM customer_feed) r
+        GROUP BY ALL""",
+    "merge_numbered": """
+        SELECT *, row_number() OVER (PARTITION BY customer_id
+                      ORDER BY update_timestamp NULLS FIRST, source, name, email, city) AS n
+        FROM merge_records""",
+    # A fed record goes if the record before it says the same.
+    "merged_versions": """
+        SELECT r.customer_id, r.name, r.email, r.city, r.update_timestamp
+        FROM merge_numbered r LEFT JOIN merge_numbered b ON b.customer_id = r.customer_id AND b.n = r.n - 1
+        WHERE r.source = 0 OR b.n IS NULL OR (b.name, b.email, b.city) <> (r.name, r.email, r.city)""",
+}
+
 BASKET = {
     "lines": """
         SELECT DISTINCT s.transaction_id AS t, p.description AS i
@@ -248,14 +266,27 @@ FIRST_LINES = """
            CAST(first(unit_price ORDER BY invoice_date, invoice_no, line_no) AS DOUBLE) AS base_price
     FROM raw_retail GROUP BY stock_code"""
 
+_NO_NUMBERS = "CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS stddev, CAST(NULL AS DOUBLE) AS min, CAST(NULL AS DOUBLE) AS max"
+
+
+def _numbers(column: str) -> str:
+    value = f"CAST({column} AS DOUBLE)"
+    return (
+        f"ROUND(AVG({value}), 4) AS mean, ROUND(stddev_samp({value}), 4) AS stddev, "
+        f"MIN({value}) AS min, MAX({value}) AS max"
+    )
+
+
 PLAIN: dict[str, str] = {
-    "web_events_parse": f"SELECT {EVENT_TEXT} FROM raw_web_events".replace(
-        '"timestamp",', "replace(CAST(\"timestamp\" AS VARCHAR), ' ', 'T') AS \"timestamp\","
+    "web_events_parse": f"SELECT {EVENT_TEXT} FROM web_texts".replace(
+        '"timestamp",', 'time_text AS "timestamp",'
     ),
     "web_bad_lines": """
-        SELECT CASE event_id % 100 WHEN 1 THEN 'bad{' WHEN 2 THEN '' ELSE '5' END AS value,
+        SELECT CASE event_id % 100 WHEN 1 THEN 'bad{' WHEN 2 THEN '' WHEN 4 THEN '5'
+                    WHEN 5 THEN '{"customer_id":1}{"customer_id":2}'
+                    ELSE '{"customer_id":1} junk}' END AS value,
                COUNT(*) AS bad_lines
-        FROM raw_web_events WHERE seq = 0 AND event_id % 100 IN (1, 2, 4) GROUP BY 1""",
+        FROM raw_web_events WHERE seq = 0 AND event_id % 100 IN (1, 2, 4, 5, 6) GROUP BY 1""",
     "web_events_schema": """
         SELECT event_id, seq, promo_code,
                CASE WHEN event_id % 40 = 7 THEN 'spring' END AS campaign,
@@ -278,6 +309,14 @@ PLAIN: dict[str, str] = {
                THEN lpad(CAST(transaction_id AS VARCHAR), 7, '0')
                ELSE CAST(transaction_id AS VARCHAR) END AS shipment_id, transaction_id
         FROM raw_sales""",
+    "derive_shipment_texts": """
+        SELECT DISTINCT 'SHP_' || CASE WHEN other AND quantity % 3 = 0 THEN '#0' || id
+                                       WHEN other AND quantity % 3 = 1 THEN 'C' || id
+                                       WHEN length(id) < 7 THEN lpad(id, 7, '0') ELSE id END AS shipment_id,
+               CASE WHEN other AND quantity % 3 = 0 THEN '0' WHEN other AND quantity % 3 = 1 THEN 'C'
+                    ELSE '' END || id AS transaction_id
+        FROM (SELECT CAST(transaction_id AS VARCHAR) AS id, transaction_id % 5 = 0 AS other, quantity
+              FROM raw_sales) t""",
     "line_transaction_id": """
         SELECT 'TXN' || invoice_no || '-' || CAST(line_in_invoice AS VARCHAR) AS transaction_id,
                'CUST' || CAST(customer_id AS VARCHAR) AS customer_id,
@@ -326,12 +365,13 @@ PLAIN: dict[str, str] = {
                COUNT(*) FILTER (is_current) = COUNT(DISTINCT customer_id) AS ok
         FROM customers""",
     "scd2_merge": """
-        SELECT *, update_timestamp AS valid_from,
-               lead(update_timestamp) OVER w AS valid_to, lead(update_timestamp) OVER w IS NULL AS is_current
-        FROM (SELECT * FROM first_customers UNION ALL SELECT f.* FROM customer_feed f
-              WHERE NOT EXISTS (SELECT 1 FROM first_customers c WHERE c.customer_id = f.customer_id
-                AND c.name = f.name AND c.email = f.email AND c.city = f.city)) v
-        WINDOW w AS (PARTITION BY customer_id ORDER BY update_timestamp)""",
+        SELECT v.*, v.update_timestamp AS valid_from,
+               (SELECT MIN(l.update_timestamp) FROM merged_versions l
+                WHERE l.customer_id = v.customer_id AND l.update_timestamp > v.update_timestamp)
+                   AS valid_to,
+               v.update_timestamp = (SELECT MAX(l.update_timestamp) FROM merged_versions l
+                                     WHERE l.customer_id = v.customer_id) AS is_current
+        FROM merged_versions v""",
     "sales_clean": f"SELECT {SALE} FROM sales",
     "sales_dropped": """
         SELECT COUNT(*) AS initial_rows, COUNT(*) FILTER (quantity > 0 AND unit_price > 0) AS kept_rows,
@@ -356,9 +396,15 @@ PLAIN: dict[str, str] = {
             FROM raw_web_events) x
         WHERE rn = 1""",
     "web_event_date": """
-        SELECT event_id, seq, session_id, "timestamp", CAST("timestamp" AS DATE) AS event_date
-        FROM raw_web_events""",
-    "fact_web_events": f"SELECT {EVENT_TEXT}, event_date FROM web_events",
+        SELECT event_id, seq, session_id, read_at AS "timestamp", CAST(read_at AS DATE) AS event_date
+        FROM web_texts""",
+    "fact_web_events": f"""
+        SELECT {EVENT_TEXT.replace('"timestamp"', 'read_at AS "timestamp"')},
+               CAST(read_at AS DATE) AS event_date
+        FROM (SELECT *, row_number() OVER (PARTITION BY session_id, event_type, time_text
+                                           ORDER BY seq, event_id) AS rn
+              FROM web_texts WHERE customer_id IS NOT NULL) x
+        WHERE rn = 1 AND read_at IS NOT NULL""",
     "incremental_sales": f"""
         SELECT {SALE}, CAST(year(transaction_date) AS INT) AS year,
                CAST(month(transaction_date) AS INT) AS month
@@ -461,6 +507,17 @@ PLAIN: dict[str, str] = {
             CAST(MIN({c}) AS DOUBLE) AS min, CAST(MAX({c}) AS DOUBLE) AS max FROM raw_sales"""
         for c in ("quantity", "unit_price")
     ),
+    "profile_sales_table": "\nUNION ALL\n".join(
+        f"""SELECT '{c}' AS column_name, COUNT({c}) AS count, COUNT(*) - COUNT({c}) AS null_count,
+            {_numbers(c) if number else _NO_NUMBERS},
+            {"CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR)" if number
+             else f"strftime(MIN({c}), '%Y-%m-%d %H:%M:%S') AS first_text, strftime(MAX({c}), '%Y-%m-%d %H:%M:%S') AS last_text"}
+            FROM raw_sales"""
+        for c, number in (
+            ("transaction_date", False), ("transaction_id", True), ("customer_id", True),
+            ("product_id", True), ("quantity", True), ("unit_price", True), ("store_id", True),
+        )
+    ),
     "orphan_report": """
         SELECT 'Orphaned Customers' AS check_type, COUNT(*) AS count
         FROM raw_sales f LEFT JOIN (SELECT customer_id FROM raw_customers GROUP BY 1 HAVING COUNT(*) > 1) d
@@ -536,4 +593,4 @@ PLAIN: dict[str, str] = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: with_tables(query, BASKET) for name, query in PLAIN.items()}
+    return {name: with_tables(query, BASKET | MERGED) for name, query in PLAIN.items()}

@@ -119,7 +119,12 @@ QUERIES: dict[str, Query] = {
     "web_new_fields": lambda t: web.new_fields(t.web_lines),
     "raw_views_count": lambda t: metrics.table_counts(raw_views(t.star)),
     "quality_report": lambda t: quality.quality_report(
-        t.customers, t.raw_sales, t.raw_inventory, t.raw_web_events, web.bad_lines(t.web_lines)
+        t.customers,
+        t.raw_sales,
+        t.raw_inventory,
+        web.parse_events(t.web_lines),
+        web.bad_lines(t.web_lines),
+        web.unfit_values_of(web.split_lines(t.web_lines)),
     ),
     # Raw retail to star schema
     "retail_drop_null_customer": lambda t: exact(retail.drop_null_customers(t.retail)),
@@ -131,6 +136,7 @@ QUERIES: dict[str, Query] = {
         retail.map_sales(retail.drop_null_customers(t.retail))
     ),
     "derive_shipment_keys": lambda t: retail.derive_shipments(t.raw_sales),
+    "derive_shipment_texts": lambda t: retail.derive_shipments(t.invoice_texts),
     "line_transaction_id": lambda t: exact(
         retail.line_transaction_ids(t.retail, ["line_no", "stock_code", "quantity"])
     ),
@@ -239,6 +245,9 @@ QUERIES: dict[str, Query] = {
     "profile_sales": lambda t: exact(
         metrics.profile(t.raw_sales, ["quantity", "unit_price"]), {"mean": 6, "stddev": 6}
     ),
+    "profile_sales_table": lambda t: exact(
+        metrics.profile_table(t.raw_sales), {"mean": 4, "stddev": 4}
+    ),
     # Validation
     "orphan_report": lambda t: quality.orphan_report(
         t.raw_sales, cust.scd2_versions(t.raw_customers), t.products, t.stores

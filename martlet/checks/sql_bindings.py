@@ -33,16 +33,29 @@ BLOCKS = {
         SELECT c_custkey AS customer_id, c_name AS name, {_EMAIL} AS email,
                'NATION_' || CAST((c_nationkey + 7) % 25 AS VARCHAR) AS city,
                CAST(DATE '2024-07-01' + CAST(c_custkey % 10 AS INT) AS TIMESTAMP) AS update_timestamp
-        FROM customer WHERE c_custkey % 20 = 0""",
-    "raw_customers": "SELECT * FROM first_customers UNION ALL SELECT * FROM moved_customers",
+        FROM customer WHERE c_custkey % 3 = 0""",
+    "odd_customers": """
+        SELECT customer_id, name, email, 'ODDTOWN' AS city,
+               CASE WHEN customer_id % 30 = 4 THEN update_timestamp END AS update_timestamp
+        FROM first_customers WHERE customer_id % 30 IN (4, 5)""",
+    "raw_customers": """
+        SELECT * FROM first_customers UNION ALL SELECT * FROM moved_customers
+        UNION ALL SELECT * FROM odd_customers""",
     "customers": """
         SELECT *, update_timestamp = max(update_timestamp) OVER (PARTITION BY customer_id) AS is_current,
                update_timestamp AS valid_from
         FROM raw_customers""",
     "customer_feed": """
-        SELECT * FROM moved_customers UNION ALL
-        SELECT customer_id, name, email, city, TIMESTAMP '2024-08-01 00:00:00'
-        FROM first_customers WHERE customer_id % 20 = 1""",
+        SELECT * FROM moved_customers
+        UNION ALL SELECT customer_id, name, email, city, TIMESTAMP '2024-08-15 00:00:00'
+        FROM moved_customers WHERE customer_id % 6 = 0
+        UNION ALL SELECT customer_id, name, email, city, TIMESTAMP '2024-09-01 00:00:00'
+        FROM first_customers WHERE customer_id % 9 = 0
+        UNION ALL SELECT customer_id, name, email, city, TIMESTAMP '2024-08-01 00:00:00'
+        FROM first_customers WHERE customer_id % 20 = 1
+        UNION ALL SELECT customer_id, name, email, 'LATE', TIMESTAMP '2023-06-01 00:00:00'
+        FROM first_customers WHERE customer_id % 20 = 2
+        UNION ALL SELECT * FROM odd_customers""",
     "raw_inventory": """
         SELECT DISTINCT l_suppkey AS store_id, l_partkey AS product_id,
                CAST(((l_suppkey * 31 + l_partkey * 17) % 551) - 50 AS INT) AS stock_on_hand,
@@ -77,7 +90,23 @@ BLOCKS = {
                CASE WHEN event_type = 'purchase' THEN 'TXN_' || CAST(100000 + event_id AS VARCHAR) END AS transaction_id,
                CASE WHEN event_type = 'purchase' THEN value END AS total_value
         FROM (SELECT e.*, 0 AS seq FROM events e
-              UNION ALL SELECT e.*, 1 AS seq FROM events e WHERE event_id % 60 = 0) x""",
+              UNION ALL SELECT e.*, 1 AS seq FROM events e WHERE event_id % 60 = 0
+              UNION ALL SELECT e.* REPLACE (ts + INTERVAL 250 MILLISECONDS AS ts), 3 AS seq
+              FROM events e WHERE event_id % 70 = 5) x""",
+    "web_texts": """
+        SELECT * EXCLUDE (duration_seconds),
+               CASE WHEN event_id % 41 <> 2 THEN duration_seconds END AS duration_seconds,
+               duration_seconds IS NOT NULL AND event_id % 41 = 2 AS unfit,
+               CASE event_id % 97
+                    WHEN 13 THEN 'yesterday'
+                    WHEN 14 THEN replace(CAST("timestamp" AS VARCHAR), ' ', 'T') || 'Z'
+                    WHEN 15 THEN '2024'
+                    WHEN 16 THEN CAST(CAST("timestamp" AS DATE) AS VARCHAR)
+                    ELSE replace(CAST("timestamp" AS VARCHAR), ' ', 'T') END AS time_text,
+               CASE WHEN event_id % 97 IN (13, 14, 15) THEN NULL
+                    WHEN event_id % 97 = 16 THEN date_trunc('day', "timestamp")
+                    ELSE "timestamp" END AS read_at
+        FROM raw_web_events""",
     "web_events": """
         SELECT * EXCLUDE (rn), CAST("timestamp" AS DATE) AS event_date
         FROM (SELECT *, row_number() OVER (PARTITION BY session_id, event_type, "timestamp"

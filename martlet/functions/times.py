@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 # m/d/yy h:mm, as point-of-sale exports write it.
 _SHORT = r"^(\d{1,2})/(\d{1,2})/(\d{2}) (\d{1,2}:\d{2})$"
+# A date of three parts, and no zone behind the time.
+_WALL_CLOCK = r"^\d{4}-\d{1,2}-\d{1,2}([T ]\d{1,2}(:\d{1,2}){1,2}(\.\d*)?)?$"
 
 
 def parse_timestamp(text: Column) -> Column:
@@ -14,7 +16,9 @@ def parse_timestamp(text: Column) -> Column:
 
     Accepted: ISO with ``T`` or a blank and an optional fraction, a bare date, and
     ``m/d/yy h:mm`` (years 69-99 belong to the 1900s). The short form is rewritten as ISO
-    rather than parsed in the session time zone, where an hour may not exist.
+    rather than parsed in the session time zone, where an hour may not exist. A text with a
+    time zone names another clock than the store's, and a year or month alone is no date;
+    both are null and go to quarantine like any other text.
     """
     text = F.trim(text)
     year = F.regexp_extract(text, _SHORT, 3)
@@ -30,7 +34,8 @@ def parse_timestamp(text: Column) -> Column:
         F.lit(" "),
         F.regexp_extract(text, _SHORT, 4),
     )
-    return F.when(short != "", iso).otherwise(text).try_cast("timestamp_ntz")
+    full = F.when(text.rlike(_WALL_CLOCK), text)
+    return F.when(short != "", iso).otherwise(full).try_cast("timestamp_ntz")
 
 
 def month_label(ts: Column) -> Column:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martlet.functions import parse_timestamp
-from martlet.operators.skew import HOT_ROWS, with_group_max, with_next_value
+from martlet.operators.skew import with_group_max
 
 ATTRIBUTES = ["name", "email", "city"]
 
@@ -15,13 +15,13 @@ def parse_updates(raw: DataFrame) -> DataFrame:
     return raw.withColumn("update_timestamp", parse_timestamp(F.col("update_timestamp")))
 
 
-def scd2_flag(customers: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:
+def scd2_flag(customers: DataFrame) -> DataFrame:
     """Add is_current and valid_from.
 
     A version is current when its timestamp equals the customer's latest one, so versions
     that tie are all current, and a version without a timestamp has no flag.
     """
-    latest = with_group_max(customers, "customer_id", "update_timestamp", "_latest", min_rows)
+    latest = with_group_max(customers, "customer_id", "update_timestamp", "_latest")
     return (
         latest.withColumn("is_current", F.col("update_timestamp") == F.col("_latest"))
         .withColumn("valid_from", F.col("update_timestamp"))
@@ -62,33 +62,35 @@ def scd2_check(flagged: DataFrame) -> DataFrame:
     ).withColumn("ok", F.col("current_rows") == F.col("customers"))
 
 
-def scd2_merge(flagged: DataFrame, incoming: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:
-    """Apply changed records: the version they replace ends, they become the current one.
+def scd2_merge(flagged: DataFrame, incoming: DataFrame) -> DataFrame:
+    """Put changed records into the history in the order of their time.
 
     ``incoming`` has customer_id, name, email, city and update_timestamp, in any number per
-    customer. Records equal to the current version change nothing. Every version then ends
-    where the customer's next one begins; the open ones are current.
+    customer and in any order. A record that equals the version before it changes nothing, so
+    a move, a move back and a repeated feed come out right; stored versions always stay. Every
+    version ends where the customer's next later one begins. As in ``scd2_flag``, versions that
+    tie for the latest time are all current, and one without a time has no flag.
     """
     columns = ["customer_id", *ATTRIBUTES, "update_timestamp"]
-    current = flagged.where("is_current").select("customer_id", *ATTRIBUTES).distinct()
-    new, old = incoming.alias("new"), current.alias("old")
-    same = F.col("new.customer_id") == F.col("old.customer_id")
-    for name in ATTRIBUTES:
-        same = same & F.col(f"new.{name}").eqNullSafe(F.col(f"old.{name}"))
-    changed = new.join(old, same, "left_anti")
-
-    versions = flagged.select(columns).unionByName(changed.select(columns)).distinct()
-    starts = versions.select("customer_id", "update_timestamp").distinct()
-    ends = with_next_value(starts, "customer_id", "update_timestamp", "valid_to", min_rows)
-    v, e = versions.alias("v"), ends.alias("e")
-    chained = v.join(
-        e,
-        F.col("v.customer_id").eqNullSafe(F.col("e.customer_id"))
-        & F.col("v.update_timestamp").eqNullSafe(F.col("e.update_timestamp")),
+    marked = [
+        df.select(*columns, F.lit(stored).alias("_stored"))
+        for df, stored in ((flagged, True), (incoming, False))
+    ]
+    records = marked[0].unionByName(marked[1]).groupBy(*columns).agg(F.max("_stored").alias("_stored"))
+    history = Window.partitionBy("customer_id").orderBy(
+        "update_timestamp", F.desc("_stored"), *ATTRIBUTES
     )
-    return chained.select(
-        "v.*",
-        F.col("v.update_timestamp").alias("valid_from"),
-        "e.valid_to",
-        F.col("e.valid_to").isNull().alias("is_current"),
+    attributes = F.struct(*ATTRIBUTES)
+    changed = ~attributes.eqNullSafe(F.lag(attributes).over(history))
+    versions = records.withColumn("_keep", F.col("_stored") | changed).where("_keep")
+    # Of versions that share a time, the last one sees when the next time begins.
+    following = F.lead("update_timestamp").over(history)
+    later = F.when(following > F.col("update_timestamp"), following)
+    tied = Window.partitionBy("customer_id", "update_timestamp")
+    latest = F.max("update_timestamp").over(Window.partitionBy("customer_id"))
+    return (
+        versions.withColumn("_next", later)
+        .withColumn("valid_to", F.max("_next").over(tied))
+        .withColumn("is_current", F.col("update_timestamp") == latest)
+        .select(*columns, F.col("update_timestamp").alias("valid_from"), "valid_to", "is_current")
     )

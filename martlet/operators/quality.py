@@ -48,20 +48,56 @@ def orphan_count(fact: DataFrame, dim: DataFrame, key: str, allow_null: bool = F
     return lost.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("count"))
 
 
-def orphan_report(
-    sales: DataFrame, customers: DataFrame, products: DataFrame, stores: DataFrame
+def _lost_keys(
+    fact: DataFrame, checks: dict[str, tuple[str, DataFrame, str]], allow_null: bool
 ) -> DataFrame:
-    checks = [
-        ("Orphaned Customers", customers, "customer_id"),
-        ("Orphaned Products", products, "product_id"),
-        ("Orphaned Stores", stores, "store_id"),
-    ]
-    return _union(
+    """``check, count`` of the fact rows whose key is not in its dimension, in one pass.
+
+    ``checks`` has the fact's column, the dimension and the dimension's column by name. Keys of
+    all checks are counted side by side and meet all dimensions in one anti-join.
+    """
+
+    def tagged(name: str, key: Column) -> Column:
+        return F.struct(F.lit(name).alias("check"), key.cast("string").alias("key"))
+
+    pairs = [tagged(name, F.col(column)) for name, (column, _, _) in checks.items()]
+    keys = fact.select(F.explode(F.array(*pairs)).alias("p")).select("p.check", "p.key")
+    if allow_null:
+        keys = keys.where(F.col("key").isNotNull())
+    counts = keys.groupBy("check", "key").agg(F.count(F.lit(1)).alias("_rows"))
+    known = _union(
         [
-            orphan_count(sales, dim, key).select(F.lit(name).alias("check_type"), "count")
-            for name, dim, key in checks
+            dim.select(tagged(name, F.col(column)).alias("p")).select("p.check", "p.key")
+            for name, (_, dim, column) in checks.items()
         ]
     )
+    lost = counts.join(known, ["check", "key"], "left_anti")
+    return lost.groupBy("check").agg(F.sum("_rows").alias("count"))
+
+
+def _with_zeros(counted: DataFrame, names: list[str]) -> DataFrame:
+    """The counts as one row with a column for each name, zero where nothing was counted."""
+    return counted.agg(
+        *[
+            F.coalesce(F.sum(F.when(F.col("check") == name, F.col("count"))), F.lit(0)).alias(f"c{i}")
+            for i, name in enumerate(names)
+        ]
+    )
+
+
+def orphan_report(
+    sales: DataFrame, customers: DataFrame, products: DataFrame, stores: DataFrame
+) -> DataFrame:
+    """Sales rows without a customer, product or store, a missing key included."""
+    checks = {
+        "Orphaned Customers": ("customer_id", customers, "customer_id"),
+        "Orphaned Products": ("product_id", products, "product_id"),
+        "Orphaned Stores": ("store_id", stores, "store_id"),
+    }
+    names = list(checks)
+    one_row = _with_zeros(_lost_keys(sales, checks, allow_null=False), names)
+    counts = {(name,): f"c{i}" for i, name in enumerate(names)}
+    return _as_rows(one_row, ["check_type"], counts).withColumnRenamed("affected", "count")
 
 
 @dataclass(frozen=True)
@@ -164,6 +200,26 @@ def _broken(rule: Rule) -> Column:
     raise ValueError(f"not a row rule: {rule.kind}")
 
 
+def _excess_rows(df: DataFrame, table: str, rules: list[Rule], labels: list[str]) -> DataFrame:
+    """Rows beyond the first of each key, for all key rules in one pass; a key must be complete."""
+    values = [
+        F.struct(
+            F.lit(i).alias("rule"),
+            F.array(*[F.col(c).cast("string") for c in rule.columns]).alias("key"),
+        )
+        for i, rule in enumerate(rules)
+    ]
+    keys = df.select(F.explode(F.array(*values)).alias("v")).select("v.rule", "v.key")
+    groups = keys.groupBy("rule", "key").agg(F.count(F.lit(1)).alias("_rows"))
+    complete = F.forall("key", lambda part: part.isNotNull())
+    primary = F.col("rule").isin([i for i, rule in enumerate(rules) if rule.kind == "key"])
+    lost = F.when(complete, F.col("_rows") - 1).when(primary, F.col("_rows")).otherwise(0)
+    counts = {
+        (table, rule.name): F.sum(F.when(F.col("rule") == i, lost)) for i, rule in enumerate(rules)
+    }
+    return _counted(groups, labels, counts)
+
+
 def constraint_report(
     table: str, df: DataFrame, rules: list[Rule], tables: dict[str, DataFrame]
 ) -> DataFrame:
@@ -174,18 +230,14 @@ def constraint_report(
     if row_rules:
         counts = {(table, r.name): F.count_if(_broken(r)) for r in row_rules}
         parts.append(_counted(df, labels, counts))
-    for rule in rules:
-        if rule.kind in ("key", "unique"):
-            complete = reduce(Column.__and__, [F.col(c).isNotNull() for c in rule.columns])
-            groups = df.groupBy(*rule.columns).agg(F.count(F.lit(1)).alias("_rows"))
-            excess = F.sum(F.when(complete, F.col("_rows") - 1).otherwise(
-                F.col("_rows") if rule.kind == "key" else F.lit(0)
-            ))
-            parts.append(_counted(groups, labels, {(table, rule.name): excess}))
-        elif rule.kind == "reference":
-            (key,) = rule.columns
-            lost = orphan_count(df, tables[rule.detail], key, allow_null=True)
-            parts.append(_as_rows(lost, labels, {(table, rule.name): "count"}))
+    keyed = [r for r in rules if r.kind in ("key", "unique")]
+    if keyed:
+        parts.append(_excess_rows(df, table, keyed, labels))
+    references = {r.name: (r.columns[0], tables[r.detail], r.columns[0]) for r in rules if r.kind == "reference"}
+    if references:
+        names = list(references)
+        one_row = _with_zeros(_lost_keys(df, references, allow_null=True), names)
+        parts.append(_as_rows(one_row, labels, {(table, n): f"c{i}" for i, n in enumerate(names)}))
     return _union(parts).withColumnRenamed("affected", "violations")
 
 
@@ -234,6 +286,8 @@ def quality_report(
     inventory: DataFrame | None = None,
     events: DataFrame | None = None,
     bad_lines: DataFrame | None = None,
+    unfit: DataFrame | None = None,
+    unreadable_files: int | None = None,
 ) -> DataFrame:
     """What each cleaning rule does to the raw tables: source, check, action, affected rows.
 
@@ -290,6 +344,13 @@ def quality_report(
                 {("fact_web_events", "JSON parse error", "skip line"): F.count(F.lit(1))},
             )
         )
+    if unfit is not None:
+        check = ("fact_web_events", "value does not fit", "set to null")
+        parts.append(_counted(unfit, labels, {check: F.sum("affected")}))
+    if unreadable_files is not None:
+        check = ("fact_web_events", "unreadable file", "skip file")
+        counted = parts[0].sparkSession.range(1)
+        parts.append(_counted(counted, labels, {check: F.lit(unreadable_files)}))
     return _union(parts)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlet.functions import padded_id, title_text
-from martlet.operators.skew import HOT_ROWS, first_per_key, with_row_number
+from martlet.operators.skew import first_per_key, with_row_number
 
 
 def drop_null_customers(retail: DataFrame) -> DataFrame:
@@ -52,15 +52,18 @@ def map_sales(retail: DataFrame) -> DataFrame:
 def derive_shipments(sales: DataFrame) -> DataFrame:
     """One shipment per distinct transaction.
 
-    The id comes from the transaction's own number, so no global numbering is needed; a
-    transaction id that is not a number is kept whole after the prefix.
+    The id comes from the transaction's own number, so no global numbering is needed. Only a
+    transaction id that is its number's plain text is padded. Other texts are kept whole, and
+    those that read as a number (``0123``) get a mark, so no two share a shipment id.
     """
-    number = F.col("transaction_id").cast("string").try_cast("bigint")
+    text = F.col("transaction_id").cast("string")
+    number = text.try_cast("bigint")
+    plain = (number.cast("string") == text) & (number >= 0)
+    marked = number.isNotNull() | text.startswith("#")
     return sales.select("transaction_id").distinct().select(
-        F.coalesce(
-            padded_id("SHP_", number, 7),
-            F.concat(F.lit("SHP_"), F.col("transaction_id").cast("string")),
-        ).alias("shipment_id"),
+        F.when(plain, padded_id("SHP_", number, 7))
+        .otherwise(F.concat(F.lit("SHP_"), F.when(marked, "#").otherwise(""), text))
+        .alias("shipment_id"),
         "transaction_id",
     )
 
@@ -75,11 +78,9 @@ def retail_clean(retail: DataFrame) -> DataFrame:
     )
 
 
-def line_transaction_ids(
-    retail: DataFrame, order: list[str], min_rows: int = HOT_ROWS
-) -> DataFrame:
+def line_transaction_ids(retail: DataFrame, order: list[str]) -> DataFrame:
     """Ids of single lines: ``TXN{invoice}-{n}``, ``CUST{customer}``, ``PROD{stock code}``."""
-    numbered = with_row_number(retail, "invoice_no", order, "line_in_invoice", min_rows)
+    numbered = with_row_number(retail, "invoice_no", order, "line_in_invoice")
 
     def prefixed(prefix: str, column: str) -> Column:
         return F.concat(F.lit(prefix), F.col(column).cast("string"))

@@ -1,147 +1,63 @@
-"""Window work over groups of any size.
+"""Work over groups of any size, in one lazy plan whatever the size.
 
-A window over one key sorts the whole key in one task. The functions here look for keys that
-are too large for that, leave every other key to the plain window, and give the large ones a
-plan whose tasks stay small. Nothing is dropped: a key that is missed is only slower.
+A window over one key sorts the whole key in one task. Maxima are aggregates that merge on the
+map side; numbering works on pieces of a key's order and adds the sizes of the pieces before.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType
+from pyspark.sql import types as T
 
-from martlet.session import materialise
+_STEP = 100_000
 
-HOT_ROWS = 1_000_000
-_SAMPLES_PER_HOT_KEY = 64
-_CHUNK = 10_000
 
+def with_group_max(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
+    """``max(value) over (partition by key)`` as a new column; null is a key like any other.
 
-def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS, most: int = 10_000) -> list:
-    """Values of ``key`` that hold about ``min_rows`` rows or more, largest first.
-
-    Counts a thin sample, so the shuffle is tiny; the list that reaches the driver has at
-    most ``most`` entries. It only chooses a plan: what is computed does not depend on it.
+    The join has no window, so adaptive execution can split a key with very many rows.
     """
-    fraction = min(1.0, _SAMPLES_PER_HOT_KEY / min_rows)
-    keys = df.select(key)
-    if fraction < 1.0:
-        keys = keys.sample(fraction, seed=11)
-    counts = keys.groupBy(key).count().where(F.col("count") >= fraction * min_rows * 0.75)
-    return [row[0] for row in counts.orderBy(F.desc("count")).limit(most).collect()]
-
-
-def split_by_key(df: DataFrame, key: str, values: list) -> tuple[DataFrame, DataFrame]:
-    """(rows of all other keys, rows of the given keys); a null key is a key like any other."""
-    listed = F.coalesce(F.col(key).isin([v for v in values if v is not None]), F.lit(False))
-    if None in values:
-        listed = listed | F.col(key).isNull()
-    return df.where(~listed), df.where(listed)
+    peaks = df.groupBy(F.col(key).alias("_key")).agg(F.max(value).alias(name))
+    return df.join(peaks, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
 
 
-def with_group_max(
-    df: DataFrame, key: str, value: str, name: str, min_rows: int = HOT_ROWS
-) -> DataFrame:
-    """``max(value) over (partition by key)`` as a new column."""
-    top = F.max(value).over(Window.partitionBy(key))
-    hot = hot_keys(df, key, min_rows)
-    if not hot:
-        return df.withColumn(name, top)
-    rest, large = split_by_key(df, key, hot)
-    # One row per hot key, at most ten thousand: small enough to send to every task.
-    peaks = large.groupBy(F.col(key).alias("_key")).agg(F.max(value).alias(name))
-    flagged = large.join(F.broadcast(peaks), F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
-    return rest.withColumn(name, top).unionByName(flagged)
-
-
-def _in_pieces(df: DataFrame, order: list[str]) -> DataFrame:
-    """Range-partition by a unique ``order`` and label each row with its piece.
-
-    The label is only meaningful for one run of the shuffle, so the labelled rows are written
-    out before two branches of a plan read them.
-    """
-    ranged = df.repartitionByRange(*order).withColumn("_piece", F.spark_partition_id())
-    return materialise(ranged)
-
-
-def _copies_collapsed(df: DataFrame) -> DataFrame:
-    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
-
-
-def _copies_expanded(df: DataFrame, name: str) -> DataFrame:
-    """One row per copy, numbered from ``_start``; huge runs are cut into chunks that spread."""
-    chunks = (
-        df.withColumn("_from", F.explode(F.expr(f"sequence(0L, _copies - 1, {_CHUNK}L)")))
-        .withColumn("_to", F.least(F.col("_copies"), F.col("_from") + _CHUNK))
-        .repartition(F.col("_start") + F.col("_from"))
-    )
-    each = F.explode(F.expr("sequence(_start + _from + 1, _start + _to)"))
-    return chunks.withColumn(name, each).drop("_copies", "_start", "_from", "_to")
+def _piece(df: DataFrame, column: str, step: int) -> Column:
+    """A coarser value that never falls while ``column`` rises, so that it cuts the order."""
+    kind, value = df.schema[column].dataType, F.col(column)
+    if isinstance(kind, T.IntegralType):
+        return F.floor(value / step)
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.to_date(value)
+    if isinstance(kind, T.StringType):
+        return F.substring(value, 1, 8)
+    return F.lit(0)
 
 
 def with_row_number(
-    df: DataFrame, key: str, order: list[str], name: str, min_rows: int = HOT_ROWS
+    df: DataFrame, key: str, order: list[str], name: str, step: int = _STEP
 ) -> DataFrame:
     """``row_number() over (partition by key order by order)`` as a new BIGINT column.
 
     Ties of ``order`` are broken by the remaining columns, so the result is the same each run.
+    A key's rows are numbered in pieces: ``step`` whole numbers, a day, or eight characters of
+    the first column of the order.
     """
     full_order = order + [c for c in df.columns if c not in order and c != key]
-    plain = F.row_number().over(Window.partitionBy(key).orderBy(*full_order)).cast("bigint")
-    hot = hot_keys(df, key, min_rows)
-    if not hot:
-        return df.withColumn(name, plain)
-    rest, large = split_by_key(df, key, hot)
-
-    pieces = _in_pieces(_copies_collapsed(large), [key, *full_order])
-    running = Window.partitionBy("_key", "_piece").orderBy(*full_order).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    earlier = Window.partitionBy("_key").orderBy("_piece").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    keyed = pieces.withColumn("_key", F.struct(key))
+    pieces = df.withColumn("_piece", _piece(df, order[0], step))
+    inside = F.row_number().over(Window.partitionBy(key, "_piece").orderBy(*full_order))
+    before = Window.partitionBy("_key").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        keyed.groupBy("_key", "_piece")
-        .agg(F.sum("_copies").alias("_rows"))
-        .withColumn("_offset", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+        pieces.groupBy(F.col(key).alias("_key"), F.col("_piece").alias("_at"))
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .withColumn("_offset", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
         .drop("_rows")
     )
-    numbered = (
-        keyed.withColumn("_inside", F.coalesce(F.sum("_copies").over(running), F.lit(0)))
-        .join(offsets, ["_key", "_piece"])
-        .withColumn("_start", F.col("_offset") + F.col("_inside"))
-        .drop("_key", "_piece", "_inside", "_offset")
-    )
-    return rest.withColumn(name, plain).unionByName(_copies_expanded(numbered, name))
-
-
-def with_next_value(
-    df: DataFrame, key: str, value: str, name: str, min_rows: int = HOT_ROWS
-) -> DataFrame:
-    """The next greater ``value`` of the same key, null for the last; (key, value) is unique."""
-    following = F.lead(value).over(Window.partitionBy(key).orderBy(value))
-    hot = hot_keys(df, key, min_rows)
-    if not hot:
-        return df.withColumn(name, following)
-    rest, large = split_by_key(df, key, hot)
-
-    keyed = _in_pieces(large, [key, value]).withColumn("_key", F.struct(key))
-    inside = F.lead(value).over(Window.partitionBy("_key", "_piece").orderBy(value))
-    firsts = (
-        keyed.groupBy("_key", "_piece")
-        .agg(F.min(value).alias("_first"))
-        .withColumn("_next", F.lead("_first").over(Window.partitionBy("_key").orderBy("_piece")))
-        .drop("_first")
-    )
-    chained = (
-        keyed.withColumn("_inside", inside)
-        .join(firsts, ["_key", "_piece"])
-        .withColumn(name, F.coalesce("_inside", "_next"))
-        .drop("_key", "_piece", "_inside", "_next")
+    same = F.col(key).eqNullSafe(F.col("_key")) & F.col("_piece").eqNullSafe(F.col("_at"))
+    numbered = pieces.withColumn(name, inside).join(offsets, same)
+    return numbered.withColumn(name, F.col(name) + F.col("_offset")).drop(
+        "_piece", "_key", "_at", "_offset"
     )
-    return rest.withColumn(name, following).unionByName(chained)
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -155,7 +71,7 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     others += [c for c in df.columns if c not in keys and c not in others]
     if not others:
         return df.distinct()
-    maps = {f.name for f in df.schema if isinstance(f.dataType, MapType)}
+    maps = {f.name for f in df.schema if isinstance(f.dataType, T.MapType)}
 
     def packed(column: str) -> Column:
         # A map has no order; its sorted entries do.

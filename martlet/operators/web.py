@@ -4,16 +4,48 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, IntegralType
 
 from martlet.functions import parse_timestamp
 from martlet.operators.skew import first_per_key
 from martlet.schemas import WEB_EVENT, WEB_EVENT_KEY, WEB_EVENT_KNOWN_FIELDS
 
 
+_END = "_end_of_line"
+_JSON = {"allowSingleQuotes": "false"}
+
+
 def _fields() -> Column:
-    """Fields of a line that is one JSON object, as text by name; null for anything else."""
-    text = F.trim("value")
-    return F.when(text.endswith("}"), F.from_json(text, "map<string,string>"))
+    """Fields of a line that is one JSON object, as text by name; null for anything else.
+
+    The line is read as the first element of a list that ends with a mark of its own: with
+    anything behind the object, a second one included, the list is broken or longer.
+    """
+    listed = F.concat(F.lit("["), F.trim("value"), F.lit(f',{{"{_END}":""}}]'))
+    parsed = F.array(F.from_json(listed, "array<map<string,string>>", _JSON))
+    whole = F.filter(
+        parsed, lambda p: (F.size(p) == 2) & F.map_contains_key(F.try_element_at(p, F.lit(2)), _END)
+    )
+    return F.try_element_at(F.flatten(whole), F.lit(1))
+
+
+def _last_of_each(fields: Column) -> Column:
+    """A name that a line repeats has its last value."""
+    entries = F.map_entries(fields)
+    last = F.filter(
+        entries,
+        lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda x: x.key == e.key),
+    )
+    repeated = F.size(F.array_distinct(F.map_keys(fields))) < F.size(fields)
+    return F.when(repeated, F.map_from_entries(last)).otherwise(fields)
+
+
+def _fitted(text: Column, kind: DataType) -> Column:
+    """The value in its declared type; whole numbers may be written with a fraction of zero."""
+    if isinstance(kind, IntegralType):
+        number = text.try_cast("decimal(38,9)")
+        return F.when(number == F.floor(number), number).try_cast(kind)
+    return text.try_cast(kind)
 
 
 # JSON texts that say nothing; like ``{}`` they give neither event nor fault.
@@ -29,7 +61,9 @@ def split_lines(lines: DataFrame) -> DataFrame:
     others = [c for c in lines.columns if c != "value"]
     broken = F.col("fields").isNull() & ~F.trim("value").isin(_NOTHING)
     return lines.select(*others, "value", _fields().alias("fields")).select(
-        *others, "fields", F.when(broken, F.col("value")).alias("bad")
+        *others,
+        _last_of_each(F.col("fields")).alias("fields"),
+        F.when(broken, F.col("value")).alias("bad"),
     )
 
 
@@ -43,7 +77,7 @@ def events_of(split: DataFrame, known: list[str] = WEB_EVENT_KNOWN_FIELDS) -> Da
     others = [c for c in split.columns if c not in ("fields", "bad")]
     fields = F.col("fields")
     typed = [
-        F.try_element_at(fields, F.lit(f.name)).try_cast(f.dataType).alias(f.name)
+        _fitted(F.try_element_at(fields, F.lit(f.name)), f.dataType).alias(f.name)
         for f in WEB_EVENT
     ]
     rest = F.map_filter(fields, lambda k, v: ~k.isin(known))
@@ -56,6 +90,18 @@ def bad_of(split: DataFrame) -> DataFrame:
     return split.where(F.col("bad").isNotNull()).drop("fields").withColumnRenamed("bad", "value")
 
 
+def unfit_values_of(split: DataFrame) -> DataFrame:
+    """How many values are there but do not fit their declared type, by field; none if none."""
+    def unfit(name: str, kind: DataType) -> Column:
+        text = F.try_element_at("fields", F.lit(name))
+        return F.when(text.isNotNull() & _fitted(text, kind).isNull(), F.lit(name))
+
+    names = F.filter(F.array(*[unfit(f.name, f.dataType) for f in WEB_EVENT]), lambda n: n.isNotNull())
+    return split.select(F.explode(names).alias("field")).groupBy("field").agg(
+        F.count(F.lit(1)).alias("affected")
+    )
+
+
 def new_fields_of(split: DataFrame, known: list[str] = WEB_EVENT_KNOWN_FIELDS) -> DataFrame:
     return split.select(F.explode(_unknown(known)).alias("field")).distinct()
 

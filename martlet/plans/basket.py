@@ -14,10 +14,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martlet.functions import join_items, percent
-from martlet.session import materialise
+from martlet.session import materialise, scratch
 
 # Bits handled by one explode when an itemset is split; longer sets take two steps.
 _MASK_BITS = 14
+_BASKETS_PER_GROUP = 100_000
 
 
 def basket_pairs(sales: DataFrame, products: DataFrame) -> DataFrame:
@@ -61,8 +62,26 @@ def frequent_itemsets(pairs: DataFrame, min_support: float = 0.02) -> DataFrame:
     left empty by that still count.
     """
     spark = pairs.sparkSession
-    lines = materialise(_named(pairs).distinct())
-    n = lines.select(F.count_distinct("transaction_id")).first()[0]
+    with scratch(spark) as held:
+        lines = materialise(_named(pairs).distinct())
+        held.append(lines)
+        n = lines.select(F.count_distinct("transaction_id")).first()[0]
+        if n == 0:
+            return spark.createDataFrame(
+                [], "items ARRAY<STRING>, freq BIGINT, n_baskets BIGINT, support DOUBLE"
+            )
+        # The model computes its itemsets anew for every reader; the rules read them three times.
+        found = materialise(_mined(lines, n, min_support))
+    return found.select(
+        "items",
+        "freq",
+        F.lit(n).cast("bigint").alias("n_baskets"),
+        (F.col("freq") / F.lit(float(n))).alias("support"),
+    )
+
+
+def _mined(lines: DataFrame, n: int, min_support: float) -> DataFrame:
+    """``items, freq`` of the itemsets in at least ``min_support`` of ``n`` baskets."""
     needed = _min_count(n, min_support)
     frequent = (
         lines.groupBy("product_name")
@@ -76,20 +95,14 @@ def frequent_itemsets(pairs: DataFrame, min_support: float = 0.02) -> DataFrame:
         .groupBy("transaction_id")
         .agg(F.collect_list(item).alias("items"))
     )
-    if n == 0:
-        return spark.createDataFrame(
-            [], "items ARRAY<STRING>, freq BIGINT, n_baskets BIGINT, support DOUBLE"
-        )
+    # The conditional trees of a group of items live in one task, so groups follow the baskets.
+    cores = lines.sparkSession.sparkContext.defaultParallelism
+    groups = max(cores, math.ceil(n / _BASKETS_PER_GROUP))
     # Half a basket below the needed count: the model rounds up, so it asks for exactly that.
-    model = FPGrowth(itemsCol="items", minSupport=(needed - 0.5) / n).fit(small_baskets)
-    found = model.freqItemsets.select(F.array_sort("items").alias("items"), "freq")
-    # The model computes its itemsets anew for every reader; the rules read them three times.
-    return materialise(found).select(
-        "items",
-        "freq",
-        F.lit(n).cast("bigint").alias("n_baskets"),
-        (F.col("freq") / F.lit(float(n))).alias("support"),
-    )
+    model = FPGrowth(
+        itemsCol="items", minSupport=(needed - 0.5) / n, numPartitions=groups
+    ).fit(small_baskets)
+    return model.freqItemsets.select(F.array_sort("items").alias("items"), "freq")
 
 
 def _splits(itemsets: DataFrame) -> DataFrame:
@@ -111,6 +124,7 @@ def _splits(itemsets: DataFrame) -> DataFrame:
     masked = (
         itemsets.where(size > 1)
         .withColumn("_high", numbers(size - low_bits))
+        .repartition("items", "_high")  # the splits of one large set go to many tasks
         .withColumn("_low", numbers(low_bits))
         .withColumn("_mask", F.shiftleft("_high", _MASK_BITS) + F.col("_low"))
         .where((mask > 0) & (mask < masks(size) - 1))

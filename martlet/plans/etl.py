@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlet.functions import parse_timestamp
 from martlet.operators import customers, quality, sales, web
 from martlet.schemas import HUB_TABLES
-from martlet.session import materialise
+from martlet.session import materialise, scratch
 from martlet.sources.sinks import write_partitioned, write_quality_log, write_table
 from martlet.sources.tables import arrival_columns, load_star, table_or_empty
-from martlet.sources.web import read_web_lines
+from martlet.sources.web import no_web_lines, read_web_lines, unreadable_files
 
 _READ_AGAIN = ["dim_customers", "fact_sales", "fact_inventory"]
 
@@ -54,18 +56,41 @@ def process_facts(raw: dict[str, DataFrame], hub: str) -> None:
 
 
 def process_web_logs(split: DataFrame, hub: str, dedup: str = "exact") -> None:
-    """Events by day; unreadable timestamps and bad lines go to quarantine."""
-    events = web.events_of(split)
-    cleaned = web.clean_web_events(events, arrival_columns(), dedup)
-    write_partitioned(web.dated_events(cleaned), f"{hub}/fact_web_events", ["event_date"])
-    undated = web.undated_events(web.parse_event_time(web.drop_null_customers(events)))
-    write_table(
-        undated.select("session_id", "customer_id", "event_type", "_file"),
-        f"{hub}/quarantine_web_events",
+    """Events by day; unreadable timestamps and bad lines go to quarantine as they came.
+
+    Every line is then an event, a copy of one, an event without customer, or in quarantine.
+    """
+    events = web.events_of(split).withColumns(
+        {"timestamp_text": F.col("timestamp"), "source_file": F.col("_file")}
     )
+    cleaned = web.clean_web_events(events, arrival_columns(), dedup)
+    dated = web.dated_events(cleaned).drop("timestamp_text", "source_file")
+    write_partitioned(dated, f"{hub}/fact_web_events", ["event_date"])
+    undated = web.undated_events(cleaned).drop("timestamp", "event_date")
+    write_table(undated, f"{hub}/quarantine_web_events")
     write_table(web.bad_of(split).select("value", "_file"), f"{hub}/quarantine_web_lines")
 
 
+def split_web_logs(spark: SparkSession, path: str, hub: str) -> tuple[DataFrame, list[str]]:
+    """Lines of all files that can be read, parsed once, and the paths of the other files.
+
+    Nothing of a damaged file is taken, as what is missing of it cannot be known; its path goes
+    to ``quarantine_web_files``.
+    """
+    lost: list[str] = []
+    try:
+        split = materialise(web.split_lines(read_web_lines(spark, path)))
+    except (PySparkException, Py4JJavaError):
+        readable, lost = unreadable_files(spark, path)
+        if not lost:
+            raise
+        lines = read_web_lines(spark, readable) if readable else no_web_lines(spark)
+        split = materialise(web.split_lines(lines))
+    files = spark.createDataFrame([(name,) for name in lost], "path STRING")
+    write_table(files, f"{hub}/quarantine_web_files")
+    return split, lost
+
+
 def run_etl(
     spark: SparkSession, raw_dir: str, hub: str, log_dir: str, run_ts: str
 ) -> DataFrame:
@@ -73,28 +98,44 @@ def run_etl(
 
     Text files that several steps read are parsed once and go on as Parquet.
     """
-    raw, _ = load_star(spark, raw_dir)
-    raw |= {name: materialise(raw[name]) for name in _READ_AGAIN}
-    process_dimensions(raw, hub)
-    process_facts(raw, hub)
-    split = materialise(web.split_lines(read_web_lines(spark, f"{raw_dir}/stream/*.json")))
-    process_web_logs(split, hub)
-    events = web.events_of(split)
-    report = (
-        quality.quality_report(
-            customers=spark.read.parquet(f"{hub}/dim_customers"),
-            sales=raw["fact_sales"],
-            inventory=raw["fact_inventory"],
-            events=events,
-            bad_lines=web.bad_of(split),
+    raw, orphans = load_star(spark, raw_dir)
+    with scratch(spark) as held:
+        raw |= {name: materialise(raw[name]) for name in _READ_AGAIN}
+        held += [raw[name] for name in _READ_AGAIN]
+        process_dimensions(raw, hub)
+        process_facts(raw, hub)
+        split, lost = split_web_logs(spark, f"{raw_dir}/stream/*.json*", hub)
+        held.append(split)
+        process_web_logs(split, hub)
+        events = web.events_of(split)
+        report = (
+            quality.quality_report(
+                customers=spark.read.parquet(f"{hub}/dim_customers"),
+                sales=raw["fact_sales"],
+                inventory=raw["fact_inventory"],
+                events=events,
+                bad_lines=web.bad_of(split),
+                unfit=web.unfit_values_of(split),
+                unreadable_files=len(lost),
+            )
+            .unionByName(orphan_rows(orphans))
+            .unionByName(new_field_rows(split))
+            .unionByName(web_run_rows(split, events, hub))
         )
-        .unionByName(new_field_rows(split))
-        .unionByName(web_run_rows(split, events, hub))
-    )
-    write_quality_log(report, log_dir, run_ts)
+        write_quality_log(report, log_dir, run_ts)
     return spark.read.parquet(f"{log_dir}/quality_report")
 
 
+def orphan_rows(orphans: DataFrame) -> DataFrame:
+    """The orphans of the sales as rows of the quality report."""
+    return orphans.select(
+        F.lit("fact_sales").alias("source"),
+        F.col("check_type").alias("check"),
+        F.lit("keep row").alias("action"),
+        F.col("count").alias("affected"),
+    )
+
+
 def web_run_rows(lines: DataFrame, events: DataFrame, hub: str) -> DataFrame:
     """What became of the web logs: the events saved, or why there are none."""
     seen = (

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,3 +52,27 @@ def materialise(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/martlet-{uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[DataFrame]]:
+    """A list for materialised tables whose files go when the block ends."""
+    held: list[DataFrame] = []
+    try:
+        yield held
+    finally:
+        for df in held:
+            for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+                remove_folder(spark, folder)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system holds it."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def run_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark keeps in a stream's checkpoint: the same one after each restart."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from martlet.operators.privacy import secure_customers, visible_views
 from martlet.plans.metrics import sales_performance, web_engagement
 from martlet.schemas import HUB_TABLES
+from martlet.sources.sinks import append_audit
 from martlet.sources.tables import table_or_empty
 
 # The six raw views and the hub tables behind them.
@@ -71,5 +74,22 @@ def views_for(spark: SparkSession, role: str, folder: str) -> SparkSession:
     return session
 
 
+def audited_query(
+    spark: SparkSession, role: str, folder: str, query: str, user_id: str, audit: str, at: str
+) -> DataFrame:
+    """Run a query on the views of ``role`` and record each view that it reads.
+
+    The record is written before the result is returned; a query on views the role does not
+    see fails and leaves none.
+    """
+    session = views_for(spark, role, folder)
+    result = session.sql(query)
+    visible = [row["tableName"] for row in session.sql("SHOW TABLES").collect()]
+    for view in visible:
+        if re.search(rf"\b{view}\b", query, re.IGNORECASE):
+            append_audit(spark, audit, at, user_id, query, view)
+    return result
+
+
 def list_tables(spark: SparkSession) -> DataFrame:
     return spark.sql("SHOW TABLES")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlet.operators.sales import next_watermark, since
+from martlet.operators.sales import forget, next_watermark, purge, since
 from martlet.schemas import table
+from martlet.session import materialise, remove_folder
 from martlet.sources.tables import table_or_empty
 
 
@@ -18,8 +21,13 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     writer.format(fmt).save(path)
 
 
-def write_partitioned(df: DataFrame, path: str, keys: list[str]) -> None:
-    """Replace the partitions that occur in ``df``, one folder per key value.
+def write_partitioned(
+    df: DataFrame, path: str, keys: list[str], only_present: bool = False
+) -> None:
+    """Replace a table, one folder per key value.
+
+    A full load replaces the whole table, so nothing stays of rows that left the source. With
+    ``only_present`` the partitions that do not occur in ``df`` are left as they are.
 
     The rebalance brings the rows of a partition together so it gets few files, and splits a
     partition that is too large for one task, so a month with most of the sales is written by
@@ -28,7 +36,7 @@ def write_partitioned(df: DataFrame, path: str, keys: list[str]) -> None:
     (
         df.hint("rebalance", *keys)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "dynamic" if only_present else "static")
         .partitionBy(*keys)
         .parquet(path)
     )
@@ -45,11 +53,11 @@ def write_quality_log(report: DataFrame, path: str, run_ts: str) -> None:
     stamped.select("run_ts", "source", "check", "action", "affected").write.mode(
         "overwrite"
     ).parquet(folder)
-    # The text comes from the table, so the checks run once; it has one line per check.
+    # The text comes from the table, so the checks run once. Files follow the order of lines.
     lines = quality_lines(report.sparkSession.read.parquet(folder), run_ts)
-    lines.coalesce(1).sortWithinPartitions("position").select("value").write.mode(
-        "overwrite"
-    ).text(f"{path}/quality_report_text")
+    lines.orderBy("position", "value").select("value").write.mode("overwrite").text(
+        f"{path}/quality_report_text"
+    )
 
 
 def quality_lines(report: DataFrame, run_ts: str) -> DataFrame:
@@ -84,18 +92,63 @@ def append_since(df: DataFrame, path: str, column: str, keys: list[str], waterma
     """Load what came after the last load: add it to the table, then move the watermark.
 
     The new rows go to a folder named by the watermark they start from, so a load that broke
-    off is replaced by its repetition and not added twice.
+    off is replaced by its repetition and not added twice. Rows that arrive later but are not
+    newer than the watermark are not loaded. Rows without a value in ``column`` have no place
+    in the order: no load takes them, and all of the source stand in ``{path}_undated``.
     """
     spark = df.sparkSession
     mark = read_watermark(spark, watermark_path)
-    new = df if mark is None else since(df, column, mark)
+    write_table(df.where(F.col(column).isNull()), f"{path}_undated")
+    dated = df.where(F.col(column).isNotNull())
+    new = dated if mark is None else since(dated, column, mark)
     load = "first" if mark is None else mark.strftime("%Y%m%dT%H%M%S%f")
     labelled = new.withColumn("load", F.lit(load))
-    write_partitioned(labelled, path, [*keys, "load"])
+    write_partitioned(labelled, path, [*keys, "load"], only_present=True)
     written = spark.read.schema(labelled.schema).parquet(path).where(F.col("load") == load)
     next_watermark(written, column).coalesce(1).write.mode("append").parquet(watermark_path)
 
 
+def compact_loads(spark: SparkSession, path: str, target: str, keys: list[str]) -> None:
+    """Write an incrementally loaded table to ``target`` with one folder per key, not per load."""
+    merged = spark.read.parquet(path).withColumn("load", F.lit("compacted"))
+    write_partitioned(merged, target, [*keys, "load"])
+
+
+def retain(spark: SparkSession, path: str, day: str, as_of: date, days: int = 90) -> list[str]:
+    """Drop the day folders that retention does not keep; returns the days that went.
+
+    The table is laid out by ``day``, so nothing is rewritten and only names are read.
+    """
+    present = spark.read.parquet(path).select(day).distinct()
+    old = present.subtract(purge(present, day, as_of, days)).orderBy(day).collect()
+    for row in old:
+        remove_folder(spark, f"{path}/{day}={row[0]}")
+    return [str(row[0]) for row in old]
+
+
+def forget_rows(
+    spark: SparkSession, path: str, ids: DataFrame, keys: list[str], key: str = "customer_id"
+) -> None:
+    """Take customers out of a table laid out by ``keys``; only partitions that hold them change.
+
+    What stays of those partitions is first written beside the table and then put in place
+    partition by partition, so a run that breaks off leaves rows twice nowhere and loses none.
+    """
+    stored = spark.read.parquet(path)
+    known = ids.select(key).distinct()
+    hit = materialise(stored.join(known, key, "left_semi").select(*keys).distinct())
+    same = [stored[k].eqNullSafe(hit[k]) for k in keys]
+    rest = forget(stored.join(F.broadcast(hit), same, "left_semi"), known, key)
+    beside = f"{path}_rest"
+    write_partitioned(rest, beside, keys)
+    left = spark.read.schema(stored.schema).parquet(beside)
+    emptied = hit.join(left.select(*keys).distinct(), keys, "left_anti").collect()
+    write_partitioned(left, path, keys, only_present=True)
+    for row in emptied:
+        remove_folder(spark, "/".join([path, *(f"{k}={row[k]}" for k in keys)]))
+    remove_folder(spark, beside)
+
+
 def append_audit(
     spark: SparkSession, path: str, at: str, user_id: str, query_text: str, view_accessed: str
 ) -> None:

@@ -2,20 +2,19 @@
 
 from __future__ import annotations
 
-from functools import partial
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from martlet.schemas import RAW_TICKS, table
-from martlet.session import shared_folder
+from martlet.session import run_id
+from martlet.sources.sinks import write_partitioned
 from martlet.sources.tables import parse_ticks, table_or_empty
 
 _TIES = ["store_id", "sales", "inventory"]
 _STORED = table(
-    "tick_ts TIMESTAMP, sales INT, inventory INT, store_id STRING, arrived_in BIGINT, "
-    "batch_id BIGINT, slot INT"
+    "tick_ts TIMESTAMP, sales INT, inventory INT, store_id STRING, arrived_at TIMESTAMP, "
+    "batch_id BIGINT, run_id STRING, slot INT"
 )
 
 
@@ -46,52 +45,58 @@ def _tick_stream(spark: SparkSession, in_dir: str) -> DataFrame:
     return parse_ticks(spark.readStream.schema(RAW_TICKS).csv(in_dir))
 
 
-def _merge_batch(ticks: DataFrame, batch_id: int, out_dir: str, n: int) -> None:
-    """Newest ``n`` of the stored and the new ticks, by arrival and then time.
+def _newest(ticks: DataFrame, n: int) -> DataFrame:
+    return ticks.orderBy(F.desc("arrived_at"), F.desc("tick_ts"), *_TIES).limit(n)
+
+
+def _merge_batch(ticks: DataFrame, batch_id: int, out_dir: str, run: str, n: int) -> None:
+    """Newest ``n`` of this run's stored and new ticks, by arrival and then time.
 
-    Two slots take turns, so a batch reads what the one before wrote and may run again.
+    Two slots of the run take turns, so a batch reads what the one before wrote and may run
+    again. Other runs have slots of their own.
     """
     stored = table_or_empty(ticks.sparkSession, f"{out_dir}/latest", _STORED, "parquet")
     before = stored.where(
-        (F.col("slot") == (batch_id + 1) % 2) & (F.col("batch_id") < batch_id)
-    ).drop("slot", "batch_id")
-    new = ticks.withColumn("arrived_in", F.lit(batch_id).cast("bigint"))
-    merged = (
-        before.unionByName(new)
-        .orderBy(F.desc("arrived_in"), F.desc("tick_ts"), *_TIES)
-        .limit(n)
-        .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        .withColumn("slot", F.lit(batch_id % 2))
-    )
-    (
-        merged.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("slot")
-        .parquet(f"{out_dir}/latest")
+        (F.col("run_id") == run)
+        & (F.col("slot") == (batch_id + 1) % 2)
+        & (F.col("batch_id") < batch_id)
+    ).drop("run_id", "slot", "batch_id")
+    new = ticks.withColumn("arrived_at", F.current_timestamp().cast("timestamp_ntz"))
+    merged = _newest(before.unionByName(new), n).withColumns(
+        {
+            "batch_id": F.lit(batch_id).cast("bigint"),
+            "run_id": F.lit(run),
+            "slot": F.lit(batch_id % 2),
+        }
     )
+    write_partitioned(merged, f"{out_dir}/latest", ["run_id", "slot"], only_present=True)
 
 
-def read_live_latest(spark: SparkSession, out_dir: str) -> DataFrame:
-    """The newest ticks as the last batch left them."""
+def read_live_latest(spark: SparkSession, out_dir: str, n: int = 15) -> DataFrame:
+    """The newest ticks over all runs, each as its last batch left it."""
     stored = table_or_empty(spark, f"{out_dir}/latest", _STORED, "parquet")
-    last = stored.agg(F.max("batch_id").alias("batch_id"))
+    last = stored.groupBy("run_id").agg(F.max("batch_id").alias("batch_id"))
     columns = ["tick_ts", "sales", "inventory", "store_id"]
-    return stored.join(last, "batch_id", "left_semi").select(*columns)
+    return _newest(stored.join(last, ["run_id", "batch_id"], "left_semi"), n).select(*columns)
 
 
 def stream_live_ticks(
     spark: SparkSession,
     in_dir: str,
     out_dir: str,
-    checkpoint: str | None = None,
+    checkpoint: str,
     trigger: dict | None = None,
     n: int = 15,
 ) -> StreamingQuery:
     """Keep the newest ``n`` ticks of the files in ``in_dir``, refreshed every second."""
+
+    def write(ticks: DataFrame, batch_id: int) -> None:
+        _merge_batch(ticks, batch_id, out_dir, run_id(ticks.sparkSession, checkpoint), n)
+
     return (
         _tick_stream(spark, in_dir)
-        .writeStream.foreachBatch(partial(_merge_batch, out_dir=out_dir, n=n))
-        .option("checkpointLocation", checkpoint or f"{shared_folder(spark)}/stream_live_ticks")
+        .writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "1 second"}))
         .start()
     )
@@ -101,7 +106,7 @@ def stream_tick_series(
     spark: SparkSession,
     in_dir: str,
     out_dir: str,
-    checkpoint: str | None = None,
+    checkpoint: str,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Append time and sales of every tick, for the chart."""
@@ -109,7 +114,7 @@ def stream_tick_series(
         tick_series(_tick_stream(spark, in_dir))
         .writeStream.format("parquet")
         .option("path", f"{out_dir}/series")
-        .option("checkpointLocation", checkpoint or f"{shared_folder(spark)}/stream_tick_series")
+        .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "1 second"}))
         .start()
     )

@@ -2,24 +2,24 @@
 
 from __future__ import annotations
 
-from functools import partial
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from martlet.operators import web
+from martlet.operators import quality, web
 from martlet.schemas import HUB_TABLES, WEB_EVENT_KEY, table
-from martlet.session import shared_folder
+from martlet.session import run_id
+from martlet.sources.sinks import write_partitioned
 from martlet.sources.tables import arrival_columns, table_or_empty
 
 _STORED = StructType(
     [
         *HUB_TABLES["fact_web_events"].fields,
-        *table("timestamp_text STRING, batch_id BIGINT").fields,
+        *table("timestamp_text STRING, run_id STRING, batch_id BIGINT").fields,
     ]
 )
+_OWNER = ["run_id", "batch_id"]
 
 
 def dedup_stream(events: DataFrame, delay: str = "10 minutes") -> DataFrame:
@@ -54,69 +54,94 @@ def _not_yet_stored(events: DataFrame, stored: DataFrame, dedup: str) -> DataFra
     return new.join(old, same, "left_anti").select(*[f"n.{c}" for c in events.columns])
 
 
-def _write_batch(lines: DataFrame, batch_id: int, out_dir: str, dedup: str) -> None:
+def _write_batch(lines: DataFrame, batch_id: int, out_dir: str, run: str, dedup: str) -> None:
     """Add one batch to the hub: the first event of each key the hub does not have yet.
 
-    Each batch owns its sub-partitions, so a batch that is run again replaces its own files
-    and nothing else.
+    Each batch owns its sub-partitions, named by the run that its checkpoint stands for and by
+    its number. So a batch that is run again replaces its own files, and another stream or a
+    new checkpoint replaces nothing. What is no dated event goes to the quarantine tables.
     """
     spark = lines.sparkSession
     placed = lines.withColumn("_position", F.monotonically_increasing_id())
     split = web.split_lines(placed).persist()
-    events = web.events_of(split).withColumn("timestamp_text", F.col("timestamp"))
-    cleaned = web.dated_events(web.clean_web_events(events, arrival_columns(), dedup))
-
-    # Only the days of this batch are compared, so the scan of the hub skips all others.
-    days = cleaned.agg(F.min("event_date"), F.max("event_date")).first()
-    stored = read_stream_events(spark, out_dir).where(
-        F.col("event_date").between(F.lit(days[0]), F.lit(days[1])) & (F.col("batch_id") != batch_id)
+    try:
+        events = web.events_of(split).withColumns(
+            {"timestamp_text": F.col("timestamp"), "source_file": F.col("_file")}
+        )
+        cleaned = web.clean_web_events(events, arrival_columns(), dedup)
+        dated = web.dated_events(cleaned).drop("source_file")
+
+        # The days of this batch, so that the scan of the hub reads their folders and no others.
+        days = [row[0] for row in dated.select("event_date").distinct().collect()]
+        own = (F.col("run_id") == run) & (F.col("batch_id") == batch_id)
+        stored = read_stream_events(spark, out_dir).where(F.col("event_date").isin(days) & ~own)
+
+        def write(df: DataFrame, name: str, *keys: str) -> None:
+            owned = df.withColumns({"run_id": F.lit(run), "batch_id": F.lit(batch_id).cast("bigint")})
+            write_partitioned(owned, f"{out_dir}/{name}", [*keys, *_OWNER], only_present=True)
+
+        write(_not_yet_stored(dated, stored, dedup), "fact_web_events", "event_date")
+        undated = web.undated_events(cleaned).drop("timestamp", "event_date")
+        write(undated, "quarantine_web_events")
+        write(web.bad_of(split).select("value", "_file"), "quarantine_web_lines")
+        saved = read_stream_events(spark, out_dir).where(own)
+        write(_batch_quality(split, events, dated, saved), "quality_report")
+    finally:
+        split.unpersist()
+
+
+def _batch_quality(split: DataFrame, events: DataFrame, dated: DataFrame, saved: DataFrame) -> DataFrame:
+    """The checks of the batch run, and how many events were new to the hub."""
+    report = quality.quality_report(
+        events=events, bad_lines=web.bad_of(split), unfit=web.unfit_values_of(split)
     )
-    fresh = _not_yet_stored(cleaned, stored, dedup)
-    (
-        fresh.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        .hint("rebalance", "event_date")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("event_date", "batch_id")
-        .parquet(f"{out_dir}/fact_web_events")
+    one, none = F.lit(1), F.lit(0)
+    counts = (
+        dated.select(one.alias("all"), none.alias("new"))
+        .union(saved.select(none, one))
+        .agg(F.coalesce(F.sum("all"), none).alias("all"), F.coalesce(F.sum("new"), none).alias("new"))
     )
-    (
-        _batch_quality(split, events, batch_id)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
-        .parquet(f"{out_dir}/quality_report")
+    stored = F.array(
+        F.struct(
+            F.lit("fact_web_events").alias("source"),
+            F.lit("events in hub").alias("check"),
+            F.lit("save").alias("action"),
+            F.col("new").alias("affected"),
+        ),
+        F.struct(
+            F.lit("fact_web_events").alias("source"),
+            F.lit("event already in hub").alias("check"),
+            F.lit("keep first").alias("action"),
+            (F.col("all") - F.col("new")).alias("affected"),
+        ),
     )
-    split.unpersist()
+    return report.unionByName(counts.select(F.inline(stored)))
 
 
-def _batch_quality(split: DataFrame, events: DataFrame, batch_id: int) -> DataFrame:
-    bad = web.bad_of(split).agg(F.count(F.lit(1)).alias("affected"))
-    lost = events.where(F.col("customer_id").isNull()).agg(F.count(F.lit(1)).alias("affected"))
+def compact_stream_events(spark: SparkSession, out_dir: str, target: str) -> None:
+    """Write the stored events to ``target`` with few files per day instead of one per batch.
 
-    def row(counted: DataFrame, check: str, action: str) -> DataFrame:
-        return counted.select(
-            F.lit(batch_id).cast("bigint").alias("batch_id"),
-            F.lit("fact_web_events").alias("source"),
-            F.lit(check).alias("check"),
-            F.lit(action).alias("action"),
-            "affected",
-        )
-
-    return row(bad, "JSON parse error", "skip line").unionByName(
-        row(lost, "customer_id is null", "drop row")
+    The copy reads like the original; put it in its place while no stream runs.
+    """
+    merged = read_stream_events(spark, out_dir).withColumns(
+        {"run_id": F.lit("compacted"), "batch_id": F.lit(0).cast("bigint")}
     )
+    write_partitioned(merged, f"{target}/fact_web_events", ["event_date", *_OWNER])
 
 
 def stream_web_events(
     spark: SparkSession,
     in_dir: str,
     out_dir: str,
-    checkpoint: str | None = None,
+    checkpoint: str,
     trigger: dict | None = None,
     dedup: str = "exact",
 ) -> StreamingQuery:
-    """Clean new files of ``in_dir`` into the hub every 30 seconds, as the batch run would."""
+    """Clean new files of ``in_dir`` into the hub every 30 seconds, as the batch run would.
+
+    ``checkpoint`` is a lasting folder of this stream alone. A file that cannot be read stops
+    the stream; nothing is skipped.
+    """
     files = (
         spark.readStream.format("text")
         .option("pathGlobFilter", "*.json")
@@ -127,9 +152,13 @@ def stream_web_events(
             F.col("_metadata.file_block_start").alias("_block"),
         )
     )
+
+    def write(lines: DataFrame, batch_id: int) -> None:
+        _write_batch(lines, batch_id, out_dir, run_id(lines.sparkSession, checkpoint), dedup)
+
     return (
-        files.writeStream.foreachBatch(partial(_write_batch, out_dir=out_dir, dedup=dedup))
-        .option("checkpointLocation", checkpoint or f"{shared_folder(spark)}/stream_web_events")
+        files.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "30 seconds"}))
         .start()
     )

@@ -65,9 +65,16 @@ def test_shipments_one_per_transaction(lines, rows):
     ]
 
 
-@pytest.mark.parametrize("min_rows", [1_000_000, 2])
-def test_line_transaction_ids(lines, rows, min_rows):
-    got = rows(retail.line_transaction_ids(lines, ["line_no"], min_rows), "transaction_id", "product_id")
+def test_shipment_ids_are_unique(frame):
+    ids = ["123", "0123", " 123", "+123", "-5", "#0123", "#123", "C1", "12345678", "0000123", "1.5"]
+    got = retail.derive_shipments(frame("transaction_id STRING", *[(i,) for i in ids])).collect()
+    by_id = {r.transaction_id: r.shipment_id for r in got}
+    assert len(set(by_id.values())) == len(ids)
+    assert by_id["123"] == "SHP_0000123" and by_id["12345678"] == "SHP_12345678"
+
+
+def test_line_transaction_ids(lines, rows):
+    got = rows(retail.line_transaction_ids(lines, ["line_no"]), "transaction_id", "product_id")
     assert got == [
         ("TXN536365-1", "PROD85123A"),
         ("TXN536365-2", "PROD71053"),

@@ -29,42 +29,39 @@ def skewed(spark):
     )
 
 
-def test_hot_keys_are_found_largest_first(skewed):
-    assert skew.hot_keys(skewed, "k", min_rows=30) == [7, None]
-    assert skew.hot_keys(skewed, "k") == []
-
-
-def test_split_keeps_every_row(skewed):
-    rest, hot = skew.split_by_key(skewed, "k", [7, None])
-    assert rest.count() + hot.count() == 3000
-    assert {r.k for r in hot.select("k").distinct().collect()} == {7, None}
-
-
 def test_group_max(skewed, rows):
     plain = skewed.withColumn("m", F.max("v").over(Window.partitionBy("k")))
-    assert rows(skew.with_group_max(skewed, "k", "v", "m", min_rows=30)) == rows(plain)
+    got = skew.with_group_max(skewed, "k", "v", "m")
+    assert rows(got) == rows(plain)
+    assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("chunk", [2, 10_000])
-def test_row_number_over_hot_groups(skewed, rows, monkeypatch, chunk):
-    monkeypatch.setattr(skew, "_CHUNK", chunk)
+@pytest.mark.parametrize("step", [1, 3, 100_000])
+def test_row_number(skewed, rows, step):
     order = Window.partitionBy("k").orderBy("line", "v")
     plain = skewed.withColumn("rn", F.row_number().over(order).cast("bigint"))
-    split = skew.with_row_number(skewed, "k", ["line"], "rn", min_rows=30)
-    assert rows(split) == rows(plain)
+    assert rows(skew.with_row_number(skewed, "k", ["line"], "rn", step=step)) == rows(plain)
 
 
-def test_hot_row_numbers_use_several_pieces(skewed):
-    _, hot = skew.split_by_key(skewed, "k", [7])
-    pieces = skew._in_pieces(skew._copies_collapsed(hot), ["k", "line", "v"])
-    sizes = [r["count"] for r in pieces.groupBy("_piece").count().collect()]
-    assert len(sizes) == 4 and max(sizes) < pieces.count() / 2
+@pytest.mark.parametrize("kind", ["string", "date", "timestamp_ntz", "double"])
+def test_row_number_by_other_orders(skewed, rows, kind):
+    moved = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("v") % 50).cast("int"))
+    value = {"string": F.md5(F.col("v").cast("string").cast("binary")), "double": F.col("v") / 7}
+    column = value.get(kind, F.when(F.col("v") % 9 != 0, moved).cast(kind))
+    df = skewed.withColumn("at", column)
+    order = Window.partitionBy("k").orderBy("at", "line", "v")
+    plain = df.withColumn("rn", F.row_number().over(order).cast("bigint"))
+    assert rows(skew.with_row_number(df, "k", ["at"], "rn")) == rows(plain)
 
 
-def test_next_value_over_hot_groups(skewed, rows):
-    distinct = skewed.select("k", "v").distinct()
-    plain = distinct.withColumn("n", F.lead("v").over(Window.partitionBy("k").orderBy("v")))
-    assert rows(skew.with_next_value(distinct, "k", "v", "n", min_rows=20)) == rows(plain)
+def test_a_key_with_most_rows_is_numbered_by_several_tasks(spark):
+    """90 % of the rows have one key; no task of the plan sorts them all."""
+    n = F.col("id")
+    df = spark.range(20_000).select(F.when(n % 10 > 0, 7).otherwise(n).alias("k"), n.alias("at"))
+    numbered = skew.with_row_number(df, "k", ["at"], "rn", step=500)
+    sizes = numbered.where("k = 7").groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) > 2 and max(r["count"] for r in sizes) < 0.6 * 18_000
+    assert numbered.where("k = 7").agg(F.max("rn"), F.count_distinct("rn")).first()[:] == (18_000, 18_000)
 
 
 def test_first_per_key_breaks_ties_and_keeps_maps(frame, rows):

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import gzip
 import json
+import shutil
 from datetime import date, datetime
 from decimal import Decimal
 from pathlib import Path
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from martlet import schemas, session
@@ -122,7 +125,9 @@ def test_etl_layout_and_quarantine(spark, built, rows):
     assert folders == {"year=2024", "year=2010"}
     assert rows(spark.read.parquet(f"{home}/quarantine_sales"), "transaction_id") == [("536369",)]
     assert rows(spark.read.parquet(f"{home}/quarantine_web_lines"), "value") == [("",), ("bad{",)]
-    assert rows(spark.read.parquet(f"{home}/quarantine_web_events"), "event_type") == [("checkout_start",)]
+    undated = spark.read.parquet(f"{home}/quarantine_web_events")
+    assert rows(undated, "event_type", "timestamp_text") == [("checkout_start", "?")]
+    assert {"session_id", "product_id", "extra", "source_file"} <= set(undated.columns)
 
 
 def test_etl_report(spark, built):
@@ -130,6 +135,9 @@ def test_etl_report(spark, built):
     counts = {(r.source, r.check): r.affected for r in report.collect()}
     assert counts["dim_customers", "duplicate customer_id"] == 1
     assert counts["fact_sales", "all rules"] == 3
+    assert counts["fact_sales", "Orphaned Customers"] == 1
+    assert counts["fact_web_events", "value does not fit"] == 0
+    assert counts["fact_web_events", "unreadable file"] == 0
     assert counts["fact_inventory", "stock_on_hand < 0"] == 1
     assert counts["fact_web_events", "customer_id is null"] == 1
     assert counts["fact_web_events", "duplicate event"] == 2
@@ -275,11 +283,85 @@ def test_json_and_csv_sinks(spark, frame, tmp_path, rows):
     assert rows(tables.read_table(spark, str(tmp_path / "c"), df.schema)) == [(1, "x"), (2, None)]
 
 
-def test_partitioned_sink_replaces_only_its_partitions(spark, frame, tmp_path, rows):
+def test_partitioned_sink(spark, frame, tmp_path, rows):
     path = str(tmp_path / "p")
     sinks.write_partitioned(frame("k INT, v INT", (1, 1), (2, 2)), path, ["k"])
-    sinks.write_partitioned(frame("k INT, v INT", (2, 9)), path, ["k"])
+    sinks.write_partitioned(frame("k INT, v INT", (2, 9)), path, ["k"], only_present=True)
     assert rows(spark.read.parquet(path), "k", "v") == [(1, 1), (2, 9)]
+    sinks.write_partitioned(frame("k INT, v INT", (3, 3)), path, ["k"])
+    assert rows(spark.read.parquet(path), "k", "v") == [(3, 3)]
+
+
+def test_full_load_forgets_what_left_the_source(spark, raw_dir, tmp_path, rows):
+    """A second run without a month, and with a corrected date, has just what its source has."""
+    raw, home = tmp_path / "raw", str(tmp_path / "hub")
+    shutil.copytree(raw_dir, raw)
+    run_etl(spark, str(raw), home, str(tmp_path / "logs"), "2024-09-01 12:00:00")
+    sales = (raw / "fact_sales.csv").read_text().replace("2024-01-05", "2024-03-05")
+    kept = [line for line in sales.splitlines() if "536368" not in line]
+    (raw / "fact_sales.csv").write_text("\n".join(kept) + "\n")
+    (raw / "stream" / "web_events_2.json").write_text("")
+    run_etl(spark, str(raw), home, str(tmp_path / "logs"), "2024-09-02 12:00:00")
+    tables_ = hub.hub_tables(spark, home)
+    assert rows(tables_["fact_sales"], "transaction_id", "year", "month") == [("536365", 2024, 3)] * 2
+    assert rows(tables_["fact_web_events"], "event_type") == [("search",)]
+
+
+def test_a_damaged_file_is_named_and_nothing_else_is_lost(spark, raw_dir, tmp_path):
+    raw, home = tmp_path / "raw", str(tmp_path / "hub")
+    shutil.copytree(raw_dir, raw)
+    lines = "".join(f'{{"session_id": "z{n}", "customer_id": {n}}}\n' for n in range(20_000))
+    whole = gzip.compress(lines.encode())
+    (raw / "stream" / "cut.json.gz").write_bytes(whole[: len(whole) // 2])
+    report = run_etl(spark, str(raw), home, str(tmp_path / "logs"), "2024-09-01 12:00:00")
+    counts = {r.check: r.affected for r in report.collect()}
+    assert counts["unreadable file"] == 1 and counts["events in hub"] == 3
+    lost = [r.path for r in spark.read.parquet(f"{home}/quarantine_web_files").collect()]
+    assert len(lost) == 1 and lost[0].endswith("cut.json.gz")
+
+
+def test_retention_drops_folders(spark, frame, tmp_path, rows):
+    path = str(tmp_path / "e")
+    schema = "id INT, event_date DATE"
+    days = [(1, date(2024, 1, 1)), (2, date(2024, 1, 2)), (3, date(2024, 3, 1))]
+    sinks.write_partitioned(frame(schema, *days), path, ["event_date"])
+    assert sinks.retain(spark, path, "event_date", date(2024, 4, 1), 90) == ["2024-01-01"]
+    assert rows(spark.read.parquet(path), "id") == [(2,), (3,)]
+    assert sinks.retain(spark, path, "event_date", date(2024, 4, 1), 90) == []
+
+
+def test_forget_rewrites_only_partitions_with_the_ids(spark, frame, tmp_path, rows):
+    path = str(tmp_path / "s")
+    sales = [(1, 1, 2024, 1), (2, 5, 2024, 1), (2, 6, 2024, 2), (3, 7, 2024, 3), (None, 8, 2024, 1)]
+    sinks.write_partitioned(frame("customer_id INT, v INT, year INT, month INT", *sales), path, ["year", "month"])
+    untouched = {p.name for p in Path(path, "year=2024", "month=3").glob("*.parquet")}
+    sinks.forget_rows(spark, path, frame("customer_id INT", (2,), (None,)), ["year", "month"])
+    assert rows(spark.read.parquet(path), "v") == [(1,), (7,), (8,)]
+    assert {p.name for p in Path(path, "year=2024", "month=3").glob("*.parquet")} == untouched
+    assert not Path(path, "year=2024", "month=2").exists() and not Path(f"{path}_rest").exists()
+
+
+def test_compacted_loads_read_the_same(spark, frame, tmp_path, rows):
+    path, schema = str(tmp_path / "t"), "id INT, at TIMESTAMP_NTZ, year INT"
+    known = []
+    for n in range(3):
+        known.append((n, datetime(2024, 1, 1 + n), 2024))
+        sinks.append_since(frame(schema, *known, (9, None, None)), path, "at", ["year"], str(tmp_path / "m"))
+    sinks.compact_loads(spark, path, str(tmp_path / "c"), ["year"])
+    assert rows(spark.read.parquet(str(tmp_path / "c")), "id") == rows(spark.read.parquet(path), "id")
+    assert rows(spark.read.parquet(path), "id") == [(0,), (1,), (2,)]
+    assert rows(spark.read.parquet(f"{path}_undated"), "id") == [(9,)]
+
+
+def test_queries_are_audited(spark, built, tmp_path, rows):
+    audit = str(tmp_path / "audit")
+    query = "SELECT count(*) AS n FROM Secure_Customers"
+    at = "2024-01-01 00:00:00"
+    assert hub.audited_query(spark, "analyst", built[0], query, "u1", audit, at).first()[0] == 3
+    assert rows(spark.read.parquet(audit), "user_id", "view_accessed") == [("u1", "secure_customers")]
+    with pytest.raises(AnalysisException):
+        hub.audited_query(spark, "analyst", built[0], "SELECT * FROM raw_sales", "u1", audit, at)
+    assert spark.read.parquet(audit).count() == 1
 
 
 def test_large_partition_is_written_by_many_tasks(spark, tmp_path):

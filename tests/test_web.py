@@ -34,6 +34,11 @@ def lines(frame):
         (13, "[1]"),
         (14, "null"),
         (15, '{"session_id": "s9"} tail'),
+        (16, '{"session_id": "s9"}{"session_id": "s8"}'),
+        (17, '{"session_id": "s9"} junk}'),
+        (18, '{"session_id": "s9"},{"session_id": "s8"}'),
+        (19, '{"session_id": "s9"}]'),
+        (20, "{'session_id': 's9'}"),
     )
 
 
@@ -54,10 +59,34 @@ def test_bad_lines(lines, rows):
         ("[1]",),
         ("bad{",),
         ('{"session_id": "s9"',),
+        ('{"session_id": "s9"} junk}',),
         ('{"session_id": "s9"} tail',),
+        ('{"session_id": "s9"},{"session_id": "s8"}',),
+        ('{"session_id": "s9"}]',),
+        ('{"session_id": "s9"}{"session_id": "s8"}',),
+        ("{'session_id': 's9'}",),
     ]
 
 
+def test_a_repeated_name_has_its_last_value(frame):
+    line = frame("value STRING", ('{"session_id": "a", "x": 1, "session_id": "b", "x": 2}',))
+    event = web.parse_events(line).collect()[0]
+    assert event.session_id == "b" and event.extra == {"x": "2"}
+
+
+def test_values_that_do_not_fit(frame, rows):
+    lines = frame(
+        "value STRING",
+        ('{"customer_id": 17850.0, "duration_seconds": "12", "quantity": 2.50}',),
+        ('{"customer_id": "x", "duration_seconds": 12.7, "quantity": null}',),
+        ('{"customer_id": 99999999999999999999, "total_value": "dear"}',),
+    )
+    got = [tuple(r) for r in web.parse_events(lines).select("customer_id", "duration_seconds", "quantity").collect()]
+    assert got == [(17850, 12, None), (None, None, None), (None, None, None)]
+    unfit = web.unfit_values_of(web.split_lines(lines))
+    assert rows(unfit) == [("customer_id", 2), ("duration_seconds", 1), ("quantity", 1), ("total_value", 1)]
+
+
 def test_new_fields(lines, rows):
     assert rows(web.new_fields(lines)) == [("campaign",), ("nested",)]
 
