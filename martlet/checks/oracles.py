@@ -2,21 +2,40 @@
 
 from __future__ import annotations
 
+import re
+
 from martlet.checks.bindings import END, START
-from martlet.checks.registry import (
-    CITIES,
-    DELTA,
-    KEYWORDS,
-    MIN_SUPPORT,
-    RETENTION_DAY,
-    RUN_TS,
-    SUPPLIERS,
-    WATERMARK,
-)
+from martlet.checks.registry import DELTA, MIN_SUPPORT, RETENTION_DAY, RUN_TS, WATERMARK
 from martlet.checks.sql_bindings import with_tables
-from martlet.operators.quality import STAR_RULES, Rule
-from martlet.plans.basket import RECOMMENDATIONS
-from martlet.schemas import SHIPMENT_STATES_DOCUMENTED
+
+# Fixed values, written down a second time so that a wrong one on either side shows.
+KEYWORDS = [("ring", "Jewellery"), ("bolt", "Hardware"), ("gear", "Hardware"), ("gizmo", "Toys")]
+SUPPLIERS = [
+    ("Jewellery", "SUP001"), ("Hardware", "SUP002"), ("Toys", "SUP003"), ("Other", "SUP004")
+]
+CITIES = [
+    ("NATION_0", "Mumbai"), ("NATION_1", "Delhi"), ("NATION_2", "Ahmedabad"), ("NATION_3", "Pune")
+]
+DOCUMENTED_STATES = "'Delivered', 'In Transit', 'Processing', 'Delayed'"
+CONSTRAINTS = """
+    dim_customers: key customer_id; not_null name, city, update_timestamp; unique email;
+        max_length customer_id 10, name 100, email 150, city 100
+    dim_products: key product_id; not_null description, base_price, category, supplier_id;
+        check base_price > 0;
+        max_length product_id 10, description 500, category 100, supplier_id 10
+    dim_stores: key store_id; not_null store_name, city; max_length store_id 10, store_name 100, city 100
+    fact_sales: key transaction_id;
+        not_null customer_id, product_id, quantity, unit_price, store_id, transaction_date;
+        check quantity > 0, unit_price > 0;
+        max_length transaction_id 20, customer_id 10, product_id 10, store_id 10;
+        reference customer_id dim_customers, product_id dim_products, store_id dim_stores
+    fact_inventory: key store_id+product_id; not_null stock_on_hand, last_restock_date;
+        check stock_on_hand >= 0; reference store_id dim_stores, product_id dim_products
+    fact_shipments: key shipment_id;
+        not_null transaction_id, status, delivery_time_days, shipment_date;
+        check delivery_time_days >= 0; max_length shipment_id 20, transaction_id 20, status 50;
+        reference transaction_id fact_sales
+"""
 
 PERIOD = f"transaction_date BETWEEN TIMESTAMP '{START}' AND TIMESTAMP '{END}'"
 REVENUE = "CAST(SUM(quantity * unit_price) AS DOUBLE)"
@@ -72,26 +91,37 @@ def _cases(pairs: list[tuple[str, str]], test: str, default: str) -> str:
     return f"CASE {whens} ELSE {default} END"
 
 
-def _violations(table: str, source: str, rule: Rule) -> str:
+def _declared() -> list[tuple[str, str, list[str], str]]:
+    """(table, kind, columns, detail) of each constraint listed above."""
+    found, text = [], " ".join(CONSTRAINTS.split())
+    for table, rules in re.findall(r"(\w+): (.*?)(?= \w+:|$)", text):
+        for group in rules.split(";"):
+            kind, _, members = group.strip().partition(" ")
+            for member in members.split(","):
+                columns, _, detail = member.strip().partition(" ")
+                found.append((table, kind, columns.split("+"), detail))
+    return found
+
+
+def _violations(table: str, kind: str, columns: list[str], detail: str) -> str:
     """One row per rule, written as the plain count of the rows that break it."""
-    column = rule.columns[0]
-    keys = ", ".join(rule.columns)
-    known = " AND ".join(f"{c} IS NOT NULL" for c in rule.columns)
+    source, column, keys = CONSTRAINED[table], columns[0], ", ".join(columns)
+    known = " AND ".join(f"{c} IS NOT NULL" for c in columns)
     extra = f"""(SELECT COALESCE(SUM(n - 1), 0) FROM
                  (SELECT COUNT(*) AS n FROM {source} WHERE {known} GROUP BY {keys}) g)"""
     count = {
         "not_null": lambda: f"(SELECT COUNT(*) FROM {source} WHERE {column} IS NULL)",
-        "check": lambda: f"(SELECT COUNT(*) FROM {source} WHERE NOT ({column} {rule.detail}))",
+        "check": lambda: f"(SELECT COUNT(*) FROM {source} WHERE NOT ({column} {detail}))",
         "max_length": lambda: f"""(SELECT COUNT(*) FROM {source}
-                                  WHERE length(CAST({column} AS VARCHAR)) > {rule.detail})""",
+                                  WHERE length(CAST({column} AS VARCHAR)) > {detail})""",
         "unique": lambda: extra,
         "key": lambda: f"{extra} + (SELECT COUNT(*) FROM {source} WHERE NOT ({known}))",
         "reference": lambda: f"""(SELECT COUNT(*) FROM {source} f WHERE f.{column} IS NOT NULL
-            AND NOT EXISTS (SELECT 1 FROM {CONSTRAINED[rule.detail]} d WHERE d.{column} = f.{column}))""",
-    }[rule.kind]()
+            AND NOT EXISTS (SELECT 1 FROM {CONSTRAINED[detail]} d WHERE d.{column} = f.{column}))""",
+    }[kind]()
+    name = f"{kind}({keys})" + (f" {detail}" if detail else "")
     return (
-        f"SELECT '{table}' AS table_name, '{rule.name}' AS rule, "
-        f"CAST({count} AS BIGINT) AS violations"
+        f"SELECT '{table}' AS table_name, '{name}' AS rule, CAST({count} AS BIGINT) AS violations"
     )
 
 
@@ -99,11 +129,7 @@ CONSTRAINED = {**STAR, "fact_sales": "raw_sales", "dim_customers": "raw_customer
 
 
 def _constraint_sql() -> str:
-    return "\nUNION ALL\n".join(
-        _violations(table, CONSTRAINED[table], rule)
-        for table, rules in STAR_RULES.items()
-        for rule in rules
-    )
+    return "\nUNION ALL\n".join(_violations(*rule) for rule in _declared())
 
 
 def _quality_sql() -> str:
@@ -173,10 +199,12 @@ def _top(order: str, n: int) -> str:
 
 def _clv(current: str) -> str:
     return f"""
-        SELECT c.name, m.aov * m.frequency * 1.5 AS clv_score
-        FROM (SELECT customer_id, {MEAN_LINE} AS aov, COUNT(DISTINCT transaction_id) AS frequency
-              FROM sales WHERE {PERIOD} GROUP BY 1) m
-        JOIN customers c ON m.customer_id = c.customer_id {current}
+        SELECT name, spent / n_lines * n_orders * 1.5 AS clv_score
+        FROM customers c JOIN (
+            SELECT customer_id AS buyer, CAST(SUM(quantity * unit_price) AS DOUBLE) AS spent,
+                   COUNT(*) AS n_lines, COUNT(DISTINCT transaction_id) AS n_orders
+            FROM sales WHERE {PERIOD} GROUP BY ALL
+        ) totals ON buyer = c.customer_id {current}
         ORDER BY 2 DESC, 1 LIMIT 8"""
 
 
@@ -251,12 +279,18 @@ PERCENT = "CAST(CAST(purchase_likelihood AS INT) AS VARCHAR) || '%'"
 STRENGTH = "CAST(strength_score AS VARCHAR) || 'x'"
 
 
-def _recommendation_sql() -> str:
-    return "\nUNION ALL\n".join(
-        f"SELECT {position} AS position, '{title}' AS title, "
-        f"printf('{template}', antecedents, consequents) AS text FROM business WHERE rank = {rank}"
-        for position, rank, title, template in RECOMMENDATIONS
-    )
+# The wording of the recommendations.
+RECOMMENDED = """
+    SELECT 1 AS position, 'Store Layout' AS title,
+           'Place **' || antecedents || '** near **' || consequents
+           || '** to increase impulse purchases.' AS text FROM business WHERE rank = 1
+    UNION ALL SELECT 2, 'Cross-Sell Promotions', 'Create a bundle offer: Buy **' || antecedents
+           || '**, get a discount on **' || consequents || '**.' FROM business WHERE rank = 2
+    UNION ALL SELECT 3, 'Email Marketing',
+           'Send personalized recommendations to customers who bought **' || antecedents
+           || '** suggesting **' || consequents || '**.' FROM business WHERE rank = 3
+    UNION ALL SELECT 4, 'Inventory Planning', 'When stocking **' || antecedents
+           || '**, ensure adequate inventory of **' || consequents || '**.' FROM business WHERE rank = 1"""
 
 
 TITLE = """(SELECT string_agg(upper(w[1]) || lower(w[2:]), ' ')
@@ -334,14 +368,14 @@ PLAIN: dict[str, str] = {
         FROM ({FIRST_LINES}) p WHERE trim(description) <> ''""",
     "categorize_products": f"""
         SELECT product_id, description, CAST(base_price AS DOUBLE) AS base_price, category,
-               {_cases(list(SUPPLIERS.items()), "category = '{}'", "NULL")} AS supplier_id
+               {_cases(SUPPLIERS, "category = '{}'", "NULL")} AS supplier_id
         FROM (SELECT product_id, description, base_price,
                      {_cases(KEYWORDS, "contains(lower(description), '{}')", "'Other'")} AS category
               FROM products) p""",
     "customer_enrich": f"""
         SELECT customer_id, replace(name, '#', ' ') AS name,
                lower(replace(replace(name, '#', ' '), ' ', '.')) || '@email.com' AS email,
-               {_cases(list(CITIES.items()), "city = '{}'", "city")} AS city,
+               {_cases(CITIES, "city = '{}'", "city")} AS city,
                TIMESTAMP '{RUN_TS}' AS update_timestamp
         FROM first_customers""",
     "dedup_pk": f"""
@@ -452,10 +486,13 @@ PLAIN: dict[str, str] = {
     "city_sales": _city(""),
     "city_sales_current": _city("AND c.is_current"),
     "shopper_type": f"""
-        SELECT CASE WHEN t_count = 1 THEN 'New' ELSE 'Returning' END AS shopper_type, COUNT(*) AS user_count
-        FROM (SELECT customer_id, COUNT(DISTINCT transaction_id) AS t_count
-              FROM sales WHERE {PERIOD} GROUP BY 1) c
-        GROUP BY 1""",
+        SELECT * FROM (
+            WITH visits AS (SELECT DISTINCT customer_id, transaction_id FROM sales WHERE {PERIOD}),
+                 once AS (SELECT customer_id FROM visits GROUP BY 1 HAVING COUNT(*) = 1)
+            SELECT 'New' AS shopper_type, COUNT(*) AS user_count FROM once HAVING COUNT(*) > 0
+            UNION ALL
+            SELECT 'Returning', COUNT(DISTINCT customer_id) FROM visits
+            WHERE customer_id NOT IN (SELECT customer_id FROM once) HAVING COUNT(*) > 0) kinds""",
     "top_products_revenue": _top("SUM(s.quantity * s.unit_price)", 10),
     "top_products_units": _top("SUM(s.quantity)", 25),
     "top_products_table": f"""
@@ -472,16 +509,18 @@ PLAIN: dict[str, str] = {
         FROM (SELECT *, CAST(row_number() OVER (ORDER BY clv_score DESC, name) AS INT) AS rank
               FROM ({_clv('')}) t) r""",
     "analytics_sales_performance": """
-        SELECT s.transaction_id, s.transaction_date, p.description AS product_name, p.category,
-               st.store_name, st.city AS store_city, s.quantity,
-               CAST(s.unit_price AS DOUBLE) AS unit_price,
-               CAST(s.quantity * s.unit_price AS DOUBLE) AS total_revenue
-        FROM sales s LEFT JOIN products p ON s.product_id = p.product_id
-        LEFT JOIN stores st ON s.store_id = st.store_id""",
+        SELECT transaction_id, transaction_date, quantity, CAST(unit_price AS DOUBLE) AS unit_price,
+               CAST(quantity * unit_price AS DOUBLE) AS total_revenue,
+               (SELECT description FROM products WHERE products.product_id = sales.product_id) AS product_name,
+               (SELECT category FROM products WHERE products.product_id = sales.product_id) AS category,
+               (SELECT store_name FROM stores WHERE stores.store_id = sales.store_id) AS store_name,
+               (SELECT city FROM stores WHERE stores.store_id = sales.store_id) AS store_city
+        FROM sales""",
     "analytics_web_engagement": """
-        SELECT we.session_id, we.customer_id, we.event_type, we.event_date, we.device_type, we.referrer,
-               p.category AS product_category, we.promo_code
-        FROM web_events we LEFT JOIN products p ON we.product_id = p.product_id""",
+        SELECT session_id, customer_id, event_type, event_date, device_type, referrer, promo_code,
+               (SELECT category FROM products WHERE products.product_id = web_events.product_id)
+                   AS product_category
+        FROM web_events""",
     "revenue_validation": f"""
         SELECT COUNT(*) AS total_transactions, {REVENUE} AS total_revenue,
                ROUND({MEAN_LINE}, 6) AS avg_transaction_value,
@@ -539,7 +578,7 @@ PLAIN: dict[str, str] = {
         FROM web_events""",
     "shipment_status_check": f"""
         SELECT status, COUNT(*) AS shipments FROM shipments
-        WHERE status NOT IN ({", ".join(f"'{s}'" for s in SHIPMENT_STATES_DOCUMENTED)}) GROUP BY status""",
+        WHERE status NOT IN ({DOCUMENTED_STATES}) GROUP BY status""",
     "secure_customers": _secure(MASK),
     "secure_customers_strict": _secure(
         f"CASE WHEN {MASK} = email THEN regexp_replace(email, '^[^@]*', '****') ELSE {MASK} END"
@@ -584,7 +623,7 @@ PLAIN: dict[str, str] = {
                {PERCENT} || ' of customers who bought the first item also bought the second' AS likelihood,
                {STRENGTH} AS strength
         FROM business WHERE rank <= 5""",
-    "rule_recommendations": _recommendation_sql(),
+    "rule_recommendations": RECOMMENDED,
     "pairing_list": f"""
         SELECT antecedents AS "Customers Buy This", consequents AS "They Also Buy This",
                {PERCENT} AS "Likelihood (%)", {STRENGTH} AS "Strength"

@@ -17,7 +17,7 @@ from martlet.schemas import SHIPMENT_STATES_DOCUMENTED
 from martlet.sources.hub import gold_views, raw_views
 from martlet.streaming.ticks import live_latest, live_panel
 
-# Parameters of the registered queries, shared with the SQL of the check.
+# Parameters of the registered queries; the check's SQL has the lists a second time.
 KEYWORDS = [("ring", "Jewellery"), ("bolt", "Hardware"), ("gear", "Hardware"), ("gizmo", "Toys")]
 SUPPLIERS = {"Jewellery": "SUP001", "Hardware": "SUP002", "Toys": "SUP003", "Other": "SUP004"}
 CITIES = {"NATION_0": "Mumbai", "NATION_1": "Delhi", "NATION_2": "Ahmedabad", "NATION_3": "Pune"}

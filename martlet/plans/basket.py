@@ -211,6 +211,7 @@ def _strength(score: Column) -> Column:
 
 def rule_insights(business: DataFrame, top: int = 5) -> DataFrame:
     """Sentences for the strongest rules."""
+    # The wording of the sentences.
     return _ranked(business, top).select(
         "rank",
         F.concat(F.lit("Customers who buy: "), F.col("antecedents")).alias("headline"),
