@@ -196,7 +196,7 @@ def fit_rates(
         rated = members.withColumn("_rate", rate)
         expected = rated.agg(*[F.sum(m * F.col("_rate")).alias(f"e{k}") for k, m in enumerate(mass)])
         gap = np.array([s or 0.0 for s in expected.first()], dtype=float) - wanted * budget
-        # At the bound a domain may stay above its target, so small progress ends it too.
+        # Rates at their bound may keep a gap open, so steps that close little of it end it too.
         if np.abs(gap).max() <= tolerance * budget or _stalled(plan.gaps, gap / total):
             break
         plan = MixingPlan(domains, least, step, [*plan.gaps, gap / total])
@@ -204,7 +204,7 @@ def fit_rates(
 
 
 def _stalled(gaps: list[np.ndarray], gap: np.ndarray) -> bool:
-    return bool(gaps) and float(np.abs(gaps[-1] - gap).max()) < 1e-6
+    return bool(gaps) and float(np.abs(gaps[-1] - gap).max()) < 1e-4
 
 
 def copies(rate: Column, *key: Column) -> Column:
