@@ -38,7 +38,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from martlet.session import materialise
 
 LOW = 6
-CELL_ROWS = 4096
+CELL_ROWS = 8192
 SAMPLE_ROWS = 16_384
 QUERY_ROWS = 16_384
 _LEAF = 32
@@ -137,43 +137,56 @@ class LeafIndex:
     """The lower tree over one task's rows: leaves of near points with their boxes."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, points: np.ndarray) -> None:
-        self.ids, self.vectors, self.points = ids, vectors, points
-        self.norms = _norms(vectors)
-        self.leaves: list[np.ndarray] = []
-        stack = [np.arange(len(ids))]
+        leaves, stack = [], [np.arange(len(ids))]
         while stack:
             rows = stack.pop()
             if len(rows) <= _LEAF:
-                self.leaves.append(rows)
+                leaves.append(rows)
                 continue
             axis = int(np.argmax(np.ptp(points[rows], axis=0)))
             rows = rows[np.argsort(points[rows, axis], kind="stable")]
             stack += [rows[: len(rows) // 2], rows[len(rows) // 2 :]]
-        self.lows = np.array([points[rows].min(axis=0) for rows in self.leaves])
-        self.highs = np.array([points[rows].max(axis=0) for rows in self.leaves])
+        self.lows = np.array([points[rows].min(axis=0) for rows in leaves])
+        self.highs = np.array([points[rows].max(axis=0) for rows in leaves])
+        # Rows in the order of the leaves, so that a leaf is a slice.
+        order = np.concatenate(leaves)
+        self.ids, self.vectors = ids[order], vectors[order]
+        self.norms = _norms(self.vectors)
+        self.ends = np.cumsum([len(rows) for rows in leaves])
+        self.starts = self.ends - [len(rows) for rows in leaves]
 
     def nearest(
         self, vector: np.ndarray, point: np.ndarray, most: int, bound: float, reach: float
     ) -> list[tuple[float, int]]:
-        """The best (cosine, id), best first; ``bound`` is a cosine already reached ``most`` times."""
+        """The best (cosine, id), best first; ``bound`` is a cosine already reached ``most`` times.
+
+        Leaves come in the order of their boxes' distance, a few at a time and then more, and
+        after each lot the stopping test tells whether the next one is still needed.
+        """
         own = _norms(vector[None, :])[0]
         found: list[tuple[float, int]] = []
         boxes = _box_distances(self.lows, self.highs, point)
-        for leaf in np.argsort(boxes, kind="stable"):
+        order = np.argsort(boxes, kind="stable")
+        boxes, at, lot = boxes[order], 0, 4
+        while at < len(order):
             limit = reach * max(0.0, 2 - 2 * bound) + 1e-9
-            if boxes[leaf] > limit:
+            within = int(np.searchsorted(boxes, limit, side="right"))
+            if at >= within:
                 break
-            rows = self.leaves[leaf]
-            rows = rows[((self.points[rows] - point) ** 2).sum(axis=1) <= limit]
+            taken = order[at : min(at + lot, within)]
+            at, lot = at + lot, 2 * lot
+            rows = np.concatenate([np.arange(self.starts[i], self.ends[i]) for i in taken])
+            # Row by row, so that equal vectors get equal cosines wherever they stand.
             cosines = np.einsum("ij,j->i", self.vectors[rows], vector) / (self.norms[rows] * own)
-            good = cosines >= bound
-            if good.any():
-                ids = self.ids[rows[good]].tolist()
-                found += zip((-cosines[good]).tolist(), ids, strict=True)
-                found.sort()
-                del found[most:]
-                if len(found) == most:
-                    bound = max(bound, -found[-1][0])
+            good = np.flatnonzero(cosines >= bound)
+            if len(good) > most:
+                least = np.partition(cosines[good], len(good) - most)[len(good) - most]
+                good = good[cosines[good] >= least]
+            found += zip((-cosines[good]).tolist(), self.ids[rows[good]].tolist(), strict=True)
+            found.sort()
+            del found[most:]
+            if len(found) == most:
+                bound = max(bound, -found[-1][0])
         return [(-cosine, i) for cosine, i in found]
 
 

@@ -34,7 +34,7 @@ def by_query(rows):
     return found
 
 
-@pytest.mark.parametrize("cell_rows", [4096, 40])
+@pytest.mark.parametrize("cell_rows", [8192, 40])
 def test_recall_on_the_given_vectors(spark, cell_rows):
     vectors = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
     rows = vectors.collect()
