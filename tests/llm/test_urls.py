@@ -92,7 +92,7 @@ def test_links_carry_trust_and_distrust(spark):
         (4, "http://farm.org/", link("spam.net")),
         (5, "http://farm.org/2", link("spam.net") + '<img src=//good.com/i>'),
         (6, "http://alone.org/", '<a href="/inside">'),
-        (7, "http://spam.net/en/", ""),
+        (7, "http://spam.net/fr/", ""),
     ]
     pages = spark.createDataFrame(rows + rows[-1:], "page_id long, url string, html string")
     got = urls.judge_urls(pages, URL_RULES, threshold=0.5)
