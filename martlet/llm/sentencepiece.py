@@ -63,7 +63,7 @@ class PieceModel:
     fingerprint: str = ""
     _merged: dict[str, tuple[int, ...]] = field(default_factory=dict, repr=False, compare=False)
     _grown: dict[tuple[int, int], list] = field(default_factory=dict, repr=False, compare=False)
-    _apart: dict[int, bool] = field(default_factory=dict, repr=False, compare=False)
+    known_pairs: dict[int, bool] = field(default_factory=dict, repr=False, compare=False)
 
     @cached_property
     def ids(self) -> dict[str, int]:
@@ -118,15 +118,15 @@ class PieceModel:
     def apart(self, left: int, right: int) -> bool:
         """Whether the merge procedure keeps two neighbouring pieces as they are."""
         key = left << 32 | right
-        if (known := self._apart.get(key)) is None:
-            if len(self._apart) >= _CACHED_PAIRS:
-                self._apart.clear()
+        if (known := self.known_pairs.get(key)) is None:
+            if len(self.known_pairs) >= _CACHED_PAIRS:
+                self.known_pairs.clear()
             if SPACE * 2 in self.pieces[left] + self.pieces[right]:  # runs have equal ranks
                 joint = self.merge(self.pieces[left] + self.pieces[right])
                 known = joint == (left, right)
             else:
                 known = not self._crosses(self._growth(left, -1), self._growth(right, 0))
-            self._apart[key] = known
+            self.known_pairs[key] = known
         return known
 
     def _crosses(self, left: list[tuple[float, str]], right: list[tuple[float, str]]) -> bool:
@@ -233,9 +233,13 @@ class StreamingViterbi:
         nodes, model = self.nodes, self.model
         if not self.bpe:
             return max((nodes[at][0] + model.scores[token], at, token) for at, token in found)
+        known = model.known_pairs
         for at, token in reversed(found):
             left = nodes[at][2]
-            if model.apart(left, token) if left >= 0 else model.whole(token):
+            apart = known.get(left << 32 | token) if left >= 0 else model.whole(token)
+            if apart is None:
+                apart = model.apart(left, token)
+            if apart:
                 return (0.0, at, token)
         return None
 
@@ -343,17 +347,23 @@ class _Units(dict):
 
     def __init__(self, model: PieceModel) -> None:
         self.model = model
+        self.before: dict[str, bytes] = {}
 
     def learn(self, units: set[str]) -> None:
-        """Search new units in order, so that each goes on from the start it shares with the last."""
+        """Search new units in order, so that each goes on from the start it shares with the last.
+
+        A full cache becomes the one before; what is met again moves over, the rest goes with
+        the next change.
+        """
         if len(self) + len(units) >= _CACHED_UNITS:
+            self.before = dict(self)
             self.clear()
-        parts: set[str] = set()
-        cut = {unit: self._parts(unit) for unit in units}
-        for some in cut.values():
-            parts.update(some)
+        new = {unit for unit in units if not self._known(unit)}
+        cut = {unit: self._parts(unit) for unit in new}
         search = None
-        for part in sorted(parts.difference(self)):
+        for part in sorted({part for some in cut.values() for part in some}):
+            if part in self or self._known(part):
+                continue
             if search is None:
                 search, shared = StreamingViterbi(self.model), 0
             else:
@@ -368,8 +378,17 @@ class _Units(dict):
             if len(some) > 1 and len(unit) <= _CACHED_LENGTH:
                 self[unit] = b"".join(map(self.__getitem__, some))
 
+    def _known(self, unit: str) -> bool:
+        """Take a unit over from the cache before, if it is there."""
+        if (data := self.before.get(unit)) is None:
+            return False
+        self[unit] = data
+        return True
+
     def _parts(self, unit: str) -> list[str]:
-        """Cut where no piece holds the two neighbouring characters."""
+        """Cut where no piece holds the two neighbouring characters; words need no look."""
+        if unit[1:].isalpha():
+            return [unit]
         joined, parts, start = self.model.joined, [], 0
         for at in range(1, len(unit)):
             if unit[at - 1 : at + 1] not in joined:
