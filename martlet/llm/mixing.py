@@ -197,14 +197,15 @@ def fit_rates(
         expected = rated.agg(*[F.sum(m * F.col("_rate")).alias(f"e{k}") for k, m in enumerate(mass)])
         gap = np.array([s or 0.0 for s in expected.first()], dtype=float) - wanted * budget
         # Rates at their bound may keep a gap open, so steps that close little of it end it too.
-        if np.abs(gap).max() <= tolerance * budget or _stalled(plan.gaps, gap / total):
+        little = 1e-4 * budget / total
+        if np.abs(gap).max() <= tolerance * budget or _stalled(plan.gaps, gap / total, little):
             break
         plan = MixingPlan(domains, least, step, [*plan.gaps, gap / total])
     return plan
 
 
-def _stalled(gaps: list[np.ndarray], gap: np.ndarray) -> bool:
-    return bool(gaps) and float(np.abs(gaps[-1] - gap).max()) < 1e-4
+def _stalled(gaps: list[np.ndarray], gap: np.ndarray, little: float) -> bool:
+    return bool(gaps) and float(np.abs(gaps[-1] - gap).max()) < little
 
 
 def copies(rate: Column, *key: Column) -> Column:

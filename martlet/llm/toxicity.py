@@ -120,27 +120,34 @@ class LabelModel:
         )
 
 
+def _own_shares(errors: np.ndarray) -> np.ndarray:
+    """One over the sum of the variance that each voter shares with all voters."""
+    cross = errors.T @ errors / len(errors) + 1e-6 * np.eye(errors.shape[1])
+    spread = np.sqrt(np.diag(cross))
+    return 1 / ((cross / np.outer(spread, spread)) ** 2).sum(axis=1)
+
+
 def fit_label_model(given: np.ndarray, prior: float, rounds: int = 50) -> LabelModel:
     """Accuracies and correlations of voters, the true labels unknown but for their balance.
 
-    The first guess is the majority of the votes. A voter's accuracy is the share of its votes
-    that agree with the label; its correlations are those of its votes with other voters' votes
-    among documents of one likely label.
+    The first guess is the majority of the votes, each weighted by what it does not share with
+    other voters. A voter's accuracy is the share of its votes that agree with the label; its
+    correlations are those of its votes with other voters' votes among documents of one likely
+    label.
     """
     prior = float(np.clip(prior, 0.02, 0.98))
-    toxic = 0.5 + 0.48 * np.sign(given.sum(axis=1))
+    votes_cast = given.astype(float)
+    weights = _own_shares(votes_cast - votes_cast.mean(axis=0))
+    toxic = 0.5 + 0.48 * np.sign(votes_cast @ weights)
     cast = np.abs(given).sum(axis=0)
     model = None
     for _ in range(rounds):
         right = (given > 0).T @ toxic + (given < 0).T @ (1 - toxic)
         accuracy = np.clip((right + 0.7) / (cast + 1), 0.02, 0.98)
-        errors = given.astype(float)
+        errors = votes_cast.copy()
         for some in (toxic >= 0.5, toxic < 0.5):
             errors[some] -= errors[some].mean(axis=0) if some.any() else 0
-        cross = errors.T @ errors / len(given) + 1e-6 * np.eye(given.shape[1])
-        spread = np.sqrt(np.diag(cross))
-        shared = (cross / np.outer(spread, spread)) ** 2
-        model = LabelModel(prior, np.log(accuracy / (1 - accuracy)), 1 / shared.sum(axis=1))
+        model = LabelModel(prior, np.log(accuracy / (1 - accuracy)), _own_shares(errors))
         after = model.posterior(given)
         if np.abs(after - toxic).max() < 1e-4:
             break
