@@ -18,7 +18,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 
 from martlet.llm import exact_dedup, langid, mixing, sentencepiece, simhash
-from martlet.llm.common import learnable, table
+from martlet.llm.common import hold_few_texts, learnable, table
 from martlet.llm.queries import MIXING_TARGETS, TOKENIZER
 from martlet.session import shared_folder
 
@@ -28,6 +28,7 @@ LEAST_SCORE = 0.3
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the network recognises."""
+    hold_few_texts(spark)
     model = langid.train_language_model(docs, eligible=learnable("doc_id", 4, 2))
     return langid.keep_identified(docs, model, least=LEAST_SCORE)
 

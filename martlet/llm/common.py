@@ -10,9 +10,20 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One table of a data folder."""
+    hold_few_texts(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def hold_few_texts(spark: SparkSession, rows: int = 1000) -> None:
+    """Let Python tasks hold this many rows at a time: texts are long, and some very long.
+
+    Sets the session's Arrow batch size, unless it is smaller already.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case, every other character as it is."""
     ascii_only = F.octet_length(text) == F.char_length(text)

@@ -37,7 +37,7 @@ from martlet.llm.common import bounded_sample, fresh, own_columns
 from martlet.session import materialise
 
 BUCKETS = 1024
-_CACHED_WORDS = 1 << 19
+_CACHED_WORDS = 1 << 17
 
 
 class WordCounter:

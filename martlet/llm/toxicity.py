@@ -40,7 +40,7 @@ from martlet.session import materialise
 
 _WORD = re.compile(r"\w+")
 _PREFIXES = (3, 4, 5, 6, 7, 8)
-_CACHED_WORDS = 1 << 19
+_CACHED_WORDS = 1 << 18
 _NEAR = 12
 PATTERNS = ("any", "hits", "distinct", "density", "close")
 
