@@ -49,16 +49,24 @@ class ByteCnn:
     def pair_tables(self) -> tuple[np.ndarray, np.ndarray]:
         """All filters' sums over bytes 1-2 and over bytes 3-4, by byte pair."""
 
-        def of(width: int, first: int) -> np.ndarray:
-            parts = [
-                self.embedding @ self.filters[width][k] if k < width else np.zeros((256, FILTERS))
-                for k in (first, first + 1)
-            ]
-            return (parts[0][:, None, :] + parts[1][None, :, :]).reshape(65_536, FILTERS)
-
-        head = np.hstack([of(width, 0) + self.bias[width] for width in WIDTHS])
-        tail = np.hstack([of(width, 2) for width in WIDTHS[1:]])
-        return head.astype(np.float32), tail.astype(np.float32)
+        def fill(table: np.ndarray, width: int, first: int) -> None:
+            own = self.filters[width].astype(np.float32)
+            part = [embedding @ own[k] if k < width else None for k in (first, first + 1)]
+            pairs = table.reshape(256, 256, -1)
+            at = FILTERS * (WIDTHS.index(width) - (first > 0))
+            pairs[:, :, at : at + FILTERS] = part[0][:, None, :]
+            if part[1] is not None:
+                pairs[:, :, at : at + FILTERS] += part[1][None, :, :]
+
+        embedding = self.embedding.astype(np.float32)
+        head = np.empty((65_536, FILTERS * len(WIDTHS)), np.float32)
+        tail = np.empty((65_536, FILTERS * (len(WIDTHS) - 1)), np.float32)
+        for width in WIDTHS:
+            fill(head, width, 0)
+        for width in WIDTHS[1:]:
+            fill(tail, width, 2)
+        head += np.concatenate([self.bias[width] for width in WIDTHS]).astype(np.float32)
+        return head, tail
 
 
 def _padded(pieces: list[bytes]) -> np.ndarray:

@@ -42,8 +42,8 @@ from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, Str
 SPACE = " "
 _SPACE_IN_PIECES = "▁"
 _CACHED_LENGTH = 64
-_CACHED_UNITS = 1 << 18
-_CACHED_PAIRS = 1 << 18
+_CACHED_UNITS = 3 << 16
+_CACHED_PAIRS = 1 << 17
 _SLICE = 1 << 20
 _ROWS = 256
 _NEVER = float("-inf")
