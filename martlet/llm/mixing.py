@@ -6,11 +6,13 @@ on average, then solve a least-squares problem over all documents: the expected
 domain, the sum of rate x tokens x posterior, shall equal the domain's share of the budget, with
 no rate under ``least``.
 
-The problem is solved by projected gradient steps in the metric that weighs rates by tokens. A
-step needs one number per domain, the gap between expected and wanted tokens, which is one
-aggregate over the table of posteriors. A document's rate follows from its posterior and the
-gaps so far, so no rates are stored or shuffled, and a lost executor costs nothing but its share
-of a pass. Only the gaps reach the driver.
+Of all rates that solve it, those nearest to 1 are taken: a document's rate is 1 plus the mean
+of one number per domain, weighed by its posterior, or ``least`` where that is more. The numbers
+are found by damped Newton steps. A pass is one aggregate of a few sums over the table of
+posteriors, and only these reach the driver; no rates are stored or shuffled, and a lost executor
+costs nothing but its share of a pass. The steps end where the projected gradient vanishes, so
+that a domain with few of the tokens is brought to its target like any other. The gap that is
+left, where bounds keep targets out of reach, is part of the plan and logged.
 
 With ``budget=None`` the budget is the smallest at which no domain has to shrink; together with
 ``least=1`` every document stays, and scarce domains repeat. The fraction of a rate is decided
@@ -24,9 +26,10 @@ Repeated rows have equal rates; an empty table gives no rows; other columns take
 
 from __future__ import annotations
 
+import logging
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -38,6 +41,7 @@ from martlet.session import materialise
 
 BUCKETS = 1024
 _CACHED_WORDS = 1 << 17
+_LOG = logging.getLogger(__name__)
 
 
 class WordCounter:
@@ -137,30 +141,74 @@ def memberships(text: Column, model: DomainModel) -> Column:
 
 @dataclass(frozen=True)
 class MixingPlan:
-    """What turns a posterior into a rate: the steps' gaps, each as a share of all tokens."""
+    """What turns a posterior into a rate: one slope for each domain.
+
+    ``gap`` is what the domains' expected tokens have above their targets, as a share of the
+    budget; ``optimal`` says whether the projected gradient vanishes, so that no rates do better.
+    """
 
     domains: list[str]
     least: float
-    step: float
-    gaps: list[np.ndarray] = field(default_factory=list)
+    slopes: np.ndarray
+    gap: np.ndarray
+    optimal: bool = True
+    passes: int = 0
+
+    @property
+    def start(self) -> float:
+        return max(1.0, self.least)
 
     def rates(self, posteriors: np.ndarray) -> np.ndarray:
-        rates = np.full(len(posteriors), max(1.0, self.least))
-        for gap in self.gaps:
-            rates = np.maximum(self.least, rates - self.step * (posteriors @ gap))
-        return rates
+        if not self.domains:
+            return np.full(len(posteriors), self.start)
+        return np.maximum(self.least, self.start + posteriors @ self.slopes)
 
     def column(self, tokens: Column, posterior: Column) -> Column:
         """The rate of a document."""
-
-        @F.pandas_udf("double")
-        def rate(posteriors: pd.Series) -> pd.Series:
-            given = np.stack(posteriors.to_numpy()) if len(posteriors) else np.zeros((0, 0))
-            return pd.Series(self.rates(given.astype(np.float64)))
-
         if not self.domains:
             return F.lit(1.0)
-        return F.when(tokens > 0, rate(posterior)).otherwise(1.0)
+        rate = F.greatest(F.lit(float(self.least)), self.start + _moved(posterior, self.slopes))
+        return F.when(tokens > 0, rate).otherwise(1.0)
+
+
+def _moved(posterior: Column, slopes: np.ndarray) -> Column:
+    """How far the slopes move a document's rate before the bound."""
+    return sum((posterior[i] * float(slope) for i, slope in enumerate(slopes)), F.lit(0.0))
+
+
+@dataclass(frozen=True)
+class _Pass:
+    """Sums over all documents at some slopes."""
+
+    slopes: np.ndarray
+    value: float
+    expected: np.ndarray
+    curve: np.ndarray
+    reach: float
+
+
+def _look(members: DataFrame, slopes: np.ndarray, start: float, least: float) -> _Pass:
+    """The potential whose gradient are the expected tokens, both, and its second derivative.
+
+    ``reach`` is the largest move of a rate that is not at its bound.
+    """
+    size, tokens, rate = len(slopes), F.col("n_tokens"), F.col("_rate")
+    belongs = [F.col("posterior")[i] for i in range(size)]
+    pairs = [(i, j) for i in range(size) for j in range(i, size)]
+    rated = members.where(tokens > 0).withColumn("_rate", start + _moved(F.col("posterior"), slopes))
+    bound, free = F.lit(float(least)), rate >= least
+    sums = [
+        F.sum(tokens * F.when(free, rate * rate / 2).otherwise(bound * rate - bound * bound / 2)),
+        F.max(F.when(free, F.abs(rate - start))),
+        *[F.sum(tokens * belongs[i] * F.greatest(bound, rate)) for i in range(size)],
+        *[F.sum(F.when(free, tokens * belongs[i] * belongs[j])) for i, j in pairs],
+    ]
+    found = rated.agg(*[c.alias(f"s{k}") for k, c in enumerate(sums)]).first()
+    found = np.array([s or 0.0 for s in found], dtype=float)
+    curve = np.zeros((size, size))
+    for (i, j), cross in zip(pairs, found[2 + size :], strict=True):
+        curve[i, j] = curve[j, i] = cross
+    return _Pass(slopes, found[0], found[2 : 2 + size], curve, found[1])
 
 
 def fit_rates(
@@ -171,41 +219,65 @@ def fit_rates(
     least: float = 0.0,
     budget: float | None = None,
     tolerance: float = 0.002,
-    most_steps: int = 60,
+    most_steps: int | None = None,
 ) -> MixingPlan:
-    """Projected gradient steps over ``members`` (``n_tokens, posterior``)."""
+    """Newton steps over ``members`` (``n_tokens, posterior``) to the least-squares optimum.
+
+    With ``close`` for ``tolerance`` of the smallest target's tokens, the steps end where no
+    document's projected gradient, the mean gap of its domains, is over ``close``. Only
+    ``most_steps``, or numbers too fine for a double, end them before; ``optimal`` then is false.
+    """
     size = len(domains)
     wanted = np.array([max(0.0, targets.get(domain, 0.0)) for domain in domains])
+    nothing = MixingPlan([], least, np.zeros(0), np.zeros(0))
     if not size or not wanted.sum():
-        return MixingPlan([], least, 0.0)
+        return nothing
     wanted = wanted / wanted.sum()
-    mass = [F.col("n_tokens") * F.col("posterior")[i] for i in range(size)]
-    crossed = [mass[i] * F.col("posterior")[j] for i in range(size) for j in range(size)]
-    sums = members.agg(*[F.sum(c).alias(f"s{k}") for k, c in enumerate([*mass, *crossed])]).first()
-    sums = np.array([s or 0.0 for s in sums], dtype=float)
-    present, cross = sums[:size], sums[size:].reshape(size, size)
-    total = present.sum()
-    if not total:
-        return MixingPlan([], least, 0.0)
+    start = nothing.start
+    at, passes = _look(members, np.zeros(size), start, least), 1
+    present = at.expected / start
+    if not present.sum():
+        return nothing
     if budget is None:
         budget = max(present[i] / wanted[i] for i in range(size) if wanted[i])
-    step = float(total / np.linalg.eigvalsh(cross)[-1])
-    plan = MixingPlan(domains, least, step)
-    for _ in range(most_steps):
-        rate = plan.column(F.col("n_tokens"), F.col("posterior"))
-        rated = members.withColumn("_rate", rate)
-        expected = rated.agg(*[F.sum(m * F.col("_rate")).alias(f"e{k}") for k, m in enumerate(mass)])
-        gap = np.array([s or 0.0 for s in expected.first()], dtype=float) - wanted * budget
-        # Rates at their bound may keep a gap open, so steps that close little of it end it too.
-        little = 1e-4 * budget / total
-        if np.abs(gap).max() <= tolerance * budget or _stalled(plan.gaps, gap / total, little):
-            break
-        plan = MixingPlan(domains, least, step, [*plan.gaps, gap / total])
-    return plan
+    wanted, close = wanted * budget, tolerance * budget * wanted[wanted > 0].min()
+    # A small pull towards the start makes the rates unique; it is loosened until it does not show.
+    pull, optimal = close / 1000, False
 
+    def slant(look: _Pass) -> np.ndarray:
+        return look.expected - wanted + pull * look.slopes
 
-def _stalled(gaps: list[np.ndarray], gap: np.ndarray, little: float) -> bool:
-    return bool(gaps) and float(np.abs(gaps[-1] - gap).max()) < little
+    def height(look: _Pass) -> float:
+        return look.value - look.slopes @ wanted + pull * (look.slopes @ look.slopes) / 2
+
+    steps = 0
+    while most_steps is None or steps < most_steps:
+        # The gap is slant - pull * slopes, so this bounds the projected gradient of all documents.
+        steep = np.abs(slant(at)).max()
+        if optimal := bool(steep + pull * at.reach <= close):
+            break
+        if pull * at.reach > close / 2 and pull > 1e-13 * present.sum():
+            pull = close / (4 * at.reach)
+        turn = -np.linalg.solve(at.curve + pull * np.eye(size), slant(at))
+        after, share = None, 1.0
+        while after is None and share > 1e-9:
+            tried = _look(members, at.slopes + share * turn, start, least)
+            passes += 1
+            rise = height(tried) - height(at)
+            even = rise <= 1e-12 * abs(height(at)) and np.abs(slant(tried)).max() <= steep / 2
+            if even or rise <= 1e-4 * share * (slant(at) @ turn):
+                after = tried
+            share /= 2
+        if after is None:
+            break
+        at, steps = after, steps + 1
+    gap = (at.expected - wanted) / budget
+    plan = MixingPlan(domains, least, at.slopes, gap, optimal, passes)
+    if not optimal or np.abs(gap).max() * budget > close:
+        missed = {domain: round(float(g), 6) for domain, g in zip(domains, gap, strict=True)}
+        why = "nearest possible" if optimal else "steps ended early"
+        _LOG.warning("targets missed (%s), by shares of the budget: %s", why, missed)
+    return plan
 
 
 def copies(rate: Column, *key: Column) -> Column:

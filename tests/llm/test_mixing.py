@@ -55,6 +55,50 @@ def test_equals_brute_force_least_squares(spark, least):
     assert np.abs(gap).max() <= np.abs(best).max() + 2e-3 * budget
 
 
+@pytest.mark.parametrize("shares", [(0.7, 0.2, 0.09, 0.01), (0.9, 0.05, 0.04, 0.01), (0.8, 0.1, 0.08, 0.02)])
+def test_a_scarce_domain_meets_its_target(spark, shares):
+    """A domain of 1 % of the tokens is brought to 20 %, by the rates and by the column."""
+    rng = np.random.default_rng(5)
+    home = rng.choice(4, 2000, p=shares)
+    soft = 0.97 * np.eye(4)[home] + 0.03 * rng.dirichlet([0.3] * 4, 2000) * np.eye(4)[home]
+    soft /= soft.sum(axis=1, keepdims=True)
+    tokens = rng.integers(50, 150, 2000)
+    rows = [(int(n), [float(v) for v in p]) for n, p in zip(tokens, soft, strict=True)]
+    members = spark.createDataFrame(rows, "n_tokens long, posterior array<double>")
+    plan = mixing.fit_rates(members, ["en", "de", "es", "fr"], TARGETS, least=1.0)
+    rates = plan.rates(soft)
+    got = soft.T @ (tokens * rates)
+    assert rates.min() >= 1
+    assert np.allclose(got / got.sum(), [0.4, 0.2, 0.2, 0.2], atol=0.001)
+    assert plan.optimal and np.abs(plan.gap).max() < 0.001 and plan.passes < 40
+    column = members.select(plan.column(F.col("n_tokens"), F.col("posterior")).alias("r"), "posterior")
+    for r in column.limit(50).collect():
+        assert r["r"] == pytest.approx(plan.rates(np.array([r["posterior"]]))[0])
+
+
+def test_targets_out_of_reach_are_reported(spark, caplog):
+    """Where a bound keeps a gap open, the gap is the least there is, and it is told."""
+    rng = np.random.default_rng(6)
+    soft, tokens = rng.dirichlet([0.4, 0.4, 0.4], 200), rng.integers(1, 200, 200)
+    rows = [(int(n), [float(v) for v in p]) for n, p in zip(tokens, soft, strict=True)]
+    members = spark.createDataFrame(rows, "n_tokens long, posterior array<double>")
+    budget = float(tokens.sum())
+    plan = mixing.fit_rates(members, ["a", "b", "c"], {"a": 0.9, "b": 0.1}, least=0.5, budget=budget)
+    wanted = np.array([0.9, 0.1, 0.0]) * budget
+    gap = soft.T @ (tokens * plan.rates(soft)) - wanted
+    brute, size = np.ones(200), tokens @ (soft**2).sum(axis=1)
+    for _ in range(50_000):
+        brute = np.maximum(0.5, brute - soft @ (soft.T @ (tokens * brute) - wanted) / size)
+    best = soft.T @ (tokens * brute) - wanted
+    assert plan.optimal and np.allclose(plan.gap, gap / budget, atol=1e-9)
+    assert np.abs(best).max() > 0.05 * budget
+    assert np.linalg.norm(gap) <= np.linalg.norm(best) * 1.001
+    slope, free = soft @ gap, plan.rates(soft) > 0.5
+    close = 0.002 * 0.1 * budget
+    assert np.abs(slope[free]).max() <= close and slope[~free].min() >= -close
+    assert "targets missed" in caplog.text
+
+
 def test_budget_and_unreachable_targets(documents):
     half = mixing.mixing_rates(documents, documents, {"en": 1.0}, budget=10_000.0, least=0.0)
     tokens = totals(half, "rate")
