@@ -22,14 +22,14 @@ from martlet.llm.common import hold_few_texts, learnable, table
 from martlet.llm.queries import MIXING_TARGETS, TOKENIZER
 from martlet.session import shared_folder
 
-#: With four languages, a score this low says that the network knows none of them.
-LEAST_SCORE = 0.3
+#: The share that the learned languages together must have against the class of foreign texts.
+LEAST_SCORE = 0.7
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the network recognises."""
     hold_few_texts(spark)
-    model = langid.train_language_model(docs, eligible=learnable("doc_id", 4, 2))
+    model = langid.train_language_model(docs, eligible=learnable("doc_id", 4, 2), rejects=True)
     return langid.keep_identified(docs, model, least=LEAST_SCORE)
 
 

@@ -10,6 +10,11 @@ Two facts keep the application cheap. A filter's answer is a sum over its bytes,
 are tables indexed by byte pairs, and a position costs two look-ups. And windows go through in
 blocks that fit the processor's cache, so memory does not grow with a text.
 
+A network may have a rejection class for texts in none of its languages. It is learned from the
+labelled windows themselves, made foreign: letters shuffled, letters exchanged for others of
+their kind or of another script, and noise. The score of a text then is the share of all learned
+languages together, whatever their number, so a text in two of them is not rejected.
+
 Defined results: a text that is null or has no letter is ``und`` with score 0, and so is every
 text if no labelled row exists. Rows whose label or key is null are never learned from. Texts
 of any length are read whole. Repeated rows get equal answers; an empty table gives no rows.
@@ -37,7 +42,10 @@ _BLOCK = 32
 
 @dataclass(frozen=True)
 class ByteCnn:
-    """A trained network; byte 0 is padding and has the zero embedding."""
+    """A trained network; byte 0 is padding and has the zero embedding.
+
+    With ``rejects``, a last class behind the languages stands for none of them.
+    """
 
     languages: list[str]
     embedding: np.ndarray
@@ -45,6 +53,7 @@ class ByteCnn:
     bias: dict[int, np.ndarray]
     dense: np.ndarray
     dense_bias: np.ndarray
+    rejects: bool = False
 
     def pair_tables(self) -> tuple[np.ndarray, np.ndarray]:
         """All filters' sums over bytes 1-2 and over bytes 3-4, by byte pair."""
@@ -102,7 +111,7 @@ class Scorer:
 
     def _mean(self, data: bytes) -> np.ndarray:
         """Mean distribution of one text, in pieces of bounded size."""
-        total = np.zeros(len(self.model.languages))
+        total = np.zeros(len(self.model.dense_bias))
         step = 4096 * WINDOW
         for start in range(0, len(data), step):
             part = data[start : start + step]
@@ -112,7 +121,10 @@ class Scorer:
         return total / len(data)
 
     def texts(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        """(language, score) of each text; texts without a letter are unknown."""
+        """(language, score) of each text; texts without a letter are unknown.
+
+        The score is the language's own, or with a rejection class that of all languages.
+        """
         known = [
             i for i, t in enumerate(texts) if t and self.model.languages and any(map(str.isalpha, t))
         ]
@@ -120,8 +132,9 @@ class Scorer:
         for start in range(0, len(known), 64):
             some = known[start : start + 64]
             for i, mean in zip(some, self._means([texts[i] for i in some]), strict=True):
-                names[i] = self.model.languages[int(mean.argmax())]
-                scores[i] = min(1.0, float(mean.max()))
+                learned = mean[: len(self.model.languages)]
+                names[i] = self.model.languages[int(learned.argmax())]
+                scores[i] = min(1.0, float(learned.sum() if self.model.rejects else learned.max()))
         return names, scores
 
     def _means(self, texts: list[str]) -> list[np.ndarray]:
@@ -141,10 +154,57 @@ def _bytes(text: str) -> bytes:
     return text.lower().encode("utf-8", "replace")
 
 
+#: First and last letter of scripts that a window is put into to make it foreign.
+_SCRIPTS = [
+    (0x3B1, 0x3C9), (0x430, 0x44F), (0x561, 0x586), (0x5D0, 0x5EA), (0x621, 0x64A), (0x905, 0x939),
+    (0xE01, 0xE2E), (0x10D0, 0x10F0), (0x3042, 0x3093), (0x30A2, 0x30F3), (0x4E00, 0x9FA5), (0xAC00, 0xD7A3),
+]
+_VOWELS = "aeiouyàáâãäåæèéêëìíîïòóôõöøùúûüýāăąēėęěīįıōőœūůű"
+_CONSONANTS = "bcdfghjklmnpqrstvwxzçðñþßćčďđğģķłļńňŕřśşšţťźžż"
+_NOISE = ["abcdefghijklmnopqrstuvwxyz", "0123456789abcdef", "abcdefghijklmnopqrstuvwxyz0123456789_(){}[];=<>+*/&.-"]
+
+
+def foreign(text: str, rng: np.random.Generator) -> str:
+    """A text in no learned language, made from one that is."""
+    text = text.lower()
+    letters = [c for c in text if c.isalpha()]
+    kind = rng.integers(0, 8)
+    if kind == 0:
+        signs = list(_NOISE[rng.integers(0, len(_NOISE))])
+        sizes = rng.integers(2, int(rng.choice([9, 16, 60])), len(text) // 4 + 1)
+        return " ".join("".join(rng.choice(signs, n)) for n in sizes)[: len(text)]
+    if kind == 1:
+        order = iter(rng.permutation(len(letters)))
+        return "".join(letters[next(order)] if c.isalpha() else c for c in text)
+    if kind < 4:
+        first, last = _SCRIPTS[rng.integers(0, len(_SCRIPTS))]
+        put = {c: chr(rng.integers(first, last + 1)) for c in sorted(set(letters))}
+        if last - first > 1000:
+            return "".join(chr(rng.integers(first, last + 1)) if c.isalpha() else c for c in text)
+        return "".join(put.get(c, c) for c in text)
+    # Words of the same build with other letters: plain ones mostly, some with marks.
+    put = {}
+    for kin, plain in ((_VOWELS, 5), (_CONSONANTS, 20)):
+        marked = rng.choice(list(kin[plain:]), rng.integers(0, 7), replace=False)
+        others = rng.permutation([*kin[:plain], *marked])
+        own = sorted({c for c in letters if c in kin})
+        put |= {c: str(others[i % len(others)]) for i, c in enumerate(rng.permutation(own))}
+    return "".join(put.get(c, c) for c in text)
+
+
 def fit_network(
-    texts: list[str], labels: list[str], *, epochs: int = 6, batch: int = 64, seed: int = 7
+    texts: list[str],
+    labels: list[str],
+    *,
+    epochs: int = 6,
+    batch: int = 64,
+    seed: int = 7,
+    rejects: bool = False,
 ) -> ByteCnn:
-    """Train on texts of up to a window; shorter crops of each teach it short texts."""
+    """Train on texts of up to a window; shorter crops of each teach it short texts.
+
+    With ``rejects``, every text also teaches its words alone and, made foreign, the last class.
+    """
     languages = sorted(set(labels))
     rng = np.random.default_rng(seed)
     pieces, target = [], []
@@ -155,6 +215,26 @@ def fit_network(
             if piece:
                 pieces.append(piece)
                 target.append(languages.index(label))
+    if rejects and languages:
+        some = np.random.default_rng(seed + 1)
+        for text, label in zip(texts, labels, strict=True):
+            words, made = text.split(), _bytes(foreign(text, some))
+            at, short = some.integers(0, max(1, len(words))), some.integers(24, 96)
+            alone = _bytes(" ".join(words[at : at + some.integers(1, 4)]))[:WINDOW]
+            start = some.integers(0, max(1, len(made) - short))
+            # A key, a quotation or a licence line does not make a text foreign.
+            cut = int(len(data := _bytes(text)[:WINDOW]) * some.uniform(0.4, 0.8))
+            mixed = data[:cut] + made[cut:WINDOW]
+            for piece, kind in (
+                (alone, languages.index(label)),
+                (mixed, languages.index(label)),
+                (made[:WINDOW], len(languages)),
+                (made[start : start + short], len(languages)),
+            ):
+                if piece:
+                    pieces.append(piece)
+                    target.append(kind)
+    classes = len(languages) + bool(rejects and languages)
     target = np.array(target, dtype=int)
     params = {"embedding": rng.normal(0, 0.5, (256, _EMBEDDING))}
     params["embedding"][0] = 0
@@ -162,9 +242,9 @@ def fit_network(
         scale = 1 / np.sqrt(width * _EMBEDDING)
         params[f"filters{width}"] = rng.normal(0, scale, (width, _EMBEDDING, FILTERS))
         params[f"bias{width}"] = np.zeros(FILTERS)
-    params["dense"] = rng.normal(0, 0.1, (len(WIDTHS) * FILTERS, len(languages)))
-    params["dense_bias"] = np.zeros(len(languages))
-    if len(languages) > 1:
+    params["dense"] = rng.normal(0, 0.1, (len(WIDTHS) * FILTERS, classes))
+    params["dense_bias"] = np.zeros(classes)
+    if classes > 1:
         _train(params, _padded(pieces), target, epochs, batch, rng)
     return ByteCnn(
         languages,
@@ -173,6 +253,7 @@ def fit_network(
         {width: params[f"bias{width}"] for width in WIDTHS},
         params["dense"],
         params["dense_bias"],
+        rejects,
     )
 
 
@@ -230,6 +311,7 @@ def train_language_model(
     eligible: Column | None = None,
     per_language: int = 300,
     per_document: int = 2,
+    rejects: bool = False,
     id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
@@ -254,7 +336,7 @@ def train_language_model(
     )
     sample = bounded_sample(labelled, "label", "key", per_language).collect()
     pairs = [(crop, row["label"]) for row in sample for crop in row["crops"]]
-    return fit_network([crop for crop, _ in pairs], [label for _, label in pairs])
+    return fit_network([crop for crop, _ in pairs], [label for _, label in pairs], rejects=rejects)
 
 
 def predict_language(text: Column, model: ByteCnn) -> Column:
@@ -297,7 +379,10 @@ def identify_language(
 def keep_identified(
     docs: DataFrame, model: ByteCnn, *, least: float = 0.5, text_col: str = "text"
 ) -> DataFrame:
-    """The rows whose language is recognised with at least the given score."""
+    """The rows whose language is recognised with at least the given score.
+
+    Without a rejection class a score is at least one over the number of languages.
+    """
     (found,) = fresh(docs, "_language")
     judged = docs.withColumn(found, predict_language(F.col(text_col), model))
     sure = (F.col(f"{found}.lang_pred") != UNKNOWN) & (F.col(f"{found}.score") >= least)

@@ -3,8 +3,10 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from martlet.llm import langid
 from martlet.llm.common import bounded_sample, in_fold
 
@@ -80,3 +82,42 @@ def test_bounded_sample(spark):
     assert counts["few"] == 40 and 30 <= counts["many"] <= 50
     again = bounded_sample(rows.repartition(7), "label", "key", 50)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, again.collect()))
+
+
+FOREIGN = [
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw.",
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan.",
+    "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar.",
+    "Все люди рождаются свободными и равными в своем достоинстве и правах.",
+    "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια",
+    "人人生而自由在尊严和权利上一律平等他们赋有理性和良心",
+    "for (int i = 0; i < n; ++i) { buf[i] = ptr->x ^ 0xFF; }",
+    "xqzj kvwq zzxk qjwp vbkx wqzj xkcd qwzx jjkq",
+]
+
+
+@pytest.mark.parametrize("languages", [("de", "en", "es", "fr"), ("de", "en")])
+def test_foreign_and_noise_texts_go_and_clean_ones_stay(spark, documents, texts, languages):
+    """The pipeline's filter rejects what no learned language has, however many there are."""
+    clean = documents.where(F.col("lang").isin(*languages))
+    rows = [(-1 - i, text) for i, text in enumerate(FOREIGN)]
+    rows += [(-101 - i, f"{text} " * 40) for i, text in enumerate(FOREIGN)]
+    got = corpus_pipeline.language_id(spark, clean.unionByName(texts(*rows)), "")
+    kept = {r["doc_id"] for r in got.select("doc_id").collect()}
+    assert [text for i, text in rows if i in kept] == []
+    lettered = clean.where("text rlike '[a-zA-Z]'").select("doc_id", "n_chars").collect()
+    lost = [r["doc_id"] for r in lettered if r["doc_id"] not in kept]
+    assert len(lost) <= 0.005 * len(lettered)
+    assert not [r["doc_id"] for r in lettered if r["n_chars"] < 60 and r["doc_id"] in lost]
+
+
+def test_a_text_in_two_languages_is_known():
+    """With a rejection class, the score is the share of all languages together."""
+    rng = np.random.default_rng(4)
+    some = lambda words: " ".join(rng.choice(words, 30))
+    de, en = ["der", "und", "nicht", "ist"], ["the", "and", "of", "with"]
+    pairs = [(some(de), "de") for _ in range(80)] + [(some(en), "en") for _ in range(80)]
+    model = langid.fit_network([t for t, _ in pairs], [n for _, n in pairs], rejects=True)
+    assert model.languages == ["de", "en"] and len(model.dense_bias) == 3
+    names, scores = langid.Scorer(model).texts([some(de) + " " + some(en), some(de), "жзъы щюя"])
+    assert names[1] == "de" and scores[:2].min() > 0.9 and scores[2] < 0.5
