@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +17,12 @@ from martlet.llm import (
     quality,
     sentencepiece,
     simhash,
+    tokenfiles,
     toxicity,
     urls,
 )
 from martlet.llm.common import UPPER, in_fold, table
+from martlet.session import shared_folder
 
 
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
@@ -103,6 +106,18 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
 
 
+WORD_TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
+
+
+def op13_token_output(
+    spark: SparkSession, folder: str, tokenizer_file: str = WORD_TOKENIZER
+) -> DataFrame:
+    out = f"{shared_folder(spark)}/tokens-{uuid4().hex}"
+    tokenizer = tokenfiles.WordTokenizer.load(tokenizer_file)
+    tokenfiles.write_tokens(table(spark, folder, "documents"), out, tokenizer)
+    return tokenfiles.token_digests(spark, out)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_nearest": op2_nearest,
@@ -114,6 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_toxicity": op10_toxicity,
+    "op13_token_output": op13_token_output,
 }
 
 ORACLE_SQL: dict[str, str] = {
