@@ -17,6 +17,7 @@ from martlet.llm import (
     quality,
     sentencepiece,
     simhash,
+    spelling,
     tokenfiles,
     toxicity,
     urls,
@@ -106,6 +107,10 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
 
 
+def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, folder, "documents"), slips=199)
+
+
 WORD_TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
 
 
@@ -129,6 +134,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_toxicity": op10_toxicity,
+    "op12_spelling": op12_spelling,
     "op13_token_output": op13_token_output,
 }
 
@@ -164,4 +170,60 @@ ORACLE_SQL: dict[str, str] = {
                sha256(content) AS text_sha256
         FROM rows JOIN sizes USING (content)
     """,
+    "op12_spelling": f"""
+        WITH RECURSIVE bits(i, k, v) AS (
+            SELECT i, 0, i::BIGINT FROM range(256) t(i)
+            UNION ALL
+            SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END
+            FROM bits WHERE k < 8
+        ), crc_table AS (
+            SELECT list(v ORDER BY i) AS of FROM bits WHERE k = 8
+        ), runs AS (
+            SELECT doc_id, unnest(regexp_extract_all(
+                translate(text, '{UPPER}', '{UPPER.lower()}'), '[a-zÀ-ÿ]+'
+            )) AS run FROM documents
+        ), each AS (
+            SELECT coalesce(doc_id::VARCHAR, '') || ':' || run AS hashed, run, count(*) AS times
+            FROM runs WHERE length(run) >= 6 GROUP BY ALL
+        ), hashed AS (
+            SELECT run, times, xor(4294967295, list_reduce(
+                flatten(list_transform(string_split(hashed, ''), lambda c: CASE
+                    WHEN ord(c) < 128 THEN [ord(c)::BIGINT]
+                    ELSE [192 + (ord(c) >> 6)::BIGINT, 128 + (ord(c) & 63)::BIGINT] END)),
+                lambda h, b: xor(h >> 8, crc_table.of[(xor(h, b) & 255) + 1]), 4294967295::BIGINT
+            )) AS h FROM each, crc_table
+        ), cut AS (
+            SELECT CASE WHEN h % 199 = 0
+                THEN left(run, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2)
+                ELSE run END AS word, times FROM hashed
+        ), words AS (
+            SELECT word, sum(times)::BIGINT AS n FROM cut
+            WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5
+        ), gaps AS (
+            SELECT word, n, i, left(word, i - 1) AS head, substr(word, i + 1) AS tail
+            FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+        ), pairs AS (
+            SELECT a.word, b.word AS near, b.n AS near_n FROM gaps a JOIN gaps b USING (i, head, tail)
+            WHERE a.word <> b.word
+            UNION
+            SELECT w.word, g.word, g.n FROM gaps g JOIN words w ON w.word = g.head || g.tail
+            UNION
+            SELECT g.word, w.word, w.n FROM gaps g JOIN words w ON w.word = g.head || g.tail
+        ), best AS (
+            SELECT word, count(*) AS n_near, max(near_n) AS most,
+                   min(near) FILTER (WHERE near_n = top) AS first
+            FROM (SELECT *, max(near_n) OVER (PARTITION BY word) AS top FROM pairs) GROUP BY word
+        ), found AS (
+            SELECT word, n, coalesce(n_near, 0) AS n_near,
+                   CASE WHEN most >= 5 * n THEN first END AS form,
+                   CASE WHEN most >= 5 * n THEN most END AS form_n
+            FROM words LEFT JOIN best USING (word)
+        ), chain(word, root, form) AS (
+            SELECT word, word, form FROM found
+            UNION ALL
+            SELECT chain.word, found.word, found.form FROM chain JOIN found ON found.word = chain.form
+        )
+        SELECT word, found.form, chain.root, n, n_near, form_n
+        FROM found JOIN chain USING (word) WHERE chain.form IS NULL
+    """,
 }
