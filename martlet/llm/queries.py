@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from martlet.llm import (
     ann,
     chat,
+    convtrie,
     exact_dedup,
     langid,
     mixing,
@@ -107,6 +108,12 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
 
 
+def op11_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    found = convtrie.sequences(table(spark, folder, "conversations"))
+    heads = F.crc32(F.col("conv_id").cast("string")) % 4
+    return convtrie.conversation_trie(convtrie.with_shared_heads(found, 20, heads, most=3))
+
+
 def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.spelling_groups(table(spark, folder, "documents"), slips=199)
 
@@ -134,10 +141,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_toxicity": op10_toxicity,
+    "op11_conversation_trie": op11_conversation_trie,
     "op12_spelling": op12_spelling,
     "op13_token_output": op13_token_output,
 }
 
+#: The table of crc32, for a WITH clause, from its rule.
+_CRC_TABLE = """
+        bits(i, k, v) AS (
+            SELECT i, 0, i::BIGINT FROM range(256) t(i)
+            UNION ALL
+            SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END
+            FROM bits WHERE k < 8
+        ), crc_table AS (
+            SELECT list(v ORDER BY i) AS of FROM bits WHERE k = 8
+        )"""
+
 ORACLE_SQL: dict[str, str] = {
     "op5_chat_format": rf"""
         WITH given AS (
@@ -170,15 +189,64 @@ ORACLE_SQL: dict[str, str] = {
                sha256(content) AS text_sha256
         FROM rows JOIN sizes USING (content)
     """,
-    "op12_spelling": f"""
-        WITH RECURSIVE bits(i, k, v) AS (
-            SELECT i, 0, i::BIGINT FROM range(256) t(i)
+    "op11_conversation_trie": rf"""
+        WITH RECURSIVE {_CRC_TABLE}, own AS (
+            SELECT conv_id, id, words, row_number() OVER (
+                PARTITION BY conv_id ORDER BY turn NULLS FIRST, left(id, 32), words
+            ) - 1 AS place
+            FROM (
+                SELECT conv_id, turn, sha256(
+                    length(coalesce(role, ''))::VARCHAR || ':'
+                    || coalesce(role, '') || coalesce(text, '')
+                ) AS id, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words
+                FROM conversations WHERE conv_id IS NOT NULL
+            )
+        ), convs AS (
+            SELECT DISTINCT conv_id, conv_id - conv_id % 20 AS base, xor(4294967295, list_reduce(
+                list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ord(c)::BIGINT),
+                lambda h, b: xor(h >> 8, crc_table.of[(xor(h, b) & 255) + 1]), 4294967295::BIGINT
+            )) % 4 AS h
+            FROM own, crc_table
+        ), rebuilt AS (
+            SELECT c.conv_id, o.place, id, words FROM convs c
+            JOIN own o ON o.conv_id = c.base AND o.place < c.h
             UNION ALL
-            SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END
-            FROM bits WHERE k < 8
-        ), crc_table AS (
-            SELECT list(v ORDER BY i) AS of FROM bits WHERE k = 8
-        ), runs AS (
+            SELECT c.conv_id, o.place + 3, id, words FROM convs c
+            JOIN own o ON o.conv_id = c.conv_id AND o.place >= c.h
+        ), paths AS (
+            SELECT conv_id, row_number() OVER turns AS depth, words,
+                   sha256(string_agg(id, '') OVER turns) AS key
+            FROM rebuilt WINDOW turns AS (PARTITION BY conv_id ORDER BY place)
+            UNION ALL
+            SELECT conv_id, 0, 0, '' FROM convs
+        ), members AS (
+            SELECT *, lag(key) OVER turns AS above,
+                   max(depth) OVER (PARTITION BY conv_id) = depth AS ends
+            FROM paths WINDOW turns AS (PARTITION BY conv_id ORDER BY depth)
+        ), nodes AS (
+            SELECT key, above, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+                   min(words) AS words, sha256(coalesce(
+                       string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), ''
+                   )) AS ends_sha256
+            FROM members GROUP BY key, above, depth
+        ), children AS (
+            SELECT above AS key, depth - 1 AS depth, count(*) AS n FROM nodes WHERE depth > 0
+            GROUP BY ALL
+        ), subtrees AS (
+            SELECT p.key, p.depth, count(*) FILTER (WHERE c.n IS NULL) AS n_leaves,
+                   sum((u.n_convs - 1) * u.words)::BIGINT AS saved_tokens
+            FROM nodes u LEFT JOIN children c ON c.key = u.key AND c.depth = u.depth
+            JOIN paths p ON p.conv_id = u.conv_id AND p.depth <= u.depth
+            GROUP BY ALL
+        )
+        SELECT v.conv_id, v.depth, o.conv_id AS parent_conv_id, v.n_convs,
+               coalesce(c.n, 0) AS n_children, s.n_leaves, s.saved_tokens, v.ends_sha256
+        FROM nodes v JOIN subtrees s ON s.key = v.key AND s.depth = v.depth
+        LEFT JOIN children c ON c.key = v.key AND c.depth = v.depth
+        LEFT JOIN nodes o ON o.key = v.above AND o.depth = v.depth - 1
+    """,
+    "op12_spelling": f"""
+        WITH RECURSIVE {_CRC_TABLE}, runs AS (
             SELECT doc_id, unnest(regexp_extract_all(
                 translate(text, '{UPPER}', '{UPPER.lower()}'), '[a-zÀ-ÿ]+'
             )) AS run FROM documents

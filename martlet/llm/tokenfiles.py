@@ -18,7 +18,8 @@ are no hot spot, and sorted there; a task encodes its rows as they pass and adds
 Nothing but one number per shard meets in one place.
 
 Words are encoded by the tokenizers library, each once for as long as a bounded cache of the
-process holds it: the library's pieces never reach across white space.
+process holds it: the tokenizers meant here end words at white space and drop it, and close each
+run of letters by a token that ends a word.
 
 Defined results: a null text counts as empty; an empty text is the end id alone. A null id comes
 first. Rows of equal id follow each other by the text's hash, then the text; repeated rows each
@@ -42,9 +43,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 _CACHED_WORD = 64
-_CACHED_WORDS = 1 << 17
+_CACHED_WORDS = 1 << 18
 _AT_ONCE = 2048
+_SIDE_BY_SIDE = 256
 _SLICE = 1 << 20
+#: Signs that no contraction begins with: behind letters, neither changes how the other is read.
+_SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 @dataclass(frozen=True)
@@ -97,6 +101,10 @@ class WordEncoder:
 
         self.library = Tokenizer.from_str(tokenizer.definition)
         self.library.encode_special_tokens = not tokenizer.specials
+        ending = self.library.model.end_of_word_suffix
+        self.closes = np.zeros(self.library.get_vocab_size(), bool)
+        for token, i in self.library.get_vocab().items():
+            self.closes[i] = bool(ending) and token.endswith(ending)
         self.words: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
 
@@ -131,24 +139,49 @@ class WordEncoder:
         if len(self.words) + len(words) > _CACHED_WORDS:
             # What is met again moves over from the full cache, the rest goes with the next change.
             self.before, self.words = self.words, {}
-        new, long = [], {}
-        for word in words:
-            if word in self.words:
-                continue
-            if (data := self.before.get(word)) is not None:
-                self.words[word] = data
+        new = words.difference(self.words)
+        again = self.before.keys() & new
+        self.words |= zip(again, map(self.before.__getitem__, again))
+        new -= again
+        plain = {word for word in new if word.isalpha() and len(word) <= _CACHED_WORD}
+        cut, rest, long = {}, set(), {}
+        for word in new - plain:
+            stem = word.rstrip(_SIGNS)
+            if stem.isalpha() and len(word) <= _CACHED_WORD:
+                cut[word] = stem, word[len(stem) :]
             else:
-                new.append(word)
-        for start in range(0, len(new), _AT_ONCE):
-            some = new[start : start + _AT_ONCE]
-            found = self.library.encode(some, is_pretokenized=True, add_special_tokens=False)
-            data = np.array(found.ids, "<u4").tobytes()
-            ends = np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(some) + 1)) * 4
-            ends = ends.tolist()
-            for word, a, b in zip(some, ends, ends[1:]):
-                (self.words if len(word) <= _CACHED_WORD else long)[word] = data[a:b]
+                rest.add(word)
+        plain.update(stem for stem, _ in cut.values())
+        rest.update(tail for _, tail in cut.values())
+        self._keep_plain(list(plain.difference(self.words)))
+        ordered = list(rest.difference(self.words))
+        for start in range(0, len(ordered), _AT_ONCE):
+            for word, data in self._one_by_one(ordered[start : start + _AT_ONCE]):
+                (self.words if len(word) <= _CACHED_WORD else long)[word] = data
+        known = self.words
+        known |= {word: known[stem] + known[tail] for word, (stem, tail) in cut.items()}
         return long
 
+    def _keep_plain(self, ordered: list[str]) -> None:
+        """Words of letters, encoded side by side: each is whole at a token that ends a word."""
+        for start in range(0, len(ordered), _SIDE_BY_SIDE):
+            some = ordered[start : start + _SIDE_BY_SIDE]
+            found = self.library.encode_batch_fast([" ".join(some)], add_special_tokens=False)
+            ids = np.array(found[0].ids, np.int64)
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) == len(some):
+                data, ends = ids.astype("<u4").tobytes(), (ends * 4).tolist()
+                self.words |= zip(some, map(data.__getitem__, map(slice, [0, *ends], ends)))
+            else:  # a letter that the tokenizer writes as more than a word
+                self.words |= self._one_by_one(some)
+
+    def _one_by_one(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        found = self.library.encode(words, is_pretokenized=True, add_special_tokens=False)
+        data = np.array(found.ids, "<u4").tobytes()
+        of = np.array(found.word_ids, np.int64)
+        ends = (np.searchsorted(of, np.arange(len(words) + 1)) * 4).tolist()
+        return zip(words, map(data.__getitem__, map(slice, ends, ends[1:])))
+
 
 def write_tokens(
     docs: DataFrame,

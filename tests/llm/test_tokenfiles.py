@@ -44,7 +44,7 @@ HARD = [
     (None, "no id"), (1, None), (2, ""), (3, " \n\t  "), (4, "don't  we'll go\x1cthere"),
     (5, "x" * 20_000 + " y"), (6, "<|endoftext|>a <|startoftext|>"), (7, "Éa é Σς İ ﬁ ½ 日本 😀"),
     (8, "</w> a</w>b 'S it'S"), (9, "again"), (9, "again"), (-5, "below zero"), (10, " a\u0085b\r\nc"),
-    (11, "ends in space "), (12, "e ́x"),
+    (11, "ends in space "), (12, "e ́x"), (13, "é́. İx, ½a क़! a.'s _b_ c`d` ﬀ Ⅷx²"), (14, "don't. it's, x'")
 ]
 
 
