@@ -162,6 +162,12 @@ class Tables:
     def customers(self) -> DataFrame:
         return scd2_flag(self.raw_customers)
 
+    @property
+    def customer_history(self) -> DataFrame:
+        """The versions of the customers, from the time in which they bought."""
+        earlier = F.col("update_timestamp") - F.make_ym_interval(F.lit(28))
+        return self.raw_customers.withColumn("update_timestamp", earlier)
+
     @property
     def customer_feed(self) -> DataFrame:
         """Change records: moves, a repeated move, a move back, late ones, and what is known."""

@@ -565,6 +565,43 @@ PLAIN: dict[str, str] = {
         FROM raw_sales f LEFT JOIN products d ON f.product_id = d.product_id WHERE d.product_id IS NULL
         UNION ALL SELECT 'Orphaned Stores', COUNT(*)
         FROM raw_sales f LEFT JOIN stores d ON f.store_id = d.store_id WHERE d.store_id IS NULL""",
+    "sales_asof_customer": f"""
+        SELECT {SALE.replace("customer_id", "s.customer_id AS customer_id")}, v.name, v.email, v.city,
+               v.update_timestamp AS valid_from
+        FROM sales s ASOF LEFT JOIN versions_in_order v
+          ON s.customer_id = v.customer_id AND s.transaction_date >= v.update_timestamp""",
+    "city_sales_asof": f"""
+        SELECT v.city, {REVENUE} AS revenue
+        FROM sales s ASOF LEFT JOIN versions_in_order v
+          ON s.customer_id = v.customer_id AND s.transaction_date >= v.update_timestamp
+        WHERE {PERIOD} GROUP BY v.city ORDER BY revenue DESC, v.city NULLS FIRST LIMIT 10""",
+    "web_sessions": """
+        SELECT * REPLACE (ROUND(revenue, 4) AS revenue),
+               CASE WHEN checkout_completed > 0 THEN 'checkout_completed'
+                    WHEN checkout_start > 0 THEN 'checkout_start'
+                    WHEN add_to_cart > 0 THEN 'add_to_cart'
+                    WHEN page_view > 0 THEN 'page_view' END AS furthest
+        FROM visits""",
+    "session_funnel": """
+        SELECT CAST(place AS INT) AS place, step, sessions,
+               ROUND(CAST(sessions AS DOUBLE) / first_value(sessions) OVER (ORDER BY place), 9) AS conversion
+        FROM (SELECT 1 AS place, 'page_view' AS step, count(*) FILTER (WHERE page_view > 0) AS sessions FROM visits
+              UNION ALL SELECT 2, 'add_to_cart', count(*) FILTER (WHERE add_to_cart > 0) FROM visits
+              UNION ALL SELECT 3, 'checkout_start', count(*) FILTER (WHERE checkout_start > 0) FROM visits
+              UNION ALL SELECT 4, 'checkout_completed', count(*) FILTER (WHERE checkout_completed > 0) FROM visits) x""",
+    "store_windows": f"""
+        SELECT store_id, window_start, window_start + INTERVAL 7 DAYS AS window_end, COUNT(*) AS lines,
+               CAST(SUM(quantity) AS BIGINT) AS units, {REVENUE} AS revenue
+        FROM (SELECT *, time_bucket(INTERVAL 7 DAYS, transaction_date, TIMESTAMP '1970-01-01') AS window_start
+              FROM sales) x
+        GROUP BY store_id, window_start""",
+    "store_windows_sliding": f"""
+        SELECT store_id, window_start, window_start + INTERVAL 30 DAYS AS window_end, COUNT(*) AS lines,
+               CAST(SUM(quantity) AS BIGINT) AS units, {REVENUE} AS revenue
+        FROM (SELECT *, time_bucket(INTERVAL 10 DAYS, transaction_date, TIMESTAMP '1970-01-01')
+                        - back * INTERVAL 10 DAYS AS window_start
+              FROM sales, (SELECT unnest([0, 1, 2]) AS back) b) x
+        GROUP BY store_id, window_start""",
     "sales_quality": """
         SELECT COUNT(*) AS total_sales, COUNT(CASE WHEN quantity <= 0 THEN 1 END) AS invalid_qty,
                COUNT(CASE WHEN unit_price <= 0 THEN 1 END) AS invalid_price

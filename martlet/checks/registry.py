@@ -12,6 +12,8 @@ from pyspark.sql.types import DecimalType
 from martlet.checks.bindings import ARRIVAL, END, START, Tables
 from martlet.operators import customers as cust
 from martlet.operators import privacy, quality, retail, sales, web
+from martlet.operators.customers import customer_at_sale
+from martlet.operators.sessions import session_funnel, store_windows, web_sessions, with_event_time
 from martlet.plans import basket, metrics
 from martlet.schemas import SHIPMENT_STATES_DOCUMENTED
 from martlet.sources.hub import gold_views, raw_views
@@ -102,6 +104,16 @@ def _full_web(t: Tables) -> DataFrame:
     return web.dated_events(cleaned).drop("extra")
 
 
+def _visits(t: Tables) -> DataFrame:
+    return web_sessions(with_event_time(t.web_events, "timestamp"), "6 hours")
+
+
+def _store_windows(t: Tables, *windows: str) -> DataFrame:
+    found = exact(store_windows(with_event_time(t.sales, "transaction_date"), *windows))
+    ends = {name: F.col(name).cast("timestamp_ntz") for name in ("window_start", "window_end")}
+    return found.withColumns(ends)
+
+
 def _names(t: Tables) -> DataFrame:
     name = F.replace("name", F.lit("#"), F.lit(" ")).alias("name")
     return t.first_customers.select("customer_id", name, F.col("city").alias("country"))
@@ -176,6 +188,16 @@ QUERIES: dict[str, Query] = {
     ),
     "web_event_date": _parsed_event_times,
     "fact_web_events": _full_web,
+    "web_sessions": lambda t: _visits(t).withColumns(
+        {
+            "started": F.col("started").cast("timestamp_ntz"),
+            "ended": F.col("ended").cast("timestamp_ntz"),
+            "revenue": F.round("revenue", 4),
+        }
+    ),
+    "session_funnel": lambda t: exact(session_funnel(_visits(t)), {"conversion": 9}),
+    "store_windows": lambda t: _store_windows(t, "7 days"),
+    "store_windows_sliding": lambda t: _store_windows(t, "30 days", "10 days"),
     "incremental_sales": lambda t: exact(
         sales.since(sales.with_partition_keys(t.sales), "transaction_date", WATERMARK)
     ),
@@ -204,6 +226,10 @@ QUERIES: dict[str, Query] = {
     "city_sales_current": lambda t: exact(
         metrics.city_sales(t.sales, t.customers, START, END, current_only=True)
     ),
+    "sales_asof_customer": lambda t: exact(customer_at_sale(t.sales, t.customer_history)),
+    "city_sales_asof": lambda t: exact(
+        metrics.city_sales_asof(t.sales, t.customer_history, START, END)
+    ),
     "shopper_type": lambda t: metrics.shopper_type(t.sales, START, END),
     "top_products_revenue": lambda t: exact(
         metrics.top_products(t.sales, t.products, START, END)

@@ -45,6 +45,13 @@ BLOCKS = {
         SELECT *, update_timestamp = max(update_timestamp) OVER (PARTITION BY customer_id) AS is_current,
                update_timestamp AS valid_from
         FROM raw_customers""",
+    "customer_history": """
+        SELECT * REPLACE (update_timestamp - INTERVAL 28 YEARS AS update_timestamp)
+        FROM raw_customers""",
+    "versions_in_order": """
+        SELECT * FROM customer_history WHERE update_timestamp IS NOT NULL
+        QUALIFY row_number() OVER (PARTITION BY customer_id, update_timestamp
+                                   ORDER BY name DESC, email DESC, city DESC) = 1""",
     "customer_feed": """
         SELECT * FROM moved_customers
         UNION ALL SELECT customer_id, name, email, city, TIMESTAMP '2024-08-15 00:00:00'
@@ -113,6 +120,21 @@ BLOCKS = {
                                            ORDER BY seq, event_id) AS rn
               FROM raw_web_events WHERE customer_id IS NOT NULL) x
         WHERE rn = 1""",
+    "visits": """
+        SELECT customer_id, min("timestamp") AS started, max("timestamp") AS ended, count(*) AS events,
+               count(*) FILTER (WHERE event_type = 'page_view') AS page_view,
+               count(*) FILTER (WHERE event_type = 'add_to_cart') AS add_to_cart,
+               count(*) FILTER (WHERE event_type = 'checkout_start') AS checkout_start,
+               count(*) FILTER (WHERE event_type = 'checkout_completed') AS checkout_completed,
+               coalesce(sum(total_value) FILTER (WHERE event_type = 'checkout_completed'), 0) AS revenue
+        FROM (SELECT *, count(*) FILTER (WHERE fresh) OVER (
+                  PARTITION BY customer_id ORDER BY "timestamp", event_id, seq
+                  ROWS UNBOUNDED PRECEDING) AS visit
+              FROM (SELECT *, coalesce("timestamp" - lag("timestamp") OVER (
+                        PARTITION BY customer_id ORDER BY "timestamp", event_id, seq)
+                        > INTERVAL 6 HOURS, true) AS fresh
+                    FROM web_events) x) y
+        GROUP BY customer_id, visit""",
     "live_ticks": """
         SELECT ts AS tick_ts, CAST(100 + (event_id * 37) % 901 AS INT) AS sales,
                CAST(10 + event_id % 41 AS INT) AS inventory,

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martlet.functions import parse_timestamp
+from martlet.operators.asof import with_version_at
 from martlet.operators.skew import with_group_max
 
 ATTRIBUTES = ["name", "email", "city"]
@@ -94,3 +95,18 @@ def scd2_merge(flagged: DataFrame, incoming: DataFrame) -> DataFrame:
         .withColumn("is_current", F.col("update_timestamp") == latest)
         .select(*columns, F.col("update_timestamp").alias("valid_from"), "valid_to", "is_current")
     )
+
+
+def customer_at_sale(sales: DataFrame, versions: DataFrame) -> DataFrame:
+    """Every sale with the name, email and city that its customer had at that time.
+
+    They are null for sales before the customer's first version.
+    """
+    return with_version_at(
+        sales,
+        versions,
+        key="customer_id",
+        time="transaction_date",
+        valid_from="update_timestamp",
+        columns=ATTRIBUTES,
+    )

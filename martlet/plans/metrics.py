@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martlet.functions import count_text, money, month_label, month_name
+from martlet.operators.customers import customer_at_sale
 from martlet.operators.sales import in_period, revenue
 
 
@@ -146,6 +147,28 @@ def city_sales(
     )
 
 
+def city_sales_asof(
+    sales: DataFrame, versions: DataFrame, start: date, end: date, n: int = 10, **period
+) -> DataFrame:
+    """Revenue of the top cities, each sale counted for the city its customer lived in then.
+
+    Sales are added up per customer and instant first. Sales before the customer's first version
+    have no city and are one entry, with a null.
+    """
+    instants = (
+        in_period(sales, start, end, **period)
+        .groupBy("customer_id", "transaction_date")
+        .agg(F.sum(revenue()).alias("_revenue"))
+    )
+    return (
+        customer_at_sale(instants, versions)
+        .groupBy("city")
+        .agg(F.sum("_revenue").alias("revenue"))
+        .orderBy(F.desc("revenue"), "city")
+        .limit(n)
+    )
+
+
 def shopper_type(sales: DataFrame, start: date, end: date, **period) -> DataFrame:
     """Customers with exactly one transaction are new, all others returning.
 
