@@ -1,7 +1,7 @@
 """Work over groups of any size, in one lazy plan whatever the size.
 
 A window over one key sorts the whole key in one task. Maxima are aggregates that merge on the
-map side; numbering works on pieces of a key's order and adds the sizes of the pieces before.
+map side; numbering works on ranges of a key's order and adds the sizes of the ranges before.
 """
 
 from __future__ import annotations
@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_STEP = 100_000
+from martlet.session import materialise
+
+_COPIES = 10_000
 
 
 def with_group_max(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
@@ -22,42 +24,46 @@ def with_group_max(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
     return df.join(peaks, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
 
 
-def _piece(df: DataFrame, column: str, step: int) -> Column:
-    """A coarser value that never falls while ``column`` rises, so that it cuts the order."""
-    kind, value = df.schema[column].dataType, F.col(column)
-    if isinstance(kind, T.IntegralType):
-        return F.floor(value / step)
-    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return F.to_date(value)
-    if isinstance(kind, T.StringType):
-        return F.substring(value, 1, 8)
-    return F.lit(0)
-
-
-def with_row_number(
-    df: DataFrame, key: str, order: list[str], name: str, step: int = _STEP
-) -> DataFrame:
+def with_row_number(df: DataFrame, key: str, order: list[str], name: str) -> DataFrame:
     """``row_number() over (partition by key order by order)`` as a new BIGINT column.
 
     Ties of ``order`` are broken by the remaining columns, so the result is the same each run.
-    A key's rows are numbered in pieces: ``step`` whole numbers, a day, or eight characters of
-    the first column of the order.
+    Equal rows are counted first, so that any number of copies is one entry. Entries are dealt to
+    tasks by ranges of (key, whole order), which cut a key of any size wherever its order begins;
+    a window numbers each piece of a key, and the sizes of the pieces before are added. What both
+    steps read is written once to the shared folder.
     """
-    full_order = order + [c for c in df.columns if c not in order and c != key]
-    pieces = df.withColumn("_piece", _piece(df, order[0], step))
-    inside = F.row_number().over(Window.partitionBy(key, "_piece").orderBy(*full_order))
-    before = Window.partitionBy("_key").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    whole = order + [c for c in df.columns if c not in order and c != key]
+    entries = df.groupBy(key, *whole).agg(F.count(F.lit(1)).alias("_copies"))
+    pieces = entries.repartitionByRange(key, *whole).withColumn("_piece", F.spark_partition_id())
+    ahead = (Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(key, "_piece").orderBy(*whole).rowsBetween(*ahead)
+    none = F.lit(0).cast("bigint")
+    placed = materialise(
+        pieces.withColumn("_inside", F.coalesce(F.sum("_copies").over(inside), none))
+    )
+    before = Window.partitionBy("_key").orderBy("_at").rowsBetween(*ahead)
     offsets = (
-        pieces.groupBy(F.col(key).alias("_key"), F.col("_piece").alias("_at"))
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_offset", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+        placed.groupBy(F.col(key).alias("_key"), F.col("_piece").alias("_at"))
+        .agg(F.sum("_copies").alias("_rows"))
+        .withColumn("_offset", F.coalesce(F.sum("_rows").over(before), none))
         .drop("_rows")
     )
-    same = F.col(key).eqNullSafe(F.col("_key")) & F.col("_piece").eqNullSafe(F.col("_at"))
-    numbered = pieces.withColumn(name, inside).join(offsets, same)
-    return numbered.withColumn(name, F.col(name) + F.col("_offset")).drop(
-        "_piece", "_key", "_at", "_offset"
-    )
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_piece") == F.col("_at"))
+    first = (F.col("_offset") + F.col("_inside") + 1).alias("_first")
+    found = placed.join(offsets, same).select(*df.columns, "_copies", first)
+
+    def numbered(rows: DataFrame, start: Column, copies: Column) -> DataFrame:
+        numbers = F.explode(F.sequence(start, start + copies - 1)).alias(name)
+        return rows.select(*df.columns, numbers)
+
+    few = numbered(found.where(F.col("_copies") <= _COPIES), F.col("_first"), F.col("_copies"))
+    # Very many copies are cut into lots, and tasks share the lots before they are spelled out.
+    many = found.where(F.col("_copies") > _COPIES)
+    end = F.col("_first") + F.col("_copies") - 1
+    lots = many.withColumn("_lot", F.explode(F.sequence("_first", end, F.lit(_COPIES).cast("bigint"))))
+    size = F.least(F.lit(_COPIES).cast("bigint"), end - F.col("_lot") + 1)
+    return few.unionByName(numbered(lots.hint("rebalance"), F.col("_lot"), size))
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

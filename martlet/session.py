@@ -66,10 +66,10 @@ def scratch(spark: SparkSession) -> Iterator[list[DataFrame]]:
                 remove_folder(spark, folder)
 
 
-def remove_folder(spark: SparkSession, path: str) -> None:
-    """Delete a folder on whatever file system holds it."""
+def remove_folder(spark: SparkSession, path: str, encoded: bool = False) -> None:
+    """Delete a folder on whatever file system holds it; ``encoded`` paths are URIs."""
     jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
+    target = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path) if encoded else path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 
 from martlet.operators.privacy import secure_customers, visible_views
@@ -82,14 +80,27 @@ def audited_query(
     The record is written before the result is returned; a query on views the role does not
     see fails and leaves none.
     """
-    session = views_for(spark, role, folder)
-    result = session.sql(query)
-    visible = [row["tableName"] for row in session.sql("SHOW TABLES").collect()]
-    for view in visible:
-        if re.search(rf"\b{view}\b", query, re.IGNORECASE):
-            append_audit(spark, audit, at, user_id, query, view)
+    result = views_for(spark, role, folder).sql(query)
+    for view in views_read(result):
+        append_audit(spark, audit, at, user_id, query, view)
     return result
 
 
+def views_read(df: DataFrame) -> list[str]:
+    """Names of the views in the analysed plan, those behind other views included.
+
+    What only stands in a literal, an alias or a comment is in no plan; views in subqueries and
+    common table expressions are.
+    """
+    found, open_nodes = set(), [df._jdf.queryExecution().analyzed()]
+    while open_nodes:
+        node = open_nodes.pop()
+        if node.nodeName() == "View":
+            found.add(node.desc().identifier().table())
+        for below in (node.children(), node.subqueries()):
+            open_nodes += [below.apply(i) for i in range(below.size())]
+    return sorted(found)
+
+
 def list_tables(spark: SparkSession) -> DataFrame:
     return spark.sql("SHOW TABLES")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -133,22 +134,72 @@ def forget_rows(
 
     What stays of those partitions is first written beside the table and then put in place
     partition by partition, so a run that breaks off leaves rows twice nowhere and loses none.
+    The partition of rows without a value is one like any other. Folders are known by the files
+    in them, as their names are not the values' texts. A table without ``keys`` is rewritten.
     """
     stored = spark.read.parquet(path)
+    # A partition column without any value is read without a type, and cannot be written so.
+    untyped = [f.name for f in stored.schema if f.dataType.typeName() == "void"]
+    stored = stored.withColumns({name: F.col(name).cast("string") for name in untyped})
     known = ids.select(key).distinct()
-    hit = materialise(stored.join(known, key, "left_semi").select(*keys).distinct())
-    same = [stored[k].eqNullSafe(hit[k]) for k in keys]
-    rest = forget(stored.join(F.broadcast(hit), same, "left_semi"), known, key)
     beside = f"{path}_rest"
-    write_partitioned(rest, beside, keys)
+    if not keys:
+        write_table(forget(stored, known, key), beside)
+        write_table(spark.read.schema(stored.schema).parquet(beside), path)
+        remove_folder(spark, beside)
+        return
+    folder = F.regexp_extract(F.col("_metadata.file_path"), "^(.*)/[^/]*$", 1)
+    located = stored.select("*", folder.alias("_folder"))
+    hit = materialise(located.join(known, key, "left_semi").select("_folder").distinct())
+    rest = forget(located.join(hit, "_folder", "left_semi"), known, key)
+    held = materialise(rest.select("_folder").distinct())
+    write_partitioned(rest.drop("_folder"), beside, keys)
     left = spark.read.schema(stored.schema).parquet(beside)
-    emptied = hit.join(left.select(*keys).distinct(), keys, "left_anti").collect()
+    emptied = hit.join(held, "_folder", "left_anti").collect()
     write_partitioned(left, path, keys, only_present=True)
     for row in emptied:
-        remove_folder(spark, "/".join([path, *(f"{k}={row[k]}" for k in keys)]))
+        remove_folder(spark, row[0], encoded=True)
     remove_folder(spark, beside)
 
 
+# The tables of the hub that hold customers, and the columns they are laid out by.
+CUSTOMER_TABLES = {
+    "dim_customers": [],
+    "fact_sales": ["year", "month"],
+    "fact_web_events": ["event_date"],
+    "quarantine_sales": [],
+    "quarantine_web_events": [],
+}
+_NAMED = r'"customer_id"\s*:\s*"?(-?\d+)(?:\.0+)?(?!\d)'
+
+
+def forget_in_hub(spark: SparkSession, hub: str, ids: DataFrame, key: str = "customer_id") -> None:
+    """Take customers out of every table of the hub, those of faulty rows and lines included."""
+    for name, keys in CUSTOMER_TABLES.items():
+        if _exists(spark, f"{hub}/{name}"):
+            forget_rows(spark, f"{hub}/{name}", ids, keys, key)
+    path = f"{hub}/quarantine_web_lines"
+    if _exists(spark, path):
+        lines = spark.read.parquet(path)
+        named = lines.select("value", F.explode(F.regexp_extract_all("value", F.lit(_NAMED))).alias(key))
+        texts = ids.select(F.col(key).cast("string")).distinct()
+        theirs = named.join(texts, key, "left_semi").select("value").distinct()
+        beside = f"{path}_rest"
+        write_table(lines.join(theirs, "value", "left_anti"), beside)
+        write_table(spark.read.schema(lines.schema).parquet(beside), path)
+        remove_folder(spark, beside)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return False
+    return True
+
+
 def append_audit(
     spark: SparkSession, path: str, at: str, user_id: str, query_text: str, view_accessed: str
 ) -> None:

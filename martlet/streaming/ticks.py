@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from martlet.schemas import RAW_TICKS, table
 from martlet.session import run_id
+from martlet.sources.growing import follow_lines
 from martlet.sources.sinks import write_partitioned
 from martlet.sources.tables import parse_ticks, table_or_empty
 
@@ -41,8 +42,16 @@ def tick_series(ticks: DataFrame) -> DataFrame:
     return ticks.select("tick_ts", "sales")
 
 
-def _tick_stream(spark: SparkSession, in_dir: str) -> DataFrame:
-    return parse_ticks(spark.readStream.schema(RAW_TICKS).csv(in_dir))
+def follow_ticks(spark: SparkSession, file: str) -> DataFrame:
+    """Ticks of one file that a writer appends to, line by line; a half line waits."""
+    row = F.from_csv("value", RAW_TICKS.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "))
+    return parse_ticks(follow_lines(spark, file).select(row.alias("row")).select("row.*"))
+
+
+def _tick_stream(spark: SparkSession, source: str, growing: bool) -> DataFrame:
+    if growing:
+        return follow_ticks(spark, source)
+    return parse_ticks(spark.readStream.schema(RAW_TICKS).csv(source))
 
 
 def _newest(ticks: DataFrame, n: int) -> DataFrame:
@@ -87,14 +96,18 @@ def stream_live_ticks(
     checkpoint: str,
     trigger: dict | None = None,
     n: int = 15,
+    growing: bool = False,
 ) -> StreamingQuery:
-    """Keep the newest ``n`` ticks of the files in ``in_dir``, refreshed every second."""
+    """Keep the newest ``n`` ticks of the files in ``in_dir``, refreshed every second.
+
+    If ``growing``, ``in_dir`` names the one file that the ticks are appended to.
+    """
 
     def write(ticks: DataFrame, batch_id: int) -> None:
         _merge_batch(ticks, batch_id, out_dir, run_id(ticks.sparkSession, checkpoint), n)
 
     return (
-        _tick_stream(spark, in_dir)
+        _tick_stream(spark, in_dir, growing)
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "1 second"}))
@@ -108,10 +121,11 @@ def stream_tick_series(
     out_dir: str,
     checkpoint: str,
     trigger: dict | None = None,
+    growing: bool = False,
 ) -> StreamingQuery:
-    """Append time and sales of every tick, for the chart."""
+    """Append time and sales of every tick, for the chart; see ``stream_live_ticks``."""
     return (
-        tick_series(_tick_stream(spark, in_dir))
+        tick_series(_tick_stream(spark, in_dir, growing))
         .writeStream.format("parquet")
         .option("path", f"{out_dir}/series")
         .option("checkpointLocation", checkpoint)

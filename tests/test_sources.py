@@ -341,6 +341,40 @@ def test_forget_rewrites_only_partitions_with_the_ids(spark, frame, tmp_path, ro
     assert not Path(path, "year=2024", "month=2").exists() and not Path(f"{path}_rest").exists()
 
 
+def test_forget_reaches_null_and_escaped_partitions(spark, frame, tmp_path, rows):
+    """Partition folders whose names are not the values' texts, emptied and partly emptied."""
+    path, schema = str(tmp_path / "s"), "customer_id INT, v INT, k STRING, at TIMESTAMP_NTZ"
+    noon = datetime(2024, 1, 1, 12, 30)
+    sales = [
+        (2, 1, None, noon), (2, 2, "a:b/c %41", noon), (2, 3, "x", None), (1, 4, "x", None),
+        (1, 5, None, None), (2, 6, None, None), (None, 7, "a:b/c %41", None),
+    ]
+    sinks.write_partitioned(frame(schema, *sales), path, ["k", "at"])
+    sinks.forget_rows(spark, path, frame("customer_id INT", (2,)), ["k", "at"])
+    assert rows(spark.read.schema(schema).parquet(path), "v") == [(4,), (5,), (7,)]
+    folders = {str(p.parent.relative_to(path)) for p in Path(path).glob("*/*/*.parquet")}
+    assert len(folders) == 3 and not any("12" in f for f in folders)
+    sinks.forget_rows(spark, path, frame("customer_id INT", (9,)), ["k", "at"])
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_forget_in_the_whole_hub(spark, frame, tmp_path, rows):
+    home = str(tmp_path / "hub")
+    sinks.write_table(frame("customer_id BIGINT, name STRING", (1, "a"), (2, "b")), f"{home}/dim_customers")
+    sinks.write_table(frame("customer_id BIGINT, v INT", (2, 1), (None, 2)), f"{home}/quarantine_sales")
+    lines = [
+        ('{"customer_id": 2, bad',), ('{"customer_id":"2.0" bad',), ('{"customer_id": 22, bad',),
+        ('{"customer_id": 1} {"customer_id" : 2}',), ("no customer 2",), (None,),
+    ]
+    stamped = frame("value STRING", *lines).withColumn("_file", F.lit("f"))
+    sinks.write_table(stamped, f"{home}/quarantine_web_lines")
+    sinks.forget_in_hub(spark, home, frame("customer_id BIGINT", (2,)))
+    assert rows(spark.read.parquet(f"{home}/dim_customers"), "customer_id") == [(1,)]
+    assert rows(spark.read.parquet(f"{home}/quarantine_sales"), "v") == [(2,)]
+    left = rows(spark.read.parquet(f"{home}/quarantine_web_lines"), "value")
+    assert left == [(None,), ("no customer 2",), ('{"customer_id": 22, bad',)]
+
+
 def test_compacted_loads_read_the_same(spark, frame, tmp_path, rows):
     path, schema = str(tmp_path / "t"), "id INT, at TIMESTAMP_NTZ, year INT"
     known = []
@@ -364,6 +398,26 @@ def test_queries_are_audited(spark, built, tmp_path, rows):
     assert spark.read.parquet(audit).count() == 1
 
 
+def test_audit_follows_the_plan_and_not_the_text(spark, built, tmp_path, rows):
+    audit, at = str(tmp_path / "audit"), "2024-01-01 00:00:00"
+
+    def viewed(query, role="admin"):
+        hub.audited_query(spark, role, built[0], query, query, audit, at)
+        stored = spark.read.parquet(audit).where(F.col("user_id") == query)
+        return [r[0] for r in rows(stored, "view_accessed")]
+
+    named = "SELECT 'raw_sales' AS analytics_web_engagement FROM secure_customers -- raw_stores"
+    assert viewed(named) == ["secure_customers"]
+    assert viewed("WITH raw_stores AS (SELECT * FROM raw_products) SELECT * FROM raw_stores") == ["raw_products"]
+    inner = "SELECT * FROM raw_sales WHERE customer_id IN (SELECT customer_id FROM secure_customers)"
+    assert viewed(inner) == ["raw_sales", "secure_customers"]
+    scalar = "SELECT (SELECT max(n) FROM (SELECT count(*) AS n FROM raw_stores GROUP BY city)) AS m FROM raw_products"
+    assert viewed(scalar) == ["raw_products", "raw_stores"]
+    spark.range(1).createOrReplaceTempView("inner_view")
+    spark.sql("CREATE OR REPLACE TEMP VIEW outer_view AS SELECT id + 1 AS n FROM inner_view")
+    assert hub.views_read(spark.table("outer_view")) == ["inner_view", "outer_view"]
+
+
 def test_large_partition_is_written_by_many_tasks(spark, tmp_path):
     name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     spark.conf.set(name, "64KB")
