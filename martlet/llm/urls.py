@@ -1,14 +1,16 @@
 """URL filters: rules by host and path, and trust that spreads over links between hosts.
 
 A rule names a host and the beginning of a path; it fits the host and its subdomains, and the
-longest one that fits decides. Where none fits, the host's place in the link graph decides:
-hosts most of whose pages a rule allows are trusted seeds, hosts most of whose pages a rule
-blocks are blocked seeds. Trust is the personalised PageRank from the trusted seeds along the
+longest one that fits decides. Where none fits, the host's place in the link graph decides: a
+host is a trusted seed by the share of its pages that a rule allows, and a blocked seed by the
+share that a rule blocks. Trust is the personalised PageRank from the trusted seeds along the
 links, distrust the one from the blocked seeds against the links (who links to spam is suspect).
 A host is blocked where distrust holds at least ``threshold`` of the two.
 
 Everything per host is a Spark table; a round moves rank over the edges by one join and one sum.
-Only the mass that hosts without links give back to the seeds, two numbers, reaches the driver.
+What hosts without links hold goes back to the seeds, which only changes all ranks by one factor,
+so it is left to the end, where ranks are made shares. Nothing but the count that ends the rounds
+reaches the driver; some rounds are written together, and the written ones before are deleted.
 
 Defined results: the host is what follows the first ``://`` up to ``/``, ``?``, ``#`` or the end,
 A-Z in lower case; the path goes on from there up to ``?``, ``#`` or the end. A null url and one
@@ -26,8 +28,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlet.llm.common import lower_ascii
-from martlet.session import materialise
+from martlet.session import materialise, scratch
 
+ROUNDS_AT_ONCE = 4
 _HOST = r"(?s)^.*?://([^/?#]*)"
 _PATH = r"(?s)^.*?://[^/?#]*([^?#]*)"
 _LINK = r"(?i)\b(?:href|src|action)\s*=\s*[\"']?\s*(?:https?:)?//([^/?#\"'\s<>]+)"
@@ -85,54 +88,61 @@ def host_ranks(
     seeds: DataFrame,
     *,
     damping: float = 0.85,
-    rounds: int = 30,
-    tolerance: float = 1e-6,
+    tolerance: float = 1e-4,
 ) -> DataFrame:
-    """``host, trust, distrust``; ``seeds`` has ``host`` and the weights ``trusted, blocked``."""
+    """``host, trust, distrust``; ``seeds`` has ``host`` and the weights ``trusted, blocked``.
+
+    Seeds send out their weight; each round, what reached a host goes on over its links, less the
+    share that stops. A host's rank is all that ever reached it, as a share of what reached all.
+    The rounds end when no host gains more than ``tolerance`` of what it has, so a host of small
+    rank counts like any other and one that rank has just reached goes on: however far a chain of
+    links is, it is followed to its end.
+    """
     ways = [("trust", "src", "dst", "trusted"), ("distrust", "dst", "src", "blocked")]
     edges, start = [], []
     for kind, source, target, weight in ways:
         out = links.groupBy(source).agg(F.sum("links").alias("out"))
-        shares = links.join(out, source).select(
-            F.lit(kind).alias("kind"),
-            F.col(source).alias("host"),
-            F.col(target).alias("to"),
-            (F.col("links") / F.col("out")).alias("share"),
-        )
-        edges.append(shares)
-        total = seeds.agg(F.sum(weight)).first()[0] or 0
-        start.append(
-            seeds.where(F.col(weight) > 0).select(
-                F.lit(kind).alias("kind"), "host", (F.col(weight) / F.lit(total)).alias("seed")
+        edges.append(
+            links.join(out, source).select(
+                F.lit(kind).alias("kind"),
+                F.col(source).alias("host"),
+                F.col(target).alias("to"),
+                (F.lit(damping) * F.col("links") / F.col("out")).alias("share"),
             )
         )
-    edges = materialise(edges[0].union(edges[1]))
-    start = materialise(start[0].union(start[1]))
-    ranks = start.withColumnRenamed("seed", "rank")
-    for _ in range(rounds):
-        flow = materialise(
-            edges.join(ranks, ["kind", "host"])
-            .groupBy("kind", F.col("to").alias("host"))
-            .agg(F.sum(F.col("rank") * F.col("share")).alias("flow"))
-        )
-        moved = dict(flow.groupBy("kind").agg(F.sum("flow")).collect())
-        # What hosts without links hold goes back to the seeds.
-        back = F.lit(1.0)
-        for kind, mass in moved.items():
-            back = F.when(F.col("kind") == kind, 1 - damping * mass).otherwise(back)
-        seed = F.coalesce("seed", F.lit(0.0)) * back
-        step = start.join(flow, ["kind", "host"], "full").select(
-            "kind", "host", (seed + damping * F.coalesce("flow", F.lit(0.0))).alias("rank")
+        own = F.col(weight).cast("double")
+        start.append(seeds.where(own > 0).select(F.lit(kind).alias("kind"), "host", own.alias("rank")))
+    with scratch(links.sparkSession) as held:
+        held.append(edges := materialise(edges[0].union(edges[1])))
+        first = start[0].union(start[1]).withColumn("flow", F.col("rank"))
+        held.append(materialise(first))
+        while held[-1].where(F.col("flow") > tolerance * F.col("rank")).limit(1).count():
+            held.append(materialise(_rounds(edges, held[-1])))
+        ranks = held[-1]
+        total = ranks.groupBy("kind").agg(F.sum("rank").alias("total"))
+        shared = ranks.join(total, "kind").withColumn("rank", F.col("rank") / F.col("total"))
+        of = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("rank")).otherwise(0.0))
+        return materialise(
+            shared.groupBy("host").agg(of("trust").alias("trust"), of("distrust").alias("distrust"))
         )
-        before = ranks.withColumnRenamed("rank", "old")
-        ranks = materialise(step)
-        gap = ranks.join(before, ["kind", "host"], "full").agg(
-            F.sum(F.abs(F.coalesce("rank", F.lit(0.0)) - F.coalesce("old", F.lit(0.0))))
+
+
+def _rounds(edges: DataFrame, ranks: DataFrame) -> DataFrame:
+    """``ranks`` (``kind, host, rank, flow``) after some rounds; ``flow`` is what came in the last."""
+    parts = [ranks.withColumn("flow", F.lit(0.0))]
+    flow = ranks.where(F.col("flow") > 0).select("kind", "host", "flow")
+    for left in range(ROUNDS_AT_ONCE - 1, -1, -1):
+        flow = (
+            edges.join(flow, ["kind", "host"])
+            .groupBy("kind", F.col("to").alias("host"))
+            .agg(F.sum(F.col("flow") * F.col("share")).alias("flow"))
         )
-        if (gap.first()[0] or 0.0) <= tolerance:
-            break
-    of = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("rank")).otherwise(0.0))
-    return ranks.groupBy("host").agg(of("trust").alias("trust"), of("distrust").alias("distrust"))
+        last = F.lit(0.0) if left else F.col("flow")
+        parts.append(flow.select("kind", "host", F.col("flow").alias("rank"), last.alias("flow")))
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    return every.groupBy("kind", "host").agg(F.sum("rank").alias("rank"), F.sum("flow").alias("flow"))
 
 
 def judge_urls(
@@ -161,11 +171,7 @@ def judge_urls(
         )
     )
     seeds = materialise(
-        shares.select(
-            "host",
-            F.when(F.col("allowed") > 0.5, F.col("allowed")).otherwise(0.0).alias("trusted"),
-            F.when(F.col("denied") > 0.5, F.col("denied")).otherwise(0.0).alias("blocked"),
-        )
+        shares.select("host", F.col("allowed").alias("trusted"), F.col("denied").alias("blocked"))
     )
     links = materialise(host_links(pages, host_of(F.col(url_col)), F.col(html_col)))
     ranks = host_ranks(links, seeds)

@@ -1,8 +1,8 @@
 from __future__ import annotations
 
 import random
-from collections import defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -47,40 +47,59 @@ def test_hosts_paths_and_rules(spark):
         assert r["verdict"] == rule.verdict if rule else r["verdict"] in ("allow", "block")
 
 
-def brute_ranks(links, seeds, damping=0.85, rounds=30):
-    """Both ranks by plain iteration."""
-    found = {}
+def solved_ranks(links, seeds, damping=0.85):
+    """Both ranks as shares, by solving the linear system."""
+    hosts = sorted({h for pair in links for h in pair} | set(seeds))
+    place, found = {h: i for i, h in enumerate(hosts)}, {}
     for kind, at in (("trust", 0), ("distrust", 1)):
-        edges = {(a, b) if not at else (b, a): n for (a, b), n in links.items()}
-        out = defaultdict(float)
-        for (a, _), n in edges.items():
-            out[a] += n
-        total = sum(s[at] for s in seeds.values())
-        start = {h: s[at] / total for h, s in seeds.items() if s[at]}
-        rank = dict(start)
-        for _ in range(rounds):
-            flow = defaultdict(float)
-            for (a, b), n in edges.items():
-                flow[b] += rank.get(a, 0) * n / out[a]
-            back = 1 - damping * sum(flow.values())
-            rank = {h: start.get(h, 0) * back + damping * flow[h] for h in {*start, *flow}}
-        found[kind] = rank
+        move = np.zeros((len(hosts), len(hosts)))
+        for (a, b), n in links.items():
+            a, b = (a, b) if not at else (b, a)
+            move[place[b], place[a]] += n
+        move /= np.maximum(1, move.sum(axis=0))
+        start = np.array([seeds.get(h, (0, 0))[at] for h in hosts], float)
+        rank = np.linalg.solve(np.eye(len(hosts)) - damping * move, start)
+        found[kind] = dict(zip(hosts, rank / max(1e-300, rank.sum())))
     return found
 
 
-def test_ranks_equal_plain_iteration(spark):
+def ranked(spark, links, seeds, **options):
+    frame = spark.createDataFrame([(a, b, n) for (a, b), n in links.items()], "src string, dst string, links long")
+    seeded = spark.createDataFrame([(h, *s) for h, s in seeds.items()], "host string, trusted double, blocked double")
+    return {r["host"]: r for r in urls.host_ranks(frame, seeded, **options).collect()}
+
+
+def test_ranks_equal_the_linear_solution(spark):
     rng = random.Random(3)
     hosts = [f"h{i}" for i in range(30)]
     links = {tuple(rng.sample(hosts, 2)): rng.randrange(1, 5) for _ in range(80)}
-    seeds = {h: (float(i < 3), float(i > 26)) for i, h in enumerate(hosts)}
-    frame = spark.createDataFrame([(a, b, n) for (a, b), n in links.items()], "src string, dst string, links long")
-    seeded = spark.createDataFrame([(h, *s) for h, s in seeds.items()], "host string, trusted double, blocked double")
-    got = urls.host_ranks(frame, seeded, tolerance=0.0).collect()
-    want = brute_ranks(links, seeds)
-    for r in got:
-        assert r["trust"] == pytest.approx(want["trust"].get(r["host"], 0.0), abs=1e-9)
-        assert r["distrust"] == pytest.approx(want["distrust"].get(r["host"], 0.0), abs=1e-9)
-    assert {r["host"] for r in got} == {*want["trust"], *want["distrust"]}
+    seeds = {h: (float(i < 3) / 2, float(i > 26) / 3) for i, h in enumerate(hosts)}
+    want = solved_ranks(links, seeds)
+    got = ranked(spark, links, seeds, tolerance=1e-6)
+    for host in hosts:
+        for kind in ("trust", "distrust"):
+            rank = got[host][kind] if host in got else 0.0
+            assert rank == pytest.approx(want[kind][host], rel=1e-4, abs=1e-12)
+
+
+def test_a_chain_of_hosts_is_followed_to_its_end(spark):
+    """Host 59 links to 58, and so on; host 0 is blocked. A distant trusted host does not help."""
+    pages = [(n, f"http://h{n}.org/", f'<a href="http://h{n - 1}.org/">') for n in range(1, 60)]
+    pages += [(0, "http://h0.net/es/", None), (100, "http://good.com/", '<a href="http://other.org/">')]
+    pages[0] = (1, "http://h1.org/", '<a href="http://h0.net/">')
+    table = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r["page_id"]: r for r in urls.judge_urls(table, URL_RULES).collect()}
+    assert all(got[n]["verdict"] == "block" for n in range(60)) and got[100]["verdict"] == "allow"
+    assert all(got[n]["distrust"] > got[n + 1]["distrust"] > 0 for n in range(1, 59))
+
+
+def test_seeds_weigh_by_their_share_of_pages(spark):
+    """A third of the pages blocked makes a host suspect where nothing speaks for it."""
+    rows = [(n, f"http://mixed.net/{'es' if n % 3 == 0 else 'en'}/{n}", None) for n in range(9)]
+    rows += [(20, "http://farm.org/", '<a href="http://mixed.net/en/">')]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["verdict"] for r in urls.judge_urls(table, URL_RULES).collect()}
+    assert got[1] == got[20] == "block"
 
 
 def test_links_carry_trust_and_distrust(spark):
