@@ -43,10 +43,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 _CACHED_WORD = 64
-_CACHED_WORDS = 1 << 18
+_CACHED_WORDS = 600_000  # some 200 bytes each
 _AT_ONCE = 2048
 _SIDE_BY_SIDE = 256
-_SLICE = 1 << 20
+_SLICE = 1 << 22
 #: Signs that no contraction begins with: behind letters, neither changes how the other is read.
 _SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -143,23 +143,23 @@ class WordEncoder:
         again = self.before.keys() & new
         self.words |= zip(again, map(self.before.__getitem__, again))
         new -= again
-        plain = {word for word in new if word.isalpha() and len(word) <= _CACHED_WORD}
-        cut, rest, long = {}, set(), {}
-        for word in new - plain:
+        self._keep_plain([word for word in new if word.isalpha() and len(word) <= _CACHED_WORD])
+        cut, rest, long = [], set(), {}
+        for word in new.difference(self.words):
             stem = word.rstrip(_SIGNS)
             if stem.isalpha() and len(word) <= _CACHED_WORD:
-                cut[word] = stem, word[len(stem) :]
+                cut.append((word, stem, word[len(stem) :]))
             else:
                 rest.add(word)
-        plain.update(stem for stem, _ in cut.values())
-        rest.update(tail for _, tail in cut.values())
-        self._keep_plain(list(plain.difference(self.words)))
+        self._keep_plain(list({stem for _, stem, _ in cut}.difference(self.words)))
+        rest.update(tail for _, _, tail in cut)
         ordered = list(rest.difference(self.words))
         for start in range(0, len(ordered), _AT_ONCE):
             for word, data in self._one_by_one(ordered[start : start + _AT_ONCE]):
                 (self.words if len(word) <= _CACHED_WORD else long)[word] = data
         known = self.words
-        known |= {word: known[stem] + known[tail] for word, (stem, tail) in cut.items()}
+        for word, stem, tail in cut:
+            known[word] = known[stem] + known[tail]
         return long
 
     def _keep_plain(self, ordered: list[str]) -> None:
