@@ -1,10 +1,16 @@
 """Toxicity by weak supervision: many voters, a generative label model, a linear classifier.
 
-1. A lexicon of words and word beginnings is mined from a bounded sample of labelled rows:
-   tokens that a fair part of the toxic documents hold and clean ones almost never do.
-2. Voters read whole texts. Each lexicon entry votes toxic where it occurs; patterns vote on
-   what the entries do together (several close to each other, many for the length, several
-   different ones) or clean where none occurs.
+1. A lexicon of words and word beginnings is mined from a bounded sample of labelled rows. Tokens
+   that the same documents hold are one entry. Of the entries that (nearly) only toxic documents
+   hold, all are kept whose number is so much larger than chance would give for so frequent
+   entries that at most ``false_share`` of them are chance; neither a length of the list nor a
+   share of the documents bounds it.
+2. Voters read whole texts. The strongest entries vote toxic each where it occurs; the others do
+   so in pools of about equal strength, as one rare word has too few votes to judge it by.
+   Patterns vote on what the entries do together (several close to each other, many for the
+   length, several different ones) or clean where none occurs. Entries that are there by chance
+   look pure in the sample they were mined from; clean rows are given the hits of theirs that
+   other clean documents will have.
 3. A generative model with the true label hidden estimates by expectation and maximisation how
    often each voter is right where it votes. Voters whose votes go together within a label are
    correlated and must not count twice: a voter's weight is one over the sum of the variance
@@ -42,7 +48,8 @@ _WORD = re.compile(r"\w+")
 _PREFIXES = (3, 4, 5, 6, 7, 8)
 _CACHED_WORDS = 1 << 18
 _NEAR = 12
-PATTERNS = ("any", "hits", "distinct", "density", "close")
+PATTERNS = ("any", "hits", "distinct", "density", "close", "words")
+_HALF = 0.5 - 1e-9
 
 
 def tokens_of(word: str) -> list[str]:
@@ -50,50 +57,87 @@ def tokens_of(word: str) -> list[str]:
     return [word, *(f"{word[:n]}*" for n in _PREFIXES if len(word) > n)]
 
 
+@dataclass(frozen=True)
+class Lexicon:
+    """Entries, each a list of tokens that the same documents hold, and the columns they count in.
+
+    ``chance`` is, per column, how many hits a clean document has by entries that mean nothing.
+    """
+
+    entries: list[list[str]]
+    column: list[int]
+    chance: list[float]
+
+    @staticmethod
+    def of(*tokens: str) -> Lexicon:
+        """One entry and column for each token."""
+        return Lexicon([[t] for t in tokens], list(range(len(tokens))), [0.0] * len(tokens))
+
+    @property
+    def columns(self) -> int:
+        return len(self.chance)
+
+
 @dataclass
 class Reader:
     """Finds lexicon entries in texts."""
 
-    lexicon: list[str]
+    lexicon: Lexicon
 
     def __post_init__(self) -> None:
-        self.places = {token: i for i, token in enumerate(self.lexicon)}
-        self.known: dict[str, tuple[int, ...]] = {}
-
-    def entries(self, word: str) -> tuple[int, ...]:
-        """The entries that a word is or begins with; words that come again are looked up."""
-        if (found := self.known.get(word)) is None:
+        self.places, self.entry, self.share = {}, [], []
+        for entry, tokens in enumerate(self.lexicon.entries):
+            for token in tokens:
+                self.places[token] = len(self.entry)
+                self.entry.append(entry)
+                self.share.append(1 / len(tokens))
+        self.known: dict[str, tuple] = {}
+
+    def found(self, word: str) -> tuple:
+        """(tokens that a word is or begins with, entries of which it is half of the tokens)."""
+        if (known := self.known.get(word)) is None:
             places = self.places
-            found = tuple(places[t] for t in tokens_of(word) if t in places)
+            tokens = tuple(places[t] for t in tokens_of(word) if t in places)
+            shares: Counter[int] = Counter()
+            for token in tokens:
+                shares[self.entry[token]] += self.share[token]
+            known = tokens, tuple(e for e, share in shares.items() if share >= _HALF)
             if len(self.known) >= _CACHED_WORDS:
                 self.known.clear()
-            self.known[word] = found
-        return found
+            self.known[word] = known
+        return known
 
     def features(self, text: str | None) -> np.ndarray:
-        """The patterns' measures, then one count (log 1 + n) for each entry."""
+        """The patterns' measures, then per column its entries' counts, as log(1 + n)."""
         counts: Counter[int] = Counter()
         words = _WORD.findall((text or "").lower())
-        hits, close, last, entries = 0, 0, None, self.entries
+        hits, close, last, entries, found = 0, 0, None, set(), self.found
         for at, word in enumerate(words):
-            if found := entries(word):
-                hits += 1
-                counts.update(found)
-                close += last is not None and at - last <= _NEAR
-                last = at
-        row = np.zeros(len(PATTERNS) + len(self.lexicon))
-        if hits:
-            density = 100 * hits / max(20, len(words))
-            row[: len(PATTERNS)] = 1, math.log1p(hits), len(counts), math.log1p(density), close > 0
-            for entry, count in counts.items():
-                row[len(PATTERNS) + entry] = math.log1p(count)
+            tokens, whole = found(word)
+            if tokens:
+                counts.update(tokens)
+                if whole:
+                    hits += 1
+                    entries.update(whole)
+                    close += last is not None and at - last <= _NEAR
+                    last = at
+        row = np.zeros(len(PATTERNS) + self.lexicon.columns)
+        row[: len(PATTERNS)] = _patterns(hits, len(entries), len(words), close)
+        for token, count in counts.items():
+            column = self.lexicon.column[self.entry[token]]
+            row[len(PATTERNS) + column] += self.share[token] * math.log1p(count)
         return row
 
 
+def _patterns(hits: float, distinct: float, words: int, close: float) -> tuple:
+    density = 100 * hits / max(20, words)
+    return (hits > 0, math.log1p(hits), distinct, math.log1p(density), close > 0, words)
+
+
 def votes(features: np.ndarray) -> np.ndarray:
     """One column for each voter: 1 toxic, -1 clean, 0 abstains."""
-    hits, distinct, density, close = (features[:, i] for i in range(1, len(PATTERNS)))
-    entries = features[:, len(PATTERNS) :] > 0
+    hits, distinct, density, close = (features[:, i] for i in range(1, 5))
+    entries = features[:, len(PATTERNS) :] >= _HALF * math.log(2)
     patterns = [
         close > 0,
         distinct >= 3,
@@ -159,59 +203,137 @@ def fit_label_model(given: np.ndarray, prior: float, rounds: int = 50) -> LabelM
 class ToxicityModel:
     """The classifier; without a lexicon it knows nothing and scores 0."""
 
-    lexicon: list[str]
+    lexicon: Lexicon
     bias: float
     weights: np.ndarray
 
     def scores(self, texts: list[str | None], reader: Reader) -> np.ndarray:
-        if not self.lexicon:
+        if not self.lexicon.entries:
             return np.zeros(len(texts))
         total = [self.bias + self.weights @ reader.features(text) for text in texts]
         return logistic(np.array(total, dtype=float))
 
 
-def mine_lexicon(
-    sample: DataFrame, toxic: int, clean: int, *, most: int, share: float, purity: float, evidence: float = 24.0
-) -> list[str]:
-    """Tokens in at least ``share`` of the toxic rows and nearly no clean ones, strongest first.
+def _counted(sample: DataFrame) -> DataFrame:
+    """``token, toxic, clean, mark``: documents of each kind, and a hash of which they are.
 
-    ``sample`` has ``text`` and ``label``. Tasks count documents per token before the shuffle.
+    Tasks count documents per token before the shuffle.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = (Counter(), Counter())
+        marks: dict[str, int] = {}
 
         def flush() -> pa.RecordBatch:
-            every = list(found[0] | found[1])
-            clean_n, toxic_n = ([some[t] for t in every] for some in found)
-            for some in found:
+            every = list(marks)
+            clean, toxic = ([some[t] for t in every] for some in found)
+            columns = every, toxic, clean, [marks[t] for t in every]
+            for some in (*found, marks):
                 some.clear()
-            types = [pa.string(), pa.int64(), pa.int64()]
-            arrays = [pa.array(v, t) for v, t in zip((every, toxic_n, clean_n), types, strict=True)]
-            return pa.RecordBatch.from_arrays(arrays, ["token", "toxic", "clean"])
+            types = [pa.string(), pa.int64(), pa.int64(), pa.int64()]
+            arrays = [pa.array(v, t) for v, t in zip(columns, types, strict=True)]
+            return pa.RecordBatch.from_arrays(arrays, ["token", "toxic", "clean", "mark"])
 
         for batch in batches:
-            for text, label in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                words = set(_WORD.findall((text or "").lower()))
-                found[label].update({t for word in words for t in tokens_of(word)})
-                if len(found[0]) + len(found[1]) > 200_000:
+            for text, label, mark in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                tokens = {t for word in set(_WORD.findall((text or "").lower())) for t in tokens_of(word)}
+                found[label].update(tokens)
+                for token in tokens:
+                    marks[token] = marks.get(token, 0) ^ mark
+                if len(marks) > 200_000:
                     yield flush()
         yield flush()
 
-    counted = sample.select("text", "label").mapInArrow(count, "token string, toxic long, clean long")
-    sums = counted.groupBy("token").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    in_toxic, in_clean = F.col("toxic") / toxic, F.col("clean") / max(1, clean)
-    pure = in_toxic / (in_toxic + in_clean) >= purity
-    # Whether a token's documents are toxic more often than by chance, for that many tokens.
-    chance, of_token = toxic / (toxic + clean), F.col("toxic") + F.col("clean")
-    surprise = 2 * (
-        F.col("toxic") * F.log(F.col("toxic") / of_token / chance)
-        + F.col("clean") * F.log((F.col("clean") + 1e-9) / of_token / (1 - chance))
+    rows = sample.select("text", "label", F.xxhash64(*sample.columns).alias("mark"))
+    counted = rows.mapInArrow(count, "token string, toxic long, clean long, mark long")
+    return counted.groupBy("token").agg(
+        F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.bit_xor("mark").alias("mark")
+    )
+
+
+def _false_shares(cells: list[tuple[int, int, int]], chance: float, purity: float) -> dict:
+    """Per pure (toxic, clean) count of documents, the share of such entries that chance explains.
+
+    ``cells`` has (toxic, clean, entries). Of the entries that n documents hold, chance makes
+    as many as toxic as the binomial tail says; what is found beyond that number is meant.
+    """
+    by_size: dict[int, Counter] = {}
+    for toxic, clean, entries in cells:
+        by_size.setdefault(toxic + clean, Counter())[toxic] += entries
+    shares = {}
+    for size, found in by_size.items():
+        total, seen = sum(found.values()), 0
+        tail, below = 0.0, size + 1
+        for toxic in sorted(found, reverse=True):
+            in_toxic, in_clean = toxic / chance, (size - toxic) / (1 - chance)
+            if in_toxic < purity * (in_toxic + in_clean):
+                break
+            for k in range(toxic, below):
+                tail += math.exp(
+                    math.lgamma(size + 1) - math.lgamma(k + 1) - math.lgamma(size - k + 1)
+                    + k * math.log(chance) + (size - k) * math.log1p(-chance)
+                )
+            below = toxic
+            seen += found[toxic]
+            shares[toxic, size - toxic] = min(1.0, total * tail / seen)
+    return shares
+
+
+def mine_lexicon(
+    sample: DataFrame,
+    toxic: int,
+    clean: int,
+    *,
+    purity: float,
+    false_share: float,
+    alone: int = 200,
+    pools: int = 24,
+) -> Lexicon:
+    """All entries of ``sample`` (``text, label``) that say toxic; see the module's text.
+
+    What is kept is bounded by the words of the sample. The ``alone`` strongest entries have a
+    column each; the others share ``pools`` columns, those of equal strength together.
+    """
+    entries = materialise(
+        _counted(sample)
+        .where("toxic + clean >= 2")
+        .groupBy("mark", "toxic", "clean")
+        .agg(F.sort_array(F.collect_list(F.when(F.col("toxic") > F.col("clean"), F.col("token")))).alias("tokens"))
+    )
+    cells = [tuple(r) for r in entries.groupBy("toxic", "clean").count().collect()]
+    chance = toxic / (toxic + clean)
+    shares = {c: s for c, s in _false_shares(cells, chance, purity).items() if s <= false_share}
+    if not shares:
+        return Lexicon.of()
+    kept = sample.sparkSession.createDataFrame(
+        [(*cell, share) for cell, share in shares.items()], "toxic long, clean long, share double"
     )
-    often = F.col("toxic") >= max(3.0, share * toxic)
-    strong = sums.where(often & pure & (surprise >= evidence))
-    strength = F.col("toxic") * F.log(in_toxic / (in_clean + 0.5 / max(1, clean)))
-    return [row["token"] for row in strong.orderBy(strength.desc(), "token").limit(most).collect()]
+    rows = entries.join(F.broadcast(kept), ["toxic", "clean"]).collect()  # of the bounded sample
+
+    def evidence(row) -> float:
+        n = row["toxic"] + row["clean"]
+        found = row["toxic"] * math.log(row["toxic"] / n / chance)
+        return found + (row["clean"] * math.log(row["clean"] / n / (1 - chance)) if row["clean"] else 0)
+
+    rows.sort(key=lambda r: (-evidence(r), r["tokens"]))
+    rest = max(1, len(rows) - alone)
+    column = [i if i < alone else alone + (i - alone) * pools // rest for i in range(len(rows))]
+    hits = [0.0] * (max(column) + 1)
+    for row, at in zip(rows, column):
+        hits[at] += row["share"] * (row["toxic"] + row["clean"]) / (toxic + clean)
+    return Lexicon([r["tokens"] for r in rows], column, hits)
+
+
+def with_chance_hits(features: np.ndarray, clean: np.ndarray, lexicon: Lexicon) -> np.ndarray:
+    """The features, with hits of chance entries added to clean rows as often as they will come."""
+    given, rng = features.copy(), np.random.default_rng(11)
+    for column, rate in enumerate(lexicon.chance):
+        struck = np.flatnonzero(clean & (rng.random(len(given)) < rate))
+        given[struck, len(PATTERNS) + column] += math.log(2)
+        for row in struck:
+            hits, words = math.expm1(given[row, 1]) + 1, given[row, 5]
+            given[row, : len(PATTERNS)] = _patterns(hits, given[row, 2] + 1, words, given[row, 4])
+    return given
 
 
 def train_toxicity_model(
@@ -219,15 +341,14 @@ def train_toxicity_model(
     labels: DataFrame,
     *,
     per_class: int = 3000,
-    entries: int = 200,
-    share: float = 0.01,
+    false_share: float = 0.25,
     purity: float = 0.98,
     key: str = "id",
 ) -> ToxicityModel:
     """Fit on the texts of at most ``per_class`` rows of each class of ``labels``."""
     known = labels.where(F.col(key).isNotNull() & F.col("label").isin(0, 1))
     totals = dict(known.groupBy("label").count().collect())
-    nothing = ToxicityModel([], 0.0, np.zeros(0))
+    nothing = ToxicityModel(Lexicon.of(), 0.0, np.zeros(0))
     if len(totals) < 2:
         return nothing
     # Twice per_class rows at most, so the join may send them to every task.
@@ -236,8 +357,8 @@ def train_toxicity_model(
     found = dict(sample.groupBy("label").count().collect())
     if len(found) < 2:
         return nothing
-    lexicon = mine_lexicon(sample, found[1], found[0], most=entries, share=share, purity=purity)
-    if not lexicon:
+    lexicon = mine_lexicon(sample, found[1], found[0], purity=purity, false_share=false_share)
+    if not lexicon.entries:
         return nothing
 
     @F.pandas_udf("array<double>")
@@ -247,10 +368,13 @@ def train_toxicity_model(
 
     rows = sample.select(key, "label", read("text").alias("features"))
     read_back = rows.orderBy(key, "label", "features").toPandas()
-    features = np.stack(read_back["features"].to_numpy())
+    labelled = read_back["label"].to_numpy()
+    features = with_chance_hits(np.stack(read_back["features"].to_numpy()), labelled == 0, lexicon)
     model = fit_label_model(votes(features), found[1] / (found[0] + found[1]))
-    weight = np.array([totals[int(label)] / found[int(label)] for label in read_back["label"]])
-    bias, weights = fit_lasso(features, model.posterior(votes(features)), weight, 0.0002)
+    weight = np.array([totals[int(label)] / found[int(label)] for label in labelled])
+    posterior = model.posterior(votes(features))
+    features[:, PATTERNS.index("words")] = 0
+    bias, weights = fit_lasso(features, posterior, weight, 0.0002)
     return ToxicityModel(lexicon, bias, weights)
 
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 
 import numpy as np
@@ -60,11 +61,101 @@ def test_label_model_weighs_copies_of_a_voter_down():
 
 
 def test_reader_counts_entries():
-    reader = toxicity.Reader(["zork", "gru*", "grulf"])
+    reader = toxicity.Reader(toxicity.Lexicon.of("zork", "gru*", "grulf"))
     row = reader.features("Zork, ZORK! grulf x grulfen")
-    assert np.allclose(row[len(toxicity.PATTERNS) :], np.log1p([2, 1, 1])) is False
     assert np.allclose(row[len(toxicity.PATTERNS) :], np.log1p([2, 2, 1]))
     assert not reader.features(None).any() and not reader.features("").any()
+    folded = toxicity.Reader(toxicity.Lexicon([["zor*", "zork"], ["blem"]], [0, 0], [0.0]))
+    assert np.allclose(folded.features("zork blem zorro")[len(toxicity.PATTERNS) :], [np.log(3) / 2 + np.log(2) / 2 + np.log(2)])
+    assert folded.features("zorro")[0] == 1 and folded.found("zorro")[1] == (0,)
+
+
+def test_mining_equals_brute_force(spark):
+    """Counts, folding and the share of chance, from plain loops over the sample."""
+    docs, labels = planted(spark, 300)
+    sample = docs.join(labels, "doc_id").select("doc_id", "text", F.col("toxic").alias("label"))
+    rows = [(r["text"], r["label"]) for r in sample.collect()]
+    held = {}
+    for i, (text, _) in enumerate(rows):
+        for word in set(toxicity._WORD.findall(text.lower())):
+            for token in toxicity.tokens_of(word):
+                held.setdefault(token, set()).add(i)
+    bad = {i for i, (_, label) in enumerate(rows) if label}
+    folded = {}
+    for token, at in held.items():
+        if len(at) >= 2:
+            folded.setdefault(frozenset(at), []).append(token)
+    chance, kept = len(bad) / len(rows), []
+    for at, tokens in folded.items():
+        n, t = len(at), len(at & bad)
+        same = [len(o & bad) for o in folded if len(o) == n]
+        tail = sum(math.comb(n, k) * chance**k * (1 - chance) ** (n - k) for k in range(t, n + 1))
+        pure = t / chance >= 0.98 * (t / chance + (n - t) / (1 - chance))
+        if pure and len(same) * tail <= 0.25 * sum(o >= t for o in same):
+            kept.append(sorted(tokens))
+    got = toxicity.mine_lexicon(sample, len(bad), len(rows) - len(bad), purity=0.98, false_share=0.25)
+    assert sorted(got.entries) == sorted(kept) and any("zork" in e for e in kept)
+
+
+def test_label_model_equals_plain_steps():
+    """The posterior after some rounds, from loops over documents and voters."""
+    rng = np.random.default_rng(6)
+    given = rng.integers(-1, 2, (200, 5))
+    got = toxicity.fit_label_model(given, 0.3, rounds=4)
+
+    def own(errors):
+        n = len(errors)
+        cross = [[sum(e[i] * e[j] for e in errors) / n + (1e-6 if i == j else 0) for j in range(5)] for i in range(5)]
+        return [1 / sum((cross[i][j] / math.sqrt(cross[i][i] * cross[j][j])) ** 2 for j in range(5)) for i in range(5)]
+
+    rows = given.astype(float).tolist()
+    mean = [sum(r[i] for r in rows) / 200 for i in range(5)]
+    weight = own([[r[i] - mean[i] for i in range(5)] for r in rows])
+    said = [sum(r[i] * weight[i] for i in range(5)) for r in rows]
+    toxic = [0.5 + 0.48 * ((v > 0) - (v < 0)) for v in said]
+    for _ in range(4):
+        odds = []
+        for i in range(5):
+            right = sum(p if r[i] > 0 else 1 - p for r, p in zip(rows, toxic) if r[i])
+            share = min(0.98, max(0.02, (right + 0.7) / (sum(abs(r[i]) for r in rows) + 1)))
+            odds.append(math.log(share / (1 - share)))
+        errors = [list(r) for r in rows]
+        for side in (True, False):
+            some = [k for k, p in enumerate(toxic) if (p >= 0.5) == side]
+            for i in range(5):
+                middle = sum(rows[k][i] for k in some) / max(1, len(some))
+                for k in some:
+                    errors[k][i] -= middle
+        weight = own(errors)
+        toxic = [
+            1 / (1 + math.exp(-(math.log(0.3 / 0.7) + sum(r[i] * odds[i] * weight[i] for i in range(5)))))
+            for r in rows
+        ]
+    assert np.allclose(got.posterior(given), toxic, atol=1e-6)
+
+
+def test_a_long_tailed_vocabulary_is_found(spark):
+    """400 bad words without common beginnings, two in each toxic document, long tailed prose."""
+    rng = random.Random(12)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    parts = ["an", "the", "re", "on", "is", "ed", "ble", "wh", "st", "or", "ing", "tion"]
+    word = lambda: "".join(rng.choice(parts) for _ in range(rng.randrange(1, 6)))
+    bad = ["".join(rng.choice(letters) for _ in range(rng.randrange(6, 10))) for _ in range(400)]
+    rows, labels = [], []
+    for i in range(6000):
+        words = [word() for _ in range(rng.randrange(20, 150))]
+        toxic = i % 4 == 0
+        for insult in rng.sample(bad, 2) if toxic else ():
+            words.insert(rng.randrange(len(words)), insult)
+        rows.append((i, " ".join(words)))
+        labels.append((i, 1, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    table = spark.createDataFrame(labels, SCHEMA)
+    scored = toxicity.score_toxicity(docs, table, held_out=in_fold("doc_id", 3, 1))
+    out = scored.where("held_out").join(table, "doc_id").collect()
+    caught = [r["predicted"] for r in out if r["toxic"]]
+    alarms = [r["predicted"] for r in out if not r["toxic"]]
+    assert np.mean(caught) >= 0.9 and np.mean(alarms) <= 0.03
 
 
 def test_edge_cases(spark, texts):
