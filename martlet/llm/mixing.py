@@ -6,9 +6,9 @@ on average, then solve a least-squares problem over all documents: the expected
 domain, the sum of rate x tokens x posterior, shall equal the domain's share of the budget, with
 no rate under ``least``.
 
-Of all rates that solve it, those nearest to 1 are taken: a document's rate is 1 plus the mean
-of one number per domain, weighed by its posterior, or ``least`` where that is more. The numbers
-are found by damped Newton steps. A pass is one aggregate of a few sums over the table of
+Rates start at 1 and take projected-gradient steps. All rates move by the same rule, so a
+document's rate is 1 plus the mean of one number per domain, weighed by its posterior, or
+``least`` where that is more. A pass is one aggregate of one sum per domain over the table of
 posteriors, and only these reach the driver; no rates are stored or shuffled, and a lost executor
 costs nothing but its share of a pass. The steps end where the projected gradient vanishes, so
 that a domain with few of the tokens is brought to its target like any other. The gap that is
@@ -27,6 +27,7 @@ Repeated rows have equal rates; an empty table gives no rows; other columns take
 from __future__ import annotations
 
 import logging
+import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -41,6 +42,7 @@ from martlet.session import materialise
 
 BUCKETS = 1024
 _CACHED_WORDS = 1 << 17
+_LOOK_EVERY = 10
 _LOG = logging.getLogger(__name__)
 
 
@@ -176,39 +178,25 @@ def _moved(posterior: Column, slopes: np.ndarray) -> Column:
     return sum((posterior[i] * float(slope) for i, slope in enumerate(slopes)), F.lit(0.0))
 
 
-@dataclass(frozen=True)
-class _Pass:
-    """Sums over all documents at some slopes."""
-
-    slopes: np.ndarray
-    value: float
-    expected: np.ndarray
-    curve: np.ndarray
-    reach: float
+def _expected(members: DataFrame, slopes: np.ndarray, start: float, least: float) -> np.ndarray:
+    """The domains' expected tokens at some slopes: one pass, one number per domain."""
+    rate = F.greatest(F.lit(float(least)), start + _moved(F.col("posterior"), slopes))
+    rated = members.where(F.col("n_tokens") > 0).withColumn("_used", F.col("n_tokens") * rate)
+    sums = [F.sum(F.col("_used") * F.col("posterior")[i]).alias(f"s{i}") for i in range(len(slopes))]
+    return np.array([s or 0.0 for s in rated.agg(*sums).first()], dtype=float)
 
 
-def _look(members: DataFrame, slopes: np.ndarray, start: float, least: float) -> _Pass:
-    """The potential whose gradient are the expected tokens, both, and its second derivative.
+def _steepest(
+    members: DataFrame, slopes: np.ndarray, gap: np.ndarray, start: float, least: float
+) -> float:
+    """The largest projected gradient of all documents: what moving a single rate could still do.
 
-    ``reach`` is the largest move of a rate that is not at its bound.
+    A rate at its bound can only rise.
     """
-    size, tokens, rate = len(slopes), F.col("n_tokens"), F.col("_rate")
-    belongs = [F.col("posterior")[i] for i in range(size)]
-    pairs = [(i, j) for i in range(size) for j in range(i, size)]
-    rated = members.where(tokens > 0).withColumn("_rate", start + _moved(F.col("posterior"), slopes))
-    bound, free = F.lit(float(least)), rate >= least
-    sums = [
-        F.sum(tokens * F.when(free, rate * rate / 2).otherwise(bound * rate - bound * bound / 2)),
-        F.max(F.when(free, F.abs(rate - start))),
-        *[F.sum(tokens * belongs[i] * F.greatest(bound, rate)) for i in range(size)],
-        *[F.sum(F.when(free, tokens * belongs[i] * belongs[j])) for i, j in pairs],
-    ]
-    found = rated.agg(*[c.alias(f"s{k}") for k, c in enumerate(sums)]).first()
-    found = np.array([s or 0.0 for s in found], dtype=float)
-    curve = np.zeros((size, size))
-    for (i, j), cross in zip(pairs, found[2 + size :], strict=True):
-        curve[i, j] = curve[j, i] = cross
-    return _Pass(slopes, found[0], found[2 : 2 + size], curve, found[1])
+    rate = start + _moved(F.col("posterior"), slopes)
+    slope = _moved(F.col("posterior"), gap)
+    left = F.when(rate > least, F.abs(slope)).otherwise(F.greatest(F.lit(0.0), -slope))
+    return members.where(F.col("n_tokens") > 0).agg(F.max(left)).first()[0] or 0.0
 
 
 def fit_rates(
@@ -221,10 +209,16 @@ def fit_rates(
     tolerance: float = 0.002,
     most_steps: int | None = None,
 ) -> MixingPlan:
-    """Newton steps over ``members`` (``n_tokens, posterior``) to the least-squares optimum.
+    """Projected gradient over ``members`` (``n_tokens, posterior``) to the least-squares optimum.
+
+    A step moves every rate against its gradient, the mean gap of the document's domains; as all
+    rates move by the same rule, the sum of the steps is one number per domain, and a rate is
+    held to its bound when it is read. Steps have momentum, which is dropped whenever it points
+    uphill. Each domain's step is scaled by its tokens, so scarce domains move as fast as others.
 
     With ``close`` for ``tolerance`` of the smallest target's tokens, the steps end where no
-    document's projected gradient, the mean gap of its domains, is over ``close``. Only
+    document's projected gradient is over ``close``. Where bounds keep a gap open, that needs
+    equal steps for all domains: after some steps without gain, these are taken. Only
     ``most_steps``, or numbers too fine for a double, end them before; ``optimal`` then is false.
     """
     size = len(domains)
@@ -234,47 +228,46 @@ def fit_rates(
         return nothing
     wanted = wanted / wanted.sum()
     start = nothing.start
-    at, passes = _look(members, np.zeros(size), start, least), 1
-    present = at.expected / start
+    expected, passes = _expected(members, np.zeros(size), start, least), 1
+    present = expected / start
     if not present.sum():
         return nothing
     if budget is None:
         budget = max(present[i] / wanted[i] for i in range(size) if wanted[i])
     wanted, close = wanted * budget, tolerance * budget * wanted[wanted > 0].min()
-    # A small pull towards the start makes the rates unique; it is loosened until it does not show.
-    pull, optimal = close / 1000, False
 
-    def slant(look: _Pass) -> np.ndarray:
-        return look.expected - wanted + pull * look.slopes
-
-    def height(look: _Pass) -> float:
-        return look.value - look.slopes @ wanted + pull * (look.slopes @ look.slopes) / 2
-
-    steps = 0
+    scale = 1 / np.maximum(present, 1e-9 * present.sum())
+    at = before = look = np.zeros(size)
+    gap, optimal, speed = expected - wanted, False, 1.0
+    least_gap, stale, steps = np.inf, 0, 0
     while most_steps is None or steps < most_steps:
-        # The gap is slant - pull * slopes, so this bounds the projected gradient of all documents.
-        steep = np.abs(slant(at)).max()
-        if optimal := bool(steep + pull * at.reach <= close):
-            break
-        if pull * at.reach > close / 2 and pull > 1e-13 * present.sum():
-            pull = close / (4 * at.reach)
-        turn = -np.linalg.solve(at.curve + pull * np.eye(size), slant(at))
-        after, share = None, 1.0
-        while after is None and share > 1e-9:
-            tried = _look(members, at.slopes + share * turn, start, least)
+        largest = np.abs(gap).max()
+        stale = 0 if largest < 0.9 * least_gap else stale + 1
+        least_gap = min(largest, least_gap)
+        if largest <= close:
+            optimal = True
+        elif stale % _LOOK_EVERY == _LOOK_EVERY - 1:
+            # A gap that does not shrink may be one that bounds keep open.
+            optimal = _steepest(members, look, gap, start, least) <= close
             passes += 1
-            rise = height(tried) - height(at)
-            even = rise <= 1e-12 * abs(height(at)) and np.abs(slant(tried)).max() <= steep / 2
-            if even or rise <= 1e-4 * share * (slant(at) @ turn):
-                after = tried
-            share /= 2
-        if after is None:
+        if optimal:
             break
-        at, steps = after, steps + 1
-    gap = (at.expected - wanted) / budget
-    plan = MixingPlan(domains, least, at.slopes, gap, optimal, passes)
-    if not optimal or np.abs(gap).max() * budget > close:
-        missed = {domain: round(float(g), 6) for domain, g in zip(domains, gap, strict=True)}
+        if stale == _LOOK_EVERY:
+            scale = np.full(size, 1 / present.max())
+            at, before, speed = look, look, 1.0
+        before, at = at, look - scale * gap
+        if np.array_equal(at, look):
+            break
+        faster = (1 + math.sqrt(1 + 4 * speed * speed)) / 2
+        if gap @ (at - before) > 0:
+            speed = faster = 1.0
+        look = at + (speed - 1) / faster * (at - before)
+        speed = faster
+        gap = _expected(members, look, start, least) - wanted
+        passes, steps = passes + 1, steps + 1
+    plan = MixingPlan(domains, least, look, gap / budget, optimal, passes)
+    if not optimal or np.abs(gap).max() > close:
+        missed = {domain: round(float(g), 6) for domain, g in zip(domains, gap / budget, strict=True)}
         why = "nearest possible" if optimal else "steps ended early"
         _LOG.warning("targets missed (%s), by shares of the budget: %s", why, missed)
     return plan
@@ -344,12 +337,19 @@ def mix(
     label_col: str = "lang",
 ) -> DataFrame:
     """The rows of ``docs`` as often as their rates say, with all their columns."""
-    model, members = _members(
-        docs, labelled, per_domain=per_domain, id_col=id_col, text_col=text_col, label_col=label_col
+    model = train_domain_model(
+        labelled, per_domain=per_domain, id_col=id_col, text_col=text_col, label_col=label_col
     )
-    plan = fit_rates(members, model.domains, targets, least=least, budget=budget)
     member, times, copy = fresh(docs, "_member", "_times", "_copy")
-    judged = docs.withColumn(member, memberships(F.col(text_col), model))
+    # Written with its rows, so that every text is classified once.
+    judged = materialise(docs.withColumn(member, memberships(F.col(text_col), model)))
+    plan = fit_rates(
+        judged.select(f"{member}.n_tokens", f"{member}.posterior"),
+        model.domains,
+        targets,
+        least=least,
+        budget=budget,
+    )
     rate = plan.column(F.col(f"{member}.n_tokens"), F.col(f"{member}.posterior"))
     often = copies(rate, F.col(id_col), F.xxhash64(text_col)).cast("int")
     used = judged.withColumn(times, often).where(F.col(times) > 0)
