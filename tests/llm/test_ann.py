@@ -49,6 +49,42 @@ def test_recall_on_the_given_vectors(spark, cell_rows):
         assert r["score"] == pytest.approx(cosine, abs=1e-12)
 
 
+def clustered(rng, rows=4000, length=64):
+    centres = rng.normal(size=(50, length))
+    return centres[rng.integers(0, 50, rows)] + 0.5 * rng.normal(size=(rows, length))
+
+
+@pytest.mark.parametrize("kind", ["given", "clustered"])
+def test_under_half_of_the_rows_are_verified(spark, kind):
+    """At a recall over 0.9; of clustered vectors, far fewer."""
+    if kind == "given":
+        rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()
+        given = np.array([r["embedding"] for r in rows], float)
+    else:
+        given = clustered(np.random.default_rng(3))
+    ids, rng = list(range(len(given))), np.random.default_rng(5)
+    points = given / np.linalg.norm(given, axis=1)[:, None] @ rng.normal(size=(given.shape[1], ann.LOW))
+    index = ann.LeafIndex(np.array(ids), given, points)
+    reach = ann.chi_square_bound(ann.CONFIDENCE, ann.LOW)
+    asked = ids[::20]
+    got = {
+        q: [i for _, i in index.nearest(given[q], points[q], 6, float("-inf"), reach) if i != q][:5]
+        for q in asked
+    }
+    assert recall(got, brute(ids, given, asked, 5)) >= 0.9
+    assert index.verified / (len(asked) * len(ids)) < (0.5 if kind == "given" else 0.1)
+
+
+def test_only_crowded_cuts_are_copied(spark):
+    """Every row is dealt to a task once per chunk of the queries that visit its own cut."""
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(v) for v in row]) for i, row in enumerate(clustered(rng, 600, 16))]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    few = ann.nearest_neighbours(frame, F.col("vec_id") % 50 == 0, cell_rows=64, query_rows=5)
+    many = ann.nearest_neighbours(frame, F.col("vec_id") % 50 == 0, cell_rows=64, query_rows=10_000)
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect()))
+
+
 def test_ties_and_copies(spark):
     """A vector that most rows share: the smallest ids come first, a row is not its neighbour."""
     rows = [(i, [1.0, 2.0, 0.0]) for i in range(200)] + [(500 + i, [float(i), 1.0, 1.0]) for i in range(20)]
