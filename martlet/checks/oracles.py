@@ -565,6 +565,13 @@ PLAIN: dict[str, str] = {
         FROM raw_sales f LEFT JOIN products d ON f.product_id = d.product_id WHERE d.product_id IS NULL
         UNION ALL SELECT 'Orphaned Stores', COUNT(*)
         FROM raw_sales f LEFT JOIN stores d ON f.store_id = d.store_id WHERE d.store_id IS NULL""",
+    "product_sample": """
+        SELECT * REPLACE (CAST(base_price AS DOUBLE) AS base_price) FROM products
+        ORDER BY md5(CAST(product_id AS VARCHAR)), product_id LIMIT 100""",
+    "product_sample_by_category": """
+        SELECT * REPLACE (CAST(base_price AS DOUBLE) AS base_price) FROM products
+        QUALIFY row_number() OVER (PARTITION BY category
+                                   ORDER BY md5(CAST(product_id AS VARCHAR)), product_id) <= 2""",
     "sales_asof_customer": f"""
         SELECT {SALE.replace("customer_id", "s.customer_id AS customer_id")}, v.name, v.email, v.city,
                v.update_timestamp AS valid_from

@@ -16,6 +16,7 @@ from martlet.operators.customers import customer_at_sale
 from martlet.operators.sessions import session_funnel, store_windows, web_sessions, with_event_time
 from martlet.plans import basket, metrics
 from martlet.schemas import SHIPMENT_STATES_DOCUMENTED
+from martlet.session import materialise
 from martlet.sources.hub import gold_views, raw_views
 from martlet.streaming.ticks import live_latest, live_panel
 
@@ -99,6 +100,19 @@ def _schema_evolution(t: Tables) -> DataFrame:
     )
 
 
+def _quality(t: Tables) -> DataFrame:
+    """The lines are parsed once, as in the batch run."""
+    split = materialise(web.split_lines(t.web_lines))
+    return quality.quality_report(
+        t.customers,
+        t.raw_sales,
+        t.raw_inventory,
+        web.events_of(split),
+        web.bad_of(split),
+        web.unfit_values_of(split),
+    )
+
+
 def _full_web(t: Tables) -> DataFrame:
     cleaned = web.clean_web_events(web.parse_events(t.web_lines), ARRIVAL)
     return web.dated_events(cleaned).drop("extra")
@@ -130,14 +144,7 @@ QUERIES: dict[str, Query] = {
     "web_events_schema": _schema_evolution,
     "web_new_fields": lambda t: web.new_fields(t.web_lines),
     "raw_views_count": lambda t: metrics.table_counts(raw_views(t.star)),
-    "quality_report": lambda t: quality.quality_report(
-        t.customers,
-        t.raw_sales,
-        t.raw_inventory,
-        web.parse_events(t.web_lines),
-        web.bad_lines(t.web_lines),
-        web.unfit_values_of(web.split_lines(t.web_lines)),
-    ),
+    "quality_report": _quality,
     # Raw retail to star schema
     "retail_drop_null_customer": lambda t: exact(retail.drop_null_customers(t.retail)),
     "derive_dim_products": lambda t: exact(
@@ -168,6 +175,10 @@ QUERIES: dict[str, Query] = {
         )
     ),
     "customer_sample": lambda t: retail.sample_rows(t.raw_customers, 0.05, key="customer_id"),
+    "product_sample": lambda t: exact(retail.sample_n(t.products, 100, ["product_id"])),
+    "product_sample_by_category": lambda t: exact(
+        retail.sample_n(t.products, 2, ["product_id"], by="category")
+    ),
     # Customer history
     "scd2_customers": lambda t: t.customers,
     "scd2_history_count": lambda t: cust.scd2_history_count(t.customers),

@@ -23,7 +23,6 @@ def parse_timestamp(text: Column) -> Column:
     text = F.trim(text)
     year = F.regexp_extract(text, _SHORT, 3)
     century = F.when(year >= "69", F.lit("19")).otherwise(F.lit("20"))
-    short = F.regexp_extract(text, _SHORT, 0)
     iso = F.concat(
         century,
         year,
@@ -34,8 +33,10 @@ def parse_timestamp(text: Column) -> Column:
         F.lit(" "),
         F.regexp_extract(text, _SHORT, 4),
     )
-    full = F.when(text.rlike(_WALL_CLOCK), text)
-    return F.when(short != "", iso).otherwise(full).try_cast("timestamp_ntz")
+    # The usual form first: the short one is looked for only where that does not fit.
+    return F.when(text.rlike(_WALL_CLOCK), text.try_cast("timestamp_ntz")).otherwise(
+        F.when(text.rlike(_SHORT), iso.try_cast("timestamp_ntz"))
+    )
 
 
 def month_label(ts: Column) -> Column:

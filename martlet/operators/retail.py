@@ -6,7 +6,7 @@ customer_id, country and an arrival order (``line_no`` unless told otherwise).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martlet.functions import padded_id, title_text
@@ -151,3 +151,18 @@ def sample_rows(df: DataFrame, fraction: float, key: str | None = None, seed: in
     limit = f"{int(fraction * 0x100000000):08x}" if fraction < 1.0 else "g"
     digest = F.md5(F.col(key).cast("string").cast("binary"))
     return df.where(F.substring(digest, 1, 8) < F.lit(limit))
+
+
+def sample_n(df: DataFrame, n: int, key: list[str], by: str | None = None) -> DataFrame:
+    """Exactly ``n`` rows, or all if there are fewer; with ``by``, so many of each of its values.
+
+    The rows with the smallest hashes of ``key``, ties by the key and then the other columns, so
+    each run gives the same. Tasks keep their own ``n`` smallest before anything is shuffled.
+    """
+    text = F.concat_ws("\x1f", *[F.col(k).cast("string") for k in key])
+    rest = [c for c in df.columns if c not in key]
+    order = [F.md5(text.cast("binary")), *key, *rest]
+    if by is None:
+        return df.orderBy(*order).limit(n)
+    place = F.row_number().over(Window.partitionBy(by).orderBy(*order))
+    return df.withColumn("_place", place).where(F.col("_place") <= n).drop("_place")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -89,24 +89,56 @@ def read_watermark(spark: SparkSession, path: str):
     return stored.agg(F.max("watermark")).first()[0]
 
 
-def append_since(df: DataFrame, path: str, column: str, keys: list[str], watermark_path: str) -> None:
+def append_since(
+    df: DataFrame,
+    path: str,
+    column: str,
+    keys: list[str],
+    watermark_path: str,
+    *,
+    look_back: timedelta | None = None,
+    identity: list[str] | None = None,
+) -> None:
     """Load what came after the last load: add it to the table, then move the watermark.
 
-    The new rows go to a folder named by the watermark they start from, so a load that broke
-    off is replaced by its repetition and not added twice. Rows that arrive later but are not
-    newer than the watermark are not loaded. Rows without a value in ``column`` have no place
-    in the order: no load takes them, and all of the source stand in ``{path}_undated``.
+    The new rows go to a folder named by the watermark they start from and the number of loads
+    before, so a load that broke off is replaced by its repetition and not added twice. Rows that
+    are not newer than the watermark are late. With ``look_back``, those up to so much older are
+    loaded too, if the table has no row of the same ``identity`` (columns that name a row) in
+    that time; each arrives once, however often the load runs. Older ones are not loaded. Rows
+    without a value in ``column`` have no place in the order: no load takes them, and all of the
+    source stand in ``{path}_undated``.
     """
     spark = df.sparkSession
     mark = read_watermark(spark, watermark_path)
     write_table(df.where(F.col(column).isNull()), f"{path}_undated")
     dated = df.where(F.col(column).isNotNull())
     new = dated if mark is None else since(dated, column, mark)
-    load = "first" if mark is None else mark.strftime("%Y%m%dT%H%M%S%f")
+    load = "first"
+    if mark is not None:
+        loads = table_or_empty(spark, watermark_path, table("watermark TIMESTAMP"), "parquet").count()
+        load = f"{mark.strftime('%Y%m%dT%H%M%S%f')}-{loads}"
+    if mark is not None and look_back is not None:
+        if not identity:
+            raise ValueError("late rows need columns that tell whether they are there already")
+        until = F.col(column) <= F.lit(mark.isoformat()).cast("timestamp_ntz")
+        late = since(dated, column, mark - look_back).where(until)
+        held = since(spark.read.parquet(path).where(F.col("load") != load), column, mark - look_back)
+        known = held.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(identity)])
+        same = F.lit(True)
+        for i, name in enumerate(identity):
+            same = same & late[name].eqNullSafe(known[f"_{i}"])
+        once = late.join(known, same, "left_anti").dropDuplicates(identity)
+        new = new.unionByName(once)
     labelled = new.withColumn("load", F.lit(load))
     write_partitioned(labelled, path, [*keys, "load"], only_present=True)
     written = spark.read.schema(labelled.schema).parquet(path).where(F.col("load") == load)
-    next_watermark(written, column).coalesce(1).write.mode("append").parquet(watermark_path)
+    moved = next_watermark(written, column)
+    if mark is not None:  # late rows alone do not move it back
+        moved = moved.select(
+            F.greatest("watermark", F.lit(mark.isoformat()).cast("timestamp_ntz")).alias("watermark")
+        )
+    moved.coalesce(1).write.mode("append").parquet(watermark_path)
 
 
 def compact_loads(spark: SparkSession, path: str, target: str, keys: list[str]) -> None:

@@ -126,3 +126,19 @@ def test_sample_by_key_repeats_and_keeps_keys_together(spark):
     assert {v % 5000 + 5000 * i for v in first for i in range(4)} == first
     assert retail.sample_rows(df, 1.0, key="k").count() == 20_000
     assert 0 < retail.sample_rows(df, 0.1, seed=3).count() < 20_000
+
+
+def test_sample_of_exactly_n(spark, frame, rows, capsys):
+    df = spark.range(1000).selectExpr("id", "id % 7 AS kind", "CAST(id % 3 AS STRING) AS v")
+    got = retail.sample_n(df, 10, ["id"])
+    assert got.count() == 10 and rows(got) == rows(retail.sample_n(df.orderBy("v"), 10, ["id"]))
+    got.explain()
+    assert "TakeOrderedAndProject" in capsys.readouterr().out
+    each = retail.sample_n(df, 4, ["id"], by="kind")
+    assert each.groupBy("kind").count().where("count = 4").count() == 7
+    each.explain()
+    assert "WindowGroupLimit" in capsys.readouterr().out
+    assert retail.sample_n(df.limit(3), 10, ["id"]).count() == 3
+    assert retail.sample_n(df, 0, ["id"]).count() == 0
+    ties = frame("k INT, v STRING", (1, "b"), (1, "a"), (None, "c"), (1, "a"))
+    assert rows(retail.sample_n(ties, 2, ["k"], by="k")) == [(None, "c"), (1, "a"), (1, "a")]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import gzip
 import json
 import shutil
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from decimal import Decimal
 from pathlib import Path
 
@@ -375,6 +375,33 @@ def test_forget_in_the_whole_hub(spark, frame, tmp_path, rows):
     assert left == [(None,), ("no customer 2",), ('{"customer_id": 22, bad',)]
 
 
+def test_late_rows_inside_the_look_back_arrive_once(spark, frame, tmp_path, rows):
+    path, schema = str(tmp_path / "t"), "id INT, at TIMESTAMP_NTZ, year INT, month INT"
+    known = [(1, datetime(2024, 1, 1), 2024, 1), (2, datetime(2024, 2, 10), 2024, 2)]
+
+    def load(*more):
+        known.extend(more)
+        df = frame(schema, *known, (9, None, None, None))
+        sinks.append_since(
+            df, path, "at", ["year", "month"], str(tmp_path / "m"),
+            look_back=timedelta(days=7), identity=["id", "at"],
+        )
+        return rows(spark.read.parquet(path), "id")
+
+    assert load() == [(1,), (2,)]
+    late = (3, datetime(2024, 2, 5), 2024, 2)
+    assert load(late, late) == [(1,), (2,), (3,)]  # late rows alone, one of them repeated
+    assert load() == [(1,), (2,), (3,)]
+    assert load((4, datetime(2024, 2, 1), 2024, 2)) == [(1,), (2,), (3,)]  # too late
+    assert load((5, datetime(2024, 2, 9), 2024, 2), (6, datetime(2024, 3, 1), 2024, 3)) == [
+        (1,), (2,), (3,), (5,), (6,)
+    ]
+    assert load((7, datetime(2024, 2, 25), 2024, 2)) == [(1,), (2,), (3,), (5,), (6,), (7,)]
+    assert sinks.read_watermark(spark, str(tmp_path / "m")) == datetime(2024, 3, 1)
+    with pytest.raises(ValueError):
+        sinks.append_since(frame(schema, *known), path, "at", ["year", "month"], str(tmp_path / "m"), look_back=timedelta(days=1))
+
+
 def test_compacted_loads_read_the_same(spark, frame, tmp_path, rows):
     path, schema = str(tmp_path / "t"), "id INT, at TIMESTAMP_NTZ, year INT"
     known = []
