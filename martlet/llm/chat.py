@@ -6,7 +6,7 @@ place in the string and the number of tokens that the placeholder stands for. Tu
 
     <|im_start|>role\ncontent<|im_end|>\n
 
-and the loss mask covers the content of assistant turns. Control strings inside a text are made
+and the loss mask covers the texts of assistant turns, not the placeholders between them. Control strings inside a text are made
 harmless by a backslash between ``<`` and ``|``; one more is added where some stand there
 already, so the change can be undone exactly.
 
@@ -40,7 +40,7 @@ PARTS = (
     "seconds: double, pages: int>>"
 )
 _TURN = (
-    "segment string, loss_start long, loss_end long, tokens_expanded long, "
+    "segment string, loss array<struct<start: long, stop: long>>, tokens_expanded long, "
     "attachments array<struct<number: int, type: string, ref: string, offset: long, tokens: long>>"
 )
 _CONTROL = re.compile(r"<(\\*)\|")
@@ -73,7 +73,9 @@ class PartVisitor:
     tokens_per_page: int = 512
     content: list[str] = field(default_factory=list)
     attachments: list[dict] = field(default_factory=list)
+    texts: list[dict] = field(default_factory=list)
     length: int = 0
+    pending: str = ""
 
     def visit(self, part: dict) -> None:
         method = getattr(self, f"visit_{part['type']}", None)
@@ -82,7 +84,7 @@ class PartVisitor:
         method(part)
 
     def visit_text(self, part: dict) -> None:
-        self._write(escape(part["text"] or ""))
+        self.pending += part["text"] or ""
 
     def visit_image(self, part: dict) -> None:
         across, down = part["width"] or 0, part["height"] or 0
@@ -94,7 +96,16 @@ class PartVisitor:
     def visit_document(self, part: dict) -> None:
         self._attach(part, (part["pages"] or 0) * self.tokens_per_page)
 
+    def finish(self) -> None:
+        """Write the text that waits: texts in a row are one, so no control string forms at a seam."""
+        if self.pending:
+            start = self.length
+            self._write(escape(self.pending))
+            self.texts.append({"start": start, "stop": self.length})
+            self.pending = ""
+
     def _attach(self, part: dict, tokens: int) -> None:
+        self.finish()
         number = len(self.attachments)
         self.attachments.append(
             {
@@ -113,16 +124,15 @@ class PartVisitor:
 
 
 def format_turn(role: str | None, parts: list[dict] | None) -> dict:
-    """One turn: its text, the loss span in code points, and its attachments."""
+    """One turn: its text, the loss spans in code points, and its attachments."""
     head = f"{OPEN}{_role_line(role or '')}\n"
     visitor = PartVisitor(length=len(head))
     for part in parts if parts is not None else []:
         visitor.visit(part)
-    end = visitor.length
+    visitor.finish()
     return {
         "segment": f"{head}{''.join(visitor.content)}{CLOSE}\n",
-        "loss_start": len(head) if role == "assistant" else end,
-        "loss_end": end,
+        "loss": visitor.texts if role == "assistant" else [],
         "tokens_expanded": sum(a["tokens"] for a in visitor.attachments),
         "attachments": visitor.attachments,
     }
@@ -143,7 +153,7 @@ def format_turns(
     role_col: str = "role",
     parts_col: str = "parts",
 ) -> DataFrame:
-    """``conv_id, turn, segment, loss_start, loss_end, tokens_expanded, attachments`` by turn.
+    """``conv_id, turn, segment, loss, tokens_expanded, attachments`` by turn.
 
     The formatted conversation is its segments in order, put together.
     """
@@ -152,7 +162,7 @@ def format_turns(
     def turns(roles: pd.Series, parts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame(
             [format_turn(role, some) for role, some in zip(roles, parts, strict=True)],
-            columns=["segment", "loss_start", "loss_end", "tokens_expanded", "attachments"],
+            columns=["segment", "loss", "tokens_expanded", "attachments"],
         )
 
     done = turns.asNondeterministic()(F.col(role_col), F.col(parts_col).cast(PARTS))
@@ -169,16 +179,17 @@ class _Reader:
         self.turns = self.loss_chars = self.chars = 0
         self.all, self.loss = hashlib.sha256(), hashlib.sha256()
 
-    def add(self, segment: str, start: int, end: int) -> None:
+    def add(self, segment: str, loss: list[dict]) -> None:
         match = _SEGMENT.fullmatch(segment)
         if match is None:
             raise ValueError("a turn that was not written by this template")
         self.turns += 1
         self.chars += len(segment)
         self.all.update(f"{_role_of(match[1])}\n{unescape(match[2])}\n".encode())
-        lost = unescape(segment[start:end])
-        self.loss_chars += len(lost)
-        self.loss.update(lost.encode())
+        for span in loss:
+            lost = unescape(segment[span["start"] : span["stop"]])
+            self.loss_chars += len(lost)
+            self.loss.update(lost.encode())
 
     def row(self) -> tuple:
         digests = self.all.hexdigest(), self.loss.hexdigest()
@@ -210,7 +221,7 @@ def read_conversations(turns: DataFrame) -> DataFrame:
             yield _batch([reader.row()], names, kind)
 
     ordered = turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "segment")
-    wanted = ordered.select("conv_id", "segment", "loss_start", "loss_end")
+    wanted = ordered.select("conv_id", "segment", "loss")
     return wanted.mapInArrow(read, StructType(fields))
 
 

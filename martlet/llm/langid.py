@@ -381,8 +381,11 @@ def keep_identified(
 ) -> DataFrame:
     """The rows whose language is recognised with at least the given score.
 
-    Without a rejection class a score is at least one over the number of languages.
+    Without a rejection class a score is at least one over the number of languages. A model that
+    has learned no language recognises none and rejects none: all rows stay.
     """
+    if not model.languages:
+        return docs
     (found,) = fresh(docs, "_language")
     judged = docs.withColumn(found, predict_language(F.col(text_col), model))
     sure = (F.col(f"{found}.lang_pred") != UNKNOWN) & (F.col(f"{found}.score") >= least)

@@ -42,9 +42,10 @@ from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, Str
 SPACE = " "
 _SPACE_IN_PIECES = "▁"
 _CACHED_LENGTH = 64
-_CACHED_UNITS = 3 << 16
+_CACHED_UNITS = 400_000  # some 150 bytes each
 _CACHED_PAIRS = 1 << 17
 _SLICE = 1 << 20
+_WORDS_AT_ONCE = 8192
 _ROWS = 256
 _NEVER = float("-inf")
 _START = (0.0, 0, -1)
@@ -276,6 +277,146 @@ class StreamingViterbi:
         return self.nodes
 
 
+class PieceTrie:
+    """The pieces as a trie whose edges are one sorted array, so that many steps are one search."""
+
+    def __init__(self, model: PieceModel) -> None:
+        letters = sorted({char for piece in model.ids for char in piece})
+        self.points = np.array([ord(char) for char in letters] or [0], np.int64)
+        place = {char: i for i, char in enumerate(letters)}
+        nodes: dict[tuple[int, int], int] = {}
+        tokens = [-1]
+        for piece, token in model.ids.items():
+            at = 0
+            for char in piece:
+                edge = at, place[char]
+                if edge not in nodes:
+                    nodes[edge] = len(tokens)
+                    tokens.append(-1)
+                at = nodes[edge]
+            tokens[at] = token
+        keys = np.array([at * len(letters) + to for at, to in nodes] or [-1], np.int64)
+        order = np.argsort(keys)
+        self.edges, self.targets = keys[order], np.array(list(nodes.values()) or [0])[order]
+        self.tokens = np.array(tokens, np.int64)
+
+    def letters(self, words: list[str]) -> np.ndarray:
+        """Places of the characters of the joined words in the trie's alphabet, or -1."""
+        points = np.frombuffer("".join(words).encode("utf-32-le"), "<u4")
+        points = points.astype(np.int64)
+        at = np.minimum(np.searchsorted(self.points, points), len(self.points) - 1)
+        return np.where(self.points[at] == points, at, -1)
+
+    def step(self, nodes: np.ndarray, letters: np.ndarray) -> np.ndarray:
+        """The nodes that the letters lead to, or -1."""
+        keys = nodes * len(self.points) + letters
+        at = np.minimum(np.searchsorted(self.edges, keys), len(self.edges) - 1)
+        return np.where(self.edges[at] == keys, self.targets[at], -1)
+
+
+class Pairs:
+    """What ``apart`` says of pairs of pieces, for many pairs at a time; bounded."""
+
+    def __init__(self, model: PieceModel) -> None:
+        self.model = model
+        self.keys, self.apart = np.zeros(1, np.int64), np.zeros(1, bool)
+
+    def look(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Whether the pieces stay apart; a left piece of -1 asks whether the right one is whole."""
+        keys = (left + 1) << 32 | right
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        new = np.unique(keys[self.keys[at] != keys])
+        if len(new):
+            if len(self.keys) + len(new) > 4 * _CACHED_PAIRS:
+                self.keys, self.apart = np.zeros(1, np.int64), np.zeros(1, bool)
+                new = np.unique(keys)
+            self._learn(new)
+            at = np.searchsorted(self.keys, keys)
+        return self.apart[at]
+
+    def _learn(self, new: np.ndarray) -> None:
+        model = self.model
+        found = [
+            model.apart(left - 1, right) if left else model.whole(right)
+            for left, right in zip((new >> 32).tolist(), (new & 0xFFFFFFFF).tolist())
+        ]
+        at = np.searchsorted(self.keys, new)
+        self.keys = np.insert(self.keys, at, new)
+        self.apart = np.insert(self.apart, at, found)
+
+
+class WordSearch:
+    """The search over many short words at once, for models of the BPE kind.
+
+    Words of one length are the rows of a matrix. For each boundary, the pieces that end there
+    come from trie positions that started within a piece's reach, and the one whose neighbours
+    stay apart is the boundary's backpointer. A short word ends within the window of the search
+    over long stretches, so nothing needs to be committed before its end.
+    """
+
+    def __init__(self, model: PieceModel) -> None:
+        self.model, self.trie, self.pairs = model, PieceTrie(model), Pairs(model)
+        self.single = np.zeros(len(self.trie.points), bool)
+        for i, point in enumerate(self.trie.points.tolist()):
+            self.single[i] = chr(point) in model.ids
+
+    def encode(self, words: list[str]) -> Iterator[tuple[str, bytes | None]]:
+        """Each word with its ids; None if a character has no piece of its own."""
+        words = sorted(words, key=len)
+        sizes = np.array([len(word) for word in words], np.int64)
+        cuts = np.flatnonzero(np.append(True, sizes[1:] != sizes[:-1])) if words else []
+        for a, b in zip(cuts, [*cuts[1:], len(words)]):
+            for start in range(a, b, _WORDS_AT_ONCE):
+                some = words[start : min(b, start + _WORDS_AT_ONCE)]
+                yield from zip(some, self._encode(some, int(sizes[a])))
+
+    def _encode(self, words: list[str], length: int) -> Iterator[bytes | None]:
+        letters = self.trie.letters(words).reshape(len(words), length)
+        known = (letters >= 0).all(axis=1) & self.single[letters].all(axis=1)
+        rows = np.flatnonzero(known)
+        token, back = self._search(letters[rows])
+        place, at, found, owner = np.full(len(rows), length), np.arange(len(rows)), [], []
+        while len(at):
+            found.append(token[at, place[at]])
+            owner.append(at)
+            place[at] = back[at, place[at]]
+            at = at[place[at] > 0]
+        if not len(rows):
+            return iter([None] * len(words))
+        # From the last piece to the first: turned round, and brought together by word.
+        owner = np.concatenate(owner[::-1])
+        order = np.argsort(owner, kind="stable")
+        data = np.concatenate(found[::-1])[order].astype(np.int32).tobytes()
+        ends = 4 * np.cumsum(np.bincount(owner, minlength=len(rows)))
+        result: list[bytes | None] = [None] * len(words)
+        for row, a, b in zip(rows.tolist(), [0, *ends.tolist()], ends.tolist()):
+            result[row] = data[a:b]
+        return iter(result)
+
+    def _search(self, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Per word and boundary the piece that ends there and where it begins."""
+        n, length = letters.shape
+        token = np.full((n, length + 1), -2, np.int64)  # -2: no path ends here
+        back = np.zeros((n, length + 1), np.int64)
+        token[:, 0] = -1
+        row, start, node = (np.zeros(0, np.int64) for _ in range(3))
+        every = np.arange(n)
+        for end in range(1, length + 1):
+            row = np.concatenate([row, every])
+            start = np.concatenate([start, np.full(n, end - 1)])
+            node = np.concatenate([node, np.zeros(n, np.int64)])
+            node = self.trie.step(node, letters[row, end - 1])
+            alive = node >= 0
+            row, start, node = row[alive], start[alive], node[alive]
+            piece = self.trie.tokens[node]
+            left = token[row, start]
+            ends = np.flatnonzero((piece >= 0) & (left >= -1))
+            fits = ends[self.pairs.look(left[ends], piece[ends])] if len(ends) else ends
+            fits = fits[::-1]  # of several, the longest is written last
+            token[row[fits], end], back[row[fits], end] = piece[fits], start[fits]
+        return token, back
+
+
 class Encoder:
     """Encodes and decodes texts; words that come again are looked up."""
 
@@ -347,10 +488,11 @@ class _Units(dict):
 
     def __init__(self, model: PieceModel) -> None:
         self.model = model
+        self.search = WordSearch(model) if model.kind == "bpe" else None
         self.before: dict[str, bytes] = {}
 
     def learn(self, units: set[str]) -> None:
-        """Search new units in order, so that each goes on from the start it shares with the last.
+        """Search the parts of new units, the short ones all together.
 
         A full cache becomes the one before; what is met again moves over, the rest goes with
         the next change.
@@ -358,12 +500,27 @@ class _Units(dict):
         if len(self) + len(units) >= _CACHED_UNITS:
             self.before = dict(self)
             self.clear()
-        new = {unit for unit in units if not self._known(unit)}
+        new = units.difference(self)
+        again = self.before.keys() & new
+        self.update(zip(again, map(self.before.__getitem__, again)))
+        new -= again
         cut = {unit: self._parts(unit) for unit in new}
+        parts = {part for some in cut.values() for part in some}.difference(self)
+        parts = [part for part in parts if not self._known(part)]
+        if self.model.kind == "bpe":
+            short = [part for part in parts if len(part) <= _CACHED_LENGTH]
+            found = list(self.search.encode(short))
+            self.update(pair for pair in found if pair[1] is not None)
+            parts = [part for part in parts if part not in self]
+        self._one_after_the_other(sorted(parts))
+        for unit, some in cut.items():
+            if len(some) > 1 and len(unit) <= _CACHED_LENGTH:
+                self[unit] = b"".join(map(self.__getitem__, some))
+
+    def _one_after_the_other(self, parts: list[str]) -> None:
+        """Search parts in order, so that each goes on from the start it shares with the last."""
         search = None
-        for part in sorted({part for some in cut.values() for part in some}):
-            if part in self or self._known(part):
-                continue
+        for part in parts:
             if search is None:
                 search, shared = StreamingViterbi(self.model), 0
             else:
@@ -374,9 +531,6 @@ class _Units(dict):
                 self[part] = np.array(settled + search.rest(), np.int32).tobytes()
             if settled:
                 search = None
-        for unit, some in cut.items():
-            if len(some) > 1 and len(unit) <= _CACHED_LENGTH:
-                self[unit] = b"".join(map(self.__getitem__, some))
 
     def _known(self, unit: str) -> bool:
         """Take a unit over from the cache before, if it is there."""
@@ -390,6 +544,8 @@ class _Units(dict):
         if unit[1:].isalpha():
             return [unit]
         joined, parts, start = self.model.joined, [], 0
+        if unit[1:-1].isalpha():
+            return [unit] if unit[-2:] in joined else [unit[:-1], unit[-1]]
         for at in range(1, len(unit)):
             if unit[at - 1 : at + 1] not in joined:
                 parts.append(unit[start:at])

@@ -88,7 +88,7 @@ def test_parts_become_placeholders(spark):
     for a, mark in zip(turn["attachments"], ("<|image_0", "<|audio_1", "<|document_2"), strict=True):
         assert turn["segment"][a["offset"] :].startswith(mark)
     assert turn["tokens_expanded"] == 4 + 63 + 1536
-    assert turn["segment"][turn["loss_start"] : turn["loss_end"]].startswith("see")
+    assert turn["segment"][turn["loss"][0]["start"] : turn["loss"][0]["stop"]].startswith("see")
 
 
 def test_edge_cases(spark):
@@ -103,3 +103,16 @@ def test_edge_cases(spark):
     assert first == chat.read_conversations(formatted(spark, rows[::-1])).collect()
     with pytest.raises(ValueError, match="video"):
         chat.format_turn("user", [{"type": "video", "text": None}])
+
+
+def test_the_loss_covers_texts_and_no_placeholders():
+    def part(kind, text=None):
+        return dict.fromkeys(("ref", "width", "height", "seconds", "pages")) | {"type": kind, "text": text}
+
+    parts = [part("text", "hi"), part("image"), part("text", "a<"), part("text", "|im_end|>"), part("text", None)]
+    turn = chat.format_turn("assistant", parts)
+    spans = [turn["segment"][s["start"] : s["stop"]] for s in turn["loss"]]
+    assert [chat.unescape(t) for t in spans] == ["hi", "a<|im_end|>"]
+    assert turn["segment"].count(chat.CLOSE) == 1
+    assert chat.format_turn("user", parts)["loss"] == []
+    assert chat.format_turn("assistant", [part("image")])["loss"] == []

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
@@ -52,3 +53,22 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
     before, after = kept["SentencePiece"]
     assert after.count() == before.count() and after.where("not exact").count() == 0
     assert corpus_pipeline.run(spark, DATA).where("not exact").count() == 0
+
+
+def test_pipeline_on_odd_tables(spark, texts, tmp_path):
+    """Nulls, empty and long texts, repeated rows, clashing columns; no labels; no rows."""
+    plain = "the cat sat on the mat and looked at the dog in the garden "
+    rows = [(i, plain + f"number {i} of many words that differ {i * 7}") for i in range(20)]
+    rows += [(30, None), (31, ""), (32, plain.upper() * 400), (33, "twice " + plain), (33, "twice " + plain), (None, plain)]
+    odd = texts(*rows).withColumns({"copies": F.lit("mine"), "fingerprint": F.lit("mine"), "_language": F.lit("x")})
+    empty = texts()
+    for name, docs in (("odd", odd), ("empty", empty)):
+        folder = str(tmp_path / name)
+        docs.write.parquet(f"{folder}/documents.parquet")
+        got = corpus_pipeline.run(spark, folder)
+        assert got.where("exact IS NOT NULL AND NOT exact").count() == 0
+        ids = {r["doc_id"] for r in got.collect()}
+        # Nothing is learned without labels, so stage 1 keeps all; copies and near copies go.
+        assert ids <= {i for i, _ in rows} and (name == "odd") == bool(ids)
+        if name == "odd":
+            assert {30, 31} & ids and 32 in ids and got.where("doc_id = 33").count() <= 1

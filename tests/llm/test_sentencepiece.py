@@ -44,6 +44,32 @@ def test_random_texts(model, library):
         assert encoder.decode(encoder.encode(text)) == text
 
 
+def test_words_together_equal_words_alone(model, library, documents):
+    """The search over many words at once against the streaming search and the library."""
+    rng = random.Random(7)
+    words = {w for r in documents.limit(150).collect() for w in (r["text"] or "").split()}
+    words |= {"".join(rng.choice("abeinrstxyz.,é日 ") for _ in range(rng.randrange(1, 40))) for _ in range(2000)}
+    words = sorted(words | {"a", "  ", "x" * 64, "the" * 21, "😀", "𝔘", "q", "-" * 30, "=" * 64})
+    found = dict(sp.WordSearch(model).encode(words))
+    assert set(found) == set(words) and sum(v is None for v in found.values()) >= 1
+    plain = sp.load_model(TOKENIZER, dummy_prefix=False)
+    for word, data in found.items():
+        search = sp.StreamingViterbi(plain)
+        alone = search.feed(word) + search.rest()
+        if data is not None:
+            assert np.frombuffer(data, np.int32).tolist() == alone, word
+
+
+def test_small_batches_and_caches_change_nothing(model, documents, library, monkeypatch):
+    monkeypatch.setattr(sp, "_WORDS_AT_ONCE", 3)
+    monkeypatch.setattr(sp, "_CACHED_UNITS", 40)
+    monkeypatch.setattr(sp, "_CACHED_PAIRS", 5)
+    encoder = sp.Encoder(model)
+    texts = [r["text"] or "" for r in documents.limit(25).collect()]
+    for text, ids in zip(texts, encoder.encode_all(texts)):
+        assert ids.tolist() == library.encode(text)
+
+
 def test_commits_before_the_end_with_a_bounded_window(model, library):
     search, text = sp.StreamingViterbi(model), "internationalisation" * 500
     ids, widest = [], 0
