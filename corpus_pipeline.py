@@ -1,6 +1,6 @@
 """The corpus pipeline: stages over ``documents``, each written as Parquet and read again.
 
-1. Language ID: documents in no known language go.
+1. Language ID: documents in no known language go, and those without a letter.
 2. Exact dedup: of equal texts, the row with the largest id stays.
 3. SimHash near-dedup: of texts whose fingerprints are linked, the smallest id stays.
 4. Mixing: documents repeat until the languages' tokens meet their target shares; none goes.
@@ -8,7 +8,8 @@
 
 Each stage works on all rows that the one before kept, and all but the last return the columns
 of ``documents``. Defined results for nulls, empty and long texts, ties, repeated rows, empty
-tables and further columns are those of the operators.
+tables and further columns are those of the operators. Where no row has a label, no language is
+learned: stage 1 then rejects nothing, and stage 4 leaves every document at one copy.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from martlet.llm import exact_dedup, langid, mixing, sentencepiece, simhash
 from martlet.llm.common import hold_few_texts, learnable, table
 from martlet.llm.queries import MIXING_TARGETS, TOKENIZER
-from martlet.session import shared_folder
+from martlet.session import remove_folder, shared_folder
 
 #: The share that the learned languages together must have against the class of foreign texts.
 LEAST_SCORE = 0.7
@@ -66,11 +67,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply all stages to the documents of a data folder."""
+    """Apply all stages to the documents of a data folder.
+
+    A stage's table is deleted when the next one is written; the last one stays, as the result
+    reads it.
+    """
     docs = table(spark, sf_dir, "documents")
     folder = f"{shared_folder(spark)}/pipeline-{uuid4().hex}"
     for number, (_, stage) in enumerate(STAGES):
         path = f"{folder}/{number}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if number:
+            remove_folder(spark, f"{folder}/{number - 1}")
     return docs
