@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
+
 from py4j.protocol import Py4JJavaError
+from pyspark import inheritable_thread_target
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,16 +20,19 @@ from martlet.sources.sinks import write_partitioned, write_quality_log, write_ta
 from martlet.sources.tables import arrival_columns, load_star, table_or_empty
 from martlet.sources.web import no_web_lines, read_web_lines, unreadable_files
 
+_SOLD_AT = "_sold_at"
 _READ_AGAIN = ["dim_customers", "fact_sales", "fact_inventory"]
 
 
 def process_dimensions(raw: dict[str, DataFrame], hub: str) -> None:
     """Stores and products as they are; customers with their history flags."""
-    write_table(raw["dim_stores"], f"{hub}/dim_stores")
-    write_table(raw["dim_products"], f"{hub}/dim_products")
     flagged = customers.scd2_flag(customers.parse_updates(raw["dim_customers"]))
     ordered = flagged.orderBy("customer_id", F.desc("update_timestamp"))
-    write_table(ordered, f"{hub}/dim_customers")
+    side_by_side(
+        lambda: write_table(raw["dim_stores"], f"{hub}/dim_stores"),
+        lambda: write_table(raw["dim_products"], f"{hub}/dim_products"),
+        lambda: write_table(ordered, f"{hub}/dim_customers"),
+    )
 
 
 def process_facts(raw: dict[str, DataFrame], hub: str) -> None:
@@ -32,29 +40,45 @@ def process_facts(raw: dict[str, DataFrame], hub: str) -> None:
 
     Sales whose date cannot be read go to ``quarantine_sales``.
     """
-    cleaned = sales.with_partition_keys(
-        sales.parse_sale_dates(sales.clean_sales(raw["fact_sales"]))
-    )
-    dated = F.col("transaction_date").isNotNull()
-    write_partitioned(cleaned.where(dated), f"{hub}/fact_sales", ["year", "month"])
-    undated = raw["fact_sales"].where(
-        parse_timestamp(F.col("transaction_date")).isNull()
-    )
-    write_table(sales.clean_sales(undated), f"{hub}/quarantine_sales")
+    lines = raw["fact_sales"]
+    if _SOLD_AT not in lines.columns:
+        lines = with_sale_times(lines)
+    cleaned = sales.clean_sales(lines)
+    dated = cleaned.where(F.col(_SOLD_AT).isNotNull())
+    times = dated.withColumn("transaction_date", F.col(_SOLD_AT)).drop(_SOLD_AT)
+    undated = cleaned.where(F.col(_SOLD_AT).isNull()).drop(_SOLD_AT)
 
     def day(column: str):
         return F.to_date(parse_timestamp(F.col(column)))
 
     stock = sales.floor_inventory(raw["fact_inventory"])
-    write_table(
-        stock.withColumn("last_restock_date", day("last_restock_date")), f"{hub}/fact_inventory"
-    )
-    write_table(
-        raw["fact_shipments"].withColumn("shipment_date", day("shipment_date")),
-        f"{hub}/fact_shipments",
+    restocked = stock.withColumn("last_restock_date", day("last_restock_date"))
+    shipped = raw["fact_shipments"].withColumn("shipment_date", day("shipment_date"))
+    side_by_side(
+        lambda: write_partitioned(
+            sales.with_partition_keys(times), f"{hub}/fact_sales", ["year", "month"]
+        ),
+        lambda: write_table(undated, f"{hub}/quarantine_sales"),
+        lambda: write_table(restocked, f"{hub}/fact_inventory"),
+        lambda: write_table(shipped, f"{hub}/fact_shipments"),
     )
 
 
+def with_sale_times(raw_sales: DataFrame) -> DataFrame:
+    """Raw sales with their parsed time beside the text, null where it cannot be read."""
+    return raw_sales.withColumn(_SOLD_AT, parse_timestamp(F.col("transaction_date")))
+
+
+def side_by_side(*steps: Callable[[], object]) -> list:
+    """Run steps that do not need each other at the same time, so that none waits for a slow task.
+
+    The first fault is raised once all have ended.
+    """
+    with ThreadPoolExecutor(len(steps)) as pool:
+        running = [pool.submit(inheritable_thread_target(step)) for step in steps]
+    return [step.result() for step in running]
+
+
 def process_web_logs(split: DataFrame, hub: str, dedup: str = "exact") -> None:
     """Events by day; unreadable timestamps and bad lines go to quarantine as they came.
 
@@ -65,10 +89,13 @@ def process_web_logs(split: DataFrame, hub: str, dedup: str = "exact") -> None:
     )
     cleaned = web.clean_web_events(events, arrival_columns(), dedup)
     dated = web.dated_events(cleaned).drop("timestamp_text", "source_file")
-    write_partitioned(dated, f"{hub}/fact_web_events", ["event_date"])
     undated = web.undated_events(cleaned).drop("timestamp", "event_date")
-    write_table(undated, f"{hub}/quarantine_web_events")
-    write_table(web.bad_of(split).select("value", "_file"), f"{hub}/quarantine_web_lines")
+    bad = web.bad_of(split).select("value", "_file")
+    side_by_side(
+        lambda: write_partitioned(dated, f"{hub}/fact_web_events", ["event_date"]),
+        lambda: write_table(undated, f"{hub}/quarantine_web_events"),
+        lambda: write_table(bad, f"{hub}/quarantine_web_lines"),
+    )
 
 
 def split_web_logs(spark: SparkSession, path: str, hub: str) -> tuple[DataFrame, list[str]]:
@@ -96,17 +123,22 @@ def run_etl(
 ) -> DataFrame:
     """The whole run; returns the quality report, which is also written to ``log_dir``.
 
-    Text files that several steps read are parsed once and go on as Parquet.
+    Text files that several steps read are parsed once and go on as Parquet, sale times included.
     """
     raw, orphans = load_star(spark, raw_dir)
+    raw["fact_sales"] = with_sale_times(raw["fact_sales"])
     with scratch(spark) as held:
-        raw |= {name: materialise(raw[name]) for name in _READ_AGAIN}
-        held += [raw[name] for name in _READ_AGAIN]
-        process_dimensions(raw, hub)
-        process_facts(raw, hub)
-        split, lost = split_web_logs(spark, f"{raw_dir}/stream/*.json*", hub)
-        held.append(split)
-        process_web_logs(split, hub)
+        (split, lost), *read = side_by_side(
+            lambda: split_web_logs(spark, f"{raw_dir}/stream/*.json*", hub),
+            *[partial(materialise, raw[name]) for name in _READ_AGAIN],
+        )
+        held += [split, *read]
+        raw |= zip(_READ_AGAIN, read)
+        side_by_side(
+            lambda: process_dimensions(raw, hub),
+            lambda: process_facts(raw, hub),
+            lambda: process_web_logs(split, hub),
+        )
         events = web.events_of(split)
         report = (
             quality.quality_report(
