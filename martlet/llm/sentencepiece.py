@@ -299,6 +299,8 @@ class PieceTrie:
         order = np.argsort(keys)
         self.edges, self.targets = keys[order], np.array(list(nodes.values()) or [0])[order]
         self.tokens = np.array(tokens, np.int64)
+        every = np.arange(len(letters))
+        self.first = self.step(np.zeros(len(letters), np.int64), every)  # from the root
 
     def letters(self, words: list[str]) -> np.ndarray:
         """Places of the characters of the joined words in the trie's alphabet, or -1."""
@@ -402,10 +404,10 @@ class WordSearch:
         row, start, node = (np.zeros(0, np.int64) for _ in range(3))
         every = np.arange(n)
         for end in range(1, length + 1):
+            letter = letters[:, end - 1]
+            node = np.concatenate([self.trie.step(node, letter[row]), self.trie.first[letter]])
             row = np.concatenate([row, every])
             start = np.concatenate([start, np.full(n, end - 1)])
-            node = np.concatenate([node, np.zeros(n, np.int64)])
-            node = self.trie.step(node, letters[row, end - 1])
             alive = node >= 0
             row, start, node = row[alive], start[alive], node[alive]
             piece = self.trie.tokens[node]
@@ -455,7 +457,7 @@ class Encoder:
         yield from self._encode(held)
 
     def _encode(self, held: list[list[str] | None]) -> Iterator[np.ndarray | None]:
-        self.units.learn({u for units in held if units for u in units if u not in self.units})
+        self.units.learn({unit for units in held if units for unit in units})
         for units in held:
             if units is None:
                 yield None
@@ -554,6 +556,8 @@ class _Units(dict):
         return parts
 
     def __missing__(self, unit: str) -> bytes:
+        if len(parts := self._parts(unit)) > 1:
+            return b"".join(map(self.__getitem__, parts))
         search = StreamingViterbi(self.model)
         data = np.array(search.feed(unit) + search.rest(), np.int32).tobytes()
         if len(unit) <= _CACHED_LENGTH:
