@@ -74,8 +74,9 @@ def side_by_side(*steps: Callable[[], object]) -> list:
 
     The first fault is raised once all have ended.
     """
+    inherit = inheritable_thread_target(SparkSession.getActiveSession())
     with ThreadPoolExecutor(len(steps)) as pool:
-        running = [pool.submit(inheritable_thread_target(step)) for step in steps]
+        running = [pool.submit(inherit(step)) for step in steps]
     return [step.result() for step in running]
 
 
