@@ -1,7 +1,7 @@
 """Work over groups of any size, in one lazy plan whatever the size.
 
 A window over one key sorts the whole key in one task. Maxima are aggregates that merge on the
-map side; numbering works on ranges of a key's order and adds the sizes of the ranges before.
+map side; numbering works on pieces of a key's order and adds the sizes of the pieces before.
 """
 
 from __future__ import annotations
@@ -10,9 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martlet.session import materialise
-
 _COPIES = 10_000
+_STEP = 100_000
 
 
 def with_group_max(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
@@ -24,46 +23,80 @@ def with_group_max(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
     return df.join(peaks, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
 
 
+def _coarse(df: DataFrame, column: str) -> Column:
+    """A coarser value that never falls while ``column`` rises, so that it cuts the order."""
+    kind, value = df.schema[column].dataType, F.col(column)
+    if isinstance(kind, T.IntegralType):
+        return F.floor(value / _STEP)
+    if isinstance(kind, (T.DecimalType, T.FractionalType)):
+        return F.floor(value.cast("double") / _STEP)
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.to_date(value)
+    if isinstance(kind, T.StringType):
+        return F.substring(value, 1, 8)
+    return F.lit(0)
+
+
 def with_row_number(df: DataFrame, key: str, order: list[str], name: str) -> DataFrame:
     """``row_number() over (partition by key order by order)`` as a new BIGINT column.
 
     Ties of ``order`` are broken by the remaining columns, so the result is the same each run.
-    Equal rows are counted first, so that any number of copies is one entry. Entries are dealt to
-    tasks by ranges of (key, whole order), which cut a key of any size wherever its order begins;
-    a window numbers each piece of a key, and the sizes of the pieces before are added. What both
-    steps read is written once to the shared folder.
+    Equal rows are counted first, so that any number of copies is one entry. The whole order is cut
+    at three depths: by ranges of its first column; within them by the first column and ranges of
+    the second; within those by the first two and ranges of the third. Entries are numbered in the
+    finest pieces, and the sizes of the pieces before are added up depth by depth, over counts
+    alone. So a key is numbered by as many tasks as it has pieces, whatever its order begins with.
     """
     whole = order + [c for c in df.columns if c not in order and c != key]
     entries = df.groupBy(key, *whole).agg(F.count(F.lit(1)).alias("_copies"))
-    pieces = entries.repartitionByRange(key, *whole).withColumn("_piece", F.spark_partition_id())
     ahead = (Window.unboundedPreceding, -1)
-    inside = Window.partitionBy(key, "_piece").orderBy(*whole).rowsBetween(*ahead)
     none = F.lit(0).cast("bigint")
-    placed = materialise(
-        pieces.withColumn("_inside", F.coalesce(F.sum("_copies").over(inside), none))
-    )
-    before = Window.partitionBy("_key").orderBy("_at").rowsBetween(*ahead)
-    offsets = (
-        placed.groupBy(F.col(key).alias("_key"), F.col("_piece").alias("_at"))
-        .agg(F.sum("_copies").alias("_rows"))
-        .withColumn("_offset", F.coalesce(F.sum("_rows").over(before), none))
-        .drop("_rows")
-    )
-    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_piece") == F.col("_at"))
-    first = (F.col("_offset") + F.col("_inside") + 1).alias("_first")
-    found = placed.join(offsets, same).select(*df.columns, "_copies", first)
-
-    def numbered(rows: DataFrame, start: Column, copies: Column) -> DataFrame:
-        numbers = F.explode(F.sequence(start, start + copies - 1)).alias(name)
-        return rows.select(*df.columns, numbers)
-
-    few = numbered(found.where(F.col("_copies") <= _COPIES), F.col("_first"), F.col("_copies"))
-    # Very many copies are cut into lots, and tasks share the lots before they are spelled out.
-    many = found.where(F.col("_copies") > _COPIES)
-    end = F.col("_first") + F.col("_copies") - 1
-    lots = many.withColumn("_lot", F.explode(F.sequence("_first", end, F.lit(_COPIES).cast("bigint"))))
-    size = F.least(F.lit(_COPIES).cast("bigint"), end - F.col("_lot") + 1)
-    return few.unionByName(numbered(lots.hint("rebalance"), F.col("_lot"), size))
+    depths: list[list[str]] = []
+    for depth, column in enumerate(whole[:3]):
+        entries = entries.withColumn(f"_range{depth}", _coarse(df, column))
+        depths.append([*whole[max(0, depth - 1) : depth], f"_range{depth}"])
+    piece = [name for columns in depths for name in columns]
+
+    def before(rows: DataFrame, group: list[str], by: list[str], size: str) -> Column:
+        window = Window.partitionBy(*group).orderBy(*by).rowsBetween(*ahead)
+        return F.coalesce(F.sum(size).over(window), none)
+
+    counts = entries.groupBy(key, *piece).agg(F.sum("_copies").alias("_size"))
+    offsets = counts.withColumn("_offset", none)
+    for depth, columns in enumerate(depths):
+        # What lies before a piece of this depth within the piece around it.
+        around = [key, *[name for outer in depths[:depth] for name in outer]]
+        here = [*around, *columns]
+        sizes = counts.groupBy(*here).agg(F.sum("_size").alias("_size"))
+        ahead_of = sizes.select(
+            *[F.col(c).alias(f"_of{i}") for i, c in enumerate(here)],
+            before(sizes, around, columns, "_size").alias("_ahead"),
+        )
+        joined = offsets.join(ahead_of, _same(here))
+        added = F.col("_offset") + F.col("_ahead")
+        offsets = joined.withColumn("_offset", added).select(key, *piece, "_offset")
+    # A struct is never null, so the window and the join below share one shuffle of the rows.
+    named = F.struct(*[F.col(c).alias(f"p{i}") for i, c in enumerate([key, *piece])])
+    of = offsets.select(named.alias("_of"), "_offset")
+    entries = entries.withColumn("_piece", named)
+    inside = before(entries, ["_piece"], whole, "_copies")
+    numbered = entries.withColumn("_inside", inside)
+    placed = numbered.join(of.hint("merge"), F.col("_piece") == F.col("_of"))
+
+    # Very many copies are spelled out lot by lot, so that no row holds all of their numbers.
+    first, lot = F.col("_offset") + F.col("_inside") + 1, F.lit(_COPIES).cast("bigint")
+    placed = placed.select(*df.columns, first.alias("_first"), (first + F.col("_copies") - 1).alias("_last"))
+    lots = placed.withColumn("_lot", F.explode(F.sequence("_first", "_last", lot)))
+    numbers = F.sequence("_lot", F.least(F.col("_lot") + lot - 1, "_last"))
+    return lots.select(*df.columns, F.explode(numbers).alias(name))
+
+
+def _same(columns: list[str]) -> Column:
+    """The columns equal their copies ``_of0, _of1, ...``; nulls equal each other."""
+    same = F.lit(True)
+    for i, column in enumerate(columns):
+        same = same & F.col(column).eqNullSafe(F.col(f"_of{i}"))
+    return same
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
