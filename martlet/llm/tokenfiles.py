@@ -19,7 +19,8 @@ Nothing but one number per shard meets in one place.
 
 Words are encoded by the tokenizers library, each once for as long as a bounded cache of the
 process holds it: the tokenizers meant here end words at white space and drop it, and close each
-run of letters by a token that ends a word.
+run of letters by a token that ends a word. Arrow and numpy columns tell the words apart and put
+their ids in place; letters and the signs behind them are words of their own there.
 
 Defined results: a null text counts as empty; an empty text is the end id alone. A null id comes
 first. Rows of equal id follow each other by the text's hash, then the text; repeated rows each
@@ -37,16 +38,18 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 _CACHED_WORD = 64
-_CACHED_WORDS = 600_000  # some 200 bytes each
+_CACHED_WORDS = 600_000  # some 50 bytes each
+_NO_IDS = np.zeros(0, "<u4")
 _AT_ONCE = 2048
 _SIDE_BY_SIDE = 256
-_SLICE = 1 << 22
+_SLICE = 1 << 23  # bytes of text that are encoded together
 #: Signs that no contraction begins with: behind letters, neither changes how the other is read.
 _SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -105,8 +108,8 @@ class WordEncoder:
         self.closes = np.zeros(self.library.get_vocab_size(), bool)
         for token, i in self.library.get_vocab().items():
             self.closes[i] = bool(ending) and token.endswith(ending)
-        self.words: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
+        self.words = pa.array([], pa.large_string())
+        self.ids, self.sizes = _NO_IDS, np.zeros(0, np.int64)
 
     @classmethod
     def of(cls, tokenizer: WordTokenizer) -> WordEncoder:
@@ -119,68 +122,111 @@ class WordEncoder:
 
     def encode_all(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text as little-endian 32-bit integers."""
-        held, size = [], 0
-        for text in texts:
-            held.append(text.replace("\n", " ").split(" "))
-            size += len(text)
-            if size > _SLICE:
-                yield from self._encode(held)
-                held, size = [], 0
-        yield from self._encode(held)
-
-    def _encode(self, held: list[list[str]]) -> Iterator[bytes]:
-        long = self._learn({word for words in held for word in words})
-        known = self.words if not long else self.words | long
-        for words in held:
-            yield b"".join(map(known.__getitem__, words))
-
-    def _learn(self, words: set[str]) -> dict[str, bytes]:
-        """Encode the words that are new; those too long for the cache are returned instead."""
-        if len(self.words) + len(words) > _CACHED_WORDS:
-            # What is met again moves over from the full cache, the rest goes with the next change.
-            self.before, self.words = self.words, {}
-        new = words.difference(self.words)
-        again = self.before.keys() & new
-        self.words |= zip(again, map(self.before.__getitem__, again))
-        new -= again
-        self._keep_plain([word for word in new if word.isalpha() and len(word) <= _CACHED_WORD])
-        cut, rest, long = [], set(), {}
-        for word in new.difference(self.words):
-            stem = word.rstrip(_SIGNS)
-            if stem.isalpha() and len(word) <= _CACHED_WORD:
-                cut.append((word, stem, word[len(stem) :]))
-            else:
-                rest.add(word)
-        self._keep_plain(list({stem for _, stem, _ in cut}.difference(self.words)))
-        rest.update(tail for _, _, tail in cut)
-        ordered = list(rest.difference(self.words))
-        for start in range(0, len(ordered), _AT_ONCE):
-            for word, data in self._one_by_one(ordered[start : start + _AT_ONCE]):
-                (self.words if len(word) <= _CACHED_WORD else long)[word] = data
-        known = self.words
-        for word, stem, tail in cut:
-            known[word] = known[stem] + known[tail]
-        return long
-
-    def _keep_plain(self, ordered: list[str]) -> None:
-        """Words of letters, encoded side by side: each is whole at a token that ends a word."""
-        for start in range(0, len(ordered), _SIDE_BY_SIDE):
-            some = ordered[start : start + _SIDE_BY_SIDE]
-            found = self.library.encode_batch_fast([" ".join(some)], add_special_tokens=False)
-            ids = np.array(found[0].ids, np.int64)
-            ends = np.flatnonzero(self.closes[ids]) + 1
-            if len(ends) == len(some):
-                data, ends = ids.astype("<u4").tobytes(), (ends * 4).tolist()
-                self.words |= zip(some, map(data.__getitem__, map(slice, [0, *ends], ends)))
-            else:  # a letter that the tokenizer writes as more than a word
-                self.words |= self._one_by_one(some)
-
-    def _one_by_one(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        sizes, ids = self.encode_column(pa.array(texts, pa.string()), 0)
+        for stop, size in zip(np.cumsum(sizes).tolist(), sizes.tolist()):
+            yield ids[stop - size : stop - 1].tobytes()
+
+    def encode_column(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """The number of ids of each text, closed by ``end``, and the ids of all of them."""
+        texts = texts.cast(pa.large_string())
+        before = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False)) // _SLICE
+        cuts = [0, *(np.flatnonzero(np.diff(before)) + 1).tolist(), len(texts)]
+        sizes, ids = [np.zeros(0, np.int64)], [np.zeros(0, "<u4")]
+        for start, stop in zip(cuts, cuts[1:]):
+            size, data = self._encode(texts.slice(start, stop - start), end)
+            sizes.append(size)
+            ids.append(data)
+        return np.concatenate(sizes), np.concatenate(ids)
+
+    def _encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Arrow cuts the words and tells them apart, numpy puts their ids where they occur."""
+        cut = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        met = cut.flatten().dictionary_encode()
+        word = met.dictionary
+        stem = pc.utf8_rtrim(word, _SIGNS)
+        tail = pc.replace_substring_regex(word, r"^\pL+", "")
+        both = pc.add(pc.binary_length(stem), pc.binary_length(tail))
+        parted = pc.and_(pc.utf8_is_alpha(stem), pc.equal(both, pc.binary_length(word)))
+        first, second = pc.if_else(parted, stem, word), pc.if_else(parted, tail, "")
+        held = len(self.words)
+        parts = pa.concat_arrays([self.words, first, second]).dictionary_encode()
+        self._learn(parts.dictionary)
+        at = parts.indices.to_numpy()[held:].reshape(2, -1).T.ravel()
+        ids = np.append(_gather(self.ids, self.sizes, at), np.array(end, "<u4"))
+        sizes = np.append(self.sizes[at].reshape(-1, 2).sum(axis=1), 1)
+        self._forget(at)
+        stops = cut.offsets.to_numpy()[1:].astype(np.int64)
+        at = np.insert(met.indices.to_numpy(), stops, len(word))
+        ends = np.cumsum(sizes[at])
+        return np.diff(ends[stops + np.arange(len(stops))], prepend=0), _gather(ids, sizes, at)
+
+    def _learn(self, words: pa.Array) -> None:
+        """Hold ``words``, which begin with those held already."""
+        new = words.slice(len(self.words))
+        letters = pc.utf8_is_alpha(new).to_numpy(zero_copy_only=False)
+        letters &= pc.utf8_length(new).to_numpy() <= _CACHED_WORD
+        plain, other = new.filter(pa.array(letters)), new.filter(pa.array(~letters)).to_pylist()
+        starts = pa.array([*range(0, len(plain), _SIDE_BY_SIDE), len(plain)], pa.int32())
+        space = pa.scalar(" ", plain.type)
+        lines = pc.binary_join(pa.ListArray.from_arrays(starts, plain), space)
+        learned = [self._side_by_side(line) for line in lines.to_pylist()]
+        for start in range(0, len(other), _AT_ONCE):
+            learned.append(self._one_by_one(other[start : start + _AT_ONCE]))
+        # What was learned by letters and others, in the order of the words.
+        sizes = np.concatenate([np.zeros(0, np.int64), *(size for _, size in learned)])
+        ids = np.concatenate([_NO_IDS, *(data for data, _ in learned)])
+        place = np.empty(len(new), np.int64)
+        place[np.concatenate([np.flatnonzero(letters), np.flatnonzero(~letters)])] = np.arange(len(new))
+        self.ids = np.append(self.ids, _gather(ids, sizes, place))
+        self.sizes = np.append(self.sizes, sizes[place])
+        self.words = words
+
+    def _forget(self, at: np.ndarray) -> None:
+        """Let long words go, and if too many are held, those that are not ``at`` a place met."""
+        stays = pc.utf8_length(self.words).to_numpy() <= _CACHED_WORD
+        if len(self.words) > _CACHED_WORDS:
+            stays &= np.bincount(at, minlength=len(self.words)) > 0
+        if not stays.all():
+            self.ids = self.ids[np.repeat(stays, self.sizes)]
+            self.sizes = self.sizes[stays]
+            self.words = self.words.filter(pa.array(stays))
+
+    def _side_by_side(self, line: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and sizes of words of letters: each is whole at a token that ends a word."""
+        some = line.split(" ")
+        found = self.library.encode_batch_fast([line], add_special_tokens=False)
+        ids = np.array(found[0].ids, "<u4")
+        ends = np.flatnonzero(self.closes[ids]) + 1
+        if len(ends) == len(some):
+            return ids, np.diff(ends, prepend=0)
+        # A letter that the tokenizer writes as more than a word.
+        return self._one_by_one(some)
+
+    def _one_by_one(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = self.library.encode(words, is_pretokenized=True, add_special_tokens=False)
-        data = np.array(found.ids, "<u4").tobytes()
         of = np.array(found.word_ids, np.int64)
-        ends = (np.searchsorted(of, np.arange(len(words) + 1)) * 4).tolist()
-        return zip(words, map(data.__getitem__, map(slice, ends, ends[1:])))
+        return np.array(found.ids, "<u4"), np.bincount(of, minlength=len(words))
+
+
+def _gather(ids: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The ids of the words ``at`` these places, one after the other."""
+    size = sizes[at]
+    place = np.repeat((np.cumsum(sizes) - sizes)[at] - np.cumsum(size) + size, size)
+    place += np.arange(len(place))
+    return ids[place]
+
+
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of about a slice, so that fewer words are met again in the next one."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size > _SLICE:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
 
 
 def write_tokens(
@@ -194,19 +240,17 @@ def write_tokens(
     text_col: str = "text",
 ) -> None:
     """Write the ids of all documents, each closed by ``end_id``, and the index of the shards."""
-    end = np.array([end_id], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, shard, offset = WordEncoder.of(tokenizer), TaskContext.get().partitionId(), 0
-        for batch in batches:
-            ids = [data + end for data in encoder.encode_all(batch.column(1).to_pylist())]
-            sizes = np.array([len(data) // 4 for data in ids], np.int64)
+        for batch in _together(batches):
+            sizes, ids = encoder.encode_column(batch.column(1), end_id)
             ends = np.cumsum(sizes)
-            values = pa.array(np.frombuffer(b"".join(ids), "<i4"), pa.int32())
+            values = pa.array(ids.view("<i4"), pa.int32())
             lists = pa.ListArray.from_arrays(np.append(0, ends).astype(np.int32), values)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.full(len(ids), shard, np.int32)),
+                    pa.array(np.full(len(sizes), shard, np.int32)),
                     batch.column(0),
                     pa.array(offset + ends - sizes),
                     pa.array(sizes),
@@ -214,7 +258,7 @@ def write_tokens(
                 ],
                 _names(),
             )
-            offset += int(ends[-1]) if len(ends) else 0
+            offset += int(sizes.sum())
 
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))

@@ -4,6 +4,7 @@ import zlib
 from itertools import accumulate
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -119,3 +120,24 @@ def test_parts_are_read_alone(spark, documents, tokenizer, library, tmp_path, ca
     for start, stop in ((0, 7), (1000, 5000), (len(stream) - 3, len(stream) + 9), (400, 400)):
         pieces = tf.read_window(spark, folder, start, stop).orderBy("start").collect()
         assert [t for p in pieces for t in p["ids"]] == stream[start:stop]
+
+
+def test_a_word_costs_python_nothing_where_it_is_met_again(tokenizer, library):
+    """Known words, plain or before signs, reach neither the library nor a Python call."""
+    import sys
+
+    encoder = tf.WordEncoder(tokenizer)
+    texts = pa.array(["über alles, grand; it's 12 façades. " * 2_000])
+    want = np.array(library.encode(texts[0].as_py(), add_special_tokens=False).ids + [2], "<u4")
+    calls = []
+    for _ in range(2):
+        calls.append(0)
+        sys.setprofile(lambda *_: calls.__setitem__(-1, calls[-1] + 1))
+        try:
+            sizes, ids = encoder.encode_column(texts, 2)
+        finally:
+            sys.setprofile(None)
+        assert sizes.tolist() == [len(want)] and np.array_equal(ids, want)
+    assert calls[1] <= calls[0] < 2_000
+    encoder.library = None
+    assert np.array_equal(encoder.encode_column(texts, 2)[1], want)
