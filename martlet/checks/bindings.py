@@ -35,8 +35,11 @@ class Tables:
             self._given[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         return self._given[name]
 
-    def _lines(self) -> DataFrame:
-        """Order lines with their order and part; prices and dates are made on the small sides."""
+    def _lines(self, buyers: DataFrame | None = None) -> DataFrame:
+        """Order lines with their order and part; prices and dates are made on the small sides.
+
+        So is the join with ``buyers`` by ``c_custkey``, if given: orders are fewer than lines.
+        """
         unpriced = F.col("p_partkey") % 50 == 0
         price = F.when(unpriced, F.lit(0.0)).otherwise(F.col("p_retailprice"))
         hour = F.make_dt_interval(hours=(F.col("o_orderkey") % 24).cast("int"))
@@ -49,6 +52,8 @@ class Tables:
             F.col("o_orderdate").cast("timestamp_ntz").alias("invoice_date"),
             (F.col("o_orderdate").cast("timestamp_ntz") + hour).alias("transaction_date"),
         )
+        if buyers is not None:
+            orders = orders.join(buyers, F.col("customer_id") == F.col("c_custkey"))
         returned = F.col("l_returnflag") == "R"
         quantity = F.when(returned, -F.col("l_quantity")).otherwise(F.col("l_quantity"))
         return (
@@ -332,11 +337,10 @@ class Tables:
     @property
     def retail(self) -> DataFrame:
         returned = F.col("l_returnflag") == "R"
-        located = (
-            self._lines()
-            .join(self.given("customer"), F.col("customer_id") == F.col("c_custkey"))
-            .join(self.given("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        buyers = self.given("customer").join(
+            self.given("nation"), F.col("c_nationkey") == F.col("n_nationkey")
         )
+        located = self._lines(buyers.select("c_custkey", "n_name"))
         shouted = F.concat(F.lit("  "), F.upper("p_name"), F.lit(" "))
         return located.select(
             F.concat(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _COPIES = 10_000
+_CROWD = 4_000
 _STEP = 100_000
 
 
@@ -41,16 +42,22 @@ def with_row_number(df: DataFrame, key: str, order: list[str], name: str) -> Dat
     """``row_number() over (partition by key order by order)`` as a new BIGINT column.
 
     Ties of ``order`` are broken by the remaining columns, so the result is the same each run.
-    Equal rows are counted first, so that any number of copies is one entry. The whole order is cut
-    at three depths: by ranges of its first column; within them by the first column and ranges of
-    the second; within those by the first two and ranges of the third. Entries are numbered in the
-    finest pieces, and the sizes of the pieces before are added up depth by depth, over counts
-    alone. So a key is numbered by as many tasks as it has pieces, whatever its order begins with.
+    Equal rows are counted first, so that any number of copies is one entry. A key of few entries
+    is one piece. For the others, of which there are few, the whole order is cut at three depths:
+    by ranges of its first column; within them by the first column and ranges of the second; within
+    those by the first two and ranges of the third. Entries are numbered in the finest pieces, and
+    the sizes of the pieces before are added up depth by depth, over counts alone. So a key is
+    numbered by as many tasks as it has pieces, whatever its order begins with.
     """
     whole = order + [c for c in df.columns if c not in order and c != key]
     entries = df.groupBy(key, *whole).agg(F.count(F.lit(1)).alias("_copies"))
     ahead = (Window.unboundedPreceding, -1)
     none = F.lit(0).cast("bigint")
+    sizes = entries.groupBy(key).agg(F.count(F.lit(1)).alias("_size"))
+    crowded = sizes.where(F.col("_size") > _CROWD)
+    crowds = crowded.select(F.col(key).alias("_key"), F.lit(True).alias("_crowd"))
+    of_key = F.col(key).eqNullSafe(F.col("_key"))
+    entries = entries.join(F.broadcast(crowds), of_key, "left")
     depths: list[list[str]] = []
     for depth, column in enumerate(whole[:3]):
         entries = entries.withColumn(f"_range{depth}", _coarse(df, column))
@@ -61,7 +68,7 @@ def with_row_number(df: DataFrame, key: str, order: list[str], name: str) -> Dat
         window = Window.partitionBy(*group).orderBy(*by).rowsBetween(*ahead)
         return F.coalesce(F.sum(size).over(window), none)
 
-    counts = entries.groupBy(key, *piece).agg(F.sum("_copies").alias("_size"))
+    counts = entries.where("_crowd").groupBy(key, *piece).agg(F.sum("_copies").alias("_size"))
     offsets = counts.withColumn("_offset", none)
     for depth, columns in enumerate(depths):
         # What lies before a piece of this depth within the piece around it.
@@ -76,15 +83,18 @@ def with_row_number(df: DataFrame, key: str, order: list[str], name: str) -> Dat
         added = F.col("_offset") + F.col("_ahead")
         offsets = joined.withColumn("_offset", added).select(key, *piece, "_offset")
     # A struct is never null, so the window and the join below share one shuffle of the rows.
-    named = F.struct(*[F.col(c).alias(f"p{i}") for i, c in enumerate([key, *piece])])
-    of = offsets.select(named.alias("_of"), "_offset")
-    entries = entries.withColumn("_piece", named)
+    named = [F.col(c).alias(f"p{i}") for i, c in enumerate([key, *piece])]
+    of = offsets.select(F.struct(*named).alias("_of"), "_offset")
+    cut = [F.when(F.col("_crowd"), F.col(c)).alias(f"p{i}") for i, c in enumerate(piece, 1)]
+    entries = entries.withColumn("_piece", F.struct(named[0], *cut))
+    entries = entries.select(*df.columns, "_copies", "_piece")
     inside = before(entries, ["_piece"], whole, "_copies")
     numbered = entries.withColumn("_inside", inside)
-    placed = numbered.join(of.hint("merge"), F.col("_piece") == F.col("_of"))
+    placed = numbered.join(of.hint("merge"), F.col("_piece") == F.col("_of"), "left")
 
     # Very many copies are spelled out lot by lot, so that no row holds all of their numbers.
-    first, lot = F.col("_offset") + F.col("_inside") + 1, F.lit(_COPIES).cast("bigint")
+    ahead_of_piece = F.coalesce("_offset", none)
+    first, lot = ahead_of_piece + F.col("_inside") + 1, F.lit(_COPIES).cast("bigint")
     placed = placed.select(*df.columns, first.alias("_first"), (first + F.col("_copies") - 1).alias("_last"))
     lots = placed.withColumn("_lot", F.explode(F.sequence("_first", "_last", lot)))
     numbers = F.sequence("_lot", F.least(F.col("_lot") + lot - 1, "_last"))

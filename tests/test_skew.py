@@ -44,6 +44,16 @@ def test_row_number(skewed, rows):
     assert skew.with_row_number(nothing, "k", ["line"], "rn").collect() == []
 
 
+@pytest.mark.parametrize("crowd", [0, 10, 4_000])
+def test_row_number_of_keys_cut_or_whole(skewed, rows, monkeypatch, crowd):
+    """Few entries, or many, or all: a key counts as a crowd or not, its numbers are the same."""
+    monkeypatch.setattr(skew, "_CROWD", crowd)
+    copies = skewed.union(skewed.where("v % 5 = 0"))
+    order = Window.partitionBy("k").orderBy("line", "v")
+    plain = copies.withColumn("rn", F.row_number().over(order).cast("bigint"))
+    assert rows(skew.with_row_number(copies, "k", ["line"], "rn")) == rows(plain)
+
+
 @pytest.mark.parametrize("kind", ["string", "date", "timestamp_ntz", "double"])
 def test_row_number_by_other_orders(skewed, rows, kind):
     moved = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("v") % 50).cast("int"))
