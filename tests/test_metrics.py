@@ -4,6 +4,7 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from martlet.plans import metrics
 
@@ -197,6 +198,14 @@ def test_inventory(sales, frame, rows):
     assert rows(metrics.inventory_by_store(inventory)) == [("s1", 2, 12, 6.0), ("s2", 1, None, None)]
 
 
+def test_inventory_is_dealt_to_all_partitions(frame):
+    """Also where the rows lie by store and product already."""
+    lines = frame("store_id BIGINT, product_id BIGINT, stock INT", (1, 1, 4), (1, 2, 8), (2, 1, None))
+    inventory = lines.groupBy("store_id", "product_id").agg(F.sum("stock").alias("stock_on_hand"))
+    plan = metrics.inventory_by_store(inventory)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan
+
+
 def test_profile_and_counts(sales, products, rows):
     got = {r.column_name: r for r in metrics.profile(sales, ["quantity", "unit_price"]).collect()}
     assert got["quantity"]["count"] == 8 and got["quantity"]["max"] == 4.0
