@@ -22,6 +22,7 @@ empty table gives no rows. Other columns take no part.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -120,20 +121,16 @@ def near_links(prints: DataFrame, max_bits: int = 3, crowd: int = CROWD) -> Data
 
 def _crowded(crowds: DataFrame, masks: list[int], max_bits: int) -> DataFrame:
     """Links within keys that many fingerprints share, by cutting the bits still free again."""
-    finer = F.array().cast("array<struct<mask2: int, part2: bigint>>")
-    for number, mask in enumerate(masks):
-        free = ~mask & (1 << BITS) - 1
-        own = block_masks(free, max_bits + 5, max_bits) if free else []
-        keys = [
-            F.struct(F.lit(i).alias("mask2"), F.col("fp").bitwiseAND(F.lit(m)).alias("part2"))
-            for i, m in enumerate(own)
-        ]
-        if keys:
-            finer = F.when(F.col("mask") == number, F.array(*keys)).otherwise(finer)
-    again = crowds.select("mask", "part", "fp", F.explode(finer).alias("key"))
+    full = (1 << BITS) - 1
+    finer = [block_masks(~mask & full, max_bits + 5, max_bits) if ~mask & full else [] for mask in masks]
+    # One literal: spelled out as expressions, the masks made a plan of 100,000 nodes.
+    table = F.from_json(F.lit(json.dumps(finer)), "array<array<bigint>>")
+    own = F.element_at(table, F.col("mask") + 1)
+    met = crowds.select("mask", "part", "fp", F.posexplode(own).alias("mask2", "bits"))
+    again = met.withColumn("part2", F.col("fp").bitwiseAND(F.col("bits")))
     # A bucket holds distinct values of the 12 or 13 bits that are left: 8,192 at most.
     buckets = (
-        again.groupBy("mask", "part", "key.mask2", "key.part2")
+        again.groupBy("mask", "part", "mask2", "part2")
         .agg(F.collect_list("fp").alias("fps"))
         .where(F.size("fps") > 1)
     )

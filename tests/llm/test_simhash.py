@@ -106,6 +106,14 @@ def test_buckets_of_crowds_are_bounded():
             assert (free & ~finer).bit_count() <= 13
 
 
+def test_the_plan_of_crowds_is_small(spark):
+    """The finer masks are data: as expressions they filled the driver's memory."""
+    crowds = spark.sql("SELECT 0 AS mask, 1L AS part, 2L AS fp")
+    links = simhash._crowded(crowds, simhash.block_masks((1 << 64) - 1, 6, 3), 3)
+    assert links._jdf.queryExecution().analyzed().toString().count("struct(") < 50
+    assert links.collect() == []
+
+
 def test_edge_cases(texts):
     rows = [(1, None), (2, ""), (3, " \t\n"), (4, "one"), (5, "ONE"), (5, "ONE"), (None, "one"),
             (6, "two words"), (7, "w " * 150_000)]
