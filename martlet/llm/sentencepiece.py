@@ -35,6 +35,7 @@ from pathlib import Path
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StructType
@@ -44,9 +45,8 @@ _SPACE_IN_PIECES = "▁"
 _CACHED_LENGTH = 64
 _CACHED_UNITS = 400_000  # some 150 bytes each
 _CACHED_PAIRS = 1 << 17
-_SLICE = 1 << 20
-_WORDS_AT_ONCE = 8192
-_ROWS = 256
+_SLICE = 1 << 22
+_WORDS_AT_ONCE = 1 << 15
 _NEVER = float("-inf")
 _START = (0.0, 0, -1)
 
@@ -277,27 +277,73 @@ class StreamingViterbi:
         return self.nodes
 
 
+class Table:
+    """Small numbers by whole-number keys, asked and taken in many at a time.
+
+    An open-addressed array whose entries hold the key above the value's bits.
+    """
+
+    def __init__(self, value_bits: int, room: int = 1 << 12) -> None:
+        self.bits, self.count = value_bits, 0
+        self.entries = np.full(1 << (4 * room - 1).bit_length(), -1, np.int64)
+
+    def places(self, keys: np.ndarray) -> np.ndarray:
+        """Where a search for each key begins."""
+        mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(65 - len(self.entries).bit_length())).astype(np.int64)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """The value of each key, or -1."""
+        at, last = self.places(keys), len(self.entries) - 1
+        entry = self.entries[at]
+        values = np.where(entry >> self.bits == keys, entry & (1 << self.bits) - 1, -1)
+        left = np.flatnonzero((values < 0) & (entry >= 0))
+        while len(left):
+            at[left] = at[left] + 1 & last
+            entry = self.entries[at[left]]
+            here = entry >> self.bits == keys[left]
+            values[left[here]] = entry[here] & (1 << self.bits) - 1
+            left = left[~here & (entry >= 0)]
+        return values
+
+    def put(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Take in distinct keys that are not there yet."""
+        if 2 * (self.count + len(keys)) > len(self.entries):
+            old, grown = self.entries[self.entries >= 0], Table(self.bits, self.count + len(keys))
+            grown.put(old >> self.bits, old & (1 << self.bits) - 1)
+            self.entries = grown.entries
+        self.count += len(keys)
+        new, at, last = keys << self.bits | values, self.places(keys), len(self.entries) - 1
+        while len(new):
+            free = self.entries[at] < 0
+            self.entries[at[free]] = new[free]  # of several, one stays
+            left = self.entries[at] != new
+            new, at = new[left], at[left] + 1 & last
+
+
 class PieceTrie:
-    """The pieces as a trie whose edges are one sorted array, so that many steps are one search."""
+    """The pieces as a trie whose edges are one table, so that many steps are one look."""
 
     def __init__(self, model: PieceModel) -> None:
         letters = sorted({char for piece in model.ids for char in piece})
         self.points = np.array([ord(char) for char in letters] or [0], np.int64)
         place = {char: i for i, char in enumerate(letters)}
-        nodes: dict[tuple[int, int], int] = {}
+        nodes: dict[int, int] = {}
         tokens = [-1]
         for piece, token in model.ids.items():
             at = 0
             for char in piece:
-                edge = at, place[char]
-                if edge not in nodes:
-                    nodes[edge] = len(tokens)
+                edge = at * len(letters) + place[char]
+                if (to := nodes.get(edge)) is None:
+                    to = nodes[edge] = len(tokens)
                     tokens.append(-1)
-                at = nodes[edge]
+                at = to
             tokens[at] = token
-        keys = np.array([at * len(letters) + to for at, to in nodes] or [-1], np.int64)
-        order = np.argsort(keys)
-        self.edges, self.targets = keys[order], np.array(list(nodes.values()) or [0])[order]
+        self.edges = Table(len(tokens).bit_length(), len(tokens))
+        self.edges.put(
+            np.fromiter(nodes.keys(), np.int64, len(nodes)),
+            np.fromiter(nodes.values(), np.int64, len(nodes)),
+        )
         self.tokens = np.array(tokens, np.int64)
         every = np.arange(len(letters))
         self.first = self.step(np.zeros(len(letters), np.int64), every)  # from the root
@@ -311,80 +357,79 @@ class PieceTrie:
 
     def step(self, nodes: np.ndarray, letters: np.ndarray) -> np.ndarray:
         """The nodes that the letters lead to, or -1."""
-        keys = nodes * len(self.points) + letters
-        at = np.minimum(np.searchsorted(self.edges, keys), len(self.edges) - 1)
-        return np.where(self.edges[at] == keys, self.targets[at], -1)
+        return self.edges.get(nodes * len(self.points) + letters)
 
 
 class Pairs:
     """What ``apart`` says of pairs of pieces, for many pairs at a time; bounded."""
 
     def __init__(self, model: PieceModel) -> None:
-        self.model = model
-        self.keys, self.apart = np.zeros(1, np.int64), np.zeros(1, bool)
+        self.model, self.known = model, Table(1)
 
     def look(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Whether the pieces stay apart; a left piece of -1 asks whether the right one is whole."""
-        keys = (left + 1) << 32 | right
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        new = np.unique(keys[self.keys[at] != keys])
-        if len(new):
-            if len(self.keys) + len(new) > 4 * _CACHED_PAIRS:
-                self.keys, self.apart = np.zeros(1, np.int64), np.zeros(1, bool)
-                new = np.unique(keys)
-            self._learn(new)
-            at = np.searchsorted(self.keys, keys)
-        return self.apart[at]
-
-    def _learn(self, new: np.ndarray) -> None:
+        keys = (left + 1) << 31 | right
+        apart = self.known.get(keys)
+        if len(missing := np.flatnonzero(apart < 0)):
+            new, place = np.unique(keys[missing], return_inverse=True)
+            found = self._learn(new)
+            apart[missing] = found[place]
+            if self.known.count + len(new) > 4 * _CACHED_PAIRS:
+                self.known = Table(1)
+            self.known.put(new, found)
+        return apart == 1
+
+    def _learn(self, new: np.ndarray) -> np.ndarray:
         model = self.model
         found = [
             model.apart(left - 1, right) if left else model.whole(right)
-            for left, right in zip((new >> 32).tolist(), (new & 0xFFFFFFFF).tolist())
+            for left, right in zip((new >> 31).tolist(), (new & 0x7FFFFFFF).tolist())
         ]
-        at = np.searchsorted(self.keys, new)
-        self.keys = np.insert(self.keys, at, new)
-        self.apart = np.insert(self.apart, at, found)
+        return np.array(found, np.int64)
 
 
 class WordSearch:
     """The search over many short words at once, for models of the BPE kind.
 
-    Words of one length are the rows of a matrix. For each boundary, the pieces that end there
-    come from trie positions that started within a piece's reach, and the one whose neighbours
-    stay apart is the boundary's backpointer. A short word ends within the window of the search
-    over long stretches, so nothing needs to be committed before its end.
+    Words lie one behind the other, the longest first, and all take a step together. For each
+    boundary, the pieces that end there come from trie positions that started within a piece's
+    reach, and the one whose neighbours stay apart is the boundary's backpointer. A short word
+    ends within the window of the search over long stretches, so nothing needs to be committed
+    before its end.
     """
 
     def __init__(self, model: PieceModel) -> None:
         self.model, self.trie, self.pairs = model, PieceTrie(model), Pairs(model)
-        self.single = np.zeros(len(self.trie.points), bool)
+        self.single = np.zeros(len(self.trie.points) + 1, bool)  # the last: not in the trie
         for i, point in enumerate(self.trie.points.tolist()):
             self.single[i] = chr(point) in model.ids
 
     def encode(self, words: list[str]) -> Iterator[tuple[str, bytes | None]]:
         """Each word with its ids; None if a character has no piece of its own."""
-        words = sorted(words, key=len)
-        sizes = np.array([len(word) for word in words], np.int64)
-        cuts = np.flatnonzero(np.append(True, sizes[1:] != sizes[:-1])) if words else []
-        for a, b in zip(cuts, [*cuts[1:], len(words)]):
-            for start in range(a, b, _WORDS_AT_ONCE):
-                some = words[start : min(b, start + _WORDS_AT_ONCE)]
-                yield from zip(some, self._encode(some, int(sizes[a])))
-
-    def _encode(self, words: list[str], length: int) -> Iterator[bytes | None]:
-        letters = self.trie.letters(words).reshape(len(words), length)
-        known = (letters >= 0).all(axis=1) & self.single[letters].all(axis=1)
-        rows = np.flatnonzero(known)
-        token, back = self._search(letters[rows])
-        place, at, found, owner = np.full(len(rows), length), np.arange(len(rows)), [], []
+        words = sorted(words, key=len, reverse=True)
+        for start in range(0, len(words), _WORDS_AT_ONCE):
+            some = words[start : start + _WORDS_AT_ONCE]
+            yield from zip(some, self._encode(some))
+
+    def _encode(self, words: list[str]) -> list[bytes | None]:
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        letters = self.trie.letters(words)
+        unknown = np.concatenate([[0], np.cumsum(~self.single[letters])])
+        ends = np.cumsum(sizes)
+        known = unknown[ends] == unknown[ends - sizes]
+        letters, rows = letters[np.repeat(known, sizes)], np.flatnonzero(known)
+        sizes = sizes[rows]
+        token, back = self._search(letters, sizes)
+        first = np.cumsum(sizes + 1) - sizes - 1
+        owner, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        at = np.arange(len(rows))
+        place = first + sizes
         while len(at):
-            found.append(token[at, place[at]])
+            found.append(token[place])
             owner.append(at)
-            place[at] = back[at, place[at]]
-            at = at[place[at] > 0]
-        if not len(rows):
-            return iter([None] * len(words))
+            place = back[place]
+            more = place > first[at]
+            at, place = at[more], place[more]
         # From the last piece to the first: turned round, and brought together by word.
         owner = np.concatenate(owner[::-1])
         order = np.argsort(owner, kind="stable")
@@ -393,29 +438,35 @@ class WordSearch:
         result: list[bytes | None] = [None] * len(words)
         for row, a, b in zip(rows.tolist(), [0, *ends.tolist()], ends.tolist()):
             result[row] = data[a:b]
-        return iter(result)
-
-    def _search(self, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Per word and boundary the piece that ends there and where it begins."""
-        n, length = letters.shape
-        token = np.full((n, length + 1), -2, np.int64)  # -2: no path ends here
-        back = np.zeros((n, length + 1), np.int64)
-        token[:, 0] = -1
+        return result
+
+    def _search(self, letters: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Per word and boundary the piece that ends there and the boundary where it begins."""
+        n = len(sizes)
+        letter_at = np.cumsum(sizes) - sizes
+        first = letter_at + np.arange(n)
+        token = np.full(len(letters) + n, -2, np.int64)  # -2: no path ends here
+        back = np.zeros(len(token), np.int64)
+        token[first] = -1
         row, start, node = (np.zeros(0, np.int64) for _ in range(3))
-        every = np.arange(n)
-        for end in range(1, length + 1):
-            letter = letters[:, end - 1]
-            node = np.concatenate([self.trie.step(node, letter[row]), self.trie.first[letter]])
-            row = np.concatenate([row, every])
-            start = np.concatenate([start, np.full(n, end - 1)])
-            alive = node >= 0
-            row, start, node = row[alive], start[alive], node[alive]
+        longer = n - np.cumsum(np.bincount(sizes)) if n else sizes
+        for end in range(1, len(longer)):
+            m = longer[end - 1]  # words that reach this boundary
+            letter = letters[letter_at[:m] + end - 1]
+            on = np.flatnonzero(row < m)
+            row, start = row[on], start[on]
+            node = np.concatenate([self.trie.step(node[on], letter[row]), self.trie.first[letter]])
+            alive = np.flatnonzero(node >= 0)
+            row = np.concatenate([row, np.arange(m)])[alive]
+            start = np.concatenate([start, first[:m] + end - 1])[alive]
+            node = node[alive]
             piece = self.trie.tokens[node]
-            left = token[row, start]
+            left = token[start]
             ends = np.flatnonzero((piece >= 0) & (left >= -1))
-            fits = ends[self.pairs.look(left[ends], piece[ends])] if len(ends) else ends
+            fits = ends[self.pairs.look(left[ends], piece[ends])]
             fits = fits[::-1]  # of several, the longest is written last
-            token[row[fits], end], back[row[fits], end] = piece[fits], start[fits]
+            to = first[row[fits]] + end
+            token[to], back[to] = piece[fits], start[fits]
         return token, back
 
 
@@ -430,7 +481,7 @@ class Encoder:
         pieces = [piece.encode() for piece in model.pieces]
         for value, i in enumerate(model.byte_ids):
             pieces[i] = bytes([value])
-        self.spelled = pieces
+        self.spelled = pa.array(pieces, pa.large_binary())
 
     @classmethod
     def of(cls, model: PieceModel) -> Encoder:
@@ -449,20 +500,37 @@ class Encoder:
         """Ids of each text; the new words of a slice of texts are searched together."""
         held, size = [], 0
         for text in texts:
-            held.append(None if text is None else self._cut(text))
+            held.append(text)
             size += len(text or "")
             if size > _SLICE:
-                yield from self._encode(held)
+                yield from self._rows(held)
                 held, size = [], 0
-        yield from self._encode(held)
-
-    def _encode(self, held: list[list[str] | None]) -> Iterator[np.ndarray | None]:
-        self.units.learn({unit for units in held if units for unit in units})
-        for units in held:
-            if units is None:
-                yield None
-            else:
-                yield np.frombuffer(b"".join(map(self.units.__getitem__, units)), np.int32)
+        yield from self._rows(held)
+
+    def _rows(self, texts: list[str | None]) -> Iterator[np.ndarray | None]:
+        found = self.encode_column(pa.array(texts, pa.large_string()))
+        ids, ends = found.values.to_numpy(), found.offsets.to_pylist()
+        for text, a, b in zip(texts, ends, ends[1:]):
+            yield None if text is None else ids[a:b]
+
+    def encode_column(self, texts: pa.Array) -> pa.ListArray:
+        """Ids of a column of texts; each of its units is looked up once, however often it comes."""
+        full = pc.greater(pc.fill_null(pc.binary_length(texts), 0), 0)
+        some = texts.filter(full).cast(pa.large_string())
+        if self.model.dummy_prefix:
+            none, space = (pa.scalar(part, some.type) for part in ("", SPACE))
+            some = pc.binary_join_element_wise(none, some, space)
+        starts, units = _units_of(some)
+        told = units.dictionary_encode()
+        found = self.units.of(told.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ends = np.cumsum([0, *map(len, found)]) // 4
+        values = pa.array(np.frombuffer(b"".join(found), np.int32))
+        ids = pa.LargeListArray.from_arrays(pa.array(ends), values).take(told.indices)
+        ends = np.zeros(len(texts) + 1, np.int64)
+        sizes = np.diff(ids.offsets.to_numpy()[starts])
+        ends[1:][full.to_numpy(zero_copy_only=False)] = sizes
+        ends = pa.array(np.cumsum(ends), pa.int32())
+        return pa.ListArray.from_arrays(ends, ids.values, mask=texts.is_null())
 
     def _cut(self, text: str) -> list[str]:
         """Stretches of a text that no piece reaches across: spaces, then what is none."""
@@ -476,10 +544,49 @@ class Encoder:
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids."""
-        data = b"".join(map(self.spelled.__getitem__, ids.tolist()))
-        if self.model.dummy_prefix and data[:1] == b" ":
-            data = data[1:]
-        return data.decode("utf-8", "replace")
+        ids = pa.array(ids, pa.int32())
+        return self.decode_column(pa.ListArray.from_arrays([0, len(ids)], ids))[0].as_py()
+
+    def decode_column(self, ids: pa.ListArray) -> pa.Array:
+        """The texts of a column of ids."""
+        if not len(ids.values):
+            return pc.if_else(ids.is_valid(), "", None).cast(pa.large_string())
+        spelled = self.spelled.take(ids.values)
+        _, ends, data = spelled.buffers()
+        ends = np.frombuffer(ends, np.int64)[ids.offsets.to_numpy()]
+        if self.model.dummy_prefix:
+            letters = np.frombuffer(data, np.uint8)
+            full = np.flatnonzero(ends[1:] > ends[:-1])
+            spaced = full[letters[ends[full]] == ord(SPACE)]
+            data = pa.py_buffer(np.delete(letters, ends[spaced]))
+            ends[1:] -= np.cumsum(np.bincount(spaced, minlength=len(ids)))
+        none = ids.is_null().to_numpy(zero_copy_only=False)
+        valid = pa.py_buffer(np.packbits(~none, bitorder="little"))
+        data = pa.Array.from_buffers(spelled.type, len(ids), [valid, pa.py_buffer(ends), data])
+        try:
+            return data.cast(pa.large_string())
+        except pa.ArrowInvalid:
+            texts = [d if d is None else d.decode("utf-8", "replace") for d in data.to_pylist()]
+            return pa.array(texts, pa.large_string())
+
+
+def _units_of(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Cut texts that are not empty before each space that follows another character.
+
+    Returns the place of each text's first unit, with the end, and the units.
+    """
+    if not len(texts):
+        return np.zeros(1, np.int64), texts
+    _, ends, data = texts.buffers()
+    ends = np.frombuffer(ends, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    space = np.frombuffer(data, np.uint8)[: ends[-1]] == ord(SPACE)
+    begins = space.copy()
+    begins[1:] &= ~space[:-1]
+    begins[: ends[0]] = False
+    begins[ends[:-1]] = True
+    cuts = np.append(np.flatnonzero(begins), ends[-1])
+    units = pa.Array.from_buffers(texts.type, len(cuts) - 1, [None, pa.py_buffer(cuts), data])
+    return np.searchsorted(cuts, ends), units
 
 
 _RUNS = re.compile(r" +[^ ]*|[^ ]+")
@@ -493,34 +600,39 @@ class _Units(dict):
         self.search = WordSearch(model) if model.kind == "bpe" else None
         self.before: dict[str, bytes] = {}
 
-    def learn(self, units: set[str]) -> None:
-        """Search the parts of new units, the short ones all together.
+    def of(self, units: list[str]) -> list[bytes]:
+        """Ids of distinct units; the new short ones are searched all together.
 
         A full cache becomes the one before; what is met again moves over, the rest goes with
         the next change.
         """
-        if len(self) + len(units) >= _CACHED_UNITS:
+        found = list(map(self.get, units))
+        new = [unit for unit, ids in zip(units, found) if ids is None]
+        if len(self) + len(new) >= _CACHED_UNITS:
             self.before = dict(self)
             self.clear()
-        new = units.difference(self)
-        again = self.before.keys() & new
-        self.update(zip(again, map(self.before.__getitem__, again)))
-        new -= again
-        cut = {unit: self._parts(unit) for unit in new}
-        parts = {part for some in cut.values() for part in some}.difference(self)
-        parts = [part for part in parts if not self._known(part)]
-        if self.model.kind == "bpe":
-            short = [part for part in parts if len(part) <= _CACHED_LENGTH]
-            found = list(self.search.encode(short))
-            self.update(pair for pair in found if pair[1] is not None)
-            parts = [part for part in parts if part not in self]
-        self._one_after_the_other(sorted(parts))
+        rest = self._together([unit for unit in new if not self._known(unit)])
+        cut = {unit: self._parts(unit) for unit in rest}
+        parts = {part for some in cut.values() if len(some) > 1 for part in some}.difference(self)
+        parts = self._together([part for part in parts if not self._known(part)])
+        parts += [unit for unit, some in cut.items() if len(some) == 1]
+        short = {part for part in parts if len(part) <= _CACHED_LENGTH}
+        self._one_after_the_other(sorted(short))
         for unit, some in cut.items():
             if len(some) > 1 and len(unit) <= _CACHED_LENGTH:
                 self[unit] = b"".join(map(self.__getitem__, some))
+        return [self[unit] if ids is None else ids for unit, ids in zip(units, found)]
+
+    def _together(self, units: list[str]) -> list[str]:
+        """Search the short units all together; returns those that remain."""
+        if self.search is None:
+            return units
+        short = [unit for unit in units if len(unit) <= _CACHED_LENGTH]
+        self.update(pair for pair in self.search.encode(short) if pair[1] is not None)
+        return [unit for unit in units if unit not in self]
 
     def _one_after_the_other(self, parts: list[str]) -> None:
-        """Search parts in order, so that each goes on from the start it shares with the last."""
+        """Search short parts in order; each goes on from the start it shares with the last."""
         search = None
         for part in parts:
             if search is None:
@@ -529,8 +641,7 @@ class _Units(dict):
                 shared = _shared(search.text, part)
                 search.rewind(shared)
             settled = search.feed(part[shared:])
-            if len(part) <= _CACHED_LENGTH:
-                self[part] = np.array(settled + search.rest(), np.int32).tobytes()
+            self[part] = np.array(settled + search.rest(), np.int32).tobytes()
             if settled:
                 search = None
 
@@ -592,11 +703,21 @@ def decode_ids(ids: Column, model: PieceModel) -> Column:
     def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = Encoder.of(model)
         for batch in batches:
-            yield pd.Series([None if i is None else encoder.decode(i) for i in batch], dtype=object)
+            column = pa.array(batch, pa.list_(pa.int32()), from_pandas=True)
+            yield pd.Series(encoder.decode_column(column).to_pylist(), dtype=object)
 
     return decode.asNondeterministic()(ids)
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch with about as many bytes of text as are searched at a time."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy().astype(np.int64)
+    part = (np.cumsum(sizes) - sizes) // _SLICE
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        yield batch.slice(a, b - a)
+
+
 def tokenize(
     docs: DataFrame, model: PieceModel, *, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -605,25 +726,15 @@ def tokenize(
     ``exact`` tells whether decoding the ids gives the text again, and is null for a null text.
     """
 
-
     def both_ways(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(model)
         for batch in batches:
-            for start in range(0, batch.num_rows, _ROWS):  # so that ids of few rows are held
-                some = batch.slice(start, _ROWS)
-                texts = some.column(1).to_pylist()
-                ids = list(encoder.encode_all(texts))
-                exact = [t is not None and encoder.decode(i) == t for t, i in zip(texts, ids)]
-                none = [t is None for t in texts]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        some.column(0),
-                        pa.array([None if i is None else len(i) for i in ids], pa.int64()),
-                        pa.array(ids, pa.list_(pa.int32())),
-                        pa.array(exact, pa.bool_(), mask=np.array(none, bool)),
-                    ],
-                    names,
-                )
+            for some in _slices(batch):
+                texts = some.column(1).cast(pa.large_string())
+                ids = encoder.encode_column(texts)
+                exact = pc.equal(encoder.decode_column(ids), texts)
+                counts = pc.list_value_length(ids).cast(pa.int64())
+                yield pa.RecordBatch.from_arrays([some.column(0), counts, ids, exact], names)
 
     names = [id_col, "n_tokens", "ids", "exact"]
     kinds = [LongType(), ArrayType(IntegerType()), BooleanType()]

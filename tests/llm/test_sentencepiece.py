@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -119,3 +120,62 @@ def test_columns(texts, model):
 
 def test_bytes_without_meaning_decode_to_the_replacement(model):
     assert sp.Encoder(model).decode(np.array([model.byte_ids[0xFF]])) == "�"
+
+
+def test_words_of_all_lengths_take_each_step_together(model, monkeypatch):
+    """The rounds of a search follow the longest word, not the number of lengths times theirs."""
+    search, steps, step = sp.WordSearch(model), [], sp.PieceTrie.step
+    monkeypatch.setattr(sp.PieceTrie, "step", lambda *given: steps.append(1) or step(*given))
+    words = [("internationalisation" * 3)[:size] for size in range(1, 41)]
+    found = dict(search.encode(words))
+    assert len(steps) <= 40
+    plain = sp.load_model(TOKENIZER, dummy_prefix=False)
+    for word in words:
+        alone = sp.StreamingViterbi(plain)
+        assert np.frombuffer(found[word], np.int32).tolist() == alone.feed(word) + alone.rest()
+
+
+def test_a_column_asks_once_for_each_of_its_words(model, library, monkeypatch):
+    asked, of = [], sp._Units.of
+    monkeypatch.setattr(sp._Units, "of", lambda self, units: asked.extend(units) or of(self, units))
+    texts = ["the cat and the dog", None, "", "and the cat"] * 300
+    got = sp.Encoder(model).encode_column(pa.array(texts)).to_pylist()
+    assert got == [None if t is None else library.encode(t) for t in texts]
+    assert sorted(asked) == [" and", " cat", " dog", " the"]
+
+
+@pytest.mark.parametrize("prefix", [True, False])
+def test_columns_equal_single_texts(prefix):
+    encoder = sp.Encoder(sp.load_model(TOKENIZER, dummy_prefix=prefix))
+    rng = random.Random(5)
+    drawn = ["".join(rng.choice("thein   é.\n日▁😀") for _ in range(rng.randrange(30))) for _ in range(300)]
+    texts = [None, *TEXTS, *drawn, "", None, " ", "y" * 70, "日本" * 50]
+    for some in (texts, texts[::-1], [None], [""], [None, ""], []):
+        for kind in (pa.string(), pa.large_string()):
+            column = pa.array(["cut off", *some, " gone"], kind)[1:-1]
+            ids = encoder.encode_column(column)
+            alone = [None if t is None else encoder.encode(t).tolist() for t in some]
+            assert ids.to_pylist() == alone
+            assert encoder.decode_column(ids).to_pylist() == some
+            assert encoder.decode_column(ids[1:]).to_pylist() == some[1:]
+            assert [i if i is None else i.tolist() for i in encoder.encode_all(some)] == alone
+
+
+def test_a_table_keeps_what_it_takes_in():
+    rng = np.random.default_rng(3)
+    keys = np.unique(rng.integers(0, 1 << 40, 30_000))
+    values, table = keys % 100, sp.Table(7, 4)
+    assert (table.get(keys) == -1).all()
+    for some in np.array_split(rng.permutation(len(keys)), 9):
+        table.put(keys[some], values[some])
+    assert (table.get(keys) == values).all() and table.count == len(keys)
+    assert (table.get(keys + (1 << 41)) == -1).all() and len(table.get(keys[:0])) == 0
+
+
+def test_slices_hold_every_row_once(monkeypatch):
+    monkeypatch.setattr(sp, "_SLICE", 10)
+    texts = ["a" * 4, None, "b" * 25, "", "c" * 3, "d" * 9, None]
+    batch = pa.record_batch([pa.array(range(7)), pa.array(texts)], ["doc_id", "text"])
+    some = list(sp._slices(batch))
+    assert len(some) > 2 and pa.Table.from_batches(some).column(1).to_pylist() == texts
+    assert sum(part.num_rows for part in sp._slices(batch.slice(0, 0))) == 0
