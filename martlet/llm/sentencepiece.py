@@ -45,8 +45,8 @@ _SPACE_IN_PIECES = "▁"
 _CACHED_LENGTH = 64
 _CACHED_UNITS = 400_000  # some 150 bytes each
 _CACHED_PAIRS = 1 << 17
-_SLICE = 1 << 22
-_WORDS_AT_ONCE = 1 << 15
+_SLICE = 1 << 20
+_WORDS_AT_ONCE = 8192
 _NEVER = float("-inf")
 _START = (0.0, 0, -1)
 
