@@ -29,6 +29,7 @@ def process_dimensions(raw: dict[str, DataFrame], hub: str) -> None:
     flagged = customers.scd2_flag(customers.parse_updates(raw["dim_customers"]))
     ordered = flagged.orderBy("customer_id", F.desc("update_timestamp"))
     side_by_side(
+        flagged.sparkSession,
         lambda: write_table(raw["dim_stores"], f"{hub}/dim_stores"),
         lambda: write_table(raw["dim_products"], f"{hub}/dim_products"),
         lambda: write_table(ordered, f"{hub}/dim_customers"),
@@ -55,6 +56,7 @@ def process_facts(raw: dict[str, DataFrame], hub: str) -> None:
     restocked = stock.withColumn("last_restock_date", day("last_restock_date"))
     shipped = raw["fact_shipments"].withColumn("shipment_date", day("shipment_date"))
     side_by_side(
+        lines.sparkSession,
         lambda: write_partitioned(
             sales.with_partition_keys(times), f"{hub}/fact_sales", ["year", "month"]
         ),
@@ -69,12 +71,13 @@ def with_sale_times(raw_sales: DataFrame) -> DataFrame:
     return raw_sales.withColumn(_SOLD_AT, parse_timestamp(F.col("transaction_date")))
 
 
-def side_by_side(*steps: Callable[[], object]) -> list:
+def side_by_side(spark: SparkSession, *steps: Callable[[], object]) -> list:
     """Run steps that do not need each other at the same time, so that none waits for a slow task.
 
-    The first fault is raised once all have ended.
+    The first fault is raised once all have ended. The session is given, as a thread that such a
+    step runs in has no active one.
     """
-    inherit = inheritable_thread_target(SparkSession.getActiveSession())
+    inherit = inheritable_thread_target(spark)
     with ThreadPoolExecutor(len(steps)) as pool:
         running = [pool.submit(inherit(step)) for step in steps]
     return [step.result() for step in running]
@@ -93,6 +96,7 @@ def process_web_logs(split: DataFrame, hub: str, dedup: str = "exact") -> None:
     undated = web.undated_events(cleaned).drop("timestamp", "event_date")
     bad = web.bad_of(split).select("value", "_file")
     side_by_side(
+        split.sparkSession,
         lambda: write_partitioned(dated, f"{hub}/fact_web_events", ["event_date"]),
         lambda: write_table(undated, f"{hub}/quarantine_web_events"),
         lambda: write_table(bad, f"{hub}/quarantine_web_lines"),
@@ -130,12 +134,14 @@ def run_etl(
     raw["fact_sales"] = with_sale_times(raw["fact_sales"])
     with scratch(spark) as held:
         (split, lost), *read = side_by_side(
+            spark,
             lambda: split_web_logs(spark, f"{raw_dir}/stream/*.json*", hub),
             *[partial(materialise, raw[name]) for name in _READ_AGAIN],
         )
         held += [split, *read]
         raw |= zip(_READ_AGAIN, read)
         side_by_side(
+            spark,
             lambda: process_dimensions(raw, hub),
             lambda: process_facts(raw, hub),
             lambda: process_web_logs(split, hub),
